@@ -92,3 +92,63 @@ ORACLE["sparse_summary"] = _sig_select(
     + _summary_one("dense", "v", ["idx"]).replace("'v' AS \"column\", ", ""),
     [("column", False)] + SUMMARY_COLS[1:]).replace(
     'SELECT "column",', "SELECT 'x[' || CAST(idx AS VARCHAR) || ']' AS \"column\",", 1)
+
+
+# -------------------------------------------------------------- correlation
+
+def _pairs(cols):
+    return [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+
+
+CORR_COLS = [("i", False), ("j", False), ("col_i", False), ("col_j", False)]
+
+
+def cov_sql(table: str, cols: list[str]) -> str:
+    inner = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, '{a}' AS col_i, '{b}' AS col_j, "
+        f"covar_samp({a}, {b}) AS cov FROM {table}" for i, j, a, b in _pairs(cols))
+    return _sig_select(inner, CORR_COLS + [("cov", True)])
+
+
+def _pearson_expr(a: str, b: str, same: bool) -> str:
+    if same:
+        return "max(1.0)"
+    return (f"CASE WHEN abs(var_samp({a})) <= 1e-12 OR abs(var_samp({b})) <= 1e-12 "
+            f"THEN 'NaN'::DOUBLE ELSE covar_samp({a}, {b}) / "
+            f"(sqrt(var_samp({a})) * sqrt(var_samp({b}))) END")
+
+
+def pearson_sql(table: str, cols: list[str], pairs=None) -> str:
+    pairs = pairs or _pairs(cols)
+    inner = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, '{a}' AS col_i, '{b}' AS col_j, "
+        f"{_pearson_expr(a, b, i == j)} AS corr FROM {table}" for i, j, a, b in pairs)
+    return _sig_select(inner, CORR_COLS + [("corr", True)])
+
+
+def _rank_expr(c: str) -> str:
+    return (f"(rank() OVER (ORDER BY {c}) - 1) + "
+            f"(count(*) OVER (PARTITION BY {c}) - 1) / 2.0")
+
+
+def spearman_sql(table: str, cols: list[str], pairs=None) -> str:
+    ranked = (f"(SELECT {', '.join(_rank_expr(c) + ' AS ' + c for c in cols)} "
+              f"FROM {table}) AS ranked")
+    return pearson_sql(ranked, cols, pairs)
+
+
+CUST = ["c_acctbal", "c_custkey", "c_nationkey"]
+ORACLE["cov_matrix"] = cov_sql("lineitem", LINEITEM_NUM)
+ORACLE["corr_pearson_matrix"] = pearson_sql("lineitem", LINEITEM_NUM)
+ORACLE["corr_pearson_pair"] = pearson_sql(
+    "lineitem", [], [(0, 1, "l_quantity", "l_extendedprice")])
+ORACLE["corr_from_cov"] = pearson_sql("customer", CUST)
+ORACLE["corr_spearman_matrix"] = spearman_sql("lineitem", LINEITEM_NUM)
+ORACLE["corr_spearman_pair"] = spearman_sql(
+    "lineitem", ["l_discount", "l_tax"], [(0, 1, "l_discount", "l_tax")])
+ORACLE["avg_rank"] = _sig_select(
+    f"SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, "
+    f"{_rank_expr('l_extendedprice')} AS l_extendedprice_rank, "
+    f"{_rank_expr('l_discount')} AS l_discount_rank FROM lineitem",
+    [("l_orderkey", False), ("l_linenumber", False), ("l_extendedprice", True),
+     ("l_discount", True), ("l_extendedprice_rank", True), ("l_discount_rank", True)])

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statframe.functions.rounding import rounded
+from statframe.operators import correlation as C
+from statframe.operators import rank as R
 from statframe.operators import summary as S
 from statframe.session import table
 
@@ -64,3 +66,45 @@ def q_sparse_summary(spark, sf):
              .agg(F.sum("l_discount").alias("value")))
     return rounded(S.sparse_summary(cells, num_rows=table(spark, sf, "orders")
                                     .agg(F.count(F.lit(1)).alias("_rows"))))
+
+
+# -------------------------------------------------------------- correlation
+
+@query
+def q_cov_matrix(spark, sf):
+    return rounded(C.cov_matrix(table(spark, sf, "lineitem"), LINEITEM_NUM))
+
+
+@query
+def q_corr_pearson_matrix(spark, sf):
+    return rounded(C.corr(table(spark, sf, "lineitem"), LINEITEM_NUM, "pearson"))
+
+
+@query
+def q_corr_pearson_pair(spark, sf):
+    return rounded(C.corr_pair(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice"))
+
+
+@query
+def q_corr_from_cov(spark, sf):
+    """Covariance of customer balance, key and nation, normalised."""
+    cu = table(spark, sf, "customer")
+    cov = C.cov_matrix(cu, ["c_acctbal", "c_custkey", "c_nationkey"])
+    return rounded(C.corr_from_cov(cov))
+
+
+@query
+def q_corr_spearman_matrix(spark, sf):
+    return rounded(C.corr(table(spark, sf, "lineitem"), LINEITEM_NUM, "spearman"))
+
+
+@query
+def q_corr_spearman_pair(spark, sf):
+    return rounded(C.corr_pair(table(spark, sf, "lineitem"), "l_discount", "l_tax", "spearman"))
+
+
+@query
+def q_avg_rank(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
+                                              "l_extendedprice", "l_discount")
+    return rounded(R.avg_rank(li, ["l_extendedprice", "l_discount"]))
