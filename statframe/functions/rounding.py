@@ -36,11 +36,27 @@ def sql_sig(x: str, digits: int = DIGITS) -> str:
             f"ELSE round(({x}) / pow(10.0, -{k}), 0) * pow(10.0, -{k}) END)")
 
 
+P_DECIMALS = 9
+ABSOLUTE = ("p_value",)  # p-values near 0 are residue of 1 - cdf: round to decimals
+
+
+def pround(c: Column, decimals: int = P_DECIMALS) -> Column:
+    r = F.round(c, decimals)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+
+
+def sql_pround(x: str, decimals: int = P_DECIMALS) -> str:
+    return f"(CASE WHEN round({x}, {decimals}) = 0 THEN 0.0 ELSE round({x}, {decimals}) END)"
+
+
 def rounded(df: DataFrame, digits: int = DIGITS, only: list[str] | None = None) -> DataFrame:
-    """Round every double column (or those in ``only``) to ``digits`` significant digits."""
+    """Round every double column (or those in ``only``) to ``digits`` significant
+    digits; p-value columns to P_DECIMALS decimals."""
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.DoubleType) and (only is None or f.name in only):
+        if isinstance(f.dataType, T.DoubleType) and f.name in ABSOLUTE:
+            out.append(pround(F.col(f.name)).alias(f.name))
+        elif isinstance(f.dataType, T.DoubleType) and (only is None or f.name in only):
             out.append(sig(F.col(f.name), digits).alias(f.name))
         else:
             out.append(F.col(f.name))

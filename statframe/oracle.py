@@ -8,7 +8,7 @@ window functions and CTEs over the same tables.
 
 from __future__ import annotations
 
-from statframe.functions.rounding import sql_sig
+from statframe.functions.rounding import sql_pround, sql_sig
 
 ORACLE: dict[str, str] = {}
 
@@ -17,8 +17,15 @@ DOUBLE_MAX = "1.7976931348623157e308"
 
 def _sig_select(inner: str, cols: list[tuple[str, bool]]) -> str:
     """SELECT over ``inner`` rounding the columns flagged as double."""
-    parts = [f'{sql_sig(chr(34) + name + chr(34))} AS "{name}"' if dbl else f'"{name}"'
-             for name, dbl in cols]
+    parts = []
+    for name, kind in cols:
+        q = f'"{name}"'
+        if kind == "p":
+            parts.append(f"{sql_pround(q)} AS {q}")
+        elif kind:
+            parts.append(f"{sql_sig(q)} AS {q}")
+        else:
+            parts.append(q)
     return f"SELECT {', '.join(parts)} FROM ({inner}) AS q"
 
 
@@ -152,3 +159,140 @@ ORACLE["avg_rank"] = _sig_select(
     f"{_rank_expr('l_discount')} AS l_discount_rank FROM lineitem",
     [("l_orderkey", False), ("l_linenumber", False), ("l_extendedprice", True),
      ("l_discount", True), ("l_extendedprice_rank", True), ("l_discount_rank", True)])
+
+
+# ---------------------------------------------------------- hypothesis tests
+
+GOF = "observed follows the same distribution as expected."
+INDEP = "the occurrence of the outcomes is statistically independent."
+TEST_COLS = [("p_value", "p"), ("degrees_of_freedom", False), ("statistic", True),
+             ("method", False), ("null_hypothesis", False)]
+
+
+def chi2_sf_even(stat: str, dof: str) -> str:
+    """Q(dof/2, stat/2) for even dof: exp(-h) * sum_{i<k} h^i / i!."""
+    return (f"(exp(-({stat}) / 2.0) * (SELECT sum(pow(({stat}) / 2.0, i) / gamma(i + 1)) "
+            f"FROM range(0, CAST(({dof}) / 2 AS BIGINT)) AS rr(i)))")
+
+
+def _test_row(stat: str, dof: str, h0: str, src: str, extra: str = "") -> str:
+    return (f"SELECT {extra}{chi2_sf_even(stat, dof)} AS p_value, CAST({dof} AS INTEGER) AS "
+            f"degrees_of_freedom, {stat} AS statistic, 'pearson' AS method, "
+            f"'{h0}' AS null_hypothesis FROM {src}")
+
+
+_MIX = "('view', 0.30), ('click', 0.25), ('purchase', 0.15), ('signup', 0.10), ('error', 0.20)"
+ORACLE["chisq_gof"] = _sig_select(
+    "WITH o AS (SELECT event_type AS category, CAST(count(*) AS DOUBLE) AS observed "
+    "  FROM events GROUP BY 1), "
+    f"e AS (SELECT * FROM (VALUES {_MIX}) AS t(category, expected)), "
+    "sc AS (SELECT CASE WHEN abs((SELECT sum(observed) FROM o) - (SELECT sum(expected) FROM e)) "
+    "  < 1e-7 THEN 1.0 ELSE (SELECT sum(observed) FROM o) / (SELECT sum(expected) FROM e) END AS s), "
+    "j AS (SELECT o.observed, e.expected * sc.s AS ex FROM o JOIN e USING (category), sc), "
+    "st AS (SELECT sum((observed - ex) * (observed - ex) / ex) AS stat, count(*) - 1 AS dof FROM j) "
+    + _test_row("stat", "dof", GOF, "st"), TEST_COLS)
+
+ORACLE["chisq_gof_uniform"] = _sig_select(
+    "WITH o AS (SELECT p_brand, CAST(count(*) AS DOUBLE) AS observed FROM part GROUP BY 1), "
+    "t AS (SELECT sum(observed) AS tot, count(*) AS k FROM o), "
+    "st AS (SELECT sum((observed - tot / k) * (observed - tot / k) / (tot / k)) AS stat, "
+    "  any_value(k) - 1 AS dof FROM o, t) "
+    + _test_row("stat", "dof", GOF, "st"), TEST_COLS)
+
+
+def _contingency_sql(cells: str, keys: list[str]) -> str:
+    """cells: (keys..., r, c) one row per observation -> per-key statistic and dof."""
+    k = "".join(f"{x}, " for x in keys)
+    using = f"USING ({', '.join(keys)})" if keys else "ON TRUE"
+    on_keys = "".join(f"cnt.{x} = rs.{x} AND " for x in keys)
+    return (
+        f"cells AS ({cells}), "
+        f"cnt AS (SELECT {k}r, c, CAST(count(*) AS DOUBLE) AS n FROM cells GROUP BY ALL), "
+        f"rs AS (SELECT {k}r, sum(n) AS rsum FROM cnt GROUP BY ALL), "
+        f"cs AS (SELECT {k}c, sum(n) AS csum FROM cnt GROUP BY ALL), "
+        f"tot AS (SELECT {k}sum(n) AS t, count(DISTINCT r) AS nr, count(DISTINCT c) AS nc "
+        f"  FROM cnt GROUP BY ALL), "
+        f"grid AS (SELECT {''.join('rs.' + x + ', ' for x in keys)}rs.r, cs.c, "
+        f"  rs.rsum * cs.csum / tot.t AS e, coalesce(cnt.n, 0.0) AS o, tot.nr, tot.nc "
+        f"  FROM rs JOIN cs {using} JOIN tot {using} "
+        f"  LEFT JOIN cnt ON {on_keys}cnt.r = rs.r AND cnt.c = cs.c), "
+        f"st AS (SELECT {k}CASE WHEN any_value((nr - 1) * (nc - 1)) = 0 THEN 0.0 "
+        f"  ELSE sum((o - e) * (o - e) / e) END AS stat, any_value((nr - 1) * (nc - 1)) AS dof "
+        f"  FROM grid GROUP BY ALL) ")
+
+
+ORACLE["chisq_independence"] = _sig_select(
+    "WITH " + _contingency_sql("SELECT l_returnflag AS r, l_linestatus AS c FROM lineitem", [])
+    + _test_row("stat", "dof", INDEP, "st"), TEST_COLS)
+
+_FEATURE_CELLS = " UNION ALL ".join(
+    f"SELECT {i} AS feature_index, '{f}' AS feature, CAST({f} AS VARCHAR) AS r, "
+    f"CAST(l_linestatus AS VARCHAR) AS c FROM lineitem"
+    for i, f in enumerate(["l_returnflag", "l_tax", "l_discount"]))
+_FEATURES_SQL = ("WITH " + _contingency_sql(_FEATURE_CELLS, ["feature_index", "feature"])
+                 + _test_row("stat", "dof", INDEP, "st", "feature_index, feature, "))
+ORACLE["chisq_features"] = _sig_select(
+    _FEATURES_SQL, [("feature_index", False), ("feature", False)] + TEST_COLS)
+ORACLE["test_explain"] = _sig_select(
+    "SELECT *, CASE WHEN p_value <= 0.01 THEN 'Very strong' WHEN p_value <= 0.05 THEN 'Strong' "
+    "WHEN p_value <= 0.1 THEN 'Low' ELSE 'No' END || ' presumption against null hypothesis: ' "
+    f"|| null_hypothesis || '.' AS presumption FROM ({_FEATURES_SQL}) AS f",
+    [("feature_index", False), ("feature", False)] + TEST_COLS + [("presumption", False)])
+
+
+# Kolmogorov-Smirnov: D over distinct values, p by the Pelz-Good series
+# (every oracle sample here has n > 140).
+
+def _pelz_good_p(src: str) -> str:
+    pi2 = "(pi() * pi())"
+    kh = "((k + 0.5) * (k + 0.5))"
+    eh = f"exp(-{pi2} * {kh} / (2 * z2))"
+    ek = f"exp(-{pi2} * k * k / (2 * z2))"
+    return (
+        f"pg AS (SELECT d, n, sqrt(n) AS sn, d * sqrt(n) AS z, d * d * n AS z2 FROM {src}), "
+        f"k0 AS (SELECT sum(exp(-{pi2} / (8 * z2) * (2 * k - 1) * (2 * k - 1))) AS s "
+        f"  FROM pg, range(1, 2000) AS t(k)), "
+        f"kh AS (SELECT sum(({pi2} * {kh} - z2) * {eh}) AS s1, "
+        f"  sum((6 * z2 * z2 * z2 + 2 * z2 * z2 + {pi2} * (2 * z2 * z2 - 5 * z2) * {kh} "
+        f"    + {pi2} * {pi2} * (1 - 2 * z2) * {kh} * {kh}) * {eh}) AS s2, "
+        f"  sum(({pi2} * {pi2} * {pi2} * {kh} * {kh} * {kh} * (5 - 30 * z2) "
+        f"    + {pi2} * {pi2} * {kh} * {kh} * (-60 * z2 + 212 * z2 * z2) "
+        f"    + {pi2} * {kh} * (135 * z2 * z2 - 96 * z2 * z2 * z2) - 30 * z2 * z2 * z2 "
+        f"    - 90 * z2 * z2 * z2 * z2) * {eh}) AS s3 FROM pg, range(0, 2000) AS t(k)), "
+        f"kk AS (SELECT sum({pi2} * k * k * {ek}) AS t2, "
+        f"  sum((-{pi2} * {pi2} * k * k * k * k + 3 * {pi2} * k * k * z2) * {ek}) AS t3 "
+        f"  FROM pg, range(1, 2000) AS t(k)) "
+        f"SELECT 1 - (k0.s * sqrt(2 * pi()) / z "
+        f"  + kh.s1 * sqrt(pi() / 2) / (3 * z2 * z2 * sn) "
+        f"  + (sqrt(pi() / 2) / n) * (kh.s2 / (36 * z2 * z2 * z2 * z) - kk.t2 / (18 * z2 * z)) "
+        f"  + (sqrt(pi() / 2) / (sn * n)) * (kh.s3 / (3240 * z2 * z2 * z2 * z2 * z2) "
+        f"    + kk.t3 / (108 * z2 * z2 * z2))) AS p_value, 0 AS degrees_of_freedom, "
+        f"  d AS statistic, 'kolmogorov-smirnov' AS method, "
+        f"  'Sample follows theoretical distribution' AS null_hypothesis "
+        f"FROM pg, k0, kh, kk")
+
+
+def _phi_sql(z: str) -> str:
+    """Standard normal CDF by 0.5 + phi(z) * sum z^(2k+1) / (2k+1)!!."""
+    term = (f"exp((2 * k + 1) * ln(abs({z})) - ((k + 1) * ln(2.0) + lgamma(k + 1.5) "
+            f"- 0.5 * ln(pi())))")
+    return (f"(CASE WHEN {z} = 0 THEN 0.5 ELSE 0.5 + sign({z}) * exp(-{z} * {z} / 2) "
+            f"/ sqrt(2 * pi()) * (SELECT sum({term}) FROM range(0, 300) AS kt(k)) END)")
+
+
+def ks_sql(values: str, cdf: str) -> str:
+    """values: a SELECT giving column x; cdf: an expression of x."""
+    return _sig_select(
+        f"WITH v AS (SELECT x, count(*) AS c FROM ({values}) AS s GROUP BY x), "
+        f"r AS (SELECT x, c, sum(c) OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING "
+        f"  AND CURRENT ROW) - c AS below, sum(c) OVER () AS n FROM v), "
+        f"f AS (SELECT *, {cdf} AS cdf FROM r), "
+        f"dd AS (SELECT max(greatest(abs(below / n - cdf), abs((below + c) / n - cdf))) AS d, "
+        f"  CAST(any_value(n) AS DOUBLE) AS n FROM f), "
+        + _pelz_good_p("dd"), TEST_COLS)
+
+
+ORACLE["ks_expon"] = ks_sql("SELECT value AS x FROM events", "1 - exp(-x / 50.0)")
+ORACLE["ks_norm"] = ks_sql("SELECT value AS x FROM events", _phi_sql("((x - 50.0) / 50.0)"))
+ORACLE["ks_std_norm"] = ks_sql(
+    "SELECT CAST(embedding[1] AS DOUBLE) * 8.0 AS x FROM embeddings", _phi_sql("x"))

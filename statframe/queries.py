@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from statframe.functions.rounding import rounded
 from statframe.operators import correlation as C
+from statframe.operators import hypothesis as H
 from statframe.operators import rank as R
 from statframe.operators import summary as S
 from statframe.session import table
@@ -108,3 +109,72 @@ def q_avg_rank(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
                                               "l_extendedprice", "l_discount")
     return rounded(R.avg_rank(li, ["l_extendedprice", "l_discount"]))
+
+
+# ---------------------------------------------------------- hypothesis tests
+
+# The assumed event mix the goodness-of-fit query tests against.
+EVENT_MIX = [("view", 0.30), ("click", 0.25), ("purchase", 0.15), ("signup", 0.10),
+             ("error", 0.20)]
+
+
+def _feature_test(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return H.chisq_features(li, "l_linestatus", ["l_returnflag", "l_tax", "l_discount"])
+
+
+@query
+def q_chisq_gof(spark, sf):
+    ev = table(spark, sf, "events")
+    observed = ev.groupBy(F.col("event_type").alias("category")).agg(
+        F.count(F.lit(1)).alias("observed"))
+    expected = spark.createDataFrame(EVENT_MIX, "category string, expected double")
+    return rounded(H.chisq_gof(observed, expected))
+
+
+@query
+def q_chisq_gof_uniform(spark, sf):
+    part = table(spark, sf, "part")
+    observed = part.groupBy(F.col("p_brand").alias("category")).agg(
+        F.count(F.lit(1)).alias("observed"))
+    return rounded(H.chisq_gof(observed))
+
+
+@query
+def q_chisq_independence(spark, sf):
+    li = table(spark, sf, "lineitem")
+    counts = li.groupBy(F.col("l_returnflag").alias("row"), F.col("l_linestatus").alias("col")
+                        ).agg(F.count(F.lit(1)).alias("count"))
+    return rounded(H.chisq_independence(counts))
+
+
+@query
+def q_chisq_features(spark, sf):
+    return rounded(_feature_test(spark, sf))
+
+
+@query
+def q_test_explain(spark, sf):
+    res = H.explain(_feature_test(spark, sf)).drop("summary")
+    return rounded(res)
+
+
+@query
+def q_ks_expon(spark, sf):
+    """events.value against the exponential distribution with mean 50."""
+    ev = table(spark, sf, "events")
+    return rounded(H.ks_test(ev, "value", lambda x: 1 - F.exp(-x / 50.0)))
+
+
+@query
+def q_ks_norm(spark, sf):
+    ev = table(spark, sf, "events")
+    return rounded(H.ks_test(ev, "value", "norm", 50.0, 50.0))
+
+
+@query
+def q_ks_std_norm(spark, sf):
+    """First embedding coordinate, scaled by 8, against N(0, 1)."""
+    emb = table(spark, sf, "embeddings").select(
+        (F.col("embedding")[0].cast("double") * 8.0).alias("z"))
+    return rounded(H.ks_test(emb, "z"))
