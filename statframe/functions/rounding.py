@@ -37,7 +37,7 @@ def sql_sig(x: str, digits: int = DIGITS) -> str:
 
 
 P_DECIMALS = 9
-ABSOLUTE = ("p_value",)  # p-values near 0 are residue of 1 - cdf: round to decimals
+ABSOLUTE = ("p_value", "probability")  # probabilities: round to decimals
 
 
 def pround(c: Column, decimals: int = P_DECIMALS) -> Column:

@@ -296,3 +296,100 @@ ORACLE["ks_expon"] = ks_sql("SELECT value AS x FROM events", "1 - exp(-x / 50.0)
 ORACLE["ks_norm"] = ks_sql("SELECT value AS x FROM events", _phi_sql("((x - 50.0) / 50.0)"))
 ORACLE["ks_std_norm"] = ks_sql(
     "SELECT CAST(embedding[1] AS DOUBLE) * 8.0 AS x FROM embeddings", _phi_sql("x"))
+
+
+# ---------------------------------------------------------------- naive Bayes
+
+def _nb_rows_sql(bernoulli: bool) -> str:
+    if bernoulli:
+        f = ("CAST(l_quantity > 25 AS DOUBLE) AS f0, CAST(l_discount > 0.05 AS DOUBLE) AS f1, "
+             "CAST(l_tax > 0.04 AS DOUBLE) AS f2")
+    else:
+        f = "l_quantity AS f0, round(l_discount * 100) AS f1, round(l_tax * 100) AS f2"
+    return (f"SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, "
+            f"l_returnflag AS label, {f} FROM lineitem")
+
+
+def _nb_model_sql(bernoulli: bool, lam: float = 1.0) -> str:
+    """CTEs rows, labs, prior(label, pi), cond(label, feature, theta)."""
+    denom = (f"ln(labs.n + 2 * {lam})" if bernoulli
+             else f"ln(st.st + 3 * {lam})")
+    return (
+        f"rows AS ({_nb_rows_sql(bernoulli)}), "
+        "cells AS (SELECT rid, label, 0 AS feature, f0 AS x FROM rows UNION ALL "
+        "  SELECT rid, label, 1, f1 FROM rows UNION ALL SELECT rid, label, 2, f2 FROM rows), "
+        "labs AS (SELECT label, count(*) AS n FROM rows GROUP BY label), "
+        "tot AS (SELECT sum(n) AS n, count(*) AS c FROM labs), "
+        f"prior AS (SELECT label, ln(labs.n + {lam}) - ln(tot.n + tot.c * {lam}) AS pi "
+        "  FROM labs, tot), "
+        "s AS (SELECT label, feature, sum(x) AS s FROM cells GROUP BY ALL), "
+        "st AS (SELECT label, sum(s) AS st FROM s GROUP BY label), "
+        f"cond AS (SELECT s.label, s.feature, ln(s.s + {lam}) - {denom} AS theta "
+        "  FROM s JOIN st USING (label) JOIN labs USING (label)) ")
+
+
+NB_FIT_COLS = [("label", False), ("feature", False), ("pi", True), ("theta", True)]
+for _name, _b in (("nb_multinomial_fit", False), ("nb_bernoulli_fit", True)):
+    ORACLE[_name] = _sig_select(
+        "WITH " + _nb_model_sql(_b)
+        + "SELECT label, feature, pi, theta FROM cond JOIN prior USING (label)", NB_FIT_COLS)
+
+
+def _nb_scores_sql(bernoulli: bool) -> str:
+    if bernoulli:
+        coef = "(cond.theta - ln(1 - exp(cond.theta)))"
+        extra = ("neg AS (SELECT label, sum(ln(1 - exp(theta))) AS ns FROM cond GROUP BY label), ")
+        const = "prior.pi + neg.ns"
+        join_neg = "JOIN neg USING (label) "
+    else:
+        coef, extra, const, join_neg = "cond.theta", "", "prior.pi", ""
+    return (
+        "WITH " + _nb_model_sql(bernoulli) + ", " + extra +
+        f"sc AS (SELECT c.rid, c.label AS true_label, cond.label, "
+        f"  sum(CASE WHEN c.x <> 0 THEN c.x * {coef} ELSE 0 END) AS v "
+        "  FROM cells c JOIN cond ON cond.feature = c.feature GROUP BY ALL), "
+        f"score AS (SELECT sc.rid, sc.label, {const} + sc.v AS s FROM sc "
+        f"  JOIN prior USING (label) {join_neg}), "
+        "ranked AS (SELECT rid, label, s, row_number() OVER (PARTITION BY rid "
+        "  ORDER BY s DESC, label ASC) AS rn, max(s) OVER (PARTITION BY rid) AS m FROM score), "
+        "post AS (SELECT rid, label, rn, exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY rid) "
+        "  AS probability FROM ranked) ")
+
+
+for _name, _b in (("nb_multinomial_predict", False), ("nb_bernoulli_predict", True)):
+    ORACLE[_name] = (
+        _nb_scores_sql(_b) + "SELECT r.l_orderkey, r.l_linenumber, post.label AS prediction "
+        "FROM post JOIN rows r USING (rid) WHERE rn = 1")
+ORACLE["nb_posterior"] = _sig_select(
+    _nb_scores_sql(False) + "SELECT r.l_orderkey, r.l_linenumber, post.label, post.probability "
+    "FROM post JOIN rows r USING (rid)",
+    [("l_orderkey", False), ("l_linenumber", False), ("label", False), ("probability", "p")])
+
+ORACLE["nb_doc_quality"] = _sig_select(
+    "WITH toks AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) "
+    "  AS term FROM documents), "
+    "cells AS (SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS tf FROM toks "
+    "  WHERE term <> '' GROUP BY ALL), "
+    "lab AS (SELECT doc_id, quality AS label FROM labels), "
+    "tr AS (SELECT c.doc_id, c.term, c.tf, l.label FROM cells c JOIN lab l USING (doc_id)), "
+    "vocab AS (SELECT DISTINCT term FROM tr), "
+    "dd AS (SELECT count(*) AS d FROM vocab), "
+    "labs AS (SELECT label, count(*) AS n FROM lab GROUP BY label), "
+    "tot AS (SELECT sum(n) AS n, count(*) AS c FROM labs), "
+    "prior AS (SELECT label, ln(labs.n + 1.0) - ln(tot.n + tot.c * 1.0) AS pi FROM labs, tot), "
+    "s AS (SELECT label, term, sum(tf) AS s FROM tr GROUP BY ALL), "
+    "st AS (SELECT label, sum(s) AS st FROM s GROUP BY label), "
+    "cond AS (SELECT labs.label, vocab.term, ln(coalesce(s.s, 0.0) + 1.0) - ln(st.st + dd.d * 1.0) "
+    "  AS theta FROM labs CROSS JOIN vocab CROSS JOIN dd JOIN st ON st.label = labs.label "
+    "  LEFT JOIN s ON s.label = labs.label AND s.term = vocab.term), "
+    "contrib AS (SELECT c.doc_id, cond.label, sum(c.tf * cond.theta) AS v FROM cells c "
+    "  JOIN cond USING (term) GROUP BY ALL), "
+    "score AS (SELECT d.doc_id, p.label, p.pi + coalesce(contrib.v, 0.0) AS s "
+    "  FROM documents d CROSS JOIN prior p LEFT JOIN contrib "
+    "  ON contrib.doc_id = d.doc_id AND contrib.label = p.label), "
+    "ranked AS (SELECT doc_id, label, s, row_number() OVER (PARTITION BY doc_id "
+    "  ORDER BY s DESC, label ASC) AS rn, max(s) OVER (PARTITION BY doc_id) AS m FROM score), "
+    "post AS (SELECT doc_id, label, rn, exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY doc_id) "
+    "  AS probability FROM ranked) "
+    "SELECT doc_id, label AS prediction, probability FROM post WHERE rn = 1",
+    [("doc_id", False), ("prediction", False), ("probability", "p")])

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statframe.functions.rounding import rounded
+from statframe.functions import text as TX
+from statframe.operators import bayes as NB
 from statframe.operators import correlation as C
 from statframe.operators import hypothesis as H
 from statframe.operators import rank as R
@@ -178,3 +180,70 @@ def q_ks_std_norm(spark, sf):
     emb = table(spark, sf, "embeddings").select(
         (F.col("embedding")[0].cast("double") * 8.0).alias("z"))
     return rounded(H.ks_test(emb, "z"))
+
+
+# ---------------------------------------------------------------- naive Bayes
+
+NB_COUNT_FEATURES = ["f_qty", "f_disc", "f_tax"]
+
+
+def _nb_rows(spark, sf, bernoulli: bool):
+    li = table(spark, sf, "lineitem")
+    if bernoulli:
+        feats = [(F.col("l_quantity") > 25).cast("double").alias("f_qty"),
+                 (F.col("l_discount") > 0.05).cast("double").alias("f_disc"),
+                 (F.col("l_tax") > 0.04).cast("double").alias("f_tax")]
+    else:
+        feats = [F.col("l_quantity").alias("f_qty"),
+                 F.round(F.col("l_discount") * 100).alias("f_disc"),
+                 F.round(F.col("l_tax") * 100).alias("f_tax")]
+    return li.select("l_orderkey", "l_linenumber", "l_returnflag", *feats)
+
+
+def _nb_model(spark, sf, model_type):
+    rows = _nb_rows(spark, sf, model_type == NB.BERNOULLI)
+    return rows, NB.fit(rows, "l_returnflag", NB_COUNT_FEATURES, model_type)
+
+
+def _nb_table(model):
+    return model.cond.join(model.prior, "label").select("label", "feature", "pi", "theta")
+
+
+@query
+def q_nb_multinomial_fit(spark, sf):
+    return rounded(_nb_table(_nb_model(spark, sf, NB.MULTINOMIAL)[1]))
+
+
+@query
+def q_nb_bernoulli_fit(spark, sf):
+    return rounded(_nb_table(_nb_model(spark, sf, NB.BERNOULLI)[1]))
+
+
+@query
+def q_nb_multinomial_predict(spark, sf):
+    rows, model = _nb_model(spark, sf, NB.MULTINOMIAL)
+    return NB.predict(model, rows).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query
+def q_nb_bernoulli_predict(spark, sf):
+    rows, model = _nb_model(spark, sf, NB.BERNOULLI)
+    return NB.predict(model, rows).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query
+def q_nb_posterior(spark, sf):
+    rows, model = _nb_model(spark, sf, NB.MULTINOMIAL)
+    return rounded(NB.predict_proba(model, rows, keep=["l_orderkey", "l_linenumber"]))
+
+
+@query
+def q_nb_doc_quality(spark, sf):
+    """Multinomial naive Bayes on document term counts, trained on the
+    labelled documents' quality flag, scoring every document."""
+    docs = table(spark, sf, "documents")
+    cells = TX.term_counts(docs, "doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = NB.fit_sparse(cells, labels, row="doc_id", feature="term", value="tf")
+    return rounded(NB.predict_sparse(model, cells, docs, row="doc_id", feature="term",
+                                     value="tf", with_probability=True))
