@@ -393,3 +393,79 @@ ORACLE["nb_doc_quality"] = _sig_select(
     "  AS probability FROM ranked) "
     "SELECT doc_id, label AS prediction, probability FROM post WHERE rn = 1",
     [("doc_id", False), ("prediction", False), ("probability", "p")])
+
+
+# ---------------------------------------------------------- linear regression
+
+LR_BASE = ("SELECT l_orderkey, l_linenumber, l_extendedprice / 10000 AS y, "
+           "l_quantity / 10 AS x0, l_discount * 10 AS x1, l_tax * 10 AS x2 FROM lineitem")
+LR_BASE_RAW = ("SELECT l_orderkey, l_linenumber, l_extendedprice / 10000 AS y, "
+               "l_quantity AS x0, l_discount AS x1, l_tax AS x2 FROM lineitem")
+
+
+def sgd_sql(base: str, names: list[str], iters: int, step: float, intercept: bool = False,
+            scaling: bool = False, init: list[float] | None = None) -> tuple[str, str]:
+    """Recursive CTE replaying gradient descent on sufficient statistics.
+    Returns (CTE text ending in ``fin``/``sc``, coefficient SELECT)."""
+    d = len(names)
+    p = d + (1 if intercept else 0)
+    xs = [f"x{j}" for j in range(d)] + (["1.0"] if intercept else [])
+    stats = ["count(*) AS n"]
+    for a in range(p):
+        for b in range(a, p):
+            stats.append(f"sum({xs[a]} * {xs[b]}) AS a_{a}_{b}")
+        stats.append(f"sum({xs[a]} * y) AS b_{a}")
+    for j in range(d):
+        stats.append(f"stddev_samp(x{j}) AS sd_{j}")
+    fac = [(f"(CASE WHEN sd_{j} <> 0 THEN 1.0 / sd_{j} ELSE 0.0 END)" if scaling else "1.0")
+           for j in range(d)] + (["1.0"] if intercept else [])
+    facs = ", ".join(f"{fac[j]} AS f_{j}" for j in range(p))
+
+    def A(a, b):
+        lo, hi = min(a, b), max(a, b)
+        return f"(f_{a} * a_{lo}_{hi} * f_{b})"
+
+    init = list(init or [0.0] * d) + ([1.0] if intercept else [])
+    ws = [f"w{j}" for j in range(p)]
+    nws = []
+    for j in range(p):
+        g = " + ".join(f"{A(j, k)} * it.w{k}" for k in range(p))
+        nws.append(f"it.w{j} - {step} / sqrt(it.i + 1) * (({g}) - f_{j} * b_{j}) / n AS nw{j}")
+    diff = " + ".join(f"(nw{j} - w{j}) * (nw{j} - w{j})" for j in range(p))
+    norm = " + ".join(f"nw{j} * nw{j}" for j in range(p))
+    cte = (
+        f"WITH RECURSIVE base AS ({base}), "
+        f"st AS (SELECT {', '.join(stats)} FROM base), "
+        f"sc AS (SELECT *, {facs} FROM st), "
+        f"it(i, {', '.join(ws)}, done) AS ("
+        f"  SELECT 0, {', '.join(f'CAST({float(v)!r} AS DOUBLE)' for v in init)}, false "
+        f"  UNION ALL "
+        f"  SELECT i + 1, {', '.join(f'nw{j}' for j in range(p))}, "
+        f"    (i + 1 >= 2 AND sqrt({diff}) < 0.001 * greatest(sqrt({norm}), 1.0)) "
+        f"  FROM (SELECT it.i, {', '.join('it.' + w for w in ws)}, {', '.join(nws)} "
+        f"        FROM it, sc WHERE NOT it.done AND it.i < {iters}) AS q), "
+        f"fin AS (SELECT * FROM it WHERE i = (SELECT max(i) FROM it)) ")
+    coef = [f"SELECT '{names[j]}' AS term, w{j} * f_{j} AS coefficient FROM fin, sc"
+            for j in range(d)]
+    coef.append(f"SELECT 'intercept', {'w' + str(d) if intercept else '0.0'} FROM fin")
+    return cte, " UNION ALL ".join(coef)
+
+
+COEF_COLS = [("term", False), ("coefficient", True)]
+LR_NAMES = ["x_qty", "x_disc", "x_tax"]
+_c, _s = sgd_sql(LR_BASE, LR_NAMES, 100, 0.1)
+ORACLE["linreg_sgd"] = _sig_select(_c + _s, COEF_COLS)
+_c, _s = sgd_sql(LR_BASE, LR_NAMES, 50, 0.1, init=[1.0, 0.0, 0.0])
+ORACLE["linreg_sgd_w0"] = _sig_select(_c + _s, COEF_COLS)
+_c, _s = sgd_sql(LR_BASE, LR_NAMES, 100, 0.1, intercept=True)
+ORACLE["linreg_sgd_intercept"] = _sig_select(_c + _s, COEF_COLS)
+_PRED = "(fin.w3 + fin.w0 * base.x0 + fin.w1 * base.x1 + fin.w2 * base.x2)"
+ORACLE["linreg_predict"] = _sig_select(
+    _c + f"SELECT base.l_orderkey, base.l_linenumber, {_PRED} AS prediction FROM base, fin",
+    [("l_orderkey", False), ("l_linenumber", False), ("prediction", True)])
+ORACLE["linreg_mse"] = _sig_select(
+    _c + f"SELECT avg(({_PRED} - base.y) * ({_PRED} - base.y)) AS mse, count(*) AS n "
+    "FROM base, fin", [("mse", True), ("n", False)])
+_c, _s = sgd_sql(LR_BASE_RAW, ["l_quantity", "l_discount", "l_tax"], 100, 0.1,
+                 intercept=True, scaling=True)
+ORACLE["linreg_sgd_scaled"] = _sig_select(_c + _s, COEF_COLS)

@@ -15,6 +15,7 @@ from statframe.functions import text as TX
 from statframe.operators import bayes as NB
 from statframe.operators import correlation as C
 from statframe.operators import hypothesis as H
+from statframe.operators import linear as LR
 from statframe.operators import rank as R
 from statframe.operators import summary as S
 from statframe.session import table
@@ -247,3 +248,69 @@ def q_nb_doc_quality(spark, sf):
     model = NB.fit_sparse(cells, labels, row="doc_id", feature="term", value="tf")
     return rounded(NB.predict_sparse(model, cells, docs, row="doc_id", feature="term",
                                      value="tf", with_probability=True))
+
+
+# ---------------------------------------------------------- linear regression
+
+LR_FEATURES = ["x_qty", "x_disc", "x_tax"]
+LR_RAW = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _lr_rows(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                     (F.col("l_extendedprice") / 10000).alias("y"),
+                     (F.col("l_quantity") / 10).alias("x_qty"),
+                     (F.col("l_discount") * 10).alias("x_disc"),
+                     (F.col("l_tax") * 10).alias("x_tax"))
+
+
+def _lr_intercept_model(spark, sf):
+    rows = _lr_rows(spark, sf)
+    return rows, LR.train_sgd(rows, "y", LR_FEATURES, num_iterations=100, step_size=0.1,
+                              intercept=True)
+
+
+@query
+def q_linreg_sgd(spark, sf):
+    m = LR.train_sgd(_lr_rows(spark, sf), "y", LR_FEATURES, num_iterations=100, step_size=0.1)
+    return rounded(m.coefficients(spark))
+
+
+@query
+def q_linreg_sgd_w0(spark, sf):
+    m = LR.train_sgd(_lr_rows(spark, sf), "y", LR_FEATURES, num_iterations=50, step_size=0.1,
+                     initial_weights=[1.0, 0.0, 0.0])
+    return rounded(m.coefficients(spark))
+
+
+@query
+def q_linreg_sgd_intercept(spark, sf):
+    return rounded(_lr_intercept_model(spark, sf)[1].coefficients(spark))
+
+
+@query
+def q_linreg_sgd_scaled(spark, sf):
+    m = LR.train_sgd(_lr_rows(spark, sf), "y", LR_RAW, num_iterations=100, step_size=0.1,
+                     intercept=True, feature_scaling=True)
+    return rounded(m.coefficients(spark))
+
+
+@query
+def q_linreg_minibatch(spark, sf):
+    """Half of the rows per iteration, sampled by a deterministic row hash."""
+    m = LR.train_sgd(_lr_rows(spark, sf), "y", LR_FEATURES, num_iterations=100, step_size=0.1,
+                     intercept=True, mini_batch_fraction=0.5)
+    return rounded(m.coefficients(spark))
+
+
+@query
+def q_linreg_predict(spark, sf):
+    rows, m = _lr_intercept_model(spark, sf)
+    return rounded(m.predict(rows).select("l_orderkey", "l_linenumber", "prediction"))
+
+
+@query
+def q_linreg_mse(spark, sf):
+    rows, m = _lr_intercept_model(spark, sf)
+    return rounded(LR.mse(m, rows, "y"))
