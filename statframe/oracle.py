@@ -469,3 +469,34 @@ ORACLE["linreg_mse"] = _sig_select(
 _c, _s = sgd_sql(LR_BASE_RAW, ["l_quantity", "l_discount", "l_tax"], 100, 0.1,
                  intercept=True, scaling=True)
 ORACLE["linreg_sgd_scaled"] = _sig_select(_c + _s, COEF_COLS)
+
+
+# ---------------------------------------------------------- Gaussian scoring
+
+_EMB2 = ("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1 "
+         "FROM embeddings")
+
+
+def _mvn2(a: str, b: str, c: str, m0: str, m1: str) -> tuple[str, str]:
+    """(logpdf, squared Mahalanobis) of (e0, e1) for sigma [[a, b], [b, c]]."""
+    det = f"(({a}) * ({c}) - ({b}) * ({b}))"
+    d0, d1 = f"(e0 - {m0})", f"(e1 - {m1})"
+    quad = f"((({c}) * {d0} * {d0} - 2 * ({b}) * {d0} * {d1} + ({a}) * {d1} * {d1}) / {det})"
+    return f"(-0.5 * (2 * ln(2 * pi()) + ln({det})) - 0.5 * {quad})", quad
+
+
+_LP, _ = _mvn2("0.016", "0.002", "0.016", "0.0", "0.0")
+ORACLE["mvn_logpdf"] = _sig_select(f"SELECT vec_id, {_LP} AS logpdf FROM ({_EMB2}) AS x",
+                                   [("vec_id", False), ("logpdf", True)])
+ORACLE["mvn_pdf"] = _sig_select(f"SELECT vec_id, exp({_LP}) AS pdf FROM ({_EMB2}) AS x",
+                                [("vec_id", False), ("pdf", True)])
+ORACLE["mvn_logpdf_wide"] = _sig_select(
+    "SELECT vec_id, -0.5 * (64 * ln(2 * pi()) + 64 * ln(0.016)) - 0.5 * "
+    "list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) / 0.016 "
+    "AS logpdf FROM embeddings", [("vec_id", False), ("logpdf", True)])
+_LP, _Q = _mvn2("s.a", "s.b", "s.c", "s.m0", "s.m1")
+ORACLE["mvn_outliers"] = _sig_select(
+    f"WITH x AS ({_EMB2}), s AS (SELECT var_samp(e0) AS a, covar_samp(e0, e1) AS b, "
+    "var_samp(e1) AS c, avg(e0) AS m0, avg(e1) AS m1 FROM x) "
+    f"SELECT vec_id, {_LP} AS logpdf, {_Q} > 9.21 AS is_outlier FROM x, s",
+    [("vec_id", False), ("logpdf", True), ("is_outlier", False)])

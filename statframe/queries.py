@@ -14,6 +14,7 @@ from statframe.functions.rounding import rounded
 from statframe.functions import text as TX
 from statframe.operators import bayes as NB
 from statframe.operators import correlation as C
+from statframe.operators import gaussian as G
 from statframe.operators import hypothesis as H
 from statframe.operators import linear as LR
 from statframe.operators import rank as R
@@ -314,3 +315,46 @@ def q_linreg_predict(spark, sf):
 def q_linreg_mse(spark, sf):
     rows, m = _lr_intercept_model(spark, sf)
     return rounded(LR.mse(m, rows, "y"))
+
+
+# ---------------------------------------------------------- Gaussian scoring
+
+# The Gaussian the scoring queries evaluate.
+MVN_MU = [0.0, 0.0]
+MVN_SIGMA = [[0.016, 0.002], [0.002, 0.016]]
+MVN_WIDE_VAR = 0.016
+CHI2_2DF_99 = 9.21  # squared Mahalanobis cut for the outlier flag (2 dimensions, ~99%)
+
+
+def _emb2(spark, sf):
+    emb = table(spark, sf, "embeddings")
+    return emb.select("vec_id", F.col("embedding")[0].cast("double").alias("e0"),
+                      F.col("embedding")[1].cast("double").alias("e1"))
+
+
+@query
+def q_mvn_logpdf(spark, sf):
+    g = G.Gaussian(MVN_MU, MVN_SIGMA)
+    return rounded(G.score(_emb2(spark, sf), ["e0", "e1"], g).select("vec_id", "logpdf"))
+
+
+@query
+def q_mvn_pdf(spark, sf):
+    g = G.Gaussian(MVN_MU, MVN_SIGMA)
+    return rounded(G.score(_emb2(spark, sf), ["e0", "e1"], g, output="pdf", density=True)
+                   .select("vec_id", "pdf"))
+
+
+@query
+def q_mvn_logpdf_wide(spark, sf):
+    """All 64 embedding coordinates (the batched numpy path)."""
+    import numpy as np
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    g = G.Gaussian(np.zeros(64), np.eye(64) * MVN_WIDE_VAR)
+    return rounded(G.score(emb, "embedding", g).select("vec_id", "logpdf"))
+
+
+@query
+def q_mvn_outliers(spark, sf):
+    return rounded(G.outliers(_emb2(spark, sf), ["e0", "e1"], CHI2_2DF_99)
+                   .select("vec_id", "logpdf", "is_outlier"))
