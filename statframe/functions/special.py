@@ -93,6 +93,54 @@ def norm_cdf(x: float, mu: float = 0.0, sigma: float = 1.0) -> float:
     return 0.5 * math.erfc(-dev / (sigma * math.sqrt(2.0)))
 
 
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    tiny = 1e-300
+    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    c, d = 1.0, 1.0 - qab * x / qap
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    h = d
+    for m in range(1, MAX_ITER):
+        m2 = 2 * m
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        h *= d * c
+        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = 1.0 + aa / c
+        c = c if abs(c) > tiny else tiny
+        delta = d * c
+        h *= delta
+        if abs(delta - 1.0) < EPS:
+            break
+    return h
+
+
+def beta_inc(a: float, b: float, x: float) -> float:
+    """Regularized incomplete beta I_x(a, b) (continued fraction)."""
+    if math.isnan(x) or x < 0 or x > 1:
+        return math.nan
+    if x == 0 or x == 1:
+        return x
+    ln_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+                + a * math.log(x) + b * math.log1p(-x))
+    if x < (a + 1.0) / (a + b + 2.0):
+        return math.exp(ln_front) * _beta_fraction(a, b, x) / a
+    return 1.0 - math.exp(ln_front) * _beta_fraction(b, a, 1.0 - x) / b
+
+
+def t_two_sided_p(t: float, df: float) -> float:
+    """P(|T| >= |t|) for Student's t with ``df`` degrees of freedom."""
+    if math.isnan(t) or math.isnan(df) or df <= 0:
+        return math.nan
+    if math.isinf(t):
+        return 0.0
+    return beta_inc(df / 2.0, 0.5, df / (df + t * t))
+
+
 # ------------------------------------------------------------------ KS
 
 
@@ -188,6 +236,12 @@ def chi2_sf_udf(stat: pd.Series, dof: pd.Series) -> pd.Series:
                       for x, k in zip(stat, dof)], dtype="float64")
 
 
+@F.pandas_udf(T.DoubleType())
+def t_pvalue_udf(stat: pd.Series, dof: pd.Series) -> pd.Series:
+    return pd.Series([t_two_sided_p(float(t), float(k)) if pd.notna(t) and pd.notna(k)
+                      else math.nan for t, k in zip(stat, dof)], dtype="float64")
+
+
 @F.pandas_udf(T.DoubleType())
 def ks_pvalue_udf(stat: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([ks_pvalue(float(d), int(k)) for d, k in zip(stat, n)], dtype="float64")

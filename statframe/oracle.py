@@ -500,3 +500,12 @@ ORACLE["mvn_outliers"] = _sig_select(
     "var_samp(e1) AS c, avg(e0) AS m0, avg(e1) AS m1 FROM x) "
     f"SELECT vec_id, {_LP} AS logpdf, {_Q} > 9.21 AS is_outlier FROM x, s",
     [("vec_id", False), ("logpdf", True), ("is_outlier", False)])
+
+
+# ------------------------------------------------- model round trips, streams
+
+ORACLE["nb_model_roundtrip"] = ORACLE["nb_multinomial_fit"]
+ORACLE["linreg_model_roundtrip"] = ORACLE["linreg_sgd_intercept"]
+ORACLE["stream_summary"] = summary_sql(
+    "(SELECT CAST(date_trunc('day', ts) AS DATE) AS day, value FROM events) AS ev",
+    ["value"], ["day"])

@@ -19,7 +19,10 @@ from statframe.operators import hypothesis as H
 from statframe.operators import linear as LR
 from statframe.operators import rank as R
 from statframe.operators import summary as S
-from statframe.session import table
+from statframe.session import scratch_path, table
+from statframe.sources import models as MD
+from statframe.streaming import abtest as AB
+from statframe.streaming import summary as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -358,3 +361,52 @@ def q_mvn_logpdf_wide(spark, sf):
 def q_mvn_outliers(spark, sf):
     return rounded(G.outliers(_emb2(spark, sf), ["e0", "e1"], CHI2_2DF_99)
                    .select("vec_id", "logpdf", "is_outlier"))
+
+
+# ------------------------------------------------------- model save and load
+
+@query
+def q_nb_model_roundtrip(spark, sf):
+    """Fit, save to the shared folder, load back, show the loaded model."""
+    _, model = _nb_model(spark, sf, NB.MULTINOMIAL)
+    path = scratch_path(spark, "nb-model")
+    MD.save_nb(model, path)
+    return rounded(_nb_table(MD.load_nb(spark, path)))
+
+
+@query
+def q_linreg_model_roundtrip(spark, sf):
+    _, model = _lr_intercept_model(spark, sf)
+    path = scratch_path(spark, "linear-model")
+    MD.save_linear(model, spark, path)
+    return rounded(MD.load_linear(spark, path).coefficients(spark))
+
+
+# ------------------------------------------------------------------ streaming
+
+def _event_stream(spark, sf):
+    """``events`` replayed as a file stream (the path as a one-file glob)."""
+    schema = table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/event[s].parquet")
+
+
+@query
+def q_stream_summary(spark, sf):
+    """Daily summaries of event values from a stream; equals the batch summary."""
+    out, ckpt = scratch_path(spark, "stream-summary"), scratch_path(spark, "stream-ckpt")
+    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "1 day", out, ckpt)
+    res = SS.finalize_windows(SS.latest_windows(spark, out), ["value"])
+    return rounded(res.withColumn("day", F.to_date("window_start"))
+                   .drop("window_start", "window_end"))
+
+
+@query
+def q_stream_ab_test(spark, sf):
+    """Daily Welch t-test: value of purchase events against all other events."""
+    out, ckpt = scratch_path(spark, "stream-ab"), scratch_path(spark, "stream-ab-ckpt")
+    moments = AB.windowed_moments(_event_stream(spark, sf), "value",
+                                  F.col("event_type") == "purchase", "ts", "1 day", "1 day")
+    SS.run_update_stream(moments, out, ckpt)
+    res = AB.t_test(SS.latest_windows(spark, out))
+    return rounded(res.withColumn("day", F.to_date("window_start"))
+                   .drop("window_start", "window_end"))
