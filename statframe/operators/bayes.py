@@ -87,7 +87,9 @@ def _value_check(x: Column, name: str, model_type: str) -> Column:
     if model_type == BERNOULLI:
         return check((x == 0) | (x == 1), x,
                      f"Bernoulli naive Bayes requires 0 or 1 feature values ({name})")
-    return check(x >= 0, x, f"naive Bayes requires nonnegative feature values ({name})")
+    # NaN sorts above every number in Spark, so it is rejected explicitly
+    return check((x >= 0) & ~F.isnan(x), x,
+                 f"naive Bayes requires nonnegative feature values ({name})")
 
 
 def _build(labels_counts: list, sums: DataFrame, num_features: int, model_type: str,

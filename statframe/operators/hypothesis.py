@@ -78,8 +78,8 @@ def chisq_gof(observed: DataFrame, expected: DataFrame | None = None,
         F.count(F.lit(1)).alias("size"),
         F.count_if(o.isNull() | e.isNull()).alias("unmatched") if expected is not None
         else F.lit(0).alias("unmatched"),
-        F.count_if(~(o >= 0)).alias("bad_obs"),
-        F.count_if(~(e >= 0)).alias("bad_exp") if expected is not None else F.lit(0).alias("bad_exp"),
+        F.count_if(~(o >= 0) | F.isnan(o)).alias("bad_obs"),  # NaN sorts above numbers
+        F.count_if(~(e >= 0) | F.isnan(e)).alias("bad_exp") if expected is not None else F.lit(0).alias("bad_exp"),
         F.count_if((e == 0) & (o == 0)).alias("zero_zero") if expected is not None
         else F.lit(0).alias("zero_zero"),
         F.sum(o).alias("obs_sum"),

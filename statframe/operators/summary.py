@@ -48,7 +48,7 @@ def _prepare(df: DataFrame, cols, weight: str | None, group_by: Sequence[str],
     proj += [not_null(expr, name).alias(f"_x{i}") for i, (name, expr) in enumerate(feats)]
     if weight is not None:
         w = not_null(F.col(weight).cast("double"), weight)
-        proj.append(check(w >= 0, w, f"sample weight in {weight} has to be >= 0").alias("_w"))
+        proj.append(check((w >= 0) & ~F.isnan(w), w, f"sample weight in {weight} has to be >= 0").alias("_w"))
     out = df.select(*proj)
     if weight is not None:
         out = out.filter(F.col("_w") > 0)  # weight 0 rows are skipped entirely

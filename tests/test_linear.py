@@ -1,0 +1,95 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from statframe.operators import linear as L
+from statframe.sources import models as MD
+from statframe.session import scratch_path
+
+
+def xy(spark, pts):
+    return spark.createDataFrame([(float(a), float(b)) for a, b in pts], "x double, y double")
+
+
+def test_f19_no_intercept(spark):
+    m = L.train_sgd(xy(spark, [(1, 1), (2, 2.1), (3, 2.9)]), "y", ["x"], num_iterations=5,
+                    step_size=0.1)
+    assert math.isclose(m.weights[0], 0.8356106777162712, rel_tol=1e-14)
+    assert m.intercept == 0.0
+
+
+def test_f20_intercept_stops_at_21(spark):
+    m = L.train_sgd(xy(spark, [(1, 3), (2, 5.1), (3, 6.9)]), "y", ["x"], num_iterations=100,
+                    step_size=0.1, intercept=True)
+    assert math.isclose(m.weights[0], 1.6854139697940902, rel_tol=1e-13)
+    assert math.isclose(m.intercept, 1.6733039668444474, rel_tol=1e-13)
+    assert m.iterations == 21
+
+
+def test_f21_one_iteration(spark):
+    m = L.train_sgd(xy(spark, [(1, 3), (2, 5.1), (3, 6.9)]), "y", ["x"], num_iterations=1,
+                    step_size=0.1, intercept=True)
+    assert math.isclose(m.weights[0], 0.93) and math.isclose(m.intercept, 1.4)
+
+
+def test_matches_builtin_sgd(spark):
+    from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(
+        (F.col("l_extendedprice") / 10000).alias("y"), (F.col("l_quantity") / 10).alias("q"),
+        (F.col("l_discount") * 10).alias("d"))
+    pts = li.rdd.map(lambda r: LabeledPoint(r["y"], [r["q"], r["d"]]))
+    ref = LinearRegressionWithSGD.train(pts, iterations=30, step=0.1)
+    ours = L.train_sgd(li, "y", ["q", "d"], num_iterations=30, step_size=0.1)
+    assert np.allclose(ours.weights, ref.weights.toArray(), rtol=1e-10)
+
+
+def test_feature_scaling_constant_column(spark):
+    df = spark.createDataFrame([(1.0, 5.0, 2.0), (2.0, 5.0, 4.1), (3.0, 5.0, 5.9)],
+                               "x double, k double, y double")
+    m = L.train_sgd(df, "y", ["x", "k"], num_iterations=50, step_size=0.1, intercept=True,
+                    feature_scaling=True)
+    assert m.weights[1] == 0.0 and m.weights[0] > 0
+
+
+def test_minibatch_equals_per_iteration_aggregate(spark):
+    """Bucket statistics replay = one Spark aggregate per iteration (brute force)."""
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 10000).alias("y"),
+        (F.col("l_quantity") / 10).alias("q"))
+    key = F.col("l_orderkey") * 16 + F.col("l_linenumber")
+    m = L.train_sgd(li, "y", ["q"], num_iterations=5, step_size=0.1, intercept=True,
+                    mini_batch_fraction=0.3, sample_key=key, convergence_tol=0.0)
+    w = np.array([0.0, 1.0])
+    tagged = li.withColumn("_b", F.pmod(key, F.lit(L.SAMPLE_BUCKETS)))
+    take = int(round(0.3 * L.SAMPLE_BUCKETS))
+    for i in range(1, 6):
+        sub = tagged.filter(F.col("_b").isin(L.sampled_buckets(i, take)))
+        g = sub.agg(F.sum((F.lit(w[0]) * F.col("q") + F.lit(w[1]) - F.col("y")) * F.col("q")),
+                    F.sum(F.lit(w[0]) * F.col("q") + F.lit(w[1]) - F.col("y")),
+                    F.count(F.lit(1))).collect()[0]
+        w = w - 0.1 / math.sqrt(i) * np.array([g[0], g[1]]) / g[2]
+    assert np.allclose([m.weights[0], m.intercept], w, rtol=1e-10)
+
+
+def test_validators_and_args(spark):
+    df = xy(spark, [(1, 1), (2, 2)])
+    with pytest.raises(ValueError, match="validation failed"):
+        L.train_sgd(df, "y", ["x"], validators=[lambda d: False])
+    L.train_sgd(df, "y", ["x"], validators=[lambda d: False], validate=False)
+    with pytest.raises(ValueError):
+        L.train_sgd(df, "y", ["x"], mini_batch_fraction=0.0)
+
+
+def test_predict_and_roundtrip(spark):
+    df = xy(spark, [(1, 3), (2, 5.1), (3, 6.9)])
+    m = L.train_sgd(df, "y", ["x"], num_iterations=100, step_size=0.1, intercept=True)
+    preds = [r["prediction"] for r in m.predict(df).orderBy("x").collect()]
+    assert math.isclose(preds[0], m.weights[0] + m.intercept)
+    path = scratch_path(spark, "linear-test")
+    MD.save_linear(m, spark, path)
+    back = MD.load_linear(spark, path)
+    assert back.weights == m.weights and back.intercept == m.intercept
+    assert "intercept = " in back.describe()
