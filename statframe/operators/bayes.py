@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statframe.functions.columns import apply_null_policy, check, not_null
+from statframe.session import freeze
 
 MULTINOMIAL = "multinomial"
 BERNOULLI = "bernoulli"
@@ -162,7 +163,9 @@ def fit_sparse(cells: DataFrame, row_labels: DataFrame, row: str = "row_id",
     lab = row_labels.select(F.col(row).alias("_row"), not_null(F.col(label), label).alias("label"))
     cc = cells.select(F.col(row).alias("_row"), F.col(feature).alias("feature"), x.alias("_x"))
     joined = cc.join(lab, "_row")
-    sums = joined.groupBy("label", "feature").agg(F.sum("_x").alias("s"))
+    # the sufficient statistics are the model (C x features rows): materialised
+    # once in the shared checkpoint folder, so scoring does not re-read the data
+    sums = freeze(joined.groupBy("label", "feature").agg(F.sum("_x").alias("s")))
     counts = lab.groupBy("label").agg(F.count(F.lit(1)).alias("_n")).orderBy("label").collect()
     labels_counts = [(r["label"], r["_n"]) for r in counts]  # C rows
     if not labels_counts:
@@ -172,7 +175,7 @@ def fit_sparse(cells: DataFrame, row_labels: DataFrame, row: str = "row_id",
         vocab = spark.range(num_features).select(F.col("id").cast("int").alias("feature"))
         d = num_features
     else:
-        vocab = joined.select("feature").distinct()
+        vocab = sums.select("feature").distinct()
         d = vocab.count()
     label_type = lab.schema["label"].dataType.simpleString()
     label_arr = F.array(*[F.lit(lv).cast(label_type) for lv, _ in labels_counts])
@@ -202,14 +205,23 @@ def _score_terms(model: NaiveBayesModel) -> tuple[list[list[float]], list[float]
     return theta, consts
 
 
-def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str]) -> list[Column]:
+def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str]
+                  ) -> tuple[DataFrame, list[Column]]:
+    """``df`` with checked features and per-class scores as columns.
+
+    Three stacked projections (checked x, scores, then the caller's use) so
+    each feature check and each score is evaluated once per row, not once
+    per class or per posterior.
+    """
     if model.num_classes * model.num_features > LITERAL_MAX:
         raise ValueError("model too large for literal scoring; use the sparse form")
     cols = list(cols or model.feature_names)
     if len(cols) != model.num_features:
         raise ValueError(f"expected {model.num_features} feature columns, got {len(cols)}")
     coef, consts = _score_terms(model)
-    xs = [_value_check(F.col(c).cast("double"), c, model.model_type) for c in cols]
+    checked = df.select("*", *[_value_check(F.col(c).cast("double"), c, model.model_type)
+                               .alias(f"_nbx{j}") for j, c in enumerate(cols)])
+    xs = [F.col(f"_nbx{j}") for j in range(len(cols))]
     scores = []
     for i in range(model.num_classes):
         s = F.lit(consts[i])
@@ -219,8 +231,9 @@ def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str]) ->
                 s = s + x * F.lit(t)
             else:
                 s = s + F.when(x != 0, x * F.lit(t)).otherwise(F.lit(0.0))
-        scores.append(s)
-    return scores
+        scores.append(s.alias(f"_nbs{i}"))
+    scored = checked.select(*df.columns, *scores)
+    return scored, [F.col(f"_nbs{i}") for i in range(model.num_classes)]
 
 
 def _argmax(model: NaiveBayesModel, scores: list[Column]) -> Column:
@@ -243,18 +256,18 @@ def _posteriors(scores: list[Column]) -> list[Column]:
 def predict(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | None = None,
             output: str = "prediction") -> DataFrame:
     """``df`` plus the predicted label (N3, N4): a projection."""
-    scores = _dense_scores(model, df, cols)
-    return df.withColumn(output, _argmax(model, scores))
+    scored, scores = _dense_scores(model, df, cols)
+    return scored.select(*df.columns, _argmax(model, scores).alias(output))
 
 
 def predict_proba(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | None = None,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Long posteriors ``(keep..., label, probability)``."""
-    scores = _dense_scores(model, df, cols)
-    post = _posteriors(scores)
-    structs = [F.struct(F.lit(lab).alias("label"), p.alias("probability"))
-               for lab, p in zip(model.labels, post)]
-    return df.select(*keep, F.inline(F.array(*structs)))
+    scored, scores = _dense_scores(model, df, cols)
+    post = scored.select(*keep, *[p.alias(f"_nbp{i}") for i, p in enumerate(_posteriors(scores))])
+    structs = [F.struct(F.lit(lab).alias("label"), F.col(f"_nbp{i}").alias("probability"))
+               for i, lab in enumerate(model.labels)]
+    return post.select(*keep, F.inline(F.array(*structs)))
 
 
 def _sparse_scores(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame, row: str,

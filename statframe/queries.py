@@ -19,7 +19,7 @@ from statframe.operators import hypothesis as H
 from statframe.operators import linear as LR
 from statframe.operators import rank as R
 from statframe.operators import summary as S
-from statframe.session import scratch_path, table
+from statframe.session import freeze, scratch_path, table
 from statframe.sources import models as MD
 from statframe.streaming import abtest as AB
 from statframe.streaming import summary as SS
@@ -247,7 +247,8 @@ def q_nb_doc_quality(spark, sf):
     """Multinomial naive Bayes on document term counts, trained on the
     labelled documents' quality flag, scoring every document."""
     docs = table(spark, sf, "documents")
-    cells = TX.term_counts(docs, "doc_id", "text")
+    # term counts feed both training and scoring: tokenise the corpus once
+    cells = freeze(TX.term_counts(docs, "doc_id", "text"))
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     model = NB.fit_sparse(cells, labels, row="doc_id", feature="term", value="tf")
     return rounded(NB.predict_sparse(model, cells, docs, row="doc_id", feature="term",
