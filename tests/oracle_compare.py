@@ -59,6 +59,15 @@ def compare(spark, con, name, sf_dir, fn, sql):
     if sorted(scols) != sorted(dcols):
         out["error"] = f"columns differ: {scols} vs {dcols}"
         return out
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE",
+             "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "smallint": "SMALLINT"}
+    dtypes = {c: str(t) for c, t in zip(dcols, res.types)}
+    bad_types = [(f.name, f.dataType.simpleString(), dtypes[f.name]) for f in sdf.schema.fields
+                 if kinds.get(f.dataType.simpleString(), "?") != dtypes[f.name]]
+    if bad_types:
+        out["error"] = f"types differ: {bad_types}"
+        return out
     order = [dcols.index(c) for c in scols]
     drows = [tuple(r[i] for i in order) for r in drows]
     a, b = sorted(srows, key=_key), sorted(drows, key=_key)
