@@ -74,3 +74,18 @@ def check(cond: Column, value: Column, message: str) -> Column:
 def zero_fix(c: Column) -> Column:
     """Map -0.0 to 0.0 so results compare bit-equal across engines."""
     return F.when(c == 0, F.lit(0.0)).otherwise(c)
+
+
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
+              how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` treating null keys as equal (a null group is a
+    group).  Spark plans ``<=>`` keys as an ordinary hash / sort-merge join."""
+    keys = list(keys)
+    tmp = [f"_jk{i}" for i in range(len(keys))]
+    r = right.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k, t in zip(keys, tmp):
+        c = F.col(k).eqNullSafe(F.col(t))
+        cond = c if cond is None else cond & c
+    return left.join(r, on=cond, how=how).drop(*tmp)

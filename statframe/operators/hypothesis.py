@@ -64,12 +64,12 @@ def chisq_gof(observed: DataFrame, expected: DataFrame | None = None,
     """
     fn = _method(method)
     o = F.col("_o")
-    obs = observed.select(F.col(category).alias("_cat"),
+    obs = observed.select(not_null(F.col(category), category).alias("_cat"),
                           not_null(F.col(observed_col).cast("double"), observed_col).alias("_o"))
     if expected is None:
         cells = obs.select("_cat", "_o", F.lit(None).cast("double").alias("_e"))
     else:
-        exp = expected.select(F.col(category).alias("_cat"),
+        exp = expected.select(not_null(F.col(category), category).alias("_cat"),
                               not_null(F.col(expected_col).cast("double"),
                                        expected_col).alias("_e"))
         cells = obs.join(exp, "_cat", "full_outer")
@@ -158,7 +158,8 @@ def chisq_independence(table: DataFrame, row: str = "row", col: str = "col",
     """
     n = not_null(F.col(count).cast("double"), count)
     n = check(~(n < 0), n, "contingency table cannot contain negative entries")
-    cells = (table.select(F.col(row).alias("_r"), F.col(col).alias("_c"), n.alias("_n"))
+    cells = (table.select(not_null(F.col(row), row).alias("_r"),
+                          not_null(F.col(col), col).alias("_c"), n.alias("_n"))
              .groupBy("_r", "_c").agg(F.sum("_n").alias("_n")))
     per, stat, dof, p = _independence(cells, [], method, check_margins=True)
     return _finish(per, stat, dof, method, INDEPENDENCE, p)

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statframe.functions.columns import apply_null_policy, check, features, not_null
+from statframe.functions.columns import apply_null_policy, check, features, join_keys, not_null
 
 DOUBLE_MAX = 1.7976931348623157e308  # the largest finite double; max/min start values
 
@@ -113,7 +113,7 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
     # Second pass: central moment against the first pass's weighted means.
     mean_cols = [f"mean_{i}" for i in range(d)]
     if keys:
-        joined = data.join(first.select(*keys, *mean_cols), on=keys, how="inner")
+        joined = join_keys(data, first.select(*keys, *mean_cols), keys)
         means = [F.col(c) for c in mean_cols]
     else:
         # one row of 8d+3 numbers: bounded by the width, carried as literals
@@ -124,7 +124,7 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
         F.sum(w * (F.col(f"_x{i}") - means[i]) * (F.col(f"_x{i}") - means[i])).alias(f"m2_{i}")
         for i in range(d)])
     if keys:
-        wide = first.join(m2, on=keys, how="inner")
+        wide = join_keys(first, m2, keys)
     else:
         wide = m2.select("*", *[F.lit(row[c]).cast(first.schema[c].dataType).alias(c)
                                 for c in first.columns])
@@ -148,11 +148,11 @@ def merge_states(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
         F.sum("nnz").alias("nnz"), F.sum("n_zero").alias("n_zero"),
         F.max("max_nz").alias("max_nz"), F.min("min_nz").alias("min_nz"),
         F.sum("norm_l1").alias("norm_l1"), F.sum("l2_sq").alias("l2_sq"))
-    moment = (state.join(base.select(*keys, F.col("mean").alias("_m")), on=keys)
+    moment = (join_keys(state, base.select(*keys, F.col("mean").alias("_m")), keys)
               .groupBy(*keys)
               .agg(F.sum(F.col("m2") + F.col("w_sum") * (F.col("mean") - F.col("_m"))
                          * (F.col("mean") - F.col("_m"))).alias("m2")))
-    return base.join(moment, on=keys).select(*keys, *STATE_FIELDS)
+    return join_keys(base, moment, keys).select(*keys, *STATE_FIELDS)
 
 
 def finalize(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
@@ -228,7 +228,7 @@ def sparse_summary(long: DataFrame, row_id: str = "row_id", idx: str = "idx",
     if rows is None:
         stats = stats.withColumn("_rows", F.lit(int(num_rows)).cast("long"))
     elif keys:
-        stats = stats.join(rows, on=keys)
+        stats = join_keys(stats, rows, keys)
     else:
         total = rows.collect()[0]["_rows"]  # one number
         stats = stats.withColumn("_rows", F.lit(total).cast("long"))

@@ -127,3 +127,14 @@ def test_matches_builtin_summarizer_unweighted(spark):
         assert math.isclose(ours[c]["variance"], s["variance"][i], rel_tol=1e-12)
         assert math.isclose(ours[c]["norm_l2"], s["normL2"][i], rel_tol=1e-12)
         assert ours[c]["max"] == s["max"][i] and ours[c]["min"] == s["min"][i]
+
+
+def test_null_group_key_is_a_group(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0), (None, 2.0, 1.0), (None, 4.0, 3.0)],
+                               "g string, x double, w double")
+    out = {r["g"]: r for r in S.col_summary(df, ["x"], weight="w", group_by=["g"]).collect()}
+    assert set(out) == {"a", None}
+    assert math.isclose(out[None]["mean"], 3.5)
+    merged = {r["g"]: r for r in S.finalize(S.merge_states(
+        S.summary_state(df, ["x"], group_by=["g", "x"]), ["g"]), ["g"]).collect()}
+    assert merged[None]["count"] == 2 and math.isclose(merged[None]["variance"], 2.0)
