@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statframe.functions.columns import apply_null_policy, check, features, not_null
-from statframe.operators.rank import attach_ranks, value_ranks
+from statframe.operators.rank import attach_ranks, column_sizes, ranked_counts, ranks_from_counts
 from statframe.plans.gram import comoments
 
 NEAR_ZERO = 1e-12  # a variance at or below this is treated as exactly zero
@@ -74,8 +74,8 @@ def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None)
     names = [n for n, _ in feats]
     base = df.select(*[e.alias(f"_s{i}") for i, (_, e) in enumerate(feats)])
     keys = [f"_s{i}" for i in range(len(names))]
-    ranks = value_ranks(base, keys, nulls)
-    ranked = attach_ranks(base, keys, ranks)
+    tagged = ranked_counts(base, keys, nulls)
+    ranked = attach_ranks(base, keys, ranks_from_counts(tagged), sizes=column_sizes(tagged))
     cm = comoments(ranked, [F.col(f"{k}_rank") for k in keys])
     n = F.col("n")
     cov = check(n > 1, F.col("value") / (n - 1).cast("double"),

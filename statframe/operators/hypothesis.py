@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from statframe.functions import special
 from statframe.functions.columns import apply_null_policy, check, not_null
-from statframe.operators.rank import value_ranks
+from statframe.operators.rank import column_sizes, ranked_counts, ranks_from_counts
 
 PEARSON = "pearson"
 GOODNESS_OF_FIT = "observed follows the same distribution as expected."
@@ -217,9 +217,9 @@ def ks_test(df: DataFrame, col: str, cdf: Callable[[Column], Column] | str = "no
     else:
         cdf_fn = cdf
     df = apply_null_policy(df, [col], nulls)
-    vr = value_ranks(df, [col], nulls)
-    counts = vr.select("value", "n", (F.col("avg_rank") - (F.col("n") - 1) / 2.0).alias("below"))
-    n = counts.agg(F.sum("n").alias("n")).collect()[0]["n"]  # one number
+    tagged = ranked_counts(df, [col], nulls)
+    counts = ranks_from_counts(tagged).select("value", "n", "below")
+    n = column_sizes(tagged).get(col, (0, 0))[1]  # one number, from the small checkpoint
     if not n:
         raise ValueError("Kolmogorov-Smirnov test needs at least one value")
     f = cdf_fn(F.col("value"))

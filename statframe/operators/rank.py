@@ -38,18 +38,22 @@ def _cells(df: DataFrame, feats) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
-def value_ranks(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
-                partitions: int | None = None) -> DataFrame:
-    """Distinct values with their tie count and average rank:
-    ``(column string, value double, n bigint, avg_rank double)``."""
+def ranked_counts(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
+                  partitions: int | None = None) -> DataFrame:
+    """Distinct (column, value) with their count ``n``, range-partitioned and
+    tagged with the partition id ``_pid``; checkpointed (steps 1-2)."""
     feats = features(df, cols, dim)
     raw = [cols] if isinstance(cols, str) else list(cols)
     df = apply_null_policy(df, raw, nulls)
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = _cells(df, feats).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    tagged = freeze(counts.repartitionByRange(p, "column", "value")
-                    .withColumn("_pid", F.spark_partition_id()))
+    return freeze(counts.repartitionByRange(p, "column", "value")
+                  .withColumn("_pid", F.spark_partition_id()))
+
+
+def ranks_from_counts(tagged: DataFrame) -> DataFrame:
+    """``(column, value, n, below, avg_rank)`` from ``ranked_counts`` (step 3)."""
     local = tagged.withColumn("_cum", F.sum("n").over(
         Window.partitionBy("_pid", "column").orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -60,15 +64,28 @@ def value_ranks(df: DataFrame, cols, nulls: str = "error", dim: int | None = Non
                .select("column", "_pid", "_off"))
     ranked = local.join(F.broadcast(offsets), ["column", "_pid"])
     below = F.col("_off") + F.col("_cum") - F.col("n")
-    return ranked.select("column", "value", "n",
+    return ranked.select("column", "value", "n", below.alias("below"),
                          (below.cast("double") + (F.col("n") - 1) / F.lit(2.0)).alias("avg_rank"))
 
 
+def column_sizes(tagged: DataFrame) -> dict[str, tuple[int, int]]:
+    """{column: (distinct values, rows)} — one small aggregate of the checkpoint."""
+    return {r["column"]: (r["d"], r["rows"]) for r in tagged.groupBy("column").agg(
+        F.count(F.lit(1)).alias("d"), F.sum("n").alias("rows")).collect()}
+
+
+def value_ranks(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
+                partitions: int | None = None) -> DataFrame:
+    """Distinct values with their tie count and rank:
+    ``(column string, value double, n bigint, below bigint, avg_rank double)``."""
+    return ranks_from_counts(ranked_counts(df, cols, nulls, dim, partitions))
+
+
 BROADCAST_ROWS = 2_000_000  # distinct values of one column we ship to every task
 
 
 def attach_ranks(df: DataFrame, cols, ranks: DataFrame, suffix: str = "_rank",
-                 dim: int | None = None) -> DataFrame:
+                 dim: int | None = None, sizes: dict | None = None) -> DataFrame:
     """Add one ``<col><suffix>`` column per feature: the row's average rank.
 
     Each column's rank table is joined on the value.  Its row count is
@@ -77,15 +94,17 @@ def attach_ranks(df: DataFrame, cols, ranks: DataFrame, suffix: str = "_rank",
     join shuffles, and AQE splits a value that owns a large share of rows.
     """
     feats = features(df, cols, dim)
-    sizes = {r["column"]: r["cnt"] for r in
-             ranks.groupBy("column").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    if sizes is None:
+        sizes = {r["column"]: r["cnt"] for r in
+                 ranks.groupBy("column").agg(F.count(F.lit(1)).alias("cnt")).collect()}
     out = df
     for i, (name, expr) in enumerate(feats):
         key = f"_rk{i}"
         out = out.withColumn(key, expr)
         r = ranks.filter(F.col("column") == name).select(
             F.col("value").alias(key), F.col("avg_rank").alias(f"{name}{suffix}"))
-        if sizes.get(name, 0) <= BROADCAST_ROWS:
+        size = sizes.get(name, 0)
+        if (size[0] if isinstance(size, tuple) else size) <= BROADCAST_ROWS:
             r = F.broadcast(r)
         out = out.join(r, on=key, how="inner").drop(key)
     return out
@@ -95,4 +114,5 @@ def avg_rank(df: DataFrame, cols, nulls: str = "error", dim: int | None = None)
     """``df`` with the 0-based average rank of each feature column appended."""
     raw = [cols] if isinstance(cols, str) else list(cols)
     df = apply_null_policy(df, raw, nulls)
-    return attach_ranks(df, cols, value_ranks(df, cols, nulls, dim), dim=dim)
+    tagged = ranked_counts(df, cols, nulls, dim)
+    return attach_ranks(df, cols, ranks_from_counts(tagged), dim=dim, sizes=column_sizes(tagged))
