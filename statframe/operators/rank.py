@@ -81,7 +81,7 @@ def value_ranks(df: DataFrame, cols, nulls: str = "error", dim: int | None = Non
     return ranks_from_counts(ranked_counts(df, cols, nulls, dim, partitions))
 
 
-BROADCAST_ROWS = 2_000_000  # distinct values of one column we ship to every task
+BROADCAST_ROWS = 1_000_000  # distinct values of one column we ship to every task (~32 MB)
 
 
 def attach_ranks(df: DataFrame, cols, ranks: DataFrame, suffix: str = "_rank",

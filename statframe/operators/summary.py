@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statframe.functions.columns import apply_null_policy, check, features, join_keys, not_null
+from statframe.session import freeze
 
 DOUBLE_MAX = 1.7976931348623157e308  # the largest finite double; max/min start values
 
@@ -83,12 +84,19 @@ def _unpivot(wide: DataFrame, keys: list[str], names: list[str],
     return wide.select(*keys, F.inline(F.array(*structs)))
 
 
+WIDE_MIN = 24  # from this many columns on, states are built per task with numpy
+
+
 def summary_state(df: DataFrame, cols, weight: str | None = None,
                   group_by: Sequence[str] = (), nulls: str = "error",
                   dim: int | None = None) -> DataFrame:
     """Mergeable summary state per group and column (see module doc)."""
     data, names, keys = _prepare(df, cols, weight, group_by, nulls, dim)
     d = len(names)
+    if d >= WIDE_MIN:
+        # task states are few (tasks x groups x columns) and are read twice by
+        # the merge: materialise them once in the shared checkpoint folder
+        return merge_states(freeze(_task_states(data, names, keys, weight is not None)), keys)
     if weight is None:
         aggs = [F.count(F.lit(1)).alias("n")]
         for i in range(d):
@@ -131,6 +139,80 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
     return _unpivot(wide, keys, names, {"n": "n", "w_sum": "w_sum", "w2_sum": "w2_sum"})
 
 
+def _task_states(data: DataFrame, names: list[str], keys: list[str],
+                 weighted: bool) -> DataFrame:
+    """Per-task states for wide inputs (``mapInPandas``).
+
+    Hundreds of unrolled aggregates exceed codegen's method size and run
+    interpreted; instead each task folds its Arrow batches into one state
+    row per (group, column) with numpy — Chan's rule merges batch moments —
+    and ``merge_states`` combines the task states: one shuffle of
+    tasks x groups x columns rows.
+    """
+    import numpy as np
+    import pandas as pd
+
+    d = len(names)
+    xcols = [f"_x{i}" for i in range(d)]
+    key_fields = [data.schema[k] for k in keys]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields]
+                       + ["`column` string", "n long", "w_sum double", "w2_sum double",
+                          "mean double", "m2 double", "nnz double", "n_zero long",
+                          "max_nz double", "min_nz double", "norm_l1 double", "l2_sq double"])
+
+    def fold(batches):
+        acc = {}
+        for pdf in batches:
+            groups = pdf.groupby(keys, dropna=False, sort=False) if keys else [((), pdf)]
+            for key, g in groups:
+                key = key if isinstance(key, tuple) else (key,)
+                x = g[xcols].to_numpy(dtype=np.float64)
+                w = g["_w"].to_numpy(dtype=np.float64) if weighted else np.ones(len(g))
+                wb = w.sum()
+                mb = (w[:, None] * x).sum(axis=0) / wb
+                m2b = (w[:, None] * (x - mb) ** 2).sum(axis=0)
+                nz = (x != 0) & ~np.isnan(x)
+                with np.errstate(invalid="ignore"):
+                    mx = np.where(nz, x, -np.inf).max(axis=0)
+                    mn = np.where(nz, x, np.inf).min(axis=0)
+                part = dict(n=len(g), w=wb, w2=(w * w).sum(), mean=mb, m2=m2b,
+                            nnz=(w[:, None] * (x != 0)).sum(axis=0),
+                            zero=(x == 0).sum(axis=0), mx=mx, mn=mn,
+                            l1=(w[:, None] * np.abs(x)).sum(axis=0),
+                            l2=(w[:, None] * x * x).sum(axis=0))
+                a = acc.get(key)
+                if a is None:
+                    acc[key] = part
+                    continue
+                tot = a["w"] + wb
+                delta = mb - a["mean"]
+                a["m2"] = a["m2"] + m2b + delta * delta * a["w"] * wb / tot
+                a["mean"] = a["mean"] + delta * wb / tot
+                a["w"], a["n"], a["w2"] = tot, a["n"] + part["n"], a["w2"] + part["w2"]
+                for f in ("nnz", "zero", "l1", "l2"):
+                    a[f] = a[f] + part[f]
+                a["mx"] = np.maximum(a["mx"], mx)
+                a["mn"] = np.minimum(a["mn"], mn)
+        for key, a in acc.items():
+            out = {k: [v] * d for k, v in zip(keys, key)}
+            out.update({"column": names, "n": np.full(d, a["n"], dtype=np.int64),
+                        "w_sum": np.full(d, a["w"]), "w2_sum": np.full(d, a["w2"]),
+                        "mean": a["mean"], "m2": a["m2"], "nnz": a["nnz"],
+                        "n_zero": a["zero"].astype(np.int64),
+                        "max_nz": pd.array(np.where(np.isinf(a["mx"]), np.nan, a["mx"]),
+                                           dtype="Float64"),
+                        "min_nz": pd.array(np.where(np.isinf(a["mn"]), np.nan, a["mn"]),
+                                           dtype="Float64"),
+                        "norm_l1": a["l1"], "l2_sq": a["l2"]})
+            frame = pd.DataFrame(out)
+            # absent extremes are nulls, not NaN (NaN would win Spark's max)
+            frame["max_nz"] = frame["max_nz"].where(~np.isinf(a["mx"]), None)
+            frame["min_nz"] = frame["min_nz"].where(~np.isinf(a["mn"]), None)
+            yield frame
+
+    return data.mapInPandas(fold, schema)
+
+
 def merge_states(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     """Roll states up to ``group_by`` (a subset of the state's keys).
 

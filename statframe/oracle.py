@@ -88,6 +88,12 @@ ORACLE["col_summary"] = summary_sql("lineitem", LINEITEM_NUM)
 ORACLE["col_summary_weighted"] = weighted_summary_sql(
     "lineitem", ["l_extendedprice", "l_discount", "l_tax"], "l_quantity")
 ORACLE["col_summary_grouped"] = summary_sql("events", ["value"], ["event_type"])
+ORACLE["col_summary_embeddings"] = _sig_select(
+    "WITH cells AS (SELECT generate_subscripts(embedding, 1) AS i, "
+    "  CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) "
+    + _summary_one("cells", "x", ["i"]).replace("'x' AS \"column\", ", ""),
+    [("column", False)] + SUMMARY_COLS[1:]).replace(
+    'SELECT "column",', "SELECT 'embedding[' || CAST(i - 1 AS VARCHAR) || ']' AS \"column\",", 1)
 ORACLE["summary_rollup"] = summary_sql("lineitem", LINEITEM_NUM, ["l_returnflag"])
 ORACLE["sparse_summary"] = _sig_select(
     "WITH o AS (SELECT o_orderkey FROM orders), "

@@ -65,6 +65,13 @@ def q_summary_rollup(spark, sf):
     return rounded(S.finalize(merged, ["l_returnflag"]))
 
 
+@query
+def q_col_summary_embeddings(spark, sf):
+    """All 64 embedding coordinates (the per-task numpy state path)."""
+    emb = table(spark, sf, "embeddings")
+    return rounded(S.col_summary(emb, "embedding", dim=64))
+
+
 @query
 def q_sparse_summary(spark, sf):
     """Orders as sparse vectors: cell l_linenumber holds the discount total of

@@ -138,3 +138,19 @@ def test_null_group_key_is_a_group(spark):
     merged = {r["g"]: r for r in S.finalize(S.merge_states(
         S.summary_state(df, ["x"], group_by=["g", "x"]), ["g"]), ["g"]).collect()}
     assert merged[None]["count"] == 2 and math.isclose(merged[None]["variance"], 2.0)
+
+
+def test_wide_task_states_equal_unrolled(spark, monkeypatch):
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    emb = emb.withColumn("w", (F.col("vec_id") % 3).cast("double"))
+    for weight in (None, "w"):
+        wide = by_column(S.col_summary(emb, "embedding", weight=weight, group_by=[]))
+        monkeypatch.setattr(S, "WIDE_MIN", 10**9)
+        narrow = by_column(S.col_summary(emb, "embedding", weight=weight))
+        monkeypatch.setattr(S, "WIDE_MIN", 24)
+        assert wide.keys() == narrow.keys()
+        for c in wide:
+            for f in FIELDS:
+                assert math.isclose(wide[c][f], narrow[c][f], rel_tol=1e-9, abs_tol=1e-12), (c, f)
+    grouped = S.col_summary(emb, "embedding", group_by=["label"]).collect()
+    assert len(grouped) == 64 * emb.select("label").distinct().count()
