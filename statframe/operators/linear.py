@@ -12,7 +12,8 @@ when ||w_i - w_{i-1}|| < tol * max(||w_i||, 1) from the second iteration on.
   (no centring; 0 for a constant feature), which is algebra on A and b — no
   extra pass — and the fitted weights are divided back.
 * mini-batches: rows are hashed into SAMPLE_BUCKETS buckets and iteration i
-  uses a deterministic pseudo-random subset of buckets.  One pass collects
+  uses a deterministic subset of buckets (an integer permutation per
+  iteration, ``sampled_buckets``).  One pass collects
   per-bucket statistics (buckets x d^2 numbers), so every iteration is again
   driver arithmetic and reruns give the same model.  (RDD Bernoulli sampling
   cannot be reproduced; this sampler is documented as ours.)
@@ -190,10 +191,17 @@ def train_sgd(df: DataFrame, label: str, cols: Sequence[str], num_iterations: in
     return LinearModel([float(v) for v in weights], b0, cols, iters, losses)
 
 
+def _mix(iteration: int) -> tuple[int, int]:
+    """Odd multiplier and offset of iteration ``i``'s bucket permutation."""
+    return 2 * ((iteration * 40503) % (SAMPLE_BUCKETS // 2)) + 1, (iteration * 7919) % SAMPLE_BUCKETS
+
+
 def sampled_buckets(iteration: int, take: int) -> list[int]:
-    """The buckets of mini-batch ``iteration``: a seeded permutation's head."""
-    rng = np.random.default_rng(42 + iteration)
-    return sorted(int(b) for b in rng.permutation(SAMPLE_BUCKETS)[:take])
+    """The buckets of mini-batch ``iteration``: b is taken when
+    (b * odd + offset) mod B < take — a permutation of the buckets, so exactly
+    ``take`` of them, and plain integer arithmetic any engine can repeat."""
+    mult, off = _mix(iteration)
+    return [b for b in range(SAMPLE_BUCKETS) if (b * mult + off) % SAMPLE_BUCKETS < take]
 
 
 def _collect_square(long: DataFrame, k: int) -> np.ndarray:

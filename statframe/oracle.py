@@ -515,3 +515,56 @@ ORACLE["linreg_model_roundtrip"] = ORACLE["linreg_sgd_intercept"]
 ORACLE["stream_summary"] = summary_sql(
     "(SELECT CAST(date_trunc('day', ts) AS DATE) AS day, value FROM events) AS ev",
     ["value"], ["day"])
+
+
+def sgd_minibatch_sql(base: str, key: str, names: list[str], iters: int, step: float,
+                      take: int, buckets: int = 1024) -> str:
+    """Mini-batch replay: per-bucket statistics, and per iteration the sums over
+    the buckets b with (b * odd_i + offset_i) mod B < take (intercept on)."""
+    d = len(names)
+    p = d + 1
+    xs = [f"x{j}" for j in range(d)] + ["1.0"]
+    stats = ["count(*) AS n"]
+    for a in range(p):
+        for b in range(a, p):
+            stats.append(f"sum({xs[a]} * {xs[b]}) AS a_{a}_{b}")
+        stats.append(f"sum({xs[a]} * y) AS b_{a}")
+    sums = ", ".join(["sum(n) AS n"] + [f"sum(a_{a}_{b}) AS a_{a}_{b}" for a in range(p)
+                                        for b in range(a, p)] + [f"sum(b_{a}) AS b_{a}"
+                                                                 for a in range(p)])
+    it1 = "(it.i + 1)"
+    cond = (f"((bst.bk * (2 * (({it1} * 40503) % {buckets // 2}) + 1) + ({it1} * 7919) % {buckets}) "
+            f"% {buckets}) < {take}")
+
+    def A(a, b):
+        return f"s.a_{min(a, b)}_{max(a, b)}"
+
+    ws = [f"w{j}" for j in range(p)]
+    nws = []
+    for j in range(p):
+        g = " + ".join(f"{A(j, k)} * it.w{k}" for k in range(p))
+        nws.append(f"CASE WHEN s.n > 0 THEN it.w{j} - {step} / sqrt(it.i + 1) * "
+                   f"(({g}) - s.b_{j}) / s.n ELSE it.w{j} END AS nw{j}")
+    diff = " + ".join(f"(nw{j} - w{j}) * (nw{j} - w{j})" for j in range(p))
+    norm = " + ".join(f"nw{j} * nw{j}" for j in range(p))
+    init = ["CAST(0.0 AS DOUBLE)"] * d + ["CAST(1.0 AS DOUBLE)"]
+    cte = (
+        f"WITH RECURSIVE base AS ({base}), "
+        f"bst AS (SELECT ({key}) % {buckets} AS bk, {', '.join(stats)} FROM base GROUP BY 1), "
+        f"it(i, {', '.join(ws)}, seen, done) AS ("
+        f"  SELECT 0, {', '.join(init)}, 0, false "
+        f"  UNION ALL "
+        f"  SELECT i + 1, {', '.join(f'nw{j}' for j in range(p))}, "
+        f"    seen + CASE WHEN n > 0 THEN 1 ELSE 0 END, "
+        f"    (n > 0 AND seen >= 1 AND sqrt({diff}) < 0.001 * greatest(sqrt({norm}), 1.0)) "
+        f"  FROM (SELECT it.i, it.seen, s.n, {', '.join('it.' + w for w in ws)}, {', '.join(nws)} "
+        f"        FROM it, LATERAL (SELECT {sums} FROM bst WHERE {cond}) AS s "
+        f"        WHERE NOT it.done AND it.i < {iters}) AS q), "
+        f"fin AS (SELECT * FROM it WHERE i = (SELECT max(i) FROM it)) ")
+    coef = [f"SELECT '{names[j]}' AS term, w{j} AS coefficient FROM fin" for j in range(d)]
+    coef.append(f"SELECT 'intercept', w{d} FROM fin")
+    return _sig_select(cte + " UNION ALL ".join(coef), COEF_COLS)
+
+
+ORACLE["linreg_minibatch"] = sgd_minibatch_sql(
+    LR_BASE, "l_orderkey * 16 + l_linenumber", LR_NAMES, 100, 0.1, 512)

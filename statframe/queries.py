@@ -310,9 +310,11 @@ def q_linreg_sgd_scaled(spark, sf):
 
 @query
 def q_linreg_minibatch(spark, sf):
-    """Half of the rows per iteration, sampled by a deterministic row hash."""
+    """Half of the rows per iteration: buckets of the row key, a different
+    permutation of buckets each iteration."""
     m = LR.train_sgd(_lr_rows(spark, sf), "y", LR_FEATURES, num_iterations=100, step_size=0.1,
-                     intercept=True, mini_batch_fraction=0.5)
+                     intercept=True, mini_batch_fraction=0.5,
+                     sample_key=F.col("l_orderkey") * 16 + F.col("l_linenumber"))
     return rounded(m.coefficients(spark))
 
 
