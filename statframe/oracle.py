@@ -568,3 +568,36 @@ def sgd_minibatch_sql(base: str, key: str, names: list[str], iters: int, step: f
 
 ORACLE["linreg_minibatch"] = sgd_minibatch_sql(
     LR_BASE, "l_orderkey * 16 + l_linenumber", LR_NAMES, 100, 0.1, 512)
+
+
+def _ibeta_sql(x: str, a: str, b: str, terms: int = 6000) -> str:
+    """Regularized incomplete beta I_x(a, b) by its hypergeometric series
+    x^a (1-x)^b / (a B(a, b)) * sum_n (a+b)_n / (a+1)_n x^n, taken on the side
+    of the symmetry I_x(a, b) = 1 - I_{1-x}(b, a) where it converges fast."""
+    def side(xx, aa, bb):
+        front = (f"exp(({aa}) * ln({xx}) + ({bb}) * ln(1 - ({xx})) - lgamma({aa}) - lgamma({bb}) "
+                 f"+ lgamma(({aa}) + ({bb})))")
+        series = (f"(SELECT sum(exp(lgamma(({aa}) + ({bb}) + k) - lgamma(({aa}) + ({bb})) "
+                  f"- lgamma(({aa}) + 1 + k) + lgamma(({aa}) + 1)) * pow({xx}, k)) "
+                  f"FROM range(0, {terms}) AS bt(k))")
+        return f"({front} / ({aa}) * {series})"
+    return (f"(CASE WHEN ({x}) >= 1 THEN 1.0 WHEN ({x}) <= 0 THEN 0.0 "
+            f"WHEN ({x}) < (({a}) + 1) / (({a}) + ({b}) + 2) THEN {side(x, a, b)} "
+            f"ELSE 1 - {side(f'(1 - ({x}))', b, a)} END)")
+
+
+ORACLE["stream_ab_test"] = _sig_select(
+    "WITH ev AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS day, value, "
+    "  event_type = 'purchase' AS trt FROM events), "
+    "m AS (SELECT day, count(*) FILTER (WHERE NOT trt) AS na, avg(value) FILTER (WHERE NOT trt) AS ma, "
+    "  var_samp(value) FILTER (WHERE NOT trt) AS va, count(*) FILTER (WHERE trt) AS nb, "
+    "  avg(value) FILTER (WHERE trt) AS mb, var_samp(value) FILTER (WHERE trt) AS vb "
+    "  FROM ev GROUP BY day), "
+    "s AS (SELECT day, (ma - mb) / sqrt(va / na + vb / nb) AS stat, "
+    "  (va / na + vb / nb) * (va / na + vb / nb) / ((va / na) * (va / na) / (na - 1) "
+    "  + (vb / nb) * (vb / nb) / (nb - 1)) AS dof FROM m) "
+    f"SELECT day, {_ibeta_sql('dof / (dof + stat * stat)', 'dof / 2', '0.5')} AS p_value, "
+    "dof AS degrees_of_freedom, stat AS statistic, 'Welch''s 2-sample t-test' AS method, "
+    "'Both groups have same mean' AS null_hypothesis FROM s",
+    [("day", False), ("p_value", "p"), ("degrees_of_freedom", True), ("statistic", True),
+     ("method", False), ("null_hypothesis", False)])
