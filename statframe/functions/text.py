@@ -2,7 +2,7 @@
 
 Tokens are maximal runs of ASCII letters and digits after lower-casing; the
 whole text is tokenised (no prefix or cap).  Output is the long sparse form
-``(id, term, tf)``, built with ``split`` + ``explode`` + a grouped count —
+``(id, term, tf)``, built with ``regexp_extract_all`` + ``explode`` + a grouped count —
 all JVM-side.
 """
 
@@ -11,15 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN_SPLIT = "[^a-z0-9]+"
+TOKEN = "[a-z0-9]+"
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term string, tf double)``: occurrences of each term per document."""
-    toks = df.select(F.col(id_col).alias(id_col),
-                     F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("term"))
-    return (toks.filter(F.col("term") != "")
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    toks = df.select(F.col(id_col).alias(id_col), F.explode(
+        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN), 0)).alias("term"))
+    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
 
 
 def term_presence(counts: DataFrame) -> DataFrame:

@@ -87,7 +87,13 @@ def main(argv):
     import __spark_entry__ as E
     from statframe.session import local_session
 
-    spark = local_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # the bare session a driver might build: default partitions, no checkpoint dir
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session()
     con = duck(sf_dir)
     qs, ors = E.queries(), E.oracle_sql()
     failed = 0
