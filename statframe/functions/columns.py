@@ -71,11 +71,6 @@ def check(cond: Column, value: Column, message: str) -> Column:
     return F.when(cond, value).otherwise(F.raise_error(F.lit(message)))
 
 
-def zero_fix(c: Column) -> Column:
-    """Map -0.0 to 0.0 so results compare bit-equal across engines."""
-    return F.when(c == 0, F.lit(0.0)).otherwise(c)
-
-
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
               how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` treating null keys as equal (a null group is a

@@ -108,12 +108,12 @@ def _build(labels_counts: list, sums: DataFrame, num_features: int, model_type:
     prior = spark.createDataFrame(pis, f"label {label_type}, pi double")
     if model_type == MULTINOMIAL:
         tot = sums.groupBy("label").agg(F.sum("s").alias("_st"))
-        denom = F.ln(F.col("_st") + F.lit(num_features * lam))
+        denom = safe_ln(F.col("_st") + F.lit(num_features * lam))
         cond = sums.join(F.broadcast(tot), "label")
     else:
         counts = spark.createDataFrame([(lab, float(n)) for lab, n in labels_counts],
                                        f"label {label_type}, _nc double")
-        denom = F.ln(F.col("_nc") + F.lit(2.0 * lam))
+        denom = safe_ln(F.col("_nc") + F.lit(2.0 * lam))
         cond = sums.join(F.broadcast(counts), "label")
     cond = cond.select("label", "feature",
                        (safe_ln(F.col("s") + F.lit(lam)) - denom).alias("theta"))

@@ -20,7 +20,6 @@ each NaN its own rank; SQL ranking would tie them — both are unsafe).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
