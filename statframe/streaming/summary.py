@@ -3,7 +3,10 @@ re-aimed at Structured Streaming.
 
 Event-time windows are aggregated into the mergeable summary state with
 built-in streaming aggregates (count, avg, var_pop, sums, max, min); a
-watermark bounds the state and drops rows later than the watermark.  The
+watermark bounds the state.  Rows later than the watermark are dropped from
+the micro-batch after the one that moved the watermark past them (Spark
+checks late rows against the previous batch's watermark); rows within the
+delay are always counted.  The
 state is finalized by the same projection as the batch summary, so a
 replayed stream gives the batch result per window.
 """

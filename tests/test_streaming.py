@@ -50,3 +50,24 @@ def test_windowed_welch(spark):
         dof = (va + vb) ** 2 / (va * va / (len(a) - 1) + vb * vb / (len(b) - 1))
         assert math.isclose(r["statistic"], t, rel_tol=1e-9)
         assert math.isclose(r["p_value"], t_two_sided_p(t, dof), rel_tol=1e-9)
+
+
+def test_late_rows_beyond_watermark_are_dropped(spark):
+    """Batches: the last day, the day before, then the first day (29 days late).
+
+    Spark filters late rows against the watermark of the previous batch, so
+    the third batch is the first one guaranteed to drop them."""
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    days = ev.select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()
+    first, last = days[0]["d"], days[-1]["d"]
+    src = scratch_path(spark, "late-slices")
+    ev.filter(F.to_date("ts") == last).coalesce(1).write.parquet(f"{src}/slice=0")
+    ev.filter(F.to_date("ts") == days[-2]["d"]).coalesce(1).write.parquet(f"{src}/slice=1")
+    ev.filter(F.to_date("ts") == first).coalesce(1).write.parquet(f"{src}/slice=2")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{src}/slice=*")
+    out, ckpt = scratch_path(spark, "late-out"), scratch_path(spark, "late-ckpt")
+    SS.run_to_table(stream, ["value"], "ts", "1 day", "1 day", out, ckpt)
+    got = {r["window_start"].date() for r in
+           SS.finalize_windows(SS.latest_windows(spark, out), ["value"]).collect()}
+    assert last in got and first not in got
