@@ -99,3 +99,18 @@ def corr_pair(df: DataFrame, x: str, y: str, method: str = "pearson",
               nulls: str = "error") -> DataFrame:
     """Correlation of two columns of the same rows: one row (entry (0, 1))."""
     return corr(df, [x, y], method, nulls).filter((F.col("i") == 0) & (F.col("j") == 1))
+
+
+def to_matrix(long: DataFrame, value: str = "corr"):
+    """Collect a long d x d result as a numpy matrix (d^2 values, bounded by
+    the width) with its column names, for display or driver-side algebra."""
+    import numpy as np
+
+    rows = long.select("i", "j", "col_i", value).collect()
+    d = 1 + max(max(r["i"], r["j"]) for r in rows)
+    m = np.full((d, d), np.nan)
+    names = [""] * d
+    for r in rows:
+        m[r["i"], r["j"]] = r[value]
+        names[r["i"]] = r["col_i"]
+    return m, names

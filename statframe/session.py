@@ -44,7 +44,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch folder; a cluster session without the setting is an error, since a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client; the server's setting applies
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server session")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -99,3 +99,10 @@ def test_wide_blocked_comoments_match_unrolled(spark):
     small = {(r["i"], r["j"]): r["value"] for r in gram.comoments(emb, cols[:3]).collect()}
     for k, v in small.items():
         assert math.isclose(wide[k], v, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_to_matrix(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 5.0)], "a double, b double")
+    m, names = C.to_matrix(C.corr(df, ["a", "b"]))
+    assert names == ["a", "b"] and m.shape == (2, 2) and m[0, 0] == 1.0
+    assert math.isclose(m[0, 1], m[1, 0])
