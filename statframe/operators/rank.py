@@ -44,11 +44,12 @@ def ranked_counts(df: DataFrame, cols, nulls: str = "error", dim: int | None = N
     feats = features(df, cols, dim)
     raw = [cols] if isinstance(cols, str) else list(cols)
     df = apply_null_policy(df, raw, nulls)
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = _cells(df, feats).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return freeze(counts.repartitionByRange(p, "column", "value")
-                  .withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count AQE may merge adjacent range partitions to the
+    # data's size; merged partitions stay in range order, so ids stay ordered.
+    ranged = (counts.repartitionByRange(partitions, "column", "value") if partitions
+              else counts.repartitionByRange("column", "value"))
+    return freeze(ranged.withColumn("_pid", F.spark_partition_id()))
 
 
 def ranks_from_counts(tagged: DataFrame) -> DataFrame:

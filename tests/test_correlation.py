@@ -43,9 +43,11 @@ def test_rank_partition_count_invariant(spark):
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     a = R.value_ranks(li, ["l_extendedprice", "l_discount"], partitions=1)
     b = R.value_ranks(li, ["l_extendedprice", "l_discount"], partitions=8)
+    c = R.value_ranks(li, ["l_extendedprice", "l_discount"])  # AQE-sized range split
     ka = sorted((r["column"], r["value"], r["avg_rank"]) for r in a.collect())
     kb = sorted((r["column"], r["value"], r["avg_rank"]) for r in b.collect())
-    assert ka == kb
+    kc = sorted((r["column"], r["value"], r["avg_rank"]) for r in c.collect())
+    assert ka == kb == kc
 
 
 def test_rank_rejects_nan(spark):
