@@ -93,11 +93,30 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
     """Mergeable summary state per group and column (see module doc)."""
     data, names, keys = _prepare(df, cols, weight, group_by, nulls, dim)
     d = len(names)
+    weighted = weight is not None
+    if d >= WIDE_MIN and not keys:
+        # task states are few (tasks x columns) and are read twice by the
+        # merge: materialise them once in the shared checkpoint folder
+        return merge_states(freeze(_task_states(data, names, keys, weighted)), keys)
     if d >= WIDE_MIN:
-        # task states are few (tasks x groups x columns) and are read twice by
-        # the merge: materialise them once in the shared checkpoint folder
-        return merge_states(freeze(_task_states(data, names, keys, weight is not None)), keys)
-    if weight is None:
+        # grouped and wide: one cell per (row, column), aggregated per
+        # (group, column) with the same codegen'd aggregates as one column
+        cells = data.select(*keys, *(["_w"] if weighted else []), F.inline(F.array(*[
+            F.struct(F.lit(n).alias("column"), F.col(f"_x{i}").alias("_x0"))
+            for i, n in enumerate(names)])))
+        wide = _wide_state(cells, 1, [*keys, "column"], weighted)
+        return wide.select(*keys, "column", *[
+            F.col(src).alias(f) for f, src in
+            zip(STATE_FIELDS, ["n", "w_sum", "w2_sum", "mean_0", "m2_0", "nnz_0", "n_zero_0",
+                               "max_nz_0", "min_nz_0", "norm_l1_0", "l2_sq_0"])])
+    wide = _wide_state(data, d, keys, weighted)
+    return _unpivot(wide, keys, names, {"n": "n", "w_sum": "w_sum", "w2_sum": "w2_sum"})
+
+
+def _wide_state(data: DataFrame, d: int, keys: list[str], weighted: bool) -> DataFrame:
+    """One row per group with n, w_sum, w2_sum and, per feature i, the
+    fields ``<state>_i`` (unrolled built-in aggregates over ``_x{i}``)."""
+    if not weighted:
         aggs = [F.count(F.lit(1)).alias("n")]
         for i in range(d):
             x = F.col(f"_x{i}")
@@ -105,9 +124,8 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
                      (F.var_pop(x) * F.count(x)).alias(f"m2_{i}")]
             aggs += _common_aggs(i, None)
         wide = data.groupBy(*keys).agg(*aggs)
-        wide = wide.withColumn("w_sum", F.col("n").cast("double")).withColumn(
+        return wide.withColumn("w_sum", F.col("n").cast("double")).withColumn(
             "w2_sum", F.col("n").cast("double"))
-        return _unpivot(wide, keys, names, {"n": "n", "w_sum": "w_sum", "w2_sum": "w2_sum"})
 
     w = F.col("_w")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(w).alias("w_sum"),
@@ -132,11 +150,9 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
         F.sum(w * (F.col(f"_x{i}") - means[i]) * (F.col(f"_x{i}") - means[i])).alias(f"m2_{i}")
         for i in range(d)])
     if keys:
-        wide = join_keys(first, m2, keys)
-    else:
-        wide = m2.select("*", *[F.lit(row[c]).cast(first.schema[c].dataType).alias(c)
-                                for c in first.columns])
-    return _unpivot(wide, keys, names, {"n": "n", "w_sum": "w_sum", "w2_sum": "w2_sum"})
+        return join_keys(first, m2, keys)
+    return m2.select("*", *[F.lit(row[c]).cast(first.schema[c].dataType).alias(c)
+                            for c in first.columns])
 
 
 def _task_states(data: DataFrame, names: list[str], keys: list[str],

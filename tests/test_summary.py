@@ -152,5 +152,16 @@ def test_wide_task_states_equal_unrolled(spark, monkeypatch):
         for c in wide:
             for f in FIELDS:
                 assert math.isclose(wide[c][f], narrow[c][f], rel_tol=1e-9, abs_tol=1e-12), (c, f)
-    grouped = S.col_summary(emb, "embedding", group_by=["label"]).collect()
-    assert len(grouped) == 64 * emb.select("label").distinct().count()
+    for weight in (None, "w"):
+        key = lambda r: (r["label"], r["column"])
+        wide = {key(r): r for r in
+                S.col_summary(emb, "embedding", weight=weight, group_by=["label"]).collect()}
+        monkeypatch.setattr(S, "WIDE_MIN", 10**9)
+        narrow = {key(r): r for r in
+                  S.col_summary(emb, "embedding", weight=weight, group_by=["label"]).collect()}
+        monkeypatch.setattr(S, "WIDE_MIN", 24)
+        assert wide.keys() == narrow.keys()
+        assert len(wide) == 64 * emb.select("label").distinct().count()
+        for k in wide:
+            for f in FIELDS:
+                assert math.isclose(wide[k][f], narrow[k][f], rel_tol=1e-9, abs_tol=1e-12), (k, f)
