@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statframe.functions.columns import apply_null_policy, check, features, not_null
+from statframe.operators import rank as rank_mod
 from statframe.operators.rank import attach_ranks, column_sizes, ranked_counts, ranks_from_counts
+from statframe.session import freeze
 from statframe.plans.gram import comoments
 
 NEAR_ZERO = 1e-12  # a variance at or below this is treated as exactly zero
@@ -66,16 +68,42 @@ def pearson(df: DataFrame, cols, nulls: str = "error", dim: int | None = None) -
     return corr_from_cov(cov_matrix(df, cols, nulls, dim))
 
 
-def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None) -> DataFrame:
-    """Pearson correlation of the columns' average ranks."""
+LONG_FORM_MIN = 3  # columns above the broadcast bound from which one long join wins
+
+
+def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
+             row_key: str | None = None) -> DataFrame:
+    """Pearson correlation of the columns' average ranks.
+
+    Ranks are joined back per column while at most two columns exceed the
+    broadcast bound (broadcast joins move no rows).  With more, every such
+    column would cost a shuffle join of the full rows, so the cells go long
+    instead: (row, column, value) joined once with all rank tables on
+    (column, value) and regrouped per row — two shuffles whatever the width.
+    That needs a row identity: ``row_key`` (a unique column) or a generated
+    id, checkpointed so a recomputation cannot renumber rows.
+    """
     feats = features(df, cols, dim)
     raw = [cols] if isinstance(cols, str) else list(cols)
     df = apply_null_policy(df, raw, nulls)
     names = [n for n, _ in feats]
-    base = df.select(*[e.alias(f"_s{i}") for i, (_, e) in enumerate(feats)])
     keys = [f"_s{i}" for i in range(len(names))]
+    extra = [F.col(row_key).alias("_rid")] if row_key else []
+    base = df.select(*extra, *[e.alias(k) for k, (_, e) in zip(keys, feats)])
     tagged = ranked_counts(base, keys, nulls)
-    ranked = attach_ranks(base, keys, ranks_from_counts(tagged), sizes=column_sizes(tagged))
+    sizes = column_sizes(tagged)
+    ranks = ranks_from_counts(tagged)
+    big = [k for k in keys if sizes.get(k, (0, 0))[0] > rank_mod.BROADCAST_ROWS]
+    if len(big) >= LONG_FORM_MIN:
+        if not row_key:
+            base = freeze(base.withColumn("_rid", F.monotonically_increasing_id()))
+        cells = base.select("_rid", F.inline(F.array(*[
+            F.struct(F.lit(k).alias("column"), F.col(k).alias("value")) for k in keys])))
+        joined = cells.join(ranks.select("column", "value", "avg_rank"), ["column", "value"])
+        ranked = (joined.groupBy("_rid").pivot("column", keys).agg(F.first("avg_rank"))
+                  .select(*[F.col(k).alias(f"{k}_rank") for k in keys]))
+    else:
+        ranked = attach_ranks(base, keys, ranks, sizes=sizes)
     cm = comoments(ranked, [F.col(f"{k}_rank") for k in keys])
     n = F.col("n")
     cov = check(n > 1, F.col("value") / (n - 1).cast("double"),

@@ -108,3 +108,16 @@ def test_to_matrix(spark):
     m, names = C.to_matrix(C.corr(df, ["a", "b"]))
     assert names == ["a", "b"] and m.shape == (2, 2) and m[0, 0] == 1.0
     assert math.isclose(m[0, 1], m[1, 0])
+
+
+def test_spearman_long_form_equals_per_column(spark, monkeypatch):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    per_column = matrix(C.corr(li, cols, "spearman"))
+    monkeypatch.setattr(R, "BROADCAST_ROWS", 0)  # every column "too big": long form
+    generated = matrix(C.spearman(li, cols))
+    keyed = matrix(C.spearman(li.withColumn("k", F.monotonically_increasing_id()), cols,
+                              row_key="k"))
+    for k, v in per_column.items():
+        assert math.isclose(generated[k], v, rel_tol=1e-12)
+        assert math.isclose(keyed[k], v, rel_tol=1e-12)
