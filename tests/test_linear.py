@@ -93,3 +93,17 @@ def test_predict_and_roundtrip(spark):
     back = MD.load_linear(spark, path)
     assert back.weights == m.weights and back.intercept == m.intercept
     assert "intercept = " in back.describe()
+
+
+def test_wide_cross_sums_path_matches_unrolled(spark, monkeypatch):
+    from statframe.plans import gram
+
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    cols = [f"e{i}" for i in range(40)]
+    df = emb.select(*[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)],
+                    F.col("label").cast("double").alias("y"))
+    wide = L.train_sgd(df, "y", cols, num_iterations=10, step_size=0.5, intercept=True)
+    monkeypatch.setattr(gram, "UNROLL_MAX", 1000)
+    narrow = L.train_sgd(df, "y", cols, num_iterations=10, step_size=0.5, intercept=True)
+    assert np.allclose(wide.weights, narrow.weights, rtol=1e-9, atol=1e-12)
+    assert math.isclose(wide.intercept, narrow.intercept, rel_tol=1e-9)

@@ -71,3 +71,19 @@ def test_late_rows_beyond_watermark_are_dropped(spark):
     got = {r["window_start"].date() for r in
            SS.finalize_windows(SS.latest_windows(spark, out), ["value"]).collect()}
     assert last in got and first not in got
+
+
+def test_student_pooled_variant(spark):
+    from statframe.functions.special import t_two_sided_p
+
+    moments = spark.createDataFrame(
+        [((None, None), 5, 1.0, 2.0, 7, 2.5, 1.5)],
+        "window struct<start: timestamp, end: timestamp>, n_a long, mean_a double, "
+        "var_a double, n_b long, mean_b double, var_b double")
+    r = AB.t_test(moments, AB.STUDENT).collect()[0]
+    pooled = (4 * 2.0 + 6 * 1.5) / 10
+    t = (1.0 - 2.5) / math.sqrt(pooled * (1 / 5 + 1 / 7))
+    assert math.isclose(r["statistic"], t, rel_tol=1e-12)
+    assert r["degrees_of_freedom"] == 10.0
+    assert math.isclose(r["p_value"], t_two_sided_p(t, 10.0), rel_tol=1e-12)
+    assert r["method"] == "Student's 2-sample t-test"
