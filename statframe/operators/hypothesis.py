@@ -10,6 +10,7 @@ goes through an Arrow UDF (functions/special.py).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,10 @@ INDEPENDENCE = "the occurrence of the outcomes is statistically independent."
 KS_ONE_SAMPLE = "Sample follows theoretical distribution"
 KS_METHOD = "kolmogorov-smirnov"
 
+log = logging.getLogger("statframe")
+
 MAX_CATEGORIES = 10_000  # distinct labels or values per feature in feature tests
+WARN_CATEGORIES = 1_000  # goodness of fit: the approximation degrades beyond this
 SCALE_TOLERANCE = 1e-7   # |sum(observed) - sum(expected)| below this: no rescaling
 
 # The statistic of each supported method, given observed and expected Columns.
@@ -95,6 +99,9 @@ def chisq_gof(observed: DataFrame, expected: DataFrame | None = None,
         raise ValueError("chi-squared statistic undefined for input vectors due to 0.0 "
                          "values in both observed and expected")
     size = totals["size"]
+    if size > WARN_CATEGORIES:
+        log.warning("chi-squared approximation may not be accurate with %d categories "
+                    "(low expected frequencies)", size)
     if size < 2:
         raise ValueError("goodness of fit needs at least two categories (degrees of freedom 0)")
     obs_sum, exp_sum = totals["obs_sum"], totals["exp_sum"]
@@ -212,6 +219,8 @@ def ks_test(df: DataFrame, col: str, cdf: Callable[[Column], Column] | str = "no
             raise ValueError(f"{cdf!r} not supported; current options are ['norm']")
         if params and len(params) != 2:
             raise ValueError("normal distribution requires mean and standard deviation")
+        if not params:
+            log.info("no parameters for the normal distribution: using N(0, 1)")
         mu, sigma = (params if params else (0.0, 1.0))
         cdf_fn = lambda x: special.norm_cdf_col(x, mu, sigma)
     else:
