@@ -74,12 +74,33 @@ def run_update_stream(state: DataFrame, out_path: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
+def run_append_stream(state: DataFrame, out_path: str, checkpoint: str,
+                      available_now: bool = True):
+    """Append mode into a Parquet sink: each window is written once, after the
+    watermark passes its end — the mode for an unbounded stream.  The file
+    sink's log makes the output exactly-once.  Windows still open when a
+    bounded replay ends are not written."""
+    w = (state.writeStream.outputMode("append").format("parquet")
+         .option("path", out_path).option("checkpointLocation", checkpoint))
+    q = w.trigger(availableNow=True).start() if available_now else w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def run_to_table(stream: DataFrame, cols: Sequence[str], time_col: str, window: str,
                  watermark: str, out_path: str, checkpoint: str,
-                 group_by: Sequence[str] = ()) -> None:
-    """Windowed summary state of ``stream`` written to ``out_path``."""
-    run_update_stream(windowed_state(stream, cols, time_col, window, watermark, group_by),
-                      out_path, checkpoint)
+                 group_by: Sequence[str] = (), mode: str = "update") -> None:
+    """Windowed summary state of ``stream`` written to ``out_path``
+    (``mode`` "update": every version, read with ``latest_windows``;
+    "append": finished windows only, read the folder directly)."""
+    state = windowed_state(stream, cols, time_col, window, watermark, group_by)
+    if mode == "append":
+        run_append_stream(state, out_path, checkpoint)
+    elif mode == "update":
+        run_update_stream(state, out_path, checkpoint)
+    else:
+        raise ValueError(f"mode must be 'update' or 'append', got {mode!r}")
 
 
 def latest_windows(spark, out_path: str, group_by: Sequence[str] = ()) -> DataFrame:
