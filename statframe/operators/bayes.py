@@ -182,7 +182,11 @@ def fit_sparse(cells: DataFrame, row_labels: DataFrame, row: str = "row_id",
     grid = vocab.select("feature", F.explode(label_arr).alias("label"))
     full = grid.join(sums, ["label", "feature"], "left").select(
         "label", "feature", F.coalesce(F.col("s"), F.lit(0.0)).alias("s"))
-    return _build(labels_counts, full, int(d), model_type, smoothing)
+    model = _build(labels_counts, full, int(d), model_type, smoothing)
+    # the completed table is the model (labels x features) and is read by every
+    # scoring pass and the Bernoulli constants: materialise it once
+    model.cond = freeze(model.cond)
+    return model
 
 
 # ------------------------------------------------------------------ scoring

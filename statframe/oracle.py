@@ -58,14 +58,19 @@ def summary_sql(table: str, cols: list[str], keys: list[str] = ()) -> str:
     return _sig_select(inner, [(k, False) for k in keys] + SUMMARY_COLS)
 
 
-def weighted_summary_sql(table: str, cols: list[str], w: str) -> str:
+def weighted_summary_sql(table: str, cols: list[str], w: str, keys: list[str] = ()) -> str:
+    keys = list(keys)
+    kp = "".join(f"b.{k}, " for k in keys)
+    kg = "".join(f"{k}, " for k in keys)
+    grp = f" GROUP BY {', '.join('b.' + k for k in keys)}" if keys else ""
+    join = f"b JOIN m USING ({', '.join(keys)})" if keys else "b, m"
     mean_defs = ", ".join(f"sum({w} * {c}) / sum({w}) AS m_{c}" for c in cols)
     parts = []
     for c in cols:
         nz = f"{c} <> 0 AND NOT isnan({c})"
         zeros = f"count(*) FILTER (WHERE {c} = 0)"
         parts.append(
-            f"SELECT '{c}' AS \"column\", count(*) AS count, any_value(m.m_{c}) AS mean, "
+            f"SELECT {kp}'{c}' AS \"column\", count(*) AS count, any_value(m.m_{c}) AS mean, "
             f"CASE WHEN any_value(m.ws) - any_value(m.w2) / any_value(m.ws) > 0 THEN "
             f"sum({w} * ({c} - m.m_{c}) * ({c} - m.m_{c})) / "
             f"(any_value(m.ws) - any_value(m.w2) / any_value(m.ws)) ELSE 0.0 END AS variance, "
@@ -75,11 +80,12 @@ def weighted_summary_sql(table: str, cols: list[str], w: str) -> str:
             f"CASE WHEN {zeros} > 0 THEN least(coalesce(min({c}) FILTER (WHERE {nz}), "
             f"{DOUBLE_MAX}), 0.0) ELSE coalesce(min({c}) FILTER (WHERE {nz}), {DOUBLE_MAX}) END AS min, "
             f"sum({w} * abs({c})) AS norm_l1, sqrt(sum({w} * {c} * {c})) AS norm_l2 "
-            f"FROM b, m")
+            f"FROM {join}{grp}")
     inner = (f"WITH b AS (SELECT * FROM {table} WHERE {w} > 0), "
-             f"m AS (SELECT sum({w}) AS ws, sum({w} * {w}) AS w2, {mean_defs} FROM b) "
+             f"m AS (SELECT {kg}sum({w}) AS ws, sum({w} * {w}) AS w2, {mean_defs} FROM b"
+             f"{' GROUP BY ' + ', '.join(keys) if keys else ''}) "
              + " UNION ALL ".join(parts))
-    return _sig_select(inner, SUMMARY_COLS)
+    return _sig_select(inner, [(k, False) for k in keys] + SUMMARY_COLS)
 
 
 LINEITEM_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -87,6 +93,8 @@ LINEITEM_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 ORACLE["col_summary"] = summary_sql("lineitem", LINEITEM_NUM)
 ORACLE["col_summary_weighted"] = weighted_summary_sql(
     "lineitem", ["l_extendedprice", "l_discount", "l_tax"], "l_quantity")
+ORACLE["col_summary_weighted_grouped"] = weighted_summary_sql(
+    "lineitem", ["l_extendedprice", "l_discount"], "l_quantity", ["l_returnflag"])
 ORACLE["col_summary_grouped"] = summary_sql("events", ["value"], ["event_type"])
 ORACLE["col_summary_embeddings"] = _sig_select(
     "WITH cells AS (SELECT generate_subscripts(embedding, 1) AS i, "
@@ -601,3 +609,31 @@ ORACLE["stream_ab_test"] = _sig_select(
     "'Both groups have same mean' AS null_hypothesis FROM s",
     [("day", False), ("p_value", "p"), ("degrees_of_freedom", True), ("statistic", True),
      ("method", False), ("null_hypothesis", False)])
+
+
+ORACLE["nb_bernoulli_doc"] = _sig_select(
+    "WITH toks AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) "
+    "  AS term FROM documents), "
+    "cells AS (SELECT DISTINCT doc_id, term FROM toks WHERE term <> ''), "
+    "lab AS (SELECT doc_id, toxic AS label FROM labels), "
+    "tr AS (SELECT c.doc_id, c.term, l.label FROM cells c JOIN lab l USING (doc_id)), "
+    "vocab AS (SELECT DISTINCT term FROM tr), "
+    "labs AS (SELECT label, count(*) AS n FROM lab GROUP BY label), "
+    "tot AS (SELECT sum(n) AS n, count(*) AS c FROM labs), "
+    "prior AS (SELECT label, ln(labs.n + 1.0) - ln(tot.n + tot.c * 1.0) AS pi FROM labs, tot), "
+    "s AS (SELECT label, term, CAST(count(*) AS DOUBLE) AS s FROM tr GROUP BY ALL), "
+    "cond AS (SELECT labs.label, vocab.term, ln(coalesce(s.s, 0.0) + 1.0) - ln(labs.n + 2.0) "
+    "  AS theta FROM labs CROSS JOIN vocab "
+    "  LEFT JOIN s ON s.label = labs.label AND s.term = vocab.term), "
+    "neg AS (SELECT label, sum(ln(1 - exp(theta))) AS ns FROM cond GROUP BY label), "
+    "contrib AS (SELECT c.doc_id, cond.label, sum(cond.theta - ln(1 - exp(cond.theta))) AS v "
+    "  FROM cells c JOIN cond USING (term) GROUP BY ALL), "
+    "score AS (SELECT d.doc_id, p.label, p.pi + neg.ns + coalesce(contrib.v, 0.0) AS s "
+    "  FROM documents d CROSS JOIN prior p JOIN neg ON neg.label = p.label LEFT JOIN contrib "
+    "  ON contrib.doc_id = d.doc_id AND contrib.label = p.label), "
+    "ranked AS (SELECT doc_id, label, s, row_number() OVER (PARTITION BY doc_id "
+    "  ORDER BY s DESC, label ASC) AS rn, max(s) OVER (PARTITION BY doc_id) AS m FROM score), "
+    "post AS (SELECT doc_id, label, rn, exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY doc_id) "
+    "  AS probability FROM ranked) "
+    "SELECT doc_id, label AS prediction, probability FROM post WHERE rn = 1",
+    [("doc_id", False), ("prediction", False), ("probability", "p")])

@@ -49,6 +49,14 @@ def q_col_summary_weighted(spark, sf):
                                  weight="l_quantity"))
 
 
+@query
+def q_col_summary_weighted_grouped(spark, sf):
+    """Weighted by quantity, per return flag (two passes joined on the flag)."""
+    li = table(spark, sf, "lineitem")
+    return rounded(S.col_summary(li, ["l_extendedprice", "l_discount"], weight="l_quantity",
+                                 group_by=["l_returnflag"]))
+
+
 @query
 def q_col_summary_grouped(spark, sf):
     ev = table(spark, sf, "events")
@@ -262,6 +270,20 @@ def q_nb_doc_quality(spark, sf):
                                      value="tf", with_probability=True))
 
 
+@query
+def q_nb_bernoulli_doc(spark, sf):
+    """Bernoulli naive Bayes on term presence: the toxic flag of labelled
+    documents, scoring every document (absent terms count through the
+    per-class sum of ln(1 - p))."""
+    docs = table(spark, sf, "documents")
+    cells = freeze(TX.term_presence(TX.term_counts(docs, "doc_id", "text")))
+    labels = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = NB.fit_sparse(cells, labels, row="doc_id", feature="term", value="tf",
+                          model_type=NB.BERNOULLI)
+    return rounded(NB.predict_sparse(model, cells, docs, row="doc_id", feature="term",
+                                     value="tf", with_probability=True))
+
+
 # ---------------------------------------------------------- linear regression
 
 LR_FEATURES = ["x_qty", "x_disc", "x_tax"]
