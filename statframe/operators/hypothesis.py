@@ -15,6 +15,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statframe.functions import special
 from statframe.functions.columns import apply_null_policy, check, not_null
@@ -183,9 +184,13 @@ def chisq_features(df: DataFrame, label: str, features: Sequence[str],
     """
     features = list(features)
     df = apply_null_policy(df, [label, *features], nulls)
-    lab = not_null(F.col(label).cast("string"), label)
+    lab = not_null(F.col(label), label)
+    # stacked values share one column: doubles when every feature is numeric
+    # (cheap to hash), else strings
+    numeric = all(isinstance(df.schema[f].dataType, T.NumericType) for f in features)
+    vtype = "double" if numeric else "string"
     structs = [F.struct(F.lit(i).alias("feature_index"), F.lit(f).alias("feature"),
-                        not_null(F.col(f).cast("string"), f).alias("_r"))
+                        not_null(F.col(f).cast(vtype), f).alias("_r"))
                for i, f in enumerate(features)]
     stacked = df.select(lab.alias("_c"), F.inline(F.array(*structs)))
     cells = stacked.groupBy("feature_index", "feature", "_r", "_c").agg(
