@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from statframe.functions import special
 from statframe.functions.columns import apply_null_policy, check, not_null
-from statframe.operators.rank import column_sizes, ranked_counts, ranks_from_counts
+from statframe.operators.rank import ranked_counts, ranks_from_counts
 
 PEARSON = "pearson"
 GOODNESS_OF_FIT = "observed follows the same distribution as expected."
@@ -232,16 +232,15 @@ def ks_test(df: DataFrame, col: str, cdf: Callable[[Column], Column] | str = "no
         cdf_fn = cdf
     df = apply_null_policy(df, [col], nulls)
     tagged = ranked_counts(df, [col], nulls)
-    counts = ranks_from_counts(tagged).select("value", "n", "below")
-    n = column_sizes(tagged).get(col, (0, 0))[1]  # one number, from the small checkpoint
-    if not n:
-        raise ValueError("Kolmogorov-Smirnov test needs at least one value")
+    counts = ranks_from_counts(tagged).select("value", "n", "below", "total")
     f = cdf_fn(F.col("value"))
-    nn = F.lit(float(n))
+    nn = F.col("total").cast("double")
     dist = F.greatest(F.abs(F.col("below") / nn - f), F.abs((F.col("below") + F.col("n")) / nn - f))
-    agg = counts.agg(F.max(dist).alias("_d"))
+    agg = counts.agg(F.max(dist).alias("_d"), F.max("total").alias("_n"))
+    n = check(F.coalesce(F.col("_n"), F.lit(0)) > 0, F.col("_n"),
+              "Kolmogorov-Smirnov test needs at least one value")
     stat = F.col("_d")
-    return agg.select(special.ks_pvalue_udf(stat, F.lit(n).cast("long")).alias("p_value"),
+    return agg.select(special.ks_pvalue_udf(stat, n).alias("p_value"),
                       F.lit(0).alias("degrees_of_freedom"), stat.alias("statistic"),
                       F.lit(KS_METHOD).alias("method"),
                       F.lit(KS_ONE_SAMPLE).alias("null_hypothesis"))

@@ -53,7 +53,8 @@ def ranked_counts(df: DataFrame, cols, nulls: str = "error", dim: int | None = N
 
 
 def ranks_from_counts(tagged: DataFrame) -> DataFrame:
-    """``(column, value, n, below, avg_rank)`` from ``ranked_counts`` (step 3)."""
+    """``(column, value, n, below, avg_rank, total)`` from ``ranked_counts``
+    (step 3); ``total`` is the column's row count, from the small offsets table."""
     local = tagged.withColumn("_cum", F.sum("n").over(
         Window.partitionBy("_pid", "column").orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -61,11 +62,13 @@ def ranks_from_counts(tagged: DataFrame) -> DataFrame:
                .withColumn("_off", F.coalesce(F.sum("_tot").over(
                    Window.partitionBy("column").orderBy("_pid")
                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("column", "_pid", "_off"))
+               .withColumn("total", F.sum("_tot").over(Window.partitionBy("column")))
+               .select("column", "_pid", "_off", "total"))
     ranked = local.join(F.broadcast(offsets), ["column", "_pid"])
     below = F.col("_off") + F.col("_cum") - F.col("n")
     return ranked.select("column", "value", "n", below.alias("below"),
-                         (below.cast("double") + (F.col("n") - 1) / F.lit(2.0)).alias("avg_rank"))
+                         (below.cast("double") + (F.col("n") - 1) / F.lit(2.0)).alias("avg_rank"),
+                         "total")
 
 
 def column_sizes(tagged: DataFrame) -> dict[str, tuple[int, int]]:

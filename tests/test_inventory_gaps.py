@@ -53,3 +53,9 @@ def test_ks_small_sample_matches_builtin_matrix_method(spark):
     r = H.ks_test(spark.createDataFrame([(v,) for v in x], "x double"), "x").collect()[0]
     assert math.isclose(r["statistic"], ref.statistic, rel_tol=1e-12)
     assert math.isclose(r["p_value"], ref.pValue, rel_tol=1e-9)
+
+
+def test_ks_empty_input_is_an_error(spark):
+    df = spark.createDataFrame([], "x double")
+    with pytest.raises(Exception, match="at least one value"):
+        H.ks_test(df, "x").collect()
