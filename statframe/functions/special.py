@@ -261,3 +261,13 @@ def norm_cdf_col(x: Column, mu: float = 0.0, sigma: float = 1.0) -> Column:
     if not sigma > 0:
         raise ValueError("standard deviation must be positive")
     return _std_norm_cdf_udf((x - F.lit(float(mu))) / F.lit(float(sigma)))
+
+
+def numpy_cdf(fn) -> "Callable[[Column], Column]":
+    """Wrap a vectorised numpy CDF (array -> array) as a Column -> Column
+    function for ``ks_test``: evaluated per Arrow batch of distinct values."""
+    @F.pandas_udf(T.DoubleType())
+    def _cdf(v: pd.Series) -> pd.Series:
+        return pd.Series(np.asarray(fn(v.to_numpy(dtype=np.float64)), dtype=np.float64))
+
+    return lambda c: _cdf(c)

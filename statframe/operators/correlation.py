@@ -142,3 +142,15 @@ def to_matrix(long: DataFrame, value: str = "corr"):
         m[r["i"], r["j"]] = r[value]
         names[r["i"]] = r["col_i"]
     return m, names
+
+
+def corr_paired(x: DataFrame, y: DataFrame, key: str, x_col: str, y_col: str,
+                method: str = "pearson", nulls: str = "error") -> DataFrame:
+    """Correlation of two samples held in different DataFrames, paired by a
+    caller key (the DataFrame form of zipping two sample collections):
+    an equi-join on ``key`` (AQE broadcasts a small side, splits skew),
+    then the same-row pair correlation."""
+    left = x.select(F.col(key), F.col(x_col).alias("_x"))
+    right = y.select(F.col(key), F.col(y_col).alias("_y"))
+    out = corr_pair(left.join(right, key), "_x", "_y", method, nulls)
+    return out.withColumn("col_i", F.lit(x_col)).withColumn("col_j", F.lit(y_col))

@@ -59,3 +59,25 @@ def test_ks_empty_input_is_an_error(spark):
     df = spark.createDataFrame([], "x double")
     with pytest.raises(Exception, match="at least one value"):
         H.ks_test(df, "x").collect()
+
+
+def test_corr_paired_by_key_equals_same_row(spark):
+    from statframe.operators import correlation as C
+
+    li = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    x = li.select("o_orderkey", "o_totalprice")
+    y = li.select("o_orderkey", (F.col("o_custkey") * 1.0).alias("c"))
+    a = C.corr_paired(x, y, "o_orderkey", "o_totalprice", "c").collect()[0]["corr"]
+    b = C.corr_pair(li.withColumn("c", F.col("o_custkey") * 1.0), "o_totalprice", "c") \
+        .collect()[0]["corr"]
+    assert math.isclose(a, b, rel_tol=1e-12)
+
+
+def test_ks_numpy_cdf_equals_column_cdf(spark):
+    from statframe.functions.special import numpy_cdf
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    a = H.ks_test(ev, "value", numpy_cdf(lambda v: 1 - np.exp(-v / 50.0))).collect()[0]
+    b = H.ks_test(ev, "value", lambda c: 1 - F.exp(-c / 50.0)).collect()[0]
+    assert math.isclose(a["statistic"], b["statistic"], rel_tol=1e-12)
+    assert math.isclose(a["p_value"], b["p_value"], rel_tol=1e-9)
