@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statframe.functions.columns import join_keys
 from statframe.operators.summary import _common_aggs, _unpivot, finalize
 
 
@@ -108,4 +109,4 @@ def latest_windows(spark, out_path: str, group_by: Sequence[str] = ()) -> DataFr
     keys = ["window", *group_by]
     raw = spark.read.parquet(out_path)
     last = raw.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
-    return raw.join(last, [*keys, "batch_id"]).drop("batch_id")
+    return join_keys(raw, last, [*keys, "batch_id"]).drop("batch_id")
