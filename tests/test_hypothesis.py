@@ -138,3 +138,12 @@ def test_special_functions():
     assert math.isclose(special.norm_cdf(1.0), 0.8413447460685429, rel_tol=1e-15)
     assert special.ks_cdf(0.01, 10) == 0.0
     assert math.isclose(special.t_two_sided_p(0.0, 5.0), 1.0)
+
+
+def test_vectorised_normal_cdf_matches_erfc():
+    import numpy as np
+
+    z = np.concatenate([np.linspace(-45, 45, 4001), np.random.default_rng(5).normal(0, 3, 5000)])
+    got = special.std_norm_cdf_np(z)
+    want = np.array([special.norm_cdf(v) for v in z])
+    assert np.abs(got - want).max() < 2e-15
