@@ -520,6 +520,9 @@ ORACLE["mvn_outliers"] = _sig_select(
 
 ORACLE["nb_model_roundtrip"] = ORACLE["nb_multinomial_fit"]
 ORACLE["linreg_model_roundtrip"] = ORACLE["linreg_sgd_intercept"]
+ORACLE["stream_summary_by_type"] = summary_sql(
+    "(SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, value FROM events) AS ev",
+    ["value"], ["day", "event_type"])
 ORACLE["stream_summary"] = summary_sql(
     "(SELECT CAST(date_trunc('day', ts) AS DATE) AS day, value FROM events) AS ev",
     ["value"], ["day"])

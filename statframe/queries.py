@@ -432,6 +432,18 @@ def q_stream_summary(spark, sf):
                    .drop("window_start", "window_end"))
 
 
+@query
+def q_stream_summary_by_type(spark, sf):
+    """Daily summaries per event type from a stream (grouped windows)."""
+    out, ckpt = scratch_path(spark, "stream-type"), scratch_path(spark, "stream-type-ckpt")
+    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "1 day", out, ckpt,
+                    group_by=["event_type"])
+    res = SS.finalize_windows(SS.latest_windows(spark, out, ["event_type"]), ["value"],
+                              ["event_type"])
+    return rounded(res.withColumn("day", F.to_date("window_start"))
+                   .drop("window_start", "window_end"))
+
+
 @query
 def q_stream_ab_test(spark, sf):
     """Daily Welch t-test: value of purchase events against all other events."""
