@@ -72,7 +72,7 @@ LONG_FORM_MIN = 3  # columns above the broadcast bound from which one long join
 
 
 def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
-             row_key: str | None = None) -> DataFrame:
+             row_key: str | None = None, long_form: bool | None = None) -> DataFrame:
     """Pearson correlation of the columns' average ranks.
 
     Ranks are joined back per column while at most two columns exceed the
@@ -81,7 +81,8 @@ def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
     instead: (row, column, value) joined once with all rank tables on
     (column, value) and regrouped per row — two shuffles whatever the width.
     That needs a row identity: ``row_key`` (a unique column) or a generated
-    id, checkpointed so a recomputation cannot renumber rows.
+    id, checkpointed so a recomputation cannot renumber rows.  ``long_form``
+    forces either plan (None: choose by the checked sizes).
     """
     feats = features(df, cols, dim)
     raw = [cols] if isinstance(cols, str) else list(cols)
@@ -94,7 +95,7 @@ def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
     sizes = column_sizes(tagged)
     ranks = ranks_from_counts(tagged)
     big = [k for k in keys if sizes.get(k, (0, 0))[0] > rank_mod.BROADCAST_ROWS]
-    if len(big) >= LONG_FORM_MIN:
+    if long_form or (long_form is None and len(big) >= LONG_FORM_MIN):
         if not row_key:
             base = freeze(base.withColumn("_rid", F.monotonically_increasing_id()))
         cells = base.select("_rid", F.inline(F.array(*[

@@ -165,6 +165,7 @@ ORACLE["corr_pearson_pair"] = pearson_sql(
     "lineitem", [], [(0, 1, "l_quantity", "l_extendedprice")])
 ORACLE["corr_from_cov"] = pearson_sql("customer", CUST)
 ORACLE["corr_spearman_matrix"] = spearman_sql("lineitem", LINEITEM_NUM)
+ORACLE["corr_spearman_long"] = spearman_sql("lineitem", LINEITEM_NUM)
 ORACLE["corr_spearman_pair"] = spearman_sql(
     "lineitem", ["l_discount", "l_tax"], [(0, 1, "l_discount", "l_tax")])
 ORACLE["avg_rank"] = _sig_select(
@@ -588,8 +589,9 @@ def _ibeta_sql(x: str, a: str, b: str, terms: int = 6000) -> str:
     def side(xx, aa, bb):
         front = (f"exp(({aa}) * ln({xx}) + ({bb}) * ln(1 - ({xx})) - lgamma({aa}) - lgamma({bb}) "
                  f"+ lgamma(({aa}) + ({bb})))")
+        # one exponent per term: the Pochhammer ratio alone can overflow
         series = (f"(SELECT sum(exp(lgamma(({aa}) + ({bb}) + k) - lgamma(({aa}) + ({bb})) "
-                  f"- lgamma(({aa}) + 1 + k) + lgamma(({aa}) + 1)) * pow({xx}, k)) "
+                  f"- lgamma(({aa}) + 1 + k) + lgamma(({aa}) + 1) + k * ln({xx}))) "
                   f"FROM range(0, {terms}) AS bt(k))")
         return f"({front} / ({aa}) * {series})"
     return (f"(CASE WHEN ({x}) >= 1 THEN 1.0 WHEN ({x}) <= 0 THEN 0.0 "
@@ -640,3 +642,19 @@ ORACLE["nb_bernoulli_doc"] = _sig_select(
     "  AS probability FROM ranked) "
     "SELECT doc_id, label AS prediction, probability FROM post WHERE rn = 1",
     [("doc_id", False), ("prediction", False), ("probability", "p")])
+
+ORACLE["stream_ab_test_student"] = _sig_select(
+    "WITH ev AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS day, value, "
+    "  event_type = 'purchase' AS trt FROM events), "
+    "m AS (SELECT day, count(*) FILTER (WHERE NOT trt) AS na, avg(value) FILTER (WHERE NOT trt) AS ma, "
+    "  var_samp(value) FILTER (WHERE NOT trt) AS va, count(*) FILTER (WHERE trt) AS nb, "
+    "  avg(value) FILTER (WHERE trt) AS mb, var_samp(value) FILTER (WHERE trt) AS vb "
+    "  FROM ev GROUP BY day), "
+    "s AS (SELECT day, CAST(na + nb - 2 AS DOUBLE) AS dof, "
+    "  (ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1.0 / na + 1.0 / nb)) "
+    "  AS stat FROM m) "
+    f"SELECT day, {_ibeta_sql('dof / (dof + stat * stat)', 'dof / 2', '0.5')} AS p_value, "
+    "dof AS degrees_of_freedom, stat AS statistic, 'Student''s 2-sample t-test' AS method, "
+    "'Both groups have same mean' AS null_hypothesis FROM s",
+    [("day", False), ("p_value", "p"), ("degrees_of_freedom", True), ("statistic", True),
+     ("method", False), ("null_hypothesis", False)])

@@ -121,6 +121,13 @@ def q_corr_spearman_matrix(spark, sf):
     return rounded(C.corr(table(spark, sf, "lineitem"), LINEITEM_NUM, "spearman"))
 
 
+@query
+def q_corr_spearman_long(spark, sf):
+    """Spearman through the long-form plan: cells joined once with all rank
+    tables and regrouped per (generated, checkpointed) row id."""
+    return rounded(C.spearman(table(spark, sf, "lineitem"), LINEITEM_NUM, long_form=True))
+
+
 @query
 def q_corr_spearman_pair(spark, sf):
     return rounded(C.corr_pair(table(spark, sf, "lineitem"), "l_discount", "l_tax", "spearman"))
@@ -444,6 +451,18 @@ def q_stream_summary_by_type(spark, sf):
                    .drop("window_start", "window_end"))
 
 
+@query
+def q_stream_ab_test_student(spark, sf):
+    """Daily Student (pooled variance) t-test of purchase values vs the rest."""
+    out, ckpt = scratch_path(spark, "stream-st"), scratch_path(spark, "stream-st-ckpt")
+    moments = AB.windowed_moments(_event_stream(spark, sf), "value",
+                                  F.col("event_type") == "purchase", "ts", "1 day", "1 day")
+    SS.run_update_stream(moments, out, ckpt)
+    res = AB.t_test(SS.latest_windows(spark, out), AB.STUDENT)
+    return rounded(res.withColumn("day", F.to_date("window_start"))
+                   .drop("window_start", "window_end"))
+
+
 @query
 def q_stream_ab_test(spark, sf):
     """Daily Welch t-test: value of purchase events against all other events."""
