@@ -76,6 +76,14 @@ class NaiveBayesModel:
                 f"features={self.num_features}, smoothing={self.smoothing})")
 
 
+def label_order(value):
+    """Sort key of a label as Spark orders them (NaN after every number):
+    the C label rows are sorted on the driver, no distributed sort needed."""
+    if isinstance(value, float) and math.isnan(value):
+        return (1, 0.0)
+    return (0, value)
+
+
 def _check_params(model_type: str, smoothing: float):
     if model_type not in MODEL_TYPES:
         raise ValueError(f"model type {model_type!r} is not supported; use one of {MODEL_TYPES}")
@@ -136,7 +144,8 @@ def fit(df: DataFrame, label: str, cols: Sequence[str], model_type: str = MULTIN
     data = df.select(not_null(F.col(label), label).alias("label"), *xs)
     agg = data.groupBy("label").agg(F.count(F.lit(1)).alias("_n"),
                                     *[F.sum(f"_x{j}").alias(f"_s{j}") for j in range(len(cols))])
-    rows = agg.orderBy("label").collect()  # C rows of D sums: the size of the model itself
+    # C rows of D sums: the size of the model itself
+    rows = sorted(agg.collect(), key=lambda r: label_order(r["label"]))
     labels_counts = [(r["label"], r["_n"]) for r in rows]
     if not labels_counts:
         raise ValueError("naive Bayes needs at least one labelled row")
@@ -166,7 +175,8 @@ def fit_sparse(cells: DataFrame, row_labels: DataFrame, row: str = "row_id",
     # the sufficient statistics are the model (C x features rows): materialised
     # once in the shared checkpoint folder, so scoring does not re-read the data
     sums = freeze(joined.groupBy("label", "feature").agg(F.sum("_x").alias("s")))
-    counts = lab.groupBy("label").agg(F.count(F.lit(1)).alias("_n")).orderBy("label").collect()
+    counts = sorted(lab.groupBy("label").agg(F.count(F.lit(1)).alias("_n")).collect(),
+                    key=lambda r: label_order(r["label"]))
     labels_counts = [(r["label"], r["_n"]) for r in counts]  # C rows
     if not labels_counts:
         raise ValueError("naive Bayes needs at least one labelled row")

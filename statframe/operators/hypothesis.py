@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from statframe.functions import special
 from statframe.functions.columns import apply_null_policy, check, not_null
 from statframe.operators.rank import ranked_counts, ranks_from_counts
+from statframe.session import freeze
 
 PEARSON = "pearson"
 GOODNESS_OF_FIT = "observed follows the same distribution as expected."
@@ -78,6 +79,7 @@ def chisq_gof(observed: DataFrame, expected: DataFrame | None = None,
                               not_null(F.col(expected_col).cast("double"),
                                        expected_col).alias("_e"))
         cells = obs.join(exp, "_cat", "full_outer")
+    cells = freeze(cells)  # categories: read by the checks and by the statistic
     e = F.col("_e")
     totals = cells.agg(
         F.count(F.lit(1)).alias("size"),
@@ -166,9 +168,9 @@ def chisq_independence(table: DataFrame, row: str = "row", col: str = "col",
     """
     n = not_null(F.col(count).cast("double"), count)
     n = check(~(n < 0), n, "contingency table cannot contain negative entries")
-    cells = (table.select(not_null(F.col(row), row).alias("_r"),
-                          not_null(F.col(col), col).alias("_c"), n.alias("_n"))
-             .groupBy("_r", "_c").agg(F.sum("_n").alias("_n")))
+    cells = freeze(table.select(not_null(F.col(row), row).alias("_r"),
+                                not_null(F.col(col), col).alias("_c"), n.alias("_n"))
+                   .groupBy("_r", "_c").agg(F.sum("_n").alias("_n")))
     per, stat, dof, p = _independence(cells, [], method, check_margins=True)
     return _finish(per, stat, dof, method, INDEPENDENCE, p)
 
@@ -193,8 +195,10 @@ def chisq_features(df: DataFrame, label: str, features: Sequence[str],
                         not_null(F.col(f).cast(vtype), f).alias("_r"))
                for i, f in enumerate(features)]
     stacked = df.select(lab.alias("_c"), F.inline(F.array(*structs)))
-    cells = stacked.groupBy("feature_index", "feature", "_r", "_c").agg(
-        F.count(F.lit(1)).cast("double").alias("_n"))
+    # the contingency cells (bounded by the category caps) feed the margins,
+    # the totals and the statistic: checkpoint them so the data is read once
+    cells = freeze(stacked.groupBy("feature_index", "feature", "_r", "_c").agg(
+        F.count(F.lit(1)).cast("double").alias("_n")))
     keys = ["feature_index", "feature"]
     per, stat, dof, p = _independence(cells, keys, method, check_margins=False)
     per = per.withColumn("_nr", check(F.col("_nr") <= MAX_CATEGORIES, F.col("_nr"),

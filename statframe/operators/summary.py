@@ -136,6 +136,10 @@ def _wide_state(data: DataFrame, d: int, keys: list[str], weighted: bool) -> Dat
     first = data.groupBy(*keys).agg(*aggs)
     for i in range(d):
         first = first.withColumn(f"mean_{i}", F.col(f"wx_{i}") / F.col("w_sum"))
+    if keys:
+        # one row per group, read by the second pass and by the final join:
+        # checkpoint it so the first pass over the data runs once
+        first = freeze(first)
     # Second pass: central moment against the first pass's weighted means.
     mean_cols = [f"mean_{i}" for i in range(d)]
     if keys:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statframe.operators.bayes import MULTINOMIAL, NaiveBayesModel
+from statframe.operators.bayes import MULTINOMIAL, NaiveBayesModel, label_order
 from statframe.operators.linear import LinearModel
 
 NB_CLASS = "statframe.NaiveBayesModel"
@@ -87,7 +87,7 @@ def load_nb(spark: SparkSession, path: str) -> NaiveBayesModel:
         if got != exp:
             raise ValueError(f"stored {name} schema {got} does not match {exp}")
     num_classes, num_features = int(meta["numClasses"]), int(meta["numFeatures"])
-    pis = prior.orderBy("label").collect()  # C rows
+    pis = sorted(prior.collect(), key=lambda r: label_order(r["label"]))  # C rows
     if len(pis) != num_classes:
         raise ValueError(f"expected {num_classes} classes, found {len(pis)}")
     shape = cond.groupBy("label").agg(F.count(F.lit(1)).alias("k")).agg(
