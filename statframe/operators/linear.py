@@ -137,9 +137,22 @@ def train_sgd(df: DataFrame, label: str, cols: Sequence[str], num_iterations: in
     exprs = [*xs, F.lit(1.0), y]
     k = d + 2
     scale = np.ones(d)
+    S_full = None
     if feature_scaling:
-        var = df.agg(*[F.var_samp(x).alias(f"v{j}") for j, x in enumerate(xs)]).collect()[0]
-        std = np.array([math.sqrt(var[f"v{j}"]) if var[f"v{j}"] is not None else 0.0
+        var_aggs = [F.var_samp(f"_e{j}").alias(f"v{j}") for j in range(d)]
+        proj = df.select(*[e.alias(f"_e{j}") for j, e in enumerate(exprs)])
+        if k <= UNROLL_MAX and mini_batch_fraction >= 1.0:
+            # one pass: the standard deviations ride along with the cross sums
+            row = proj.agg(*var_aggs, *[
+                F.sum(F.col(f"_e{i}") * F.col(f"_e{j}")).alias(f"s_{i}_{j}")
+                for i in range(k) for j in range(i, k)]).collect()[0]
+            S_full = np.zeros((k, k))
+            for i in range(k):
+                for j in range(i, k):
+                    S_full[i, j] = S_full[j, i] = row[f"s_{i}_{j}"]
+        else:
+            row = proj.agg(*var_aggs).collect()[0]
+        std = np.array([math.sqrt(row[f"v{j}"]) if row[f"v{j}"] is not None else 0.0
                         for j in range(d)])
         scale = np.where(std != 0, 1.0 / np.where(std != 0, std, 1.0), 0.0)
     # scaling and bias as one transform of the statistics
@@ -161,7 +174,7 @@ def train_sgd(df: DataFrame, label: str, cols: Sequence[str], num_iterations: in
         w0[d] = 1.0
 
     if mini_batch_fraction >= 1.0:
-        S = _collect_square(cross_sums(df, exprs), k)
+        S = S_full if S_full is not None else _collect_square(cross_sums(df, exprs), k)
         A, b, yy, n = split(S)
         w, iters, losses = _sgd(A, b, yy, w0, num_iterations, step_size, convergence_tol,
                                 batch=lambda i: (A, b, yy, n))

@@ -76,3 +76,15 @@ def test_feature_tests_scan_the_table_once(spark):
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 0  # the data was read once, into the checkpoint
+
+
+def test_scaled_sgd_is_one_aggregate(spark):
+    from statframe.operators import linear as L
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plain = _jobs_in(spark, "sgd-plain", lambda: L.train_sgd(
+        li, "l_extendedprice", ["l_quantity", "l_tax"], num_iterations=5, step_size=0.1))
+    scaled = _jobs_in(spark, "sgd-scaled", lambda: L.train_sgd(
+        li, "l_extendedprice", ["l_quantity", "l_tax"], num_iterations=5, step_size=0.1,
+        feature_scaling=True))
+    assert len(scaled) == len(plain)
