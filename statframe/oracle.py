@@ -582,7 +582,7 @@ ORACLE["linreg_minibatch"] = sgd_minibatch_sql(
     LR_BASE, "l_orderkey * 16 + l_linenumber", LR_NAMES, 100, 0.1, 512)
 
 
-def _ibeta_sql(x: str, a: str, b: str, terms: int = 6000) -> str:
+def _ibeta_sql(x: str, a: str, b: str, terms: int = 50000) -> str:
     """Regularized incomplete beta I_x(a, b) by its hypergeometric series
     x^a (1-x)^b / (a B(a, b)) * sum_n (a+b)_n / (a+1)_n x^n, taken on the side
     of the symmetry I_x(a, b) = 1 - I_{1-x}(b, a) where it converges fast."""
