@@ -26,9 +26,10 @@ def _one_block_per_core(x: DataFrame) -> DataFrame:
     keeps every core busy and bounds the merge by cores x d^2."""
     try:
         cores = x.sparkSession.sparkContext.defaultParallelism
+        parts = x.rdd.getNumPartitions()
     except Exception:  # Spark Connect: leave the partitioning alone
         return x
-    return x.coalesce(cores) if x.rdd.getNumPartitions() > cores else x
+    return x.coalesce(cores) if parts > cores else x
 
 
 def _long_from_wide(wide: DataFrame, d: int, prefix: str, symmetric: bool = True) -> DataFrame:
