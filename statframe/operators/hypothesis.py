@@ -199,6 +199,16 @@ def chisq_features(df: DataFrame, label: str, features: Sequence[str],
     # the totals and the statistic: checkpoint them so the data is read once
     cells = freeze(stacked.groupBy("feature_index", "feature", "_r", "_c").agg(
         F.count(F.lit(1)).cast("double").alias("_n")))
+    # exact cap check on the small checkpoint (one row per feature), before
+    # any margin is built; the label's categories are the same for every feature
+    for r in cells.groupBy("feature").agg(F.count_distinct("_r").alias("v"),
+                                          F.count_distinct("_c").alias("l")).collect():
+        if r["l"] > MAX_CATEGORIES:
+            raise ValueError(f"the label {label!r} has {r['l']} distinct values; "
+                             f"at most {MAX_CATEGORIES} are allowed")
+        if r["v"] > MAX_CATEGORIES:
+            raise ValueError(f"feature {r['feature']!r} has {r['v']} distinct values; "
+                             f"at most {MAX_CATEGORIES} are allowed")
     keys = ["feature_index", "feature"]
     per, stat, dof, p = _independence(cells, keys, method, check_margins=False)
     per = per.withColumn("_nr", check(F.col("_nr") <= MAX_CATEGORIES, F.col("_nr"),

@@ -81,3 +81,12 @@ def test_ks_numpy_cdf_equals_column_cdf(spark):
     b = H.ks_test(ev, "value", lambda c: 1 - F.exp(-c / 50.0)).collect()[0]
     assert math.isclose(a["statistic"], b["statistic"], rel_tol=1e-12)
     assert math.isclose(a["p_value"], b["p_value"], rel_tol=1e-9)
+
+
+def test_t5_category_cap(spark, monkeypatch):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    monkeypatch.setattr(H, "MAX_CATEGORIES", 5)
+    with pytest.raises(ValueError, match="feature 'l_tax' has 9 distinct values"):
+        H.chisq_features(li, "l_linestatus", ["l_returnflag", "l_tax"])
+    with pytest.raises(ValueError, match="label 'l_quantity'"):
+        H.chisq_features(li, "l_quantity", ["l_returnflag"])
