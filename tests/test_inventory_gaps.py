@@ -90,3 +90,26 @@ def test_t5_category_cap(spark, monkeypatch):
         H.chisq_features(li, "l_linestatus", ["l_returnflag", "l_tax"])
     with pytest.raises(ValueError, match="label 'l_quantity'"):
         H.chisq_features(li, "l_quantity", ["l_returnflag"])
+
+
+def test_term_counts_and_tf_idf_match_brute_force(spark):
+    import re
+    from collections import Counter
+
+    from statframe.functions import text as TX
+
+    docs = [(1, "The cat sat; the CAT ran."), (2, "A dog, a cat!"), (3, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    counts = TX.term_counts(df, "doc_id", "text")
+    got = {(r["doc_id"], r["term"]): r["tf"] for r in counts.collect()}
+    want = {}
+    for d, t in docs:
+        for term, c in Counter(re.findall("[a-z0-9]+", t.lower())).items():
+            want[(d, term)] = float(c)
+    assert got == want
+    n_docs = len({d for d, _ in want})
+    dfreq = Counter(term for _, term in want)
+    tfidf = {(r["doc_id"], r["term"]): r["tf"] for r in TX.tf_idf(counts, "doc_id").collect()}
+    for (d, term), tf in want.items():
+        assert math.isclose(tfidf[(d, term)], tf * math.log((n_docs + 1) / (dfreq[term] + 1)))
+    assert {r["tf"] for r in TX.term_presence(counts).collect()} == {1.0}
