@@ -179,3 +179,19 @@ def test_many_group_rollup_equals_direct(spark):
     for k in direct:
         for f in FIELDS:
             assert math.isclose(merged[k][f], direct[k][f], rel_tol=1e-12), (k, f)
+
+
+def test_grouped_sparse_equals_dense(spark):
+    dense = spark.createDataFrame(
+        [("g1", 0, 1.0, 0.0), ("g1", 1, 0.0, -2.0), ("g1", 2, 0.0, 0.0),
+         ("g2", 3, 4.0, 0.5), ("g2", 4, 2.0, 0.0)], "g string, rid int, a double, b double")
+    cells = dense.select("g", "rid", F.inline(F.array(
+        F.struct(F.lit(0).alias("idx"), F.col("a").alias("value")),
+        F.struct(F.lit(1).alias("idx"), F.col("b").alias("value"))))).filter("value != 0")
+    rows = dense.groupBy("g").agg(F.count(F.lit(1)).alias("_rows"))
+    sp = {(r["g"], r["column"]): r for r in
+          S.sparse_summary(cells, row_id="rid", num_rows=rows, group_by=["g"]).collect()}
+    dn = {(r["g"], r["column"]): r for r in S.col_summary(dense, ["a", "b"], group_by=["g"]).collect()}
+    for g in ("g1", "g2"):
+        for sname, dname in (("x[0]", "a"), ("x[1]", "b")):
+            assert close([sp[(g, sname)][f] for f in FIELDS], [dn[(g, dname)][f] for f in FIELDS])
