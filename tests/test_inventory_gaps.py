@@ -113,3 +113,16 @@ def test_term_counts_and_tf_idf_match_brute_force(spark):
     for (d, term), tf in want.items():
         assert math.isclose(tfidf[(d, term)], tf * math.log((n_docs + 1) / (dfreq[term] + 1)))
     assert {r["tf"] for r in TX.term_presence(counts).collect()} == {1.0}
+
+
+def test_input_guards(spark):
+    from statframe.functions.columns import apply_null_policy, features
+
+    df = spark.createDataFrame([(1.0,)], "x double")
+    with pytest.raises(ValueError, match="nulls must be one of"):
+        apply_null_policy(df, ["x"], "ignore")
+    empty = spark.createDataFrame([], "v array<double>")
+    with pytest.raises(ValueError, match="empty dataset"):
+        features(empty, "v")
+    with pytest.raises(ValueError, match="at least one feature"):
+        features(df, [])
