@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statframe.llm import decontaminate as DC
 from statframe.llm import exact_dedup as ED
 from statframe.llm import id_files as IF
+from statframe.llm import license_scan as LS
 from statframe.llm import packing as PK
 from statframe.llm import token_counts as TC
 from statframe.session import scratch_path, table
@@ -63,3 +65,54 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 WINDOW g AS (PARTITION BY t)
 """
+
+
+@query
+def op8_decontaminate(spark, sf):
+    """Document words inside 10-word windows of benchmark items."""
+    got = DC.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"), size=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return got.select("doc_id", "n_words", n_hit.alias("n_hit"),
+                      F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+                      .alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE["op8_decontaminate"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  coalesce({_WORDS}, []) AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+win AS (SELECT DISTINCT item_id, w[p:p + 9] AS ws
+        FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS p
+              FROM i WHERE len(w) > 0)),
+key AS (SELECT item_id, len(ws) AS n, array_to_string(ws, ' ') AS k FROM win),
+lens AS (SELECT DISTINCT n FROM key),
+place AS (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM d, lens WHERE len(w) >= n),
+hit AS (SELECT r, p, key.n, item_id FROM place JOIN key
+        ON key.n = place.n AND key.k = array_to_string(w[p:p + place.n - 1], ' ')),
+word AS (SELECT r, count(DISTINCT x) AS n_hit
+         FROM (SELECT r, unnest(range(p, p + n)) AS x FROM hit) GROUP BY r),
+item AS (SELECT r, count(DISTINCT item_id) AS n_items,
+                string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+         FROM hit GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (r) LEFT JOIN item USING (r)
+"""
+
+
+@query
+def op9_license_scan(spark, sf):
+    """Licence phrases and notices in every document."""
+    got = LS.scan(table(spark, sf, "documents"))
+    base = F.array_join(F.array_sort(F.array_distinct("phrases.label")), ",")
+    both = F.array_join(F.array_sort(F.array_union("phrases.label", "blocks.label")), ",")
+    score = F.when(F.size("phrases") > 0, F.lit(1.0)).otherwise(
+        F.coalesce(F.array_max("blocks.containment"), F.lit(0.0)))
+    return got.select("doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"),
+                      F.array_min("phrases.start").alias("first_word"),
+                      F.array_max("phrases.start").alias("last_word"), base.alias("base_labels"),
+                      both.alias("labels"), score.alias("score"))
