@@ -56,7 +56,7 @@ class Transducer:
     token count against the current one.
     """
 
-    def __init__(self, path: str, most_states: int = 400_000):
+    def __init__(self, path: str, most_states: int = 80_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         alphabet = _byte_alphabet()
@@ -102,7 +102,7 @@ class Transducer:
                     # at equal rank the merge further left comes first
                     if r is not None and r < until_x and r <= until_y:
                         got = False
-            if len(self.seam) > 2_000_000:
+            if len(self.seam) > 2 * self.most_states:
                 self.seam.clear()
             self.seam[a, b] = got
         return got
@@ -154,7 +154,7 @@ class Counter:
 
         self.fst = Transducer(path)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.cache = PieceCache(self._solve, sum)
+        self.cache = PieceCache(self._solve, sum, 200_000)
         self.special = re.compile("|".join(map(re.escape, self.fst.special))) \
             if self.fst.special else None
 
