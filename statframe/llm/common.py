@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statframe.session import scratch_path
+from statframe.ship import ship
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -43,6 +44,7 @@ def lower_az(col: Column) -> Column:
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on; a null text counts as empty.  Other columns,
     whatever their names, are left behind here."""
+    ship(docs.sparkSession)
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 

@@ -14,6 +14,7 @@ from statframe.llm import id_files as IF
 from statframe.llm import license_scan as LS
 from statframe.llm import packing as PK
 from statframe.llm import token_counts as TC
+from statframe.llm import toxicity as TX
 from statframe.session import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +117,13 @@ def op9_license_scan(spark, sf):
                       F.array_min("phrases.start").alias("first_word"),
                       F.array_max("phrases.start").alias("last_word"), base.alias("base_labels"),
                       both.alias("labels"), score.alias("score"))
+
+
+@query
+def op7_toxicity(spark, sf):
+    """Expected severity of every document, by the model fitted on the labelled sample."""
+    docs = table(spark, sf, "documents")
+    got = TX.score(docs, TX.fit(docs, table(spark, sf, "labels")))
+    return got.select("doc_id", "n_words", "grade", F.round("severity", 9).alias("severity"),
+                      F.round("p_toxic", 9).alias("p_toxic"),
+                      (F.col("p_toxic") >= 0.5).alias("toxic"))

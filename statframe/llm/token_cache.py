@@ -26,7 +26,7 @@ class PieceCache:
     worker's memory does not grow with the corpus."""
 
     def __init__(self, solve: Callable[[list[str]], list], join: Callable[[Iterable], object],
-                 most: int = 500_000):
+                 most: int = 250_000):
         self.solve, self.join, self.most = solve, join, most
         self.words: dict[str, object] = {"": None}
         self.pieces: dict[str, object] = {}
@@ -78,7 +78,7 @@ def library_tokenizer(path: str):
     return _LOADED[path]
 
 
-def id_cache(path: str, most: int = 400_000) -> PieceCache:
+def id_cache(path: str, most: int = 250_000) -> PieceCache:
     """Token ids (little-endian unsigned 32-bit) of whole texts, as the tokenizers library gives
     them without added special tokens."""
     import numpy as np
