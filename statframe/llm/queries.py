@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from statframe.llm import decontaminate as DC
 from statframe.llm import exact_dedup as ED
+from statframe.llm import hmm_lm as LM
 from statframe.llm import id_files as IF
 from statframe.llm import license_scan as LS
 from statframe.llm import packing as PK
@@ -127,3 +128,12 @@ def op7_toxicity(spark, sf):
     return got.select("doc_id", "n_words", "grade", F.round("severity", 9).alias("severity"),
                       F.round("p_toxic", 9).alias("p_toxic"),
                       (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+@query
+def op3_hmm_lm(spark, sf):
+    """Log10 likelihood of every document under the hidden Markov model."""
+    held = "crc32(cast(coalesce(cast(doc_id AS string), '') AS binary)) % 7 = 2"
+    got = LM.score(table(spark, sf, "documents"), held)
+    return got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
+                      F.col("base").alias("base_score"), "score")
