@@ -107,7 +107,7 @@ def encode_documents(docs: DataFrame, vocab: str, end_id: int, id_col: str = "do
 
     def run(batches):
         cache = id_cache(vocab)
-        for b in text_groups(batches):
+        for b in text_groups(batches, 1 << 18):
             ids = [x + end for x in cache.whole(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())],
                                              names=["doc_id", "ids"])

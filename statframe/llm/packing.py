@@ -111,7 +111,7 @@ def pack(docs: DataFrame, vocab: str, separator_id: int, capacity: int = 1024, p
             docs_waiting = 0
 
         cache = id_cache(vocab)
-        for b in text_groups(batches):
+        for b in text_groups(batches, 1 << 18):
             for doc, ids in zip(b.column("doc_id").to_pylist(),
                                 cache.whole(b.column("text").to_pylist())):
                 ids += end

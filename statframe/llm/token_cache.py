@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable
 
 #: letters in every Unicode version that a tokenizer may have been built with
@@ -20,48 +22,66 @@ PIECES = re.compile(
     rf"|.+?(?:\S(?=[ \n])|[{_LETTER}](?=[.,;:!?]))|.+", re.S)
 
 
+class _Memory:
+    """Results by key in ``known``.  Past ``most`` entries it keeps those that were asked for
+    again, or, if these are too many, none: a worker's memory does not grow with the corpus."""
+
+    def __init__(self, most: int):
+        self.known: dict[str, object] = {}
+        self.most, self.again = most, set()
+
+    def missing(self, keys: set) -> set:
+        """The keys without a result; makes room for them."""
+        new = keys.difference(self.known)
+        if len(self.known) + len(new) > self.most:
+            keep = self.again if len(self.again) < self.most // 2 else set()
+            self.known = {k: self.known[k] for k in keep}
+            self.again = set()
+            new = keys.difference(self.known)
+        self.again.update(keys.difference(new))
+        return new
+
+
 class PieceCache:
-    """``solve(list of pieces)`` gives one value per piece; ``values(text)`` the values of a
-    text's pieces in order.  Both memories are emptied when they hold ``most`` entries, so a
-    worker's memory does not grow with the corpus."""
+    """``solve(list of pieces)`` gives one value per piece, ``join(values)`` the value of a text;
+    ``whole`` remembers up to ``most`` words and three times as many pieces, the dearer ones."""
 
     def __init__(self, solve: Callable[[list[str]], list], join: Callable[[Iterable], object],
                  most: int = 250_000):
-        self.solve, self.join, self.most = solve, join, most
-        self.words: dict[str, object] = {"": None}
-        self.pieces: dict[str, object] = {}
+        self.solve, self.join = solve, join
+        self.words, self.pieces = _Memory(most), _Memory(3 * most)
 
-    def _learn(self, pieces: Iterable[str]) -> None:
-        new = list(set(pieces).difference(self.pieces))
-        for piece, value in zip(new, self.solve(new) if new else ()):
-            self.pieces[piece] = value
+    def _learn(self, pieces: set[str]) -> dict:
+        new = list(self.pieces.missing(pieces))
+        if new:
+            self.pieces.known.update(zip(new, self.solve(new)))
+        return self.pieces.known
 
     def whole(self, texts: list[str]) -> list:
         """One joined value per text."""
-        if len(self.words) > self.most:
-            self.words = {"": None}
-        if len(self.pieces) > self.most:
-            self.pieces = {}
         split = [t.replace("\n", " \n").split(" ") for t in texts]
-        new = list(set().union(*(s[1:] for s in split)).difference(self.words))
         # a blank belongs to the word after it; a word ending in white space can't stand alone
-        cut = [None if w[-1].isspace() else PIECES.findall(w if w[0] == "\n" else " " + w)
-               for w in new]
+        new = {w: PIECES.findall(w if w[0] == "\n" else " " + w)
+               for w in self.words.missing(set().union(*(s[1:] for s in split)))
+               if w and not w[-1].isspace()}
         heads = [PIECES.findall(s[0]) if s[0] and not s[0][-1].isspace() else None
                  for s in split]
-        self._learn(p for c in (*cut, *heads) if c for p in c)
-        got = self.pieces
-        for w, c in zip(new, cut):
-            self.words[w] = None if c is None else self.join([got[p] for p in c])
+        got = self._learn({p for c in (*new.values(), *heads) if c for p in c})
+        words = self.words.known
+        for w, c in new.items():
+            words[w] = got[c[0]] if len(c) == 1 else self.join([got[p] for p in c])
+        heads = [h and [got[p] for p in h] for h in heads]
         out = []
-        for text, s, head in zip(texts, split, heads):
-            parts = None if head is None else list(map(self.words.__getitem__, s[1:]))
-            if parts is None or None in parts:
+        for text, s, parts in zip(texts, split, heads):
+            try:
+                if parts is None:
+                    raise KeyError
+                parts += map(words.__getitem__, s[1:])
+            except KeyError:  # a word that can't stand alone
                 pieces = PIECES.findall(text)
-                self._learn(pieces)
-                out.append(self.join([self.pieces[p] for p in pieces]))
-            else:
-                out.append(self.join([got[p] for p in head] + parts))
+                got = self._learn(set(pieces))
+                parts = [got[p] for p in pieces]
+            out.append(self.join(parts))
         return out
 
 
@@ -74,6 +94,8 @@ def library_tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are written as little-endian 32-bit words")
         _LOADED[path] = Tokenizer.from_file(path)
     return _LOADED[path]
 
@@ -81,14 +103,12 @@ def library_tokenizer(path: str):
 def id_cache(path: str, most: int = 250_000) -> PieceCache:
     """Token ids (little-endian unsigned 32-bit) of whole texts, as the tokenizers library gives
     them without added special tokens."""
-    import numpy as np
-
     key = f"ids:{path}"
     if key not in _LOADED:
         tok = library_tokenizer(path)
 
         def solve(pieces):
-            return [np.array(e.ids, dtype="<u4").tobytes()
+            return [array("I", e.ids).tobytes()
                     for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
         _LOADED[key] = PieceCache(solve, b"".join, most)

@@ -154,7 +154,7 @@ class Counter:
 
         self.fst = Transducer(path)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.cache = PieceCache(self._solve, sum, 200_000)
+        self.cache = PieceCache(self._solve, sum, 120_000)
         self.special = re.compile("|".join(map(re.escape, self.fst.special))) \
             if self.fst.special else None
 
