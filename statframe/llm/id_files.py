@@ -7,7 +7,7 @@ block is one record of a Parquet file:
                 vocabulary allows it, else 4 (``id_bytes``)
 * ``ends``      Elias-Fano code of the documents' end offsets in the block
 * ``docs``      Elias-Fano code of doc_id - ``first_doc`` (null ids come first; ``n_null``)
-* ``shard``, ``block``, ``n_docs``, ``n_ids``
+* ``shard``, ``block``, ``n_docs``, ``n_ids``, ``before`` (the shard's ids before the block)
 
 An Elias-Fano code keeps the low bits of each value packed side by side and the
 high bits in unary, about ``2 + log2(range / n)`` bits a value in all; ``EliasFano.select``
@@ -22,10 +22,11 @@ doc_ids: all kept, next to each other, in text order.  Empty input: no blocks.
 from __future__ import annotations
 
 import struct
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statframe.llm.common import id_text, stored, text_groups
@@ -37,7 +38,7 @@ BLOCK_IDS = 1 << 20
 SAMPLE = 256
 
 BLOCK_SCHEMA = ("shard int, block int, n_docs long, n_null long, first_doc long, n_ids long, "
-                "id_bytes int, docs binary, ends binary, ids binary")
+                "before long, id_bytes int, docs binary, ends binary, ids binary")
 
 
 class EliasFano:
@@ -135,12 +136,12 @@ def write_id_files(docs: DataFrame, path: str, vocab: str, end_id: int, id_col:
                    .mapInArrow(narrow, "doc_id long, ids binary"), "coded")
     n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def block(shard, k, doc_ids, parts):
+    def block(shard, k, before, doc_ids, parts):
         known = np.array([d for d in doc_ids if d is not None], np.int64)
         first = int(known[0]) if len(known) else 0
         ends = np.cumsum([len(p) // width for p in parts])
         gaps = known.astype(np.uint64) - np.uint64(first & 0xFFFFFFFFFFFFFFFF)
-        return [shard, k, len(parts), len(parts) - len(known), first, int(ends[-1]), width,
+        return [shard, k, len(parts), len(parts) - len(known), first, int(ends[-1]), before, width,
                 EliasFano.encode(gaps), EliasFano.encode(ends), b"".join(parts)]
 
     def blocks(batches):
@@ -148,18 +149,18 @@ def write_id_files(docs: DataFrame, path: str, vocab: str, end_id: int, id_col:
 
         shard = TaskContext.get().partitionId()
         names = [f.split()[0] for f in BLOCK_SCHEMA.split(", ")]
-        types = [pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.int32(), *[pa.binary()] * 3]
-        ids, parts, held, k = [], [], 0, 0
+        types = [pa.int32(), pa.int32(), *[pa.int64()] * 5, pa.int32(), *[pa.binary()] * 3]
+        ids, parts, held, k, before = [], [], 0, 0, 0
 
         def out():
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(block(shard, k, ids, parts), types)], names=names)
+                [pa.array([v], t) for v, t in zip(block(shard, k, before, ids, parts), types)], names=names)
 
         for b in batches:
             for d, x in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
                 if parts and held + len(x) // width > block_ids:
                     yield out()
-                    ids, parts, held, k = [], [], 0, k + 1
+                    ids, parts, held, k, before = [], [], 0, k + 1, before + held
                 ids.append(d)
                 parts.append(x)
                 held += len(x) // width
@@ -175,30 +176,24 @@ def read_id_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): the documents of id files; ids as little-endian unsigned
     32-bit, ``start`` the number of ids of all documents before."""
     files = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    # one row per block, then one per shard: running sums over them, not over documents
-    sizes = files.select("shard", "block", "n_ids")
-    per_shard = sizes.groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    before = per_shard.select("shard", (F.sum("n").over(
-        Window.orderBy("shard")) - F.col("n")).alias("shard_start"))
-    in_shard = Window.partitionBy("shard").orderBy("block")
-    starts = (sizes.withColumn("in_shard", F.sum("n_ids").over(in_shard) - F.col("n_ids"))
-              .join(before, "shard")
-              .select("shard", "block", (F.col("shard_start") + F.col("in_shard")).alias("start")))
+    # one row per shard comes back: as many as the ranges that were asked for when writing
+    sizes = files.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()
+    begin = dict(zip((r.shard for r in sizes), accumulate((r.n for r in sizes), initial=0)))
 
     def run(batches):
         for b in batches:
-            for r in b.slice(0).to_pylist():
+            for r in b.to_pylist():
                 ends = EliasFano(r["ends"]).all()
                 known = EliasFano(r["docs"]).all() + r["first_doc"]
                 ids = np.frombuffer(r["ids"], f"<u{r['id_bytes']}").astype("<u4", copy=False)
                 lo = np.concatenate([[0], ends[:-1]])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([None] * r["n_null"] + known.tolist(), pa.int64()),
-                     pa.array(lo + r["start"], pa.int64()), pa.array(ends - lo, pa.int64()),
+                     pa.array(lo + begin[r["shard"]] + r["before"], pa.int64()), pa.array(ends - lo, pa.int64()),
                      pa.array([ids[i:j].tobytes() for i, j in zip(lo, ends)], pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"])
 
-    return files.join(starts, ["shard", "block"]).mapInArrow(
+    return files.mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -47,7 +47,7 @@ class PieceCache:
     ``whole`` remembers up to ``most`` words and three times as many pieces, the dearer ones."""
 
     def __init__(self, solve: Callable[[list[str]], list], join: Callable[[Iterable], object],
-                 most: int = 250_000):
+                 most: int = 200_000):
         self.solve, self.join = solve, join
         self.words, self.pieces = _Memory(most), _Memory(3 * most)
 
@@ -100,7 +100,7 @@ def library_tokenizer(path: str):
     return _LOADED[path]
 
 
-def id_cache(path: str, most: int = 250_000) -> PieceCache:
+def id_cache(path: str, most: int = 200_000) -> PieceCache:
     """Token ids (little-endian unsigned 32-bit) of whole texts, as the tokenizers library gives
     them without added special tokens."""
     key = f"ids:{path}"
