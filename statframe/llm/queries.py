@@ -13,6 +13,7 @@ from statframe.llm import exact_dedup as ED
 from statframe.llm import hmm_lm as LM
 from statframe.llm import id_files as IF
 from statframe.llm import license_scan as LS
+from statframe.llm import near_dedup as ND
 from statframe.llm import packing as PK
 from statframe.llm import token_counts as TC
 from statframe.llm import toxicity as TX
@@ -137,3 +138,11 @@ def op3_hmm_lm(spark, sf):
     got = LM.score(table(spark, sf, "documents"), held)
     return got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
                       F.col("base").alias("base_score"), "score")
+
+
+@query
+def op2_near_dedup(spark, sf):
+    """Components of near-duplicate documents."""
+    got = ND.near_dedup(table(spark, sf, "documents"))
+    return got.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
+                                             F.lit(False)))
