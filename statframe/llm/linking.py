@@ -71,8 +71,8 @@ def link(candidates: DataFrame, verify: Callable[[DataFrame], DataFrame], turn:
     shared = stored(candidates.join(hubs.filter("hub != last").drop("last"), "key").distinct(),
                     "buckets")
     first = (shared.filter("node != hub").groupBy("node", "hub").count()
-             .groupBy("node").agg(F.max(F.struct("count", (-F.col("hub")).alias("hub"))).alias("x"))
-             .select(F.col("node").alias("a"), (-F.col("x.hub")).alias("b")))
+             .groupBy("node").agg(F.max(F.struct("count", "hub")).alias("x"))
+             .select(F.col("node").alias("a"), F.col("x.hub").alias("b")))
     tested = stored(first, "tested")
     edges = stored(verify(tested), "links")
     labels = stored(components(edges), "labels")

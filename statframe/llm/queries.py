@@ -13,6 +13,7 @@ from statframe.llm import exact_dedup as ED
 from statframe.llm import hmm_lm as LM
 from statframe.llm import id_files as IF
 from statframe.llm import license_scan as LS
+from statframe.llm import line_dedup as LD
 from statframe.llm import near_dedup as ND
 from statframe.llm import packing as PK
 from statframe.llm import token_counts as TC
@@ -146,3 +147,10 @@ def op2_near_dedup(spark, sf):
     got = ND.near_dedup(table(spark, sf, "documents"))
     return got.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
                                              F.lit(False)))
+
+
+@query
+def op10_line_dedup(spark, sf):
+    """Every compared line with its component; one line of each stays."""
+    got = LD.line_links(table(spark, sf, "documents"))
+    return got.select("doc_id", "line_no", "component", "kept")

@@ -1,0 +1,130 @@
+"""Fuzzy lines against all pairs of lines."""
+
+import random
+from collections import Counter
+
+import pytest
+from odd import empty, frame, rows
+
+from statframe.llm import line_dedup
+from statframe.llm.line_dedup import CHARS, MIN_CHARS
+
+
+def runs(line):
+    return {line[i:i + CHARS] for i in range(len(line) - CHARS + 1)}
+
+
+def brute(docs, percent=80):
+    """Documents' lines that stay, by index, among distinct (id, text) rows."""
+    every = [(d is None, d or 0, t, k, x) for d, t in {(r[0], r[1]) for r in docs}
+             for k, x in enumerate((t or "").split("\n")) if len(x) >= MIN_CHARS]
+    distinct = sorted({e[4] for e in every})
+    sets = [runs(x) for x in distinct]
+    root = list(range(len(distinct)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(distinct)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    at = {x: find(i) for i, x in enumerate(distinct)}
+    groups = {}
+    for no_id, d, t, k, x in every:
+        groups.setdefault(at[x], set()).add((None if no_id else d, t, k))
+    return groups
+
+
+def corpus(seed=1):
+    rng = random.Random(seed)
+    word = ["".join(rng.choice("bcdfgklmnprstvz") + rng.choice("aeiou") for _ in range(
+        rng.randrange(1, 4))) for _ in range(500)]
+    pool = [" ".join(rng.choice(word) for _ in range(rng.choice([5, 8, 15, 60])))
+            for _ in range(25)] + ["中文字" + "".join(chr(0x4E00 + rng.randrange(2000)) for _ in
+                                                range(60)) for _ in range(3)]
+    out = rows(10)
+    for n in range(80):
+        lines = []
+        for _ in range(rng.randrange(1, 6)):
+            x = rng.choice(pool) if rng.random() < 0.5 else " ".join(
+                rng.choice(word) for _ in range(12))
+            if rng.random() < 0.4:  # one word changed
+                at = rng.randrange(len(x))
+                x = x[:at] + rng.choice("xyzq") + x[at + 1:]
+            lines.append(x)
+        lines.insert(rng.randrange(len(lines) + 1), rng.choice(["", "short line", "ok"]))
+        out.append((20_000 + n, "\n".join(lines), "en", "s", n, "", "", 0, "", 0, ""))
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_against_all_pairs(spark, seed):
+    docs = corpus(seed)
+    got = line_dedup.line_links(frame(spark, docs)).distinct().collect()
+    want = brute(docs)
+    texts = {}
+    for d, t, *_ in docs:
+        texts.setdefault(d, set()).add(t)
+    by_component = {}
+    single = {d for d, ts in texts.items() if len(ts) == 1 and d is not None}
+    for r in got:
+        if r.doc_id in single:
+            by_component.setdefault(r.component, set()).add((r.doc_id, r.line_no))
+    assert Counter(map(frozenset, by_component.values())) == Counter(
+        frozenset(x) for x in ({(d, k) for d, _, k in g if d in single} for g in want.values())
+        if x)
+    assert sum(r.kept for r in got) == len(want)
+    kept = {(r.doc_id, r.line_no) for r in got if r.kept}
+    for g in want.values():
+        if all(d in single for d, _, _ in g):
+            first = min((d, k) for d, _, k in g)
+            assert (first[0], first[1]) in kept
+
+
+def test_drop_lines_keeps_everything_else(spark):
+    docs = corpus(4)
+    df = frame(spark, docs)
+    links = line_dedup.line_links(df)
+    got = line_dedup.drop_lines(df, links)
+    assert got.columns == df.columns
+    gone = {(r.doc_id, r.line_no) for r in links.filter("not kept").collect()}
+    have = {(r.doc_id, r.text) for r in got.collect()}
+    for d, t, *_ in docs:
+        if d is not None and d >= 100:
+            lines = (t or "").split("\n")
+            stay = [x for k, x in enumerate(lines) if (d, k) not in gone]
+            assert ((d, "\n".join(stay)) in have) == bool(stay)
+    assert (None, None) in have and (2, "") in have
+
+
+def test_repeated_rows_are_one_document(spark):
+    line = "a line that is long enough to be compared"
+    data = [(1, line), (1, line), (2, line), (None, line)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = line_dedup.line_links(df).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.kept) for r in got) == [
+        (False, 1, True), (False, 1, True), (False, 2, False), (True, 0, False)]
+    left = line_dedup.drop_lines(df, line_dedup.line_links(df))
+    assert [r.doc_id for r in left.collect()] == [1, 1]
+
+
+def test_no_rows_and_bounds(spark):
+    assert line_dedup.line_links(empty(spark)).count() == 0
+    assert line_dedup.drop_lines(empty(spark), line_dedup.line_links(empty(spark))).count() == 0
+    with pytest.raises(ValueError):
+        line_dedup.line_links(empty(spark), min_chars=CHARS - 1)
+
+
+def test_no_python_in_the_plan_and_one_exchange(spark):
+    df = frame(spark, corpus(5))
+    buckets = line_dedup._buckets(line_dedup._lines(line_dedup.id_text(df), MIN_CHARS))
+    plan = buckets._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    links = line_dedup.line_links(df)
+    for name in ("Python", "Arrow", "Pandas"):
+        assert name not in links._jdf.queryExecution().toString()
