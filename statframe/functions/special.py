@@ -10,10 +10,14 @@ and numpy are used.
 * ``norm_cdf(x, mu, sigma)`` — 0.5 erfc(-(x-mu)/(sigma sqrt 2)), with the
   +-40 sigma cut of the usual implementation.
 * ``ks_cdf(d, n)`` — P(D_n <= d) of the one-sample two-sided Kolmogorov
-  statistic: exact closed forms near 0 and 1, the Marsaglia-Tsang-Wang /
-  Durbin matrix method for n <= 140 and the Pelz-Good asymptotic series
-  above (Simard & L'Ecuyer 2011 give both; the split at 140 is the usual
-  choice).
+  statistic: exact closed forms near 0 and 1, 1 once n d^2 > 18 (the tail is
+  below 2 exp(-36)), the Durbin matrix method with rescaling for n <= 140 and
+  the Pelz-Good asymptotic series, summed to convergence, above (Simard &
+  L'Ecuyer 2011 give both; the split at 140 is the usual choice).
+
+All sums run until their terms no longer matter; where that would take too
+many terms (degrees of freedom beyond ``LARGE_DF``) a normal approximation
+with an error below 1e-9 takes over.
 """
 
 from __future__ import annotations
@@ -27,20 +31,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EPS = 1e-15
-MAX_ITER = 100_000
+LARGE_DF = 1e9       # chi-squared: beyond, Wilson-Hilferty's cube-root normal form
+LARGE_T_DF = 1e6     # Student t: beyond, the normal tail of the corrected quantile
+KS_TAIL = 18.0       # n d^2 from which P(D_n > d) <= 2 exp(-36) counts as 0
+
+
+def _power_term(a: float, x: float) -> float:
+    """x^a e^-x / Gamma(a), without the cancellation of lgamma at large a."""
+    if a < 100:
+        return math.exp(-x + a * math.log(x) - math.lgamma(a))
+    u = (x - a) / a
+    stirling = 1 / (12 * a) - 1 / (360 * a ** 3) + 1 / (1260 * a ** 5)
+    return math.exp(-a * (u - math.log1p(u)) - stirling) * math.sqrt(a / (2 * math.pi))
 
 
 def _gamma_p_series(a: float, x: float) -> float:
     term = 1.0 / a
     total = term
     ap = a
-    for _ in range(MAX_ITER):
+    while abs(term) >= abs(total) * EPS:
         ap += 1.0
         term *= x / ap
         total += term
-        if abs(term) < abs(total) * EPS:
-            break
-    return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
+    return total * _power_term(a, x)
 
 
 def _gamma_q_fraction(a: float, x: float) -> float:
@@ -49,7 +62,9 @@ def _gamma_q_fraction(a: float, x: float) -> float:
     c = 1.0 / tiny
     d = 1.0 / b
     h = d
-    for i in range(1, MAX_ITER):
+    i, delta = 0, 0.0
+    while abs(delta - 1.0) >= EPS:
+        i += 1
         an = -i * (i - a)
         b += 2.0
         d = an * d + b
@@ -61,9 +76,7 @@ def _gamma_q_fraction(a: float, x: float) -> float:
         d = 1.0 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1.0) < EPS:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
+    return _power_term(a, x) * h
 
 
 def gamma_q(a: float, x: float) -> float:
@@ -83,6 +96,10 @@ def chi2_sf(x: float, df: float) -> float:
     """P(X > x) for X ~ chi-squared(df)."""
     if x is None or df is None:
         return math.nan
+    if df > LARGE_DF and 0 < x < math.inf:
+        v = 2.0 / (9.0 * df)
+        z = ((x / df) ** (1.0 / 3.0) - (1.0 - v)) / math.sqrt(v)
+        return 0.5 * math.erfc(z / math.sqrt(2.0))
     return gamma_q(df / 2.0, x / 2.0)
 
 
@@ -99,7 +116,9 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - qab * x / qap
     d = 1.0 / (d if abs(d) > tiny else tiny)
     h = d
-    for m in range(1, MAX_ITER):
+    m, delta = 0, 0.0
+    while abs(delta - 1.0) >= EPS:
+        m += 1
         m2 = 2 * m
         aa = m * (b - m) * x / ((qam + m2) * (a + m2))
         d = 1.0 + aa * d
@@ -114,8 +133,6 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
         c = c if abs(c) > tiny else tiny
         delta = d * c
         h *= delta
-        if abs(delta - 1.0) < EPS:
-            break
     return h
 
 
@@ -138,86 +155,99 @@ def t_two_sided_p(t: float, df: float) -> float:
         return math.nan
     if math.isinf(t):
         return 0.0
+    if df > LARGE_T_DF:
+        z = abs(t) * (1.0 - 0.25 / df) / math.sqrt(1.0 + t * t / (2.0 * df))
+        return math.erfc(z / math.sqrt(2.0))
     return beta_inc(df / 2.0, 0.5, df / (df + t * t))
 
 
 # ------------------------------------------------------------------ KS
 
 
+def _scaled_product(a, ea: int, b, eb: int):
+    """a 2^ea times b 2^eb as (matrix, exponent), entries kept near 1."""
+    c = a @ b
+    top = float(np.abs(c).max())
+    shift = math.frexp(top)[1] if top > 0 else 0
+    return np.ldexp(c, -shift), ea + eb + shift
+
+
 def _ks_matrix(d: float, n: int) -> float:
-    """Durbin / Marsaglia-Tsang-Wang matrix method in floating point."""
-    k = int(math.ceil(n * d))
+    """Durbin's matrix method, n! / n^n (H^n)[k, k], with an exponent carried beside every
+    matrix so that nothing over- or underflows."""
+    k = math.ceil(n * d)
     m = 2 * k - 1
     h = k - n * d
-    idx = np.arange(m)
-    H = (idx[:, None] - idx[None, :] + 1 >= 0).astype(np.float64)
-    hp = h ** np.arange(1, m + 1)
-    H[:, 0] -= hp
-    H[m - 1, :] -= hp[::-1]
-    if h > 0.5:
-        H[m - 1, 0] += (2 * h - 1) ** m
-    for i in range(m):
-        for j in range(i + 1):
-            if i - j + 1 > 0:
-                H[i, j] /= math.factorial(i - j + 1)
-    # H^n with rescaling to keep entries in range
-    result = np.linalg.matrix_power(H, n)
-    p = result[k - 1, k - 1]
-    for i in range(1, n + 1):
-        p *= i / n
-    return float(p)
+    # 1 / (i - j + 1)! on and below the superdiagonal
+    inverse = np.cumprod(np.concatenate([[1.0], 1.0 / np.arange(1, m + 1)]))
+    order = np.arange(m)[:, None] - np.arange(m)[None, :] + 1
+    H = np.where(order >= 0, inverse[np.maximum(order, 0)], 0.0)
+    edge = h ** np.arange(1, m + 1) * inverse[1:]
+    H[:, 0] -= edge
+    H[m - 1, :] -= edge[::-1]
+    # the corner lost h^m twice; it is 1 - 2 h^m + max(0, 2h - 1)^m over m!
+    H[m - 1, 0] = (1 - 2 * h ** m + max(0.0, 2 * h - 1) ** m) * inverse[m]
+    power, exponent, base, eb, left = np.eye(m), 0, H, 0, n
+    while left:
+        if left & 1:
+            power, exponent = _scaled_product(power, exponent, base, eb)
+        left >>= 1
+        if left:
+            base, eb = _scaled_product(base, eb, base, eb)
+    middle = float(power[k - 1, k - 1])
+    if middle <= 0:
+        return 0.0
+    log_p = (math.log(middle) + exponent * math.log(2.0) + math.lgamma(n + 1) - n * math.log(n))
+    return min(1.0, math.exp(log_p))
 
 
 def _pelz_good(d: float, n: int) -> float:
-    """Pelz-Good asymptotic series for P(D_n <= d), summed to convergence."""
-    pi2 = math.pi ** 2
-    pi4 = pi2 * pi2
-    pi6 = pi4 * pi2
-    sqrt_n = math.sqrt(n)
-    z = d * sqrt_n
-    z2 = d * d * n
-    z4, z6, z8 = z2 * z2, z2 * z2 * z2, z2 * z2 * z2 * z2
-    two_z2 = 2 * z2
-    k = np.arange(0, 2000, dtype=np.float64)
-    kh2 = (k + 0.5) ** 2              # (k + 1/2)^2, k >= 0
-    kk2 = (k[1:]) ** 2                # k^2, k >= 1
-    odd2 = (2 * k[1:] - 1) ** 2       # (2k - 1)^2, k >= 1
+    """Pelz and Good's series K0 + K1 / sqrt(n) + K2 / n + K3 / n^1.5 at z = d sqrt(n)."""
+    z = d * math.sqrt(n)
+    # e^(-pi^2 / (8 z^2)), the largest term of any of the sums, is 0 in double precision
+    if z < 0.04:
+        return 0.0
+    pi2, w = math.pi ** 2, z * z
+    # terms past this index are below e^-745, the smallest double
+    last = math.ceil(z * math.sqrt(2 * 745) / math.pi) + 2
+    half = (np.arange(last) + 0.5) ** 2
+    whole = np.arange(1, last + 1, dtype=np.float64) ** 2
     with np.errstate(under="ignore"):
-        k0 = np.exp(-pi2 / (8 * z2) * odd2).sum() * math.sqrt(2 * math.pi) / z
-        e_h = np.exp(-pi2 * kh2 / two_z2)
-        e_k = np.exp(-pi2 * kk2 / two_z2)
-    ret = k0
-    s = ((pi2 * kh2 - z2) * e_h).sum()
-    sqrt_half_pi = math.sqrt(math.pi / 2)
-    ret += s * sqrt_half_pi / (3 * z4 * sqrt_n)
-    s = ((6 * z6 + 2 * z4 + pi2 * (2 * z4 - 5 * z2) * kh2
-          + pi4 * (1 - two_z2) * kh2 * kh2) * e_h).sum()
-    s2 = (pi2 * kk2 * e_k).sum()
-    ret += (sqrt_half_pi / n) * (s / (36 * z2 * z2 * z2 * z) - s2 / (18 * z2 * z))
-    kh4, kh6 = kh2 * kh2, kh2 * kh2 * kh2
-    s = ((pi6 * kh6 * (5 - 30 * z2) + pi4 * kh4 * (-60 * z2 + 212 * z4)
-          + pi2 * kh2 * (135 * z4 - 96 * z6) - 30 * z6 - 90 * z8) * e_h).sum()
-    s2 = ((-pi4 * kk2 * kk2 + 3 * pi2 * kk2 * z2) * e_k).sum()
-    return float(ret + (sqrt_half_pi / (sqrt_n * n)) * (s / (3240 * z6 * z4) + s2 / (108 * z6)))
+        at_half, at_whole = np.exp(-pi2 * half / (2 * w)), np.exp(-pi2 * whole / (2 * w))
+
+    def over_half(*coefficients):
+        """Sum over k of a polynomial in pi^2 (k + 1/2)^2 times the exponential."""
+        return float((np.polynomial.polynomial.polyval(pi2 * half, coefficients) * at_half).sum())
+
+    def over_whole(*coefficients):
+        return float((np.polynomial.polynomial.polyval(pi2 * whole, coefficients)
+                      * at_whole).sum())
+
+    root = math.sqrt(math.pi / 2)
+    k0 = 2 * root / z * over_half(1.0)
+    k1 = root / (3 * w ** 2) * over_half(-w, 1.0)
+    k2 = root * (over_half(6 * w ** 3 + 2 * w ** 2, 2 * w ** 2 - 5 * w, 1 - 2 * w)
+                 / (36 * w ** 3 * z) - over_whole(0.0, 1.0) / (18 * w * z))
+    k3 = root * (over_half(-30 * w ** 3 - 90 * w ** 4, 135 * w ** 2 - 96 * w ** 3,
+                           -60 * w + 212 * w ** 2, 5 - 30 * w) / (3240 * w ** 5)
+                 + over_whole(0.0, 3 * w, -1.0) / (108 * w ** 3))
+    total = k0 + k1 / math.sqrt(n) + k2 / n + k3 / (n * math.sqrt(n))
+    return min(1.0, max(0.0, total))
 
 
 def ks_cdf(d: float, n: int) -> float:
     """P(D_n <= d) for the one-sample two-sided Kolmogorov-Smirnov statistic."""
     if n <= 0 or math.isnan(d):
         return math.nan
-    ninv = 1.0 / n
-    if d <= 0.5 * ninv:
+    edge = 2 * n * d - 1
+    if edge <= 0:
         return 0.0
-    if d <= ninv:
-        f = 2 * d - ninv
-        p = 1.0
-        for i in range(1, n + 1):
-            p *= i * f
-        return p
-    if 1 - ninv <= d < 1:
-        return 1 - 2 * (1 - d) ** n
-    if d >= 1:
+    if d >= 1 or n * d * d > KS_TAIL:
         return 1.0
+    if edge <= 1:  # n! (2d - 1/n)^n
+        return math.exp(math.lgamma(n + 1) + n * (math.log(edge) - math.log(n)))
+    if d >= 1 - 1 / n:
+        return 1 - 2 * (1 - d) ** n
     if n <= 140:
         return _ks_matrix(d, n)
     return _pelz_good(d, n)

@@ -266,17 +266,17 @@ def _pelz_good_p(src: str) -> str:
     return (
         f"pg AS (SELECT d, n, sqrt(n) AS sn, d * sqrt(n) AS z, d * d * n AS z2 FROM {src}), "
         f"k0 AS (SELECT sum(exp(-{pi2} / (8 * z2) * (2 * k - 1) * (2 * k - 1))) AS s "
-        f"  FROM pg, range(1, 2000) AS t(k)), "
+        f"  FROM pg, LATERAL (SELECT unnest(range(1, CAST(ceil(13 * z) AS BIGINT) + 3)) AS k) AS t), "
         f"kh AS (SELECT sum(({pi2} * {kh} - z2) * {eh}) AS s1, "
         f"  sum((6 * z2 * z2 * z2 + 2 * z2 * z2 + {pi2} * (2 * z2 * z2 - 5 * z2) * {kh} "
         f"    + {pi2} * {pi2} * (1 - 2 * z2) * {kh} * {kh}) * {eh}) AS s2, "
         f"  sum(({pi2} * {pi2} * {pi2} * {kh} * {kh} * {kh} * (5 - 30 * z2) "
         f"    + {pi2} * {pi2} * {kh} * {kh} * (-60 * z2 + 212 * z2 * z2) "
         f"    + {pi2} * {kh} * (135 * z2 * z2 - 96 * z2 * z2 * z2) - 30 * z2 * z2 * z2 "
-        f"    - 90 * z2 * z2 * z2 * z2) * {eh}) AS s3 FROM pg, range(0, 2000) AS t(k)), "
+        f"    - 90 * z2 * z2 * z2 * z2) * {eh}) AS s3 FROM pg, LATERAL (SELECT unnest(range(0, CAST(ceil(13 * z) AS BIGINT) + 3)) AS k) AS t), "
         f"kk AS (SELECT sum({pi2} * k * k * {ek}) AS t2, "
         f"  sum((-{pi2} * {pi2} * k * k * k * k + 3 * {pi2} * k * k * z2) * {ek}) AS t3 "
-        f"  FROM pg, range(1, 2000) AS t(k)) "
+        f"  FROM pg, LATERAL (SELECT unnest(range(1, CAST(ceil(13 * z) AS BIGINT) + 3)) AS k) AS t) "
         f"SELECT 1 - (k0.s * sqrt(2 * pi()) / z "
         f"  + kh.s1 * sqrt(pi() / 2) / (3 * z2 * z2 * sn) "
         f"  + (sqrt(pi() / 2) / n) * (kh.s2 / (36 * z2 * z2 * z2 * z) - kk.t2 / (18 * z2 * z)) "
@@ -287,6 +287,32 @@ def _pelz_good_p(src: str) -> str:
         f"FROM pg, k0, kh, kk")
 
 
+def _durbin_p(src: str) -> str:
+    """Exact p by stepping one row of Durbin's matrix n times, each step times i / n."""
+    return (
+        f"dm AS (SELECT d, CAST(n AS BIGINT) AS n, CAST(ceil(n * d) AS BIGINT) AS k, "
+        f"  ceil(n * d) - n * d AS h FROM {src}), "
+        f"mm AS (SELECT *, 2 * k - 1 AS m FROM dm), "
+        f"cell AS (SELECT i, j, (CASE WHEN i - j + 1 >= 0 THEN "
+        f"    (1.0 - (CASE WHEN j = 1 THEN pow(h, i) ELSE 0 END) "
+        f"         - (CASE WHEN i = m THEN pow(h, m - j + 1) ELSE 0 END) "
+        f"         + (CASE WHEN i = m AND j = 1 AND h > 0.5 THEN pow(2 * h - 1, m) ELSE 0 END)) "
+        f"    / exp(lgamma(i - j + 2)) ELSE 0.0 END) AS x "
+        f"  FROM mm, LATERAL (SELECT unnest(range(1, m + 1)) AS i) AS a, "
+        f"  LATERAL (SELECT unnest(range(1, m + 1)) AS j) AS b), "
+        f"hcol AS (SELECT list(x ORDER BY i) AS c, j FROM cell GROUP BY j), "
+        f"hm AS (SELECT list(c ORDER BY j) AS cols FROM hcol), "
+        f"walk(i, v) AS (SELECT CAST(0 AS BIGINT), list_transform(range(1, m + 1), "
+        f"    lambda q: CASE WHEN q = k THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FROM mm "
+        f"  UNION ALL SELECT walk.i + 1, list_transform(cols, "
+        f"    lambda c: list_dot_product(v, c) * (walk.i + 1) / n) "
+        f"  FROM walk, hm, mm WHERE walk.i < n) "
+        f"SELECT 1 - v[k] AS p_value, 0 AS degrees_of_freedom, d AS statistic, "
+        f"  'kolmogorov-smirnov' AS method, "
+        f"  'Sample follows theoretical distribution' AS null_hypothesis "
+        f"FROM walk, mm WHERE walk.i = n")
+
+
 def _phi_sql(z: str) -> str:
     """Standard normal CDF by 0.5 + phi(z) * sum z^(2k+1) / (2k+1)!!."""
     term = (f"exp((2 * k + 1) * ln(abs({z})) - ((k + 1) * ln(2.0) + lgamma(k + 1.5) "
@@ -295,19 +321,24 @@ def _phi_sql(z: str) -> str:
             f"/ sqrt(2 * pi()) * (SELECT sum({term}) FROM range(0, 300) AS kt(k)) END)")
 
 
-def ks_sql(values: str, cdf: str) -> str:
-    """values: a SELECT giving column x; cdf: an expression of x."""
+def ks_sql(values: str, cdf: str, p_value=_pelz_good_p) -> str:
+    """values: a SELECT giving column x; cdf: an expression of x; p_value: the CTEs and final
+    SELECT that turn (d, n) into a result row."""
     return _sig_select(
-        f"WITH v AS (SELECT x, count(*) AS c FROM ({values}) AS s GROUP BY x), "
+        f"WITH RECURSIVE v AS (SELECT x, count(*) AS c FROM ({values}) AS s GROUP BY x), "
         f"r AS (SELECT x, c, sum(c) OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING "
         f"  AND CURRENT ROW) - c AS below, sum(c) OVER () AS n FROM v), "
         f"f AS (SELECT *, {cdf} AS cdf FROM r), "
         f"dd AS (SELECT max(greatest(abs(below / n - cdf), abs((below + c) / n - cdf))) AS d, "
         f"  CAST(any_value(n) AS DOUBLE) AS n FROM f), "
-        + _pelz_good_p("dd"), TEST_COLS)
+        + p_value("dd"), TEST_COLS)
 
 
 ORACLE["ks_expon"] = ks_sql("SELECT value AS x FROM events", "1 - exp(-x / 50.0)")
+ORACLE["ks_small_sample"] = ks_sql(
+    "SELECT CAST(s_acctbal AS DOUBLE) AS x FROM supplier", "(x + 1000.0) / 11000.0", _durbin_p)
+ORACLE["ks_middling"] = ks_sql(
+    "SELECT CAST(c_acctbal AS DOUBLE) AS x FROM customer", "(x + 1000.0) / 11000.0")
 ORACLE["ks_norm"] = ks_sql("SELECT value AS x FROM events", _phi_sql("((x - 50.0) / 50.0)"))
 ORACLE["ks_std_norm"] = ks_sql(
     "SELECT CAST(embedding[1] AS DOUBLE) * 8.0 AS x FROM embeddings", _phi_sql("x"))

@@ -209,6 +209,20 @@ def q_ks_std_norm(spark, sf):
     return rounded(H.ks_test(emb, "z"))
 
 
+@query
+def q_ks_small_sample(spark, sf):
+    """supplier.s_acctbal against U(-1000, 10000): the exact p-value of a small sample."""
+    return rounded(H.ks_test(table(spark, sf, "supplier"), "s_acctbal",
+                             lambda x: (x + 1000.0) / 11000.0))
+
+
+@query
+def q_ks_middling(spark, sf):
+    """customer.c_acctbal against U(-1000, 10000): a p-value that is neither 0 nor 1."""
+    return rounded(H.ks_test(table(spark, sf, "customer"), "c_acctbal",
+                             lambda x: (x + 1000.0) / 11000.0))
+
+
 # ---------------------------------------------------------------- naive Bayes
 
 NB_COUNT_FEATURES = ["f_qty", "f_disc", "f_tax"]
