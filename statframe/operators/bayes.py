@@ -11,13 +11,16 @@ number of classes), so they live on the driver; the tables stay DataFrames.
 
 Scoring:
 
-* dense input (feature columns): score_c = pi_c + sum_j theta_cj x_j is a
-  projection with literal coefficients — no shuffle, whole-stage codegen —
-  as long as the model has at most LITERAL_MAX cells;
-* sparse input ``(row, feature, value)``: join the nonzero cells with
-  ``cond`` (broadcast when its checked size allows), one grouped sum per
-  row with one conditional sum per class.  Rows without any known feature
-  still score their prior.
+* dense input (feature columns or one array column): score_c = pi_c + sum_j
+  theta_cj x_j is a projection without a shuffle: literal coefficients for a
+  model of a few dozen cells, one matrix product per Arrow batch for any
+  larger one;
+* sparse input ``(row, feature, value)``: join the nonzero cells with one
+  array of C coefficients per feature, one grouped sum per row.  Rows without
+  any known feature still score their prior.
+
+Multinomial models score any values, negative ones too, as the reference
+does; only training asks for nonnegative values.
 
 Argmax takes the first maximum in label order; posteriors subtract the
 maximum before ``exp``.  With smoothing 0 a feature count of 0 adds 0 (the
@@ -30,17 +33,20 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statframe.functions.columns import apply_null_policy, check, not_null
+from statframe.functions.columns import apply_null_policy, check, features, not_null
 from statframe.session import freeze
+from statframe.ship import ship
 
 MULTINOMIAL = "multinomial"
 BERNOULLI = "bernoulli"
 MODEL_TYPES = (MULTINOMIAL, BERNOULLI)
-LITERAL_MAX = 50_000      # model cells carried as literals in a projection
-BROADCAST_ROWS = 5_000_000  # cond rows shipped to every task in sparse scoring
+LITERAL_MAX = 64      # model cells carried as literals in a projection
+MAX_CLASSES = 10_000  # default bound on distinct labels: a label column is not an id
 
 NEG_INF = float("-inf")
 
@@ -101,6 +107,14 @@ def _value_check(x: Column, name: str, model_type: str) -> Column:
                  f"naive Bayes requires nonnegative feature values ({name})")
 
 
+def _classes(labels_counts: list, max_classes: int) -> list:
+    if not labels_counts:
+        raise ValueError("naive Bayes needs at least one labelled row")
+    if len(labels_counts) > max_classes:
+        raise ValueError(f"more than {max_classes} distinct labels")
+    return labels_counts
+
+
 def _build(labels_counts: list, sums: DataFrame, num_features: int, model_type: str,
            smoothing: float, feature_names=None) -> NaiveBayesModel:
     """labels_counts: [(label, n_c)] ascending; sums: complete (label, feature, s)."""
@@ -117,26 +131,30 @@ def _build(labels_counts: list, sums: DataFrame, num_features: int, model_type:
     if model_type == MULTINOMIAL:
         tot = sums.groupBy("label").agg(F.sum("s").alias("_st"))
         denom = safe_ln(F.col("_st") + F.lit(num_features * lam))
-        cond = sums.join(F.broadcast(tot), "label")
+        cond = sums.join(tot, "label")
     else:
         counts = spark.createDataFrame([(lab, float(n)) for lab, n in labels_counts],
                                        f"label {label_type}, _nc double")
         denom = safe_ln(F.col("_nc") + F.lit(2.0 * lam))
-        cond = sums.join(F.broadcast(counts), "label")
+        cond = sums.join(counts, "label")
     cond = cond.select("label", "feature",
                        (safe_ln(F.col("s") + F.lit(lam)) - denom).alias("theta"))
     return NaiveBayesModel(labels, model_type, lam, num_features, prior, cond, feature_names,
                            [p for _, p in pis])
 
 
-def fit(df: DataFrame, label: str, cols: Sequence[str], model_type: str = MULTINOMIAL,
-        smoothing: float = 1.0, nulls: str = "error") -> NaiveBayesModel:
-    """Train on dense rows: a label column and feature columns.
+def fit(df: DataFrame, label: str, cols: Sequence[str] | str, model_type: str = MULTINOMIAL,
+        smoothing: float = 1.0, nulls: str = "error", dim: int | None = None,
+        max_classes: int = MAX_CLASSES) -> NaiveBayesModel:
+    """Train on dense rows: a label column and feature columns, or the name of one array
+    column (width ``dim``, else probed) (N1, N2).
 
     One pass: per label, the row count and the sum of every feature — a
     partial/final aggregate with C x D outputs — then pi and theta.
     """
     _check_params(model_type, smoothing)
+    if isinstance(cols, str):
+        return _fit_array(df, label, cols, model_type, smoothing, nulls, dim, max_classes)
     cols = list(cols)
     df = apply_null_policy(df, [label, *cols], nulls)
     xs = [_value_check(F.col(c).cast("double"), c, model_type).alias(f"_x{j}")
@@ -145,10 +163,8 @@ def fit(df: DataFrame, label: str, cols: Sequence[str], model_type: str = MULTIN
     agg = data.groupBy("label").agg(F.count(F.lit(1)).alias("_n"),
                                     *[F.sum(f"_x{j}").alias(f"_s{j}") for j in range(len(cols))])
     # C rows of D sums: the size of the model itself
-    rows = sorted(agg.collect(), key=lambda r: label_order(r["label"]))
-    labels_counts = [(r["label"], r["_n"]) for r in rows]
-    if not labels_counts:
-        raise ValueError("naive Bayes needs at least one labelled row")
+    rows = sorted(agg.limit(max_classes + 1).collect(), key=lambda r: label_order(r["label"]))
+    labels_counts = _classes([(r["label"], r["_n"]) for r in rows], max_classes)
     label_type = data.schema["label"].dataType.simpleString()
     sums = df.sparkSession.createDataFrame(
         [(r["label"], j, float(r[f"_s{j}"])) for r in rows for j in range(len(cols))],
@@ -156,30 +172,53 @@ def fit(df: DataFrame, label: str, cols: Sequence[str], model_type: str = MULTIN
     return _build(labels_counts, sums, len(cols), model_type, smoothing, cols)
 
 
+def _fit_array(df, label, col, model_type, smoothing, nulls, dim, max_classes):
+    """The sums of an array column's places stay a table: C x D rows, never on the driver."""
+    df = apply_null_policy(df, [label, col], nulls)
+    d = len(features(df, col, dim))
+    array = check(F.size(col) == d, not_null(F.col(col).cast("array<double>"), col),
+                  f"expected {d} values in {col}")
+    cells = df.select(not_null(F.col(label), label).alias("label"),
+                      F.posexplode(array).alias("feature", "_x"))
+    sums = freeze(cells.groupBy("label", "feature").agg(
+        F.sum(_value_check(F.col("_x"), col, model_type)).alias("s"), F.count("*").alias("_n")))
+    # every row has all places, so any place's cells count the rows
+    rows = sums.filter("feature = 0").select("label", "_n").limit(max_classes + 1).collect()
+    labels_counts = _classes(sorted(((r["label"], r["_n"]) for r in rows),
+                                    key=lambda r: label_order(r[0])), max_classes)
+    model = _build(labels_counts, sums.drop("_n"), d, model_type, smoothing,
+                   [f"{col}[{j}]" for j in range(d)])
+    model.cond = freeze(model.cond)
+    return model
+
+
 def fit_sparse(cells: DataFrame, row_labels: DataFrame, row: str = "row_id",
                feature: str = "feature", value: str = "value", label: str = "label",
                model_type: str = MULTINOMIAL, smoothing: float = 1.0,
-               num_features: int | None = None) -> NaiveBayesModel:
+               num_features: int | None = None, max_classes: int = MAX_CLASSES
+               ) -> NaiveBayesModel:
     """Train on sparse rows: cells ``(row, feature, value)`` and ``(row, label)``.
 
     The feature space is the features seen in labelled rows (or
     ``0 .. num_features-1`` when features are integer indexes and a size is
-    given); absent cells are zeros.  ``cond`` is completed by exploding the
+    given — an index outside is an error); absent cells are zeros.  ``cond`` is completed by exploding the
     C labels over the feature list — model-sized, no data-sized product.
     """
     _check_params(model_type, smoothing)
     x = _value_check(F.col(value).cast("double"), value, model_type)
     lab = row_labels.select(F.col(row).alias("_row"), not_null(F.col(label), label).alias("label"))
-    cc = cells.select(F.col(row).alias("_row"), F.col(feature).alias("feature"), x.alias("_x"))
+    known = F.col(feature)
+    if num_features is not None:
+        known = check((known >= 0) & (known < num_features), known,
+                      f"a feature index lies outside 0..{num_features - 1}")
+    cc = cells.select(F.col(row).alias("_row"), known.alias("feature"), x.alias("_x"))
     joined = cc.join(lab, "_row")
     # the sufficient statistics are the model (C x features rows): materialised
     # once in the shared checkpoint folder, so scoring does not re-read the data
     sums = freeze(joined.groupBy("label", "feature").agg(F.sum("_x").alias("s")))
-    counts = sorted(lab.groupBy("label").agg(F.count(F.lit(1)).alias("_n")).collect(),
-                    key=lambda r: label_order(r["label"]))
-    labels_counts = [(r["label"], r["_n"]) for r in counts]  # C rows
-    if not labels_counts:
-        raise ValueError("naive Bayes needs at least one labelled row")
+    counts = lab.groupBy("label").agg(F.count(F.lit(1)).alias("_n")).limit(max_classes + 1)
+    labels_counts = _classes(sorted(((r["label"], r["_n"]) for r in counts.collect()),
+                                    key=lambda r: label_order(r[0])), max_classes)
     spark = cells.sparkSession
     if num_features is not None:
         vocab = spark.range(num_features).select(F.col("id").cast("int").alias("feature"))
@@ -203,7 +242,7 @@ def fit_sparse(cells: DataFrame, row_labels: DataFrame, row: str = "row_id",
 
 def _score_terms(model: NaiveBayesModel) -> tuple[list[list[float]], list[float]]:
     """Per class: coefficients on x and the constant (pi, plus the Bernoulli sum)."""
-    rows = model.cond.collect()  # C x D cells, bounded by LITERAL_MAX by the caller
+    rows = model.cond.collect()  # C x D cells: the model, which every task carries
     idx = {lab: i for i, lab in enumerate(model.labels)}
     theta = [[0.0] * model.num_features for _ in model.labels]
     for r in rows:
@@ -219,7 +258,29 @@ def _score_terms(model: NaiveBayesModel) -> tuple[list[list[float]], list[float]
     return theta, consts
 
 
-def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str]
+def _score_udf(coef: list[list[float]], consts: list[float]):
+    """All class scores of a feature array, by one matrix product per batch."""
+    theta, const = np.array(coef, dtype=np.float64), np.array(consts, dtype=np.float64)
+    never = np.isinf(theta)
+    finite = np.where(never, 0.0, theta)
+
+    @F.pandas_udf("array<double>")
+    def scores(x: pd.Series) -> pd.Series:
+        if any(v is None or len(v) != theta.shape[1] for v in x):
+            raise ValueError(f"every feature array must have {theta.shape[1]} values")
+        if not len(x):
+            return pd.Series([], dtype=object)
+        a = np.stack(x.tolist()).astype(np.float64)
+        out = a @ finite.T + const
+        if never.any():  # a value on a place of probability 0; a value of 0 adds nothing
+            out = np.where((a > 0) @ never.T, NEG_INF, out)
+            out = np.where((a < 0) @ never.T, -NEG_INF, out)
+        return pd.Series(list(out))
+
+    return scores
+
+
+def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | str | None
                   ) -> tuple[DataFrame, list[Column]]:
     """``df`` with checked features and per-class scores as columns.
 
@@ -227,13 +288,26 @@ def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str]
     each feature check and each score is evaluated once per row, not once
     per class or per posterior.
     """
-    if model.num_classes * model.num_features > LITERAL_MAX:
-        raise ValueError("model too large for literal scoring; use the sparse form")
-    cols = list(cols or model.feature_names)
-    if len(cols) != model.num_features:
-        raise ValueError(f"expected {model.num_features} feature columns, got {len(cols)}")
+    cols = cols or model.feature_names
+    array = isinstance(cols, str)
+    if not array and len(list(cols)) != model.num_features:
+        raise ValueError(f"expected {model.num_features} feature columns, got {len(list(cols))}")
     coef, consts = _score_terms(model)
-    checked = df.select("*", *[_value_check(F.col(c).cast("double"), c, model.model_type)
+
+    def checked_value(x: Column, name: str) -> Column:
+        return _value_check(x, name, BERNOULLI) if model.model_type == BERNOULLI \
+            else not_null(x, name)
+
+    if array or model.num_classes * model.num_features > LITERAL_MAX:
+        ship(df.sparkSession)
+        if array:
+            x = F.transform(F.col(cols).cast("array<double>"), lambda v: checked_value(v, cols))
+        else:
+            x = F.array(*[checked_value(F.col(c).cast("double"), c) for c in cols])
+        scored = df.select("*", _score_udf(coef, consts)(x).alias("_nbs"))
+        return scored, [F.col("_nbs")[i] for i in range(model.num_classes)]
+    cols = list(cols)
+    checked = df.select("*", *[checked_value(F.col(c).cast("double"), c)
                                .alias(f"_nbx{j}") for j, c in enumerate(cols)])
     xs = [F.col(f"_nbx{j}") for j in range(len(cols))]
     scores = []
@@ -267,14 +341,15 @@ def _posteriors(scores: list[Column]) -> list[Column]:
     return [e / total for e in ex]
 
 
-def predict(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | None = None,
+def predict(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | str | None = None,
             output: str = "prediction") -> DataFrame:
     """``df`` plus the predicted label (N3, N4): a projection."""
     scored, scores = _dense_scores(model, df, cols)
     return scored.select(*df.columns, _argmax(model, scores).alias(output))
 
 
-def predict_proba(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | None = None,
+def predict_proba(model: NaiveBayesModel, df: DataFrame,
+                  cols: Sequence[str] | str | None = None,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Long posteriors ``(keep..., label, probability)``."""
     scored, scores = _dense_scores(model, df, cols)
@@ -297,22 +372,24 @@ def _sparse_scores(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame, ro
         coef = theta - neg
     else:
         coef = theta
-    cond = model.cond.select("label", F.col("feature").alias("_f"), coef.alias("_coef"))
-    if model.num_classes * model.num_features <= BROADCAST_ROWS:
-        cond = F.broadcast(cond)
-    x = _value_check(F.col(value).cast("double"), value, model.model_type)
+    # one row per feature with its coefficient of every class
+    places = range(model.num_classes)
+    cond = model.cond.select("label", F.col("feature").alias("_f"), coef.alias("_coef")).groupBy(
+        "_f").agg(*[F.max(F.when(F.col("label").eqNullSafe(F.lit(lab)), F.col("_coef"))).alias(
+            f"_c{i}") for i, lab in enumerate(model.labels)])
+    x = F.col(value).cast("double")
+    x = _value_check(x, value, BERNOULLI) if model.model_type == BERNOULLI else not_null(x, value)
     cc = cells.select(F.col(row).alias("_row"), F.col(feature).alias("_f"), x.alias("_x")) \
         .filter(F.col("_x") != 0)
-    contrib = cc.join(cond, "_f").select("_row", "label", (F.col("_x") * F.col("_coef")).alias("_v"))
-    base = rows.select(F.col(row).alias("_row"), F.lit(None).cast(
-        model.prior.schema["label"].dataType).alias("label"), F.lit(0.0).alias("_v"))
-    allv = contrib.unionByName(base)
-    aggs = [F.sum(F.when(F.col("label") == F.lit(lab), F.col("_v"))).alias(f"_s{i}")
-            for i, lab in enumerate(model.labels)]
-    wide = allv.groupBy("_row").agg(*aggs)
-    return wide.select(F.col("_row").alias(row), *[
-        (F.lit(consts[i]) + F.coalesce(F.col(f"_s{i}"), F.lit(0.0))).alias(f"_s{i}")
-        for i in range(model.num_classes)])
+    contrib = cc.join(cond, "_f").select("_row", *[
+        (F.col("_x") * F.col(f"_c{i}")).alias(f"_s{i}") for i in places])
+    base = rows.select(F.col(row).alias("_row"), *[F.lit(0.0).alias(f"_s{i}") for i in places])
+    # rows asked for, each once: cells of other rows score nothing
+    sums = contrib.withColumn("_asked", F.lit(False)).unionByName(
+        base.withColumn("_asked", F.lit(True))).groupBy("_row").agg(
+        F.max("_asked").alias("_asked"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in places])
+    return sums.filter("_asked").select(F.col("_row").alias(row), *[
+        (F.lit(consts[i]) + F.col(f"_s{i}")).alias(f"_s{i}") for i in places])
 
 
 def predict_sparse(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,

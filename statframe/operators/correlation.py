@@ -8,6 +8,9 @@ aggregate over the data (plans/gram.py) plus arithmetic on a d x d table.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +20,10 @@ from statframe.operators.rank import attach_ranks, column_sizes, ranked_counts,
 from statframe.session import freeze
 from statframe.plans.gram import comoments
 
+log = logging.getLogger("statframe")
+
 NEAR_ZERO = 1e-12  # a variance at or below this is treated as exactly zero
 
-METHODS = ("pearson", "spearman")
 
 
 def _label(long: DataFrame, names: list[str]) -> DataFrame:
@@ -101,8 +105,13 @@ def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
         cells = base.select("_rid", F.inline(F.array(*[
             F.struct(F.lit(k).alias("column"), F.col(k).alias("value")) for k in keys])))
         joined = cells.join(ranks.select("column", "value", "avg_rank"), ["column", "value"])
-        ranked = (joined.groupBy("_rid").pivot("column", keys).agg(F.first("avg_rank"))
-                  .select(*[F.col(k).alias(f"{k}_rank") for k in keys]))
+        # a row has one cell per column; more means that two rows share a row_key
+        one = F.col("_cells") == len(keys)
+        ranked = joined.groupBy("_rid").agg(F.count("*").alias("_cells"), *[
+            F.max(F.when(F.col("column") == k, F.col("avg_rank"))).alias(f"{k}_rank")
+            for k in keys]).select(*[
+                check(one, F.col(f"{k}_rank"), "row_key does not identify rows uniquely").alias(
+                    f"{k}_rank") for k in keys])
     else:
         ranked = attach_ranks(base, keys, ranks, sizes=sizes)
     cm = comoments(ranked, [F.col(f"{k}_rank") for k in keys])
@@ -113,15 +122,17 @@ def spearman(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
     return corr_from_cov(long)
 
 
+#: correlation methods by name; add a function of (df, cols, nulls, dim) to offer another
+METHODS: dict[str, Callable[..., DataFrame]] = {"pearson": pearson, "spearman": spearman}
+
+
 def corr(df: DataFrame, cols, method: str = "pearson", nulls: str = "error",
          dim: int | None = None) -> DataFrame:
-    """Correlation matrix by method name (C2, C9): exact lower-case names."""
-    if method == "pearson":
-        return pearson(df, cols, nulls, dim)
-    if method == "spearman":
-        return spearman(df, cols, nulls, dim)
-    raise ValueError(f"unrecognized correlation method {method!r}; "
-                     f"supported: {', '.join(METHODS)}")
+    """Correlation matrix by method name (C2, C9): exact names of ``METHODS``."""
+    if method not in METHODS:
+        raise ValueError(f"unrecognized correlation method {method!r}; "
+                         f"supported: {', '.join(METHODS)}")
+    return METHODS[method](df, cols, nulls=nulls, dim=dim)
 
 
 def corr_pair(df: DataFrame, x: str, y: str, method: str = "pearson",
@@ -142,6 +153,8 @@ def to_matrix(long: DataFrame, value: str = "corr"):
     for r in rows:
         m[r["i"], r["j"]] = r[value]
         names[r["i"]] = r["col_i"]
+    if np.isnan(m).any():
+        log.warning("the correlation matrix has NaN entries: a column without variance")
     return m, names
 
 

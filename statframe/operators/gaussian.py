@@ -17,10 +17,12 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statframe.functions.columns import features, not_null
+from statframe.ship import ship
 
 EPSILON = 2.0 ** -52  # double machine epsilon
 LITERAL_DIM = 16      # widest input scored with literal arithmetic
@@ -83,28 +85,26 @@ def score(df: DataFrame, cols, gaussian: Gaussian, output: str = "logpdf",
     xs = [not_null(e, n) for n, e in feats]
     if gaussian.dim <= LITERAL_DIM:
         lp = gaussian.logpdf_col(xs)
-        return df.withColumn(output, F.exp(lp) if density else lp)
-    return _score_batches(df, xs, gaussian, output, density)
+    else:  # the array column alone goes to Python, the rest of the row stays where it is
+        ship(df.sparkSession)
+        x = F.col(cols).cast("array<double>") if isinstance(cols, str) else F.array(*xs)
+        lp = _logpdf_udf(gaussian)(x)
+    return df.withColumn(output, F.exp(lp) if density else lp)
 
 
-def _score_batches(df: DataFrame, xs: list[Column], g: Gaussian, output: str,
-                   density: bool) -> DataFrame:
-    import pandas as pd
+def _logpdf_udf(g: Gaussian):
+    @F.pandas_udf("double")
+    def logpdf(x: pd.Series) -> pd.Series:
+        if any(v is None or len(v) != g.dim for v in x):
+            raise ValueError(f"every array must have {g.dim} values")
+        if not len(x):
+            return pd.Series([], dtype="float64")
+        a = np.stack(x.tolist()).astype(np.float64)
+        if np.isnan(a).any() and any(None in list(v) for v in x):
+            raise ValueError("null value in an array")
+        return pd.Series(g.logpdf_np(a))
 
-    names = [f"_g{j}" for j in range(len(xs))]
-    wide = df.select("*", *[x.alias(n) for x, n in zip(xs, names)])
-    out_fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    schema = f"{out_fields}, `{output}` double" if out_fields else f"`{output}` double"
-    keep = df.columns
-
-    def run(batches):
-        for pdf in batches:
-            lp = g.logpdf_np(pdf[names].to_numpy(dtype=np.float64))
-            res = pdf[keep].copy()
-            res[output] = np.exp(lp) if density else lp
-            yield pd.DataFrame(res)
-
-    return wide.mapInPandas(run, schema)
+    return logpdf
 
 
 def fit(df: DataFrame, cols, dim: int | None = None) -> Gaussian:
@@ -112,15 +112,15 @@ def fit(df: DataFrame, cols, dim: int | None = None) -> Gaussian:
     from statframe.plans.gram import comoments
 
     feats = features(df, cols, dim)
-    cm = comoments(df, [not_null(e, n) for n, e in feats]).collect()  # k^2 rows
     k = len(feats)
-    n = cm[0]["n"]
-    if n < 2:
+    cm = comoments(df, [not_null(e, n) for n, e in feats])
+    means = cm.select("n", *[f"mean_{i}" for i in range(k)]).first()  # k numbers, once
+    if means is None or means["n"] < 2:
         raise ValueError("fitting a Gaussian needs at least two rows")
-    mu = [cm[0][f"mean_{i}"] for i in range(k)]
+    mu = [means[f"mean_{i}"] for i in range(k)]
     sigma = np.zeros((k, k))
-    for r in cm:
-        sigma[r["i"], r["j"]] = r["value"] / (n - 1)
+    for r in cm.select("i", "j", "value").collect():  # k^2 rows
+        sigma[r["i"], r["j"]] = r["value"] / (means["n"] - 1)
     return Gaussian(mu, sigma)
 
 

@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 
 from statframe.functions import special
 from statframe.functions.columns import apply_null_policy, check, not_null
+from statframe.functions.columns import features as feature_exprs
 from statframe.operators.rank import ranked_counts, ranks_from_counts
 from statframe.session import freeze
+from statframe.ship import ship
 
 PEARSON = "pearson"
 GOODNESS_OF_FIT = "observed follows the same distribution as expected."
@@ -48,6 +50,7 @@ def _method(name: str) -> Callable[[Column, Column], Column]:
 
 def _finish(df: DataFrame, stat: Column, dof: Column, method: str, h0: str,
             p: Column | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+    ship(df.sparkSession)
     p_value = special.chi2_sf_udf(stat, dof.cast("double")) if p is None else p
     return df.select(*extra, p_value.alias("p_value"), dof.cast("int").alias("degrees_of_freedom"),
                      stat.alias("statistic"), F.lit(method).alias("method"),
@@ -80,6 +83,8 @@ def chisq_gof(observed: DataFrame, expected: DataFrame | None = None,
                                        expected_col).alias("_e"))
         cells = obs.join(exp, "_cat", "full_outer")
     cells = freeze(cells)  # categories: read by the checks and by the statistic
+    if not cells.groupBy("_cat").count().filter("count > 1").isEmpty():
+        raise ValueError("a category is listed more than once")
     e = F.col("_e")
     totals = cells.agg(
         F.count(F.lit(1)).alias("size"),
@@ -175,46 +180,60 @@ def chisq_independence(table: DataFrame, row: str = "row", col: str = "col",
     return _finish(per, stat, dof, method, INDEPENDENCE, p)
 
 
-def chisq_features(df: DataFrame, label: str, features: Sequence[str],
-                   method: str = PEARSON, nulls: str = "error") -> DataFrame:
+def _category(df: DataFrame, col: str) -> tuple[str, Column]:
+    """A feature's kind and its value as a category: whole numbers exactly, 0.0 and -0.0 as one."""
+    kind, x = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "long", x.cast("long")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return "double", x.cast("double") + F.lit(0.0)
+    return "string", x.cast("string")
+
+
+def chisq_features(df: DataFrame, label: str, features: Sequence[str] | str,
+                   method: str = PEARSON, nulls: str = "error", dim: int | None = None,
+                   max_categories: int = MAX_CATEGORIES) -> DataFrame:
     """Independence of every feature from the label, each value a category (T4).
 
+    ``features``: columns, or the name of one array column (width ``dim``, else probed).
     One job for all features: cells are stacked to (feature, value, label),
     counted by a partial/final aggregate, and every feature's contingency
-    table is reduced by the same grouped plan.  More than 10,000 distinct
-    labels or values of a feature is an error, checked exactly.
+    table is reduced by the same grouped plan.  More than ``max_categories`` distinct
+    labels or values of a feature is an error, checked exactly on the counted cells.
     """
-    features = list(features)
-    df = apply_null_policy(df, [label, *features], nulls)
+    raw = [features] if isinstance(features, str) else list(features)
+    df = apply_null_policy(df, [label, *raw], nulls)
     lab = not_null(F.col(label), label)
-    # stacked values share one column: doubles when every feature is numeric
-    # (cheap to hash), else strings
-    numeric = all(isinstance(df.schema[f].dataType, T.NumericType) for f in features)
-    vtype = "double" if numeric else "string"
-    structs = [F.struct(F.lit(i).alias("feature_index"), F.lit(f).alias("feature"),
-                        not_null(F.col(f).cast(vtype), f).alias("_r"))
-               for i, f in enumerate(features)]
-    stacked = df.select(lab.alias("_c"), F.inline(F.array(*structs)))
-    # the contingency cells (bounded by the category caps) feed the margins,
-    # the totals and the statistic: checkpoint them so the data is read once
+    if isinstance(features, str):
+        d = len(feature_exprs(df, features, dim))
+        array = check(F.size(features) == d, F.col(features).cast("array<double>"),
+                      f"expected {d} values in {features}")
+        stacked = df.select(lab.alias("_c"), F.posexplode(array).alias("feature_index", "_x")).select(
+            "_c", "feature_index", F.format_string(f"{features}[%d]", "feature_index").alias(
+                "feature"), (not_null(F.col("_x"), features) + F.lit(0.0)).alias("_r"))
+    else:
+        # values of one kind keep it (cheap to hash); of several kinds they meet as text
+        kinds = [_category(df, f) for f in raw]
+        common = kinds[0][0] if len({k for k, _ in kinds}) == 1 else "string"
+        structs = [F.struct(F.lit(i).alias("feature_index"), F.lit(f).alias("feature"),
+                            not_null(x.cast(common), f).alias("_r"))
+                   for i, (f, (_, x)) in enumerate(zip(raw, kinds))]
+        stacked = df.select(lab.alias("_c"), F.inline(F.array(*structs)))
+    # the contingency cells feed the check, the margins, the totals and the statistic:
+    # checkpointed, so that the data is read once
     cells = freeze(stacked.groupBy("feature_index", "feature", "_r", "_c").agg(
         F.count(F.lit(1)).cast("double").alias("_n")))
-    # exact cap check on the small checkpoint (one row per feature), before
-    # any margin is built; the label's categories are the same for every feature
+    # one row per feature; the label's categories are the same for every feature
     for r in cells.groupBy("feature").agg(F.count_distinct("_r").alias("v"),
                                           F.count_distinct("_c").alias("l")).collect():
-        if r["l"] > MAX_CATEGORIES:
+        if r["l"] > max_categories:
             raise ValueError(f"the label {label!r} has {r['l']} distinct values; "
-                             f"at most {MAX_CATEGORIES} are allowed")
-        if r["v"] > MAX_CATEGORIES:
+                             f"at most {max_categories} are allowed")
+        if r["v"] > max_categories:
             raise ValueError(f"feature {r['feature']!r} has {r['v']} distinct values; "
-                             f"at most {MAX_CATEGORIES} are allowed")
+                             f"at most {max_categories} are allowed")
     keys = ["feature_index", "feature"]
     per, stat, dof, p = _independence(cells, keys, method, check_margins=False)
-    per = per.withColumn("_nr", check(F.col("_nr") <= MAX_CATEGORIES, F.col("_nr"),
-                                      f"a feature has more than {MAX_CATEGORIES} distinct values"))
-    per = per.withColumn("_nc", check(F.col("_nc") <= MAX_CATEGORIES, F.col("_nc"),
-                                      f"the label has more than {MAX_CATEGORIES} distinct values"))
     return _finish(per, stat, dof, method, INDEPENDENCE, p,
                    extra=[F.col("feature_index"), F.col("feature")])
 
@@ -244,6 +263,7 @@ def ks_test(df: DataFrame, col: str, cdf: Callable[[Column], Column] | str = "no
         cdf_fn = lambda x: special.norm_cdf_col(x, mu, sigma)
     else:
         cdf_fn = cdf
+    ship(df.sparkSession)
     df = apply_null_policy(df, [col], nulls)
     tagged = ranked_counts(df, [col], nulls)
     counts = ranks_from_counts(tagged).select("value", "n", "below", "total")
@@ -272,9 +292,11 @@ def explain(results: DataFrame) -> DataFrame:
              .otherwise(F.lit("No")))
     # the text appends "." even to a hypothesis that already ends with one
     presumption = F.concat(level, F.lit(" presumption against null hypothesis: "), h0, F.lit("."))
-    head = (F.when(F.col("method") == KS_METHOD, F.lit("Kolmogorov-Smirnov test summary:\n"))
-            .otherwise(F.concat(F.lit("Chi squared test summary:\nmethod: "), F.col("method"),
-                                F.lit("\n"))))
+    method = F.col("method")
+    head = (F.when(method == KS_METHOD, F.lit("Kolmogorov-Smirnov test summary:\n"))
+            .when(method.isin(*CHI_SQ_METHODS), F.concat(
+                F.lit("Chi squared test summary:\nmethod: "), method, F.lit("\n")))
+            .otherwise(F.concat(F.lit("Streaming test summary:\nmethod: "), method, F.lit("\n"))))
     summary = F.concat(head, F.lit("degrees of freedom = "),
                        F.col("degrees_of_freedom").cast("string"),
                        F.lit(" \nstatistic = "), F.col("statistic").cast("string"),

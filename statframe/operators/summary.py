@@ -15,13 +15,12 @@ and the zero rule is applied at finalization, as in the reference.
 
 Every aggregate is a built-in (partial + final hash aggregation, one shuffle
 of at most ``groups x columns`` partial rows per task); the unweighted path is
-a single scan.  The weighted path needs a second scan for the central
-moment, against the first pass's means (literals when ungrouped, an
-equi-join on the group keys otherwise).
+a single scan, weighted or not.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 
 from statframe.functions.columns import apply_null_policy, check, features, join_keys, not_null
 from statframe.session import freeze
+from statframe.ship import ship
 
 DOUBLE_MAX = 1.7976931348623157e308  # the largest finite double; max/min start values
 
@@ -97,14 +97,15 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
     if d >= WIDE_MIN and not keys:
         # task states are few (tasks x columns) and are read twice by the
         # merge: materialise them once in the shared checkpoint folder
-        return merge_states(freeze(_task_states(data, names, keys, weighted)), keys)
+        return merge_states(freeze(_task_states(data, names, weighted)), keys)
     if d >= WIDE_MIN:
         # grouped and wide: one cell per (row, column), aggregated per
         # (group, column) with the same codegen'd aggregates as one column
+        refs = _references(data, d) if weighted else [0.0] * d
         cells = data.select(*keys, *(["_w"] if weighted else []), F.inline(F.array(*[
-            F.struct(F.lit(n).alias("column"), F.col(f"_x{i}").alias("_x0"))
-            for i, n in enumerate(names)])))
-        wide = _wide_state(cells, 1, [*keys, "column"], weighted)
+            F.struct(F.lit(n).alias("column"), F.col(f"_x{i}").alias("_x0"),
+                     F.lit(refs[i]).alias("_ref")) for i, n in enumerate(names)])))
+        wide = _wide_state(cells, 1, [*keys, "column"], weighted, [F.col("_ref")])
         return wide.select(*keys, "column", *[
             F.col(src).alias(f) for f, src in
             zip(STATE_FIELDS, ["n", "w_sum", "w2_sum", "mean_0", "m2_0", "nnz_0", "n_zero_0",
@@ -113,7 +114,8 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
     return _unpivot(wide, keys, names, {"n": "n", "w_sum": "w_sum", "w2_sum": "w2_sum"})
 
 
-def _wide_state(data: DataFrame, d: int, keys: list[str], weighted: bool) -> DataFrame:
+def _wide_state(data: DataFrame, d: int, keys: list[str], weighted: bool,
+                around: list[Column] | None = None) -> DataFrame:
     """One row per group with n, w_sum, w2_sum and, per feature i, the
     fields ``<state>_i`` (unrolled built-in aggregates over ``_x{i}``)."""
     if not weighted:
@@ -127,110 +129,98 @@ def _wide_state(data: DataFrame, d: int, keys: list[str], weighted: bool) -> Dat
         return wide.withColumn("w_sum", F.col("n").cast("double")).withColumn(
             "w2_sum", F.col("n").cast("double"))
 
+    # one pass: the centred moment is taken around a reference point per column, where the
+    # shift formula does not cancel for data that sit far from 0
     w = F.col("_w")
+    around = [F.lit(r) for r in _references(data, d)] if around is None else around
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(w).alias("w_sum"),
             F.sum(w * w).alias("w2_sum")]
     for i in range(d):
-        aggs.append(F.sum(w * F.col(f"_x{i}")).alias(f"wx_{i}"))
+        z = F.col(f"_x{i}") - around[i]
+        aggs += [F.sum(w * z).alias(f"wz_{i}"), F.sum(w * z * z).alias(f"wzz_{i}"),
+                 F.min(around[i]).alias(f"ref_{i}")]
         aggs += _common_aggs(i, w)
-    first = data.groupBy(*keys).agg(*aggs)
-    for i in range(d):
-        first = first.withColumn(f"mean_{i}", F.col(f"wx_{i}") / F.col("w_sum"))
-    if keys:
-        # one row per group, read by the second pass and by the final join:
-        # checkpoint it so the first pass over the data runs once
-        first = freeze(first)
-    # Second pass: central moment against the first pass's weighted means.
-    mean_cols = [f"mean_{i}" for i in range(d)]
-    if keys:
-        joined = join_keys(data, first.select(*keys, *mean_cols), keys)
-        means = [F.col(c) for c in mean_cols]
-    else:
-        # one row of 8d+3 numbers: bounded by the width, carried as literals
-        row = first.collect()[0]
-        joined = data
-        means = [F.lit(row[c]).cast("double") for c in mean_cols]
-    m2 = joined.groupBy(*keys).agg(*[
-        F.sum(w * (F.col(f"_x{i}") - means[i]) * (F.col(f"_x{i}") - means[i])).alias(f"m2_{i}")
-        for i in range(d)])
-    if keys:
-        return join_keys(first, m2, keys)
-    return m2.select("*", *[F.lit(row[c]).cast(first.schema[c].dataType).alias(c)
-                            for c in first.columns])
-
-
-def _task_states(data: DataFrame, names: list[str], keys: list[str],
-                 weighted: bool) -> DataFrame:
+    sums = data.groupBy(*keys).agg(*aggs)
+    shift = [F.try_divide(F.col(f"wz_{i}"), F.col("w_sum")) for i in range(d)]
+    return sums.select(
+        "*", *[(F.col(f"ref_{i}") + shift[i]).alias(f"mean_{i}") for i in range(d)],
+        *[F.greatest(F.col(f"wzz_{i}") - F.col(f"wz_{i}") * shift[i], F.lit(0.0)).alias(f"m2_{i}")
+          for i in range(d)])
+
+
+def _references(data: DataFrame, d: int) -> list[float]:
+    """The first row's values: d numbers, 0 where they are not finite."""
+    row = data.limit(1).collect()
+    values = [row[0][f"_x{i}"] if row else None for i in range(d)]
+    return [float(v) if v is not None and math.isfinite(v) else 0.0 for v in values]
+
+
+def _task_states(data: DataFrame, names: list[str], weighted: bool) -> DataFrame:
     """Per-task states for wide inputs (``mapInPandas``).
 
     Hundreds of unrolled aggregates exceed codegen's method size and run
     interpreted; instead each task folds its Arrow batches into one state
-    row per (group, column) with numpy — Chan's rule merges batch moments —
+    row per column with numpy — Chan's rule merges batch moments —
     and ``merge_states`` combines the task states: one shuffle of
-    tasks x groups x columns rows.
+    tasks x columns rows.  An empty state per column stands for empty input.
     """
     import numpy as np
     import pandas as pd
 
     d = len(names)
     xcols = [f"_x{i}" for i in range(d)]
-    key_fields = [data.schema[k] for k in keys]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields]
-                       + ["`column` string", "n long", "w_sum double", "w2_sum double",
-                          "mean double", "m2 double", "nnz double", "n_zero long",
-                          "max_nz double", "min_nz double", "norm_l1 double", "l2_sq double"])
+    schema = ("`column` string, n long, w_sum double, w2_sum double, mean double, m2 double, "
+              "nnz double, n_zero long, max_nz double, min_nz double, norm_l1 double, "
+              "l2_sq double")
 
     def fold(batches):
-        acc = {}
+        a = None
         for pdf in batches:
-            groups = pdf.groupby(keys, dropna=False, sort=False) if keys else [((), pdf)]
-            for key, g in groups:
-                key = key if isinstance(key, tuple) else (key,)
-                x = g[xcols].to_numpy(dtype=np.float64)
-                w = g["_w"].to_numpy(dtype=np.float64) if weighted else np.ones(len(g))
-                wb = w.sum()
+            if not len(pdf):
+                continue
+            x = pdf[xcols].to_numpy(dtype=np.float64)
+            w = pdf["_w"].to_numpy(dtype=np.float64) if weighted else np.ones(len(pdf))
+            wb = w.sum()
+            nz = (x != 0) & ~np.isnan(x)
+            with np.errstate(invalid="ignore"):  # infinities make NaN moments, as in the sums
                 mb = (w[:, None] * x).sum(axis=0) / wb
-                m2b = (w[:, None] * (x - mb) ** 2).sum(axis=0)
-                nz = (x != 0) & ~np.isnan(x)
-                with np.errstate(invalid="ignore"):
-                    mx = np.where(nz, x, -np.inf).max(axis=0)
-                    mn = np.where(nz, x, np.inf).min(axis=0)
-                part = dict(n=len(g), w=wb, w2=(w * w).sum(), mean=mb, m2=m2b,
-                            nnz=(w[:, None] * (x != 0)).sum(axis=0),
-                            zero=(x == 0).sum(axis=0), mx=mx, mn=mn,
+                part = dict(n=len(pdf), w=wb, w2=(w * w).sum(), mean=mb,
+                            m2=(w[:, None] * (x - mb) ** 2).sum(axis=0),
+                            nnz=(w[:, None] * (x != 0)).sum(axis=0), zero=(x == 0).sum(axis=0),
+                            seen=nz.any(axis=0), mx=np.where(nz, x, -np.inf).max(axis=0),
+                            mn=np.where(nz, x, np.inf).min(axis=0),
                             l1=(w[:, None] * np.abs(x)).sum(axis=0),
                             l2=(w[:, None] * x * x).sum(axis=0))
-                a = acc.get(key)
                 if a is None:
-                    acc[key] = part
+                    a = part
                     continue
                 tot = a["w"] + wb
                 delta = mb - a["mean"]
-                a["m2"] = a["m2"] + m2b + delta * delta * a["w"] * wb / tot
+                a["m2"] = a["m2"] + part["m2"] + delta * delta * a["w"] * wb / tot
                 a["mean"] = a["mean"] + delta * wb / tot
-                a["w"], a["n"], a["w2"] = tot, a["n"] + part["n"], a["w2"] + part["w2"]
-                for f in ("nnz", "zero", "l1", "l2"):
-                    a[f] = a[f] + part[f]
-                a["mx"] = np.maximum(a["mx"], mx)
-                a["mn"] = np.minimum(a["mn"], mn)
-        for key, a in acc.items():
-            out = {k: [v] * d for k, v in zip(keys, key)}
-            out.update({"column": names, "n": np.full(d, a["n"], dtype=np.int64),
-                        "w_sum": np.full(d, a["w"]), "w2_sum": np.full(d, a["w2"]),
-                        "mean": a["mean"], "m2": a["m2"], "nnz": a["nnz"],
-                        "n_zero": a["zero"].astype(np.int64),
-                        "max_nz": pd.array(np.where(np.isinf(a["mx"]), np.nan, a["mx"]),
-                                           dtype="Float64"),
-                        "min_nz": pd.array(np.where(np.isinf(a["mn"]), np.nan, a["mn"]),
-                                           dtype="Float64"),
-                        "norm_l1": a["l1"], "l2_sq": a["l2"]})
-            frame = pd.DataFrame(out)
-            # absent extremes are nulls, not NaN (NaN would win Spark's max)
-            frame["max_nz"] = frame["max_nz"].where(~np.isinf(a["mx"]), None)
-            frame["min_nz"] = frame["min_nz"].where(~np.isinf(a["mn"]), None)
-            yield frame
-
-    return data.mapInPandas(fold, schema)
+            a["w"] = tot
+            for f in ("n", "w2", "nnz", "zero", "l1", "l2"):
+                a[f] = a[f] + part[f]
+            a["seen"] = a["seen"] | part["seen"]
+            a["mx"], a["mn"] = np.maximum(a["mx"], part["mx"]), np.minimum(a["mn"], part["mn"])
+        if a is None:
+            return
+
+        def extreme(values):
+            # no nonzero value seen: null, which Spark's max and min skip (an infinity is a value)
+            return pd.Series(values, dtype="float64").astype("Float64").where(
+                pd.Series(a["seen"]), pd.NA)
+
+        yield pd.DataFrame({"column": names, "n": np.full(d, a["n"], dtype=np.int64),
+                            "w_sum": np.full(d, a["w"]), "w2_sum": np.full(d, a["w2"]),
+                            "mean": a["mean"], "m2": a["m2"], "nnz": a["nnz"],
+                            "n_zero": a["zero"].astype(np.int64), "max_nz": extreme(a["mx"]),
+                            "min_nz": extreme(a["mn"]), "norm_l1": a["l1"], "l2_sq": a["l2"]})
+
+    ship(data.sparkSession)
+    empty = data.sparkSession.createDataFrame(
+        [(n, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 0, None, None, 0.0, 0.0) for n in names], schema)
+    return data.mapInPandas(fold, schema).unionByName(empty)
 
 
 def merge_states(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
@@ -246,7 +236,7 @@ def merge_states(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     base = state.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum("w_sum").alias("w_sum"),
         F.sum("w2_sum").alias("w2_sum"),
-        (F.sum(F.col("w_sum") * F.col("mean")) / F.sum("w_sum")).alias("mean"),
+        F.try_divide(F.sum(F.col("w_sum") * F.col("mean")), F.sum("w_sum")).alias("mean"),
         F.sum("nnz").alias("nnz"), F.sum("n_zero").alias("n_zero"),
         F.max("max_nz").alias("max_nz"), F.min("min_nz").alias("min_nz"),
         F.sum("norm_l1").alias("norm_l1"), F.sum("l2_sq").alias("l2_sq"))
@@ -299,9 +289,12 @@ def col_summary(df: DataFrame, cols, weight: str | None = None,
 
 def sparse_summary(long: DataFrame, row_id: str = "row_id", idx: str = "idx",
                    value: str = "value", num_rows: DataFrame | int | None = None,
-                   group_by: Sequence[str] = ()) -> DataFrame:
+                   group_by: Sequence[str] = (), width: int | None = None) -> DataFrame:
     """Summary of sparse vectors given in long form ``(row_id, idx, value)``.
 
+    With ``width`` every index 0 .. width-1 gets a row, stored or not, and an index outside
+    is an error; without it only stored indexes do.
+
     Absent cells are zeros, so only stored cells are scanned (the O(nnz)
     update of the reference).  The row count comes from ``num_rows`` or from
     the distinct row ids; implied zeros are ``rows - stored cells``.
@@ -315,18 +308,30 @@ def sparse_summary(long: DataFrame, row_id: str = "row_id", idx: str = "idx",
         rows = None
     else:
         rows = num_rows
+    if width is not None:
+        inside = (F.col("_idx") >= 0) & (F.col("_idx") < width)
+        cells = cells.withColumn("_idx", check(inside, F.col("_idx"),
+                                               f"an index lies outside 0..{width - 1}"))
+        # an index that no row stores: one cell that counts as not stored
+        every = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("_idx")
+        grid = (cells.select(*keys).distinct().select(*keys, every) if keys else
+                cells.sparkSession.range(1).select(every))
+        cells = cells.withColumn("_is", F.lit(1)).unionByName(
+            grid.withColumn("_is", F.lit(0)), allowMissingColumns=True)
+    else:
+        cells = cells.withColumn("_is", F.lit(1))
     nz = (F.col("_x") != 0) & ~F.isnan(F.col("_x"))
     stats = cells.groupBy(*keys, "_idx").agg(
-        F.count(F.lit(1)).alias("_stored"),
-        F.sum("_x").alias("_s1"),
+        F.sum("_is").alias("_stored"),
+        F.coalesce(F.sum("_x"), F.lit(0.0)).alias("_s1"),
         F.count_if(F.col("_x") != 0).cast("double").alias("nnz"),
         F.count_if(F.col("_x") == 0).alias("_zero_stored"),
         F.max(F.when(nz, F.col("_x"))).alias("max_nz"),
         F.min(F.when(nz, F.col("_x"))).alias("min_nz"),
-        F.sum(F.abs("_x")).alias("norm_l1"),
-        F.sum(F.col("_x") * F.col("_x")).alias("l2_sq"),
-        F.avg("_x").alias("_mean_stored"),
-        (F.var_pop("_x") * F.count("_x")).alias("_m2_stored"))
+        F.coalesce(F.sum(F.abs("_x")), F.lit(0.0)).alias("norm_l1"),
+        F.coalesce(F.sum(F.col("_x") * F.col("_x")), F.lit(0.0)).alias("l2_sq"),
+        F.coalesce(F.avg("_x"), F.lit(0.0)).alias("_mean_stored"),
+        F.coalesce(F.var_pop("_x") * F.count("_x"), F.lit(0.0)).alias("_m2_stored"))
     if rows is None:
         stats = stats.withColumn("_rows", F.lit(int(num_rows)).cast("long"))
     elif keys:

@@ -519,33 +519,60 @@ ORACLE["linreg_sgd_scaled"] = _sig_select(_c + _s, COEF_COLS)
 
 # ---------------------------------------------------------- Gaussian scoring
 
-_EMB2 = ("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1 "
-         "FROM embeddings")
-
-
-def _mvn2(a: str, b: str, c: str, m0: str, m1: str) -> tuple[str, str]:
-    """(logpdf, squared Mahalanobis) of (e0, e1) for sigma [[a, b], [b, c]]."""
-    det = f"(({a}) * ({c}) - ({b}) * ({b}))"
-    d0, d1 = f"(e0 - {m0})", f"(e1 - {m1})"
-    quad = f"((({c}) * {d0} * {d0} - 2 * ({b}) * {d0} * {d1} + ({a}) * {d1} * {d1}) / {det})"
-    return f"(-0.5 * (2 * ln(2 * pi()) + ln({det})) - 0.5 * {quad})", quad
-
-
-_LP, _ = _mvn2("0.016", "0.002", "0.016", "0.0", "0.0")
-ORACLE["mvn_logpdf"] = _sig_select(f"SELECT vec_id, {_LP} AS logpdf FROM ({_EMB2}) AS x",
+_EMB = ("SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings")
+# sigma = a I + b 11': inverse by Sherman-Morrison, determinant a^63 (a + 64 b)
+_MVN = ("(-0.5 * (64 * ln(2 * pi()) + 63 * ln(0.014) + ln(0.014 + 64 * 0.0015)) - 0.5 * "
+        "(list_inner_product(d, d) - 0.0015 / (0.014 + 64 * 0.0015) * list_sum(d) * list_sum(d)) "
+        "/ 0.014)")
+_MVN_D = f"SELECT vec_id, list_transform(e, lambda v: v - 0.001) AS d FROM ({_EMB}) AS x"
+ORACLE["mvn_logpdf"] = _sig_select(f"SELECT vec_id, {_MVN} AS logpdf FROM ({_MVN_D}) AS y",
                                    [("vec_id", False), ("logpdf", True)])
-ORACLE["mvn_pdf"] = _sig_select(f"SELECT vec_id, exp({_LP}) AS pdf FROM ({_EMB2}) AS x",
+ORACLE["mvn_pdf"] = _sig_select(f"SELECT vec_id, exp({_MVN}) AS pdf FROM ({_MVN_D}) AS y",
                                 [("vec_id", False), ("pdf", True)])
 ORACLE["mvn_logpdf_wide"] = _sig_select(
     "SELECT vec_id, -0.5 * (64 * ln(2 * pi()) + 64 * ln(0.016)) - 0.5 * "
     "list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) / 0.016 "
     "AS logpdf FROM embeddings", [("vec_id", False), ("logpdf", True)])
-_LP, _Q = _mvn2("s.a", "s.b", "s.c", "s.m0", "s.m1")
+
+_EMB_COV = (
+    f"emb AS ({_EMB}), "
+    "cell AS (SELECT vec_id, unnest(e) AS x, unnest(range(0, 64)) AS i FROM emb), "
+    "avgs AS (SELECT i, avg(x) AS m FROM cell GROUP BY i), "
+    "mid AS (SELECT vec_id, i, x - m AS z FROM cell JOIN avgs USING (i)), "
+    "cov AS (SELECT p.i AS i, q.i AS j, sum(p.z * q.z) / (count(*) - 1) AS cov "
+    "  FROM mid AS p JOIN mid AS q USING (vec_id) GROUP BY p.i, q.i) ")
+ORACLE["cov_matrix_wide"] = _sig_select(
+    f"WITH {_EMB_COV} SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, cov FROM cov",
+    [("i", False), ("j", False), ("cov", True)])
+ORACLE["corr_pearson_wide"] = _sig_select(
+    f"WITH {_EMB_COV}, sd AS (SELECT i, sqrt(cov) AS s FROM cov WHERE i = j) "
+    "SELECT CAST(cov.i AS INTEGER) AS i, CAST(cov.j AS INTEGER) AS j, "
+    "CASE WHEN cov.i = cov.j THEN 1.0 ELSE cov / (a.s * b.s) END AS corr "
+    "FROM cov JOIN sd AS a ON a.i = cov.i JOIN sd AS b ON b.i = cov.j",
+    [("i", False), ("j", False), ("corr", True)])
+# the sample covariance is inverted by the sweep operator, one pivot per step
 ORACLE["mvn_outliers"] = _sig_select(
-    f"WITH x AS ({_EMB2}), s AS (SELECT var_samp(e0) AS a, covar_samp(e0, e1) AS b, "
-    "var_samp(e1) AS c, avg(e0) AS m0, avg(e1) AS m1 FROM x) "
-    f"SELECT vec_id, {_LP} AS logpdf, {_Q} > 9.21 AS is_outlier FROM x, s",
+    f"WITH RECURSIVE {_EMB_COV}, "
+    "rw AS (SELECT i, list(cov ORDER BY j) AS r FROM cov GROUP BY i), "
+    "mu AS (SELECT list(m ORDER BY i) AS mu FROM avgs), "
+    "sweep(k, m, ld) AS ("
+    "  SELECT CAST(1 AS BIGINT), (SELECT list(r ORDER BY i) FROM rw), 0.0::DOUBLE "
+    "  UNION ALL SELECT k + 1, list_transform(range(1, 65), lambda i: list_transform("
+    "    range(1, 65), lambda j: CASE WHEN i = k AND j = k THEN -1.0 / m[k][k] "
+    "      WHEN i = k THEN m[k][j] / m[k][k] WHEN j = k THEN m[i][k] / m[k][k] "
+    "      ELSE m[i][j] - m[i][k] * m[k][j] / m[k][k] END)), ld + ln(m[k][k]) "
+    "  FROM sweep WHERE k <= 64), "
+    "inv AS (SELECT m, ld FROM sweep WHERE k = 65), "
+    "dd AS (SELECT vec_id, list_transform(range(1, 65), lambda i: e[i] - mu[i]) AS d FROM emb, mu), "
+    "qq AS (SELECT vec_id, ld, -list_inner_product(d, list_transform(m, "
+    "    lambda r: list_inner_product(r, d))) AS q FROM dd, inv) "
+    "SELECT vec_id, -0.5 * (64 * ln(2 * pi()) + ld) - 0.5 * q AS logpdf, "
+    "q > 93.2169 AS is_outlier FROM qq",
     [("vec_id", False), ("logpdf", True), ("is_outlier", False)])
+ORACLE["linreg_predict_wide"] = _sig_select(
+    f"SELECT vec_id, 0.25 + list_inner_product(e, list_transform(range(0, 64), "
+    f"lambda j: (j % 7 - 3) / 10.0)) AS prediction FROM ({_EMB}) AS x",
+    [("vec_id", False), ("prediction", True)])
 
 
 # ------------------------------------------------- model round trips, streams

@@ -7,8 +7,7 @@ aggregate (built-in ``covar_pop`` / ``sum``).  Wider inputs would break
 codegen's method size limit, so each task folds its Arrow batches into one
 d x d numpy block (``mapInPandas``), emitted as (i, j, value) rows, and the
 blocks are merged by a grouped sum — one shuffle of d^2 rows per task,
-independent of the row count; the input is first folded onto the cluster's
-cores so there are at most cores x d^2 such rows.  Centred blocks are merged with Chan's rule
+independent of the row count.  Centred blocks are merged with Chan's rule
 C = sum C_p + sum n_p (m_p - m)(m_p - m)^T.
 """
 
@@ -17,19 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UNROLL_MAX = 32
+from statframe.session import freeze
+from statframe.ship import ship
 
-
-def _one_block_per_core(x: DataFrame) -> DataFrame:
-    """Each task emits one d x d block, so the merge shuffles tasks x d^2 rows:
-    fold the input splits onto the cluster's cores first (no shuffle), which
-    keeps every core busy and bounds the merge by cores x d^2."""
-    try:
-        cores = x.sparkSession.sparkContext.defaultParallelism
-        parts = x.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: leave the partitioning alone
-        return x
-    return x.coalesce(cores) if parts > cores else x
+UNROLL_MAX = 8
 
 
 def _long_from_wide(wide: DataFrame, d: int, prefix: str, symmetric: bool = True) -> DataFrame:
@@ -87,8 +77,10 @@ def _blocked_comoments(x: DataFrame, d: int) -> DataFrame:
                             "mi": mean[ii.ravel()], "mj": mean[jj.ravel()],
                             "value": c.ravel()})
 
-    parts = _one_block_per_core(x).mapInPandas(
-        block, "n long, i int, j int, mi double, mj double, value double")
+    ship(x.sparkSession)
+    # read by the means and by the merge: kept, so that the data is scanned once
+    parts = freeze(x.mapInPandas(
+        block, "n long, i int, j int, mi double, mj double, value double"))
     # merged means per column, from the diagonal rows of each block
     diag = parts.filter(F.col("i") == F.col("j"))
     means = diag.groupBy("i").agg(
@@ -101,8 +93,9 @@ def _blocked_comoments(x: DataFrame, d: int) -> DataFrame:
                          * (F.col("mj") - F.col("gj"))).alias("value")))
     # d means and n, one row: bounded by the width
     mrows = means.orderBy("i").collect()
-    n = mrows[0]["n"] if mrows else 0
-    return merged.select(F.lit(n).cast("long").alias("n"),
+    if not mrows:
+        raise ValueError("co-moments need at least one row")
+    return merged.select(F.lit(mrows[0]["n"]).cast("long").alias("n"),
                          *[F.lit(r["m"]).alias(f"mean_{r['i']}") for r in mrows],
                          "i", "j", "value")
 
@@ -140,5 +133,6 @@ def cross_sums(data: DataFrame, exprs: list[Column]) -> DataFrame:
         yield pd.DataFrame({"i": ii.ravel().astype(np.int32), "j": jj.ravel().astype(np.int32),
                             "value": s.ravel()})
 
-    parts = _one_block_per_core(x).mapInPandas(block, "i int, j int, value double")
+    ship(x.sparkSession)
+    parts = x.mapInPandas(block, "i int, j int, value double")
     return parts.groupBy("i", "j").agg(F.sum("value").alias("value"))

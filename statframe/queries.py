@@ -376,46 +376,67 @@ def q_linreg_mse(spark, sf):
 # ---------------------------------------------------------- Gaussian scoring
 
 # The Gaussian the scoring queries evaluate.
-MVN_MU = [0.0, 0.0]
-MVN_SIGMA = [[0.016, 0.002], [0.002, 0.016]]
-MVN_WIDE_VAR = 0.016
-CHI2_2DF_99 = 9.21  # squared Mahalanobis cut for the outlier flag (2 dimensions, ~99%)
+MVN_A, MVN_B = 0.014, 0.0015  # sigma = a I + b 11', a full 64 x 64 matrix
+CHI2_64DF_99 = 93.2169  # squared Mahalanobis cut for the outlier flag (64 dimensions, 99%)
 
 
-def _emb2(spark, sf):
-    emb = table(spark, sf, "embeddings")
-    return emb.select("vec_id", F.col("embedding")[0].cast("double").alias("e0"),
-                      F.col("embedding")[1].cast("double").alias("e1"))
+def _embeddings(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", "embedding")
+
+
+def _mvn():
+    import numpy as np
+
+    return G.Gaussian(np.full(64, 0.001), MVN_A * np.eye(64) + MVN_B)
 
 
 @query
 def q_mvn_logpdf(spark, sf):
-    g = G.Gaussian(MVN_MU, MVN_SIGMA)
-    return rounded(G.score(_emb2(spark, sf), ["e0", "e1"], g).select("vec_id", "logpdf"))
+    """Log-density of all 64 embedding coordinates under a full covariance."""
+    return rounded(G.score(_embeddings(spark, sf), "embedding", _mvn()).select("vec_id", "logpdf"))
 
 
 @query
 def q_mvn_pdf(spark, sf):
-    g = G.Gaussian(MVN_MU, MVN_SIGMA)
-    return rounded(G.score(_emb2(spark, sf), ["e0", "e1"], g, output="pdf", density=True)
+    return rounded(G.score(_embeddings(spark, sf), "embedding", _mvn(), output="pdf", density=True)
                    .select("vec_id", "pdf"))
 
 
 @query
 def q_mvn_logpdf_wide(spark, sf):
-    """All 64 embedding coordinates (the batched numpy path)."""
+    """The same with a diagonal covariance."""
     import numpy as np
-    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    g = G.Gaussian(np.zeros(64), np.eye(64) * MVN_WIDE_VAR)
-    return rounded(G.score(emb, "embedding", g).select("vec_id", "logpdf"))
+    g = G.Gaussian(np.zeros(64), np.eye(64) * 0.016)
+    return rounded(G.score(_embeddings(spark, sf), "embedding", g).select("vec_id", "logpdf"))
 
 
 @query
 def q_mvn_outliers(spark, sf):
-    return rounded(G.outliers(_emb2(spark, sf), ["e0", "e1"], CHI2_2DF_99)
+    """Outliers under the Gaussian fitted to all 64 coordinates."""
+    return rounded(G.outliers(_embeddings(spark, sf), "embedding", CHI2_64DF_99)
                    .select("vec_id", "logpdf", "is_outlier"))
 
 
+@query
+def q_cov_matrix_wide(spark, sf):
+    """Covariance of all 64 embedding coordinates."""
+    return rounded(C.cov_matrix(_embeddings(spark, sf), "embedding").select("i", "j", "cov"))
+
+
+@query
+def q_corr_pearson_wide(spark, sf):
+    """Pearson correlation of all 64 embedding coordinates."""
+    return rounded(C.pearson(_embeddings(spark, sf), "embedding").select("i", "j", "corr"))
+
+
+@query
+def q_linreg_predict_wide(spark, sf):
+    """A fixed linear model over the embedding array."""
+    model = LR.LinearModel([((j % 7) - 3) / 10 for j in range(64)], 0.25,
+                           [f"embedding[{j}]" for j in range(64)])
+    return rounded(model.predict(_embeddings(spark, sf), "embedding").select("vec_id", "prediction"))
+
+
 # ------------------------------------------------------- model save and load
 
 @query
@@ -438,16 +459,19 @@ def q_linreg_model_roundtrip(spark, sf):
 # ------------------------------------------------------------------ streaming
 
 def _event_stream(spark, sf):
-    """``events`` replayed as a file stream (the path as a one-file glob)."""
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/event[s].parquet")
+    """``events`` replayed as a stream of four files, one per micro-batch, so that window state
+    is merged across batches (the files cover the same days: no row is late)."""
+    events = table(spark, sf, "events")
+    path = scratch_path(spark, "events")
+    events.repartition(4).write.parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @query
 def q_stream_summary(spark, sf):
     """Daily summaries of event values from a stream; equals the batch summary."""
     out, ckpt = scratch_path(spark, "stream-summary"), scratch_path(spark, "stream-ckpt")
-    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "1 day", out, ckpt)
+    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "400 days", out, ckpt)
     res = SS.finalize_windows(SS.latest_windows(spark, out), ["value"])
     return rounded(res.withColumn("day", F.to_date("window_start"))
                    .drop("window_start", "window_end"))
@@ -457,7 +481,7 @@ def q_stream_summary(spark, sf):
 def q_stream_summary_by_type(spark, sf):
     """Daily summaries per event type from a stream (grouped windows)."""
     out, ckpt = scratch_path(spark, "stream-type"), scratch_path(spark, "stream-type-ckpt")
-    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "1 day", out, ckpt,
+    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "400 days", out, ckpt,
                     group_by=["event_type"])
     res = SS.finalize_windows(SS.latest_windows(spark, out, ["event_type"]), ["value"],
                               ["event_type"])
@@ -470,7 +494,7 @@ def q_stream_ab_test_student(spark, sf):
     """Daily Student (pooled variance) t-test of purchase values vs the rest."""
     out, ckpt = scratch_path(spark, "stream-st"), scratch_path(spark, "stream-st-ckpt")
     moments = AB.windowed_moments(_event_stream(spark, sf), "value",
-                                  F.col("event_type") == "purchase", "ts", "1 day", "1 day")
+                                  F.col("event_type") == "purchase", "ts", "1 day", "400 days")
     SS.run_update_stream(moments, out, ckpt)
     res = AB.t_test(SS.latest_windows(spark, out), AB.STUDENT)
     return rounded(res.withColumn("day", F.to_date("window_start"))
@@ -482,7 +506,7 @@ def q_stream_ab_test(spark, sf):
     """Daily Welch t-test: value of purchase events against all other events."""
     out, ckpt = scratch_path(spark, "stream-ab"), scratch_path(spark, "stream-ab-ckpt")
     moments = AB.windowed_moments(_event_stream(spark, sf), "value",
-                                  F.col("event_type") == "purchase", "ts", "1 day", "1 day")
+                                  F.col("event_type") == "purchase", "ts", "1 day", "400 days")
     SS.run_update_stream(moments, out, ckpt)
     res = AB.t_test(SS.latest_windows(spark, out))
     return rounded(res.withColumn("day", F.to_date("window_start"))

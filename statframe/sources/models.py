@@ -25,14 +25,24 @@ from pyspark.sql import types as T
 
 from statframe.operators.bayes import MULTINOMIAL, NaiveBayesModel, label_order
 from statframe.operators.linear import LinearModel
+from statframe.session import freeze
 
 NB_CLASS = "statframe.NaiveBayesModel"
 LINEAR_CLASS = "statframe.LinearRegressionModel"
 
 
-def _write_metadata(spark: SparkSession, path: str, meta: dict) -> None:
+def _write_model(spark: SparkSession, path: str, meta: dict, tables: dict[str, DataFrame],
+                 overwrite: bool) -> None:
+    """Data first, metadata last: a folder without metadata is no model.  An existing model
+    is an error unless ``overwrite``; its tables are checkpointed first, so that a loaded
+    model can be saved onto its own path."""
+    if overwrite:
+        tables = {name: freeze(df) for name, df in tables.items()}
+    mode = "overwrite" if overwrite else "error"
+    for name, df in tables.items():
+        df.write.mode(mode).parquet(f"{path}/{name}")
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+        .coalesce(1).write.mode(mode).text(f"{path}/metadata")
 
 
 def read_metadata(spark: SparkSession, path: str) -> dict:
@@ -44,7 +54,8 @@ def read_metadata(spark: SparkSession, path: str) -> dict:
 
 # ----------------------------------------------------------------- naive Bayes
 
-def save_nb(model: NaiveBayesModel, path: str, version: str = "2.0") -> None:
+def save_nb(model: NaiveBayesModel, path: str, version: str = "2.0",
+            overwrite: bool = False) -> None:
     spark = model.prior.sparkSession
     if version not in ("1.0", "2.0"):
         raise ValueError(f"unknown model format version {version}")
@@ -57,9 +68,7 @@ def save_nb(model: NaiveBayesModel, path: str, version: str = "2.0") -> None:
             "featureNames": model.feature_names}
     if version == "2.0":
         meta["modelType"] = model.model_type
-    _write_metadata(spark, path, meta)
-    model.prior.write.mode("overwrite").parquet(f"{path}/data/prior")
-    model.cond.write.mode("overwrite").parquet(f"{path}/data/cond")
+    _write_model(spark, path, meta, {"data/prior": model.prior, "data/cond": model.cond}, overwrite)
 
 
 def load_nb(spark: SparkSession, path: str) -> NaiveBayesModel:
@@ -102,13 +111,13 @@ def load_nb(spark: SparkSession, path: str) -> NaiveBayesModel:
 
 # ------------------------------------------------------------------ linear
 
-def save_linear(model: LinearModel, spark: SparkSession, path: str) -> None:
+def save_linear(model: LinearModel, spark: SparkSession, path: str,
+                overwrite: bool = False) -> None:
     meta = {"class": LINEAR_CLASS, "version": "1.0", "numFeatures": model.num_features,
             "featureNames": model.feature_names}
-    _write_metadata(spark, path, meta)
-    spark.createDataFrame([(model.weights, float(model.intercept))],
-                          "weights array<double>, intercept double") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{path}/data")
+    data = spark.createDataFrame([(model.weights, float(model.intercept))],
+                                 "weights array<double>, intercept double").coalesce(1)
+    _write_model(spark, path, meta, {"data": data}, overwrite)
 
 
 def load_linear(spark: SparkSession, path: str) -> LinearModel:

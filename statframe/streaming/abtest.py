@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statframe.functions import special
+from statframe.functions.columns import apply_null_policy, not_null
+from statframe.ship import ship
 from statframe.streaming.summary import event_time
 
 WELCH = "welch"
@@ -24,9 +26,15 @@ NULL_HYPOTHESIS = "Both groups have same mean"
 
 
 def windowed_moments(stream: DataFrame, value: str, is_treatment: Column, time_col: str,
-                     window: str, watermark: str) -> DataFrame:
-    """Per window: (n, mean, var) of control (A) and treatment (B)."""
-    v = F.col(value).cast("double")
+                     window: str, watermark: str, nulls: str = "error") -> DataFrame:
+    """Per window: (n, mean, var) of control (A) and treatment (B); a null value or group is an
+    error, or its row is dropped (``nulls="drop"``)."""
+    ship(stream.sparkSession)
+    if nulls == "drop":
+        stream = stream.filter(is_treatment.isNotNull())
+    stream = apply_null_policy(stream, [value], nulls)
+    v = not_null(F.col(value).cast("double"), value)
+    is_treatment = not_null(is_treatment, "the group")
     data = event_time(stream, time_col).withWatermark(time_col, watermark).select(
         F.window(time_col, window).alias("window"), v.alias("_v"), is_treatment.alias("_t"))
     a = F.when(~F.col("_t"), F.col("_v"))

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statframe.functions.columns import join_keys
+from statframe.functions.columns import apply_null_policy, join_keys, not_null
 from statframe.operators.summary import _common_aggs, _unpivot, finalize
 
 
@@ -31,13 +31,16 @@ def event_time(stream: DataFrame, time_col: str) -> DataFrame:
 
 
 def windowed_state(stream: DataFrame, cols: Sequence[str], time_col: str, window: str,
-                   watermark: str, group_by: Sequence[str] = ()) -> DataFrame:
-    """Wide per-window state (streaming-safe: aggregates only)."""
+                   watermark: str, group_by: Sequence[str] = (), nulls: str = "error"
+                   ) -> DataFrame:
+    """Wide per-window state (streaming-safe: aggregates only); nulls as in the batch form:
+    an error, or rows dropped."""
     cols = list(cols)
     keys = list(group_by)
+    stream = apply_null_policy(stream, cols, nulls)
     data = event_time(stream, time_col).withWatermark(time_col, watermark).select(
         F.window(time_col, window).alias("window"), *keys,
-        *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+        *[not_null(F.col(c).cast("double"), c).alias(f"_x{i}") for i, c in enumerate(cols)])
     aggs = [F.count(F.lit(1)).alias("n")]
     for i in range(len(cols)):
         x = F.col(f"_x{i}")
@@ -91,11 +94,12 @@ def run_append_stream(state: DataFrame, out_path: str, checkpoint: str,
 
 def run_to_table(stream: DataFrame, cols: Sequence[str], time_col: str, window: str,
                  watermark: str, out_path: str, checkpoint: str,
-                 group_by: Sequence[str] = (), mode: str = "update") -> None:
+                 group_by: Sequence[str] = (), mode: str = "update",
+                 nulls: str = "error") -> None:
     """Windowed summary state of ``stream`` written to ``out_path``
     (``mode`` "update": every version, read with ``latest_windows``;
     "append": finished windows only, read the folder directly)."""
-    state = windowed_state(stream, cols, time_col, window, watermark, group_by)
+    state = windowed_state(stream, cols, time_col, window, watermark, group_by, nulls)
     if mode == "append":
         run_append_stream(state, out_path, checkpoint)
     elif mode == "update":
