@@ -56,7 +56,7 @@ class Transducer:
     token count against the current one.
     """
 
-    def __init__(self, path: str, most_states: int = 80_000):
+    def __init__(self, path: str, most_states: int = 200_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         alphabet = _byte_alphabet()
@@ -154,7 +154,7 @@ class Counter:
 
         self.fst = Transducer(path)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.cache = PieceCache(self._solve, sum, 120_000)
+        self.cache = PieceCache(self._solve, sum, 100_000)
         self.special = re.compile("|".join(map(re.escape, self.fst.special))) \
             if self.fst.special else None
 
