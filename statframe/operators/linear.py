@@ -224,7 +224,7 @@ def train_sgd(df: DataFrame, label: str, cols: Sequence[str] | str, num_iteratio
     elif mini_batch_fraction >= 1.0:
         S = S_full if S_full is not None else _collect_square(cross_sums(df, exprs), k)
         A, b, yy, n = split(S)
-        if not n:
+        if not n > 0:  # the sums of no rows are null
             raise ValueError("training needs at least one row")
         w, iters, losses = _sgd(A, b, yy, w0, num_iterations, step_size, convergence_tol,
                                 batch=lambda i: (A, b, yy, n))
