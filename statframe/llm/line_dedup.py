@@ -84,7 +84,7 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
     content = stored(lines.select("h1", "line").join(wanted, "h1", "left_semi")
                      .groupBy("h1").agg(F.first("line").alias("line")), "lines")
 
-    def verify(pairs: DataFrame) -> DataFrame:
+    def measure(pairs: DataFrame) -> DataFrame:
         # a hub with many members is met by its members in groups of 256
         parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / 256).alias("parts"))
         members = pairs.join(parts, "b").select(
@@ -95,10 +95,11 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
                                                        F.col("parts") - 1)).alias("part")))
         both = members.join(own, "a").join(hubs, ["b", "part"]).withColumn(
             "n", F.size(F.array_intersect("x", "y")))
-        return both.filter(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n"))
-                           ).select("a", "b")
+        union = F.size("x") + F.size("y") - F.col("n")
+        return both.select("a", "b", (1 - F.col("n") / union).alias("distance"),
+                           (100 * F.col("n") >= percent * union).alias("linked"))
 
-    labels = link(busy, verify)
+    labels = link(busy.withColumn("size", F.lit(1)), measure, percent)
     # the line's key in its own right: h2 tells lines apart that share h1
     occ = stored(lines.select("doc_id", "dk", "line_no", "h1", "h2").join(
         labels.select(F.col("node").alias("h1"), "root"), "h1", "left").select(

@@ -1,33 +1,43 @@
 """Links and components over candidate buckets, in DataFrame functions only.
 
-``link`` takes (key, node) rows, where nodes that may belong together share a key, and a
-function that confirms pairs on their full content.  It does not test all pairs of a bucket:
+``link`` takes (key, node, size) rows, where nodes that may belong together share a key, and a
+function that measures pairs on their full content.  It does not test all pairs of a bucket:
 
 * first every node is tested against one hub only, the smallest node of one of its
   buckets (the one that it shares most buckets with);
-* nodes that are connected by then need no further test.  Buckets that still hold nodes of
-  different components are gone through in turns of hubs (1, 4, 16, ... per bucket),
-  each against the members of other components, until no bucket holds an untested
-  pair across components.
-
-So a group of copies of any size costs one test per member, and no link between different
-components is lost.
+* nodes that are connected by then need no further test.  In buckets that still hold several
+  components, the nodes of the smaller ones are tested against the hubs of the others;
+* Jaccard distance obeys the triangle inequality, so a node y at distance d(h, y) from a hub h
+  can't be linked with a node x at d(h, x) < d(h, y) - allowed distance.  What this does not
+  exclude is tested: all at once where it is no more than a few pairs per candidate row, else by
+  turns of 1, 4, 16, ... nodes per bucket, joining components after each turn.
+
+So a group of copies of any size costs one test per member and a few per stranger in its
+buckets, and no link between different components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from statframe.llm.common import stored
+from statframe.session import scratch_path
+
+#: pairs across components that are tested at once, per candidate row
+AT_ONCE = 4
 
 
-def _size(df: DataFrame):
-    """Rows and an order-independent digest of them."""
-    r = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")).first()
-    return r.n, r.x
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """Write ``df`` to the shared folder; the table read back, its rows and an order-independent
+    digest of them, both taken while writing."""
+    spark, seen = df.sparkSession, Observation()
+    path = scratch_path(spark, name)
+    df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(
+        F.xxhash64(*df.columns)).alias("x")).write.parquet(path)
+    got = seen.get
+    return spark.read.schema(df.schema).parquet(path), got["n"], got["x"]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,73 +45,147 @@ def components(edges: DataFrame) -> DataFrame:
     alternating large-star and small-star rounds.  Every round is stored, so that a lost
     executor costs no more than its own tasks."""
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        """Links every neighbour (large: every larger one, over both directions) to the
-        smallest."""
-        best = e.groupBy("u").agg(F.min("v").alias("m"))
-        if large:
-            best = best.select("u", F.least("u", "m").alias("m"))
-        got = e.join(best, "u").filter(F.col("v") > F.col("u") if large else F.col("v") != F.col("m"))
-        out = got.select(F.col("v").alias("u"), F.col("m").alias("v"))
-        if not large:
-            out = out.unionByName(best.select("u", F.col("m").alias("v")))
-        return out.filter("u != v").select(F.greatest("u", "v").alias("u"),
-                                           F.least("u", "v").alias("v")).distinct()
-
-    e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-               .filter("u != v").distinct(), "edges")
-    was = _size(e)
-    while was[0]:
+    def stars(e: DataFrame) -> DataFrame:
+        # large star: every larger neighbour of u, over both directions, to u's smallest
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        e = stored(star(star(both, True), False), "edges")
-        now = _size(e)
-        if now == was:
+        best = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.filter("v > u").join(best, "u").select(
+            F.col("v").alias("u"), F.col("m").alias("v"))
+        # small star: every smaller neighbour of u, and u itself, to the smallest
+        best = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(best, "u").filter("v != m").select(
+            F.col("v").alias("u"), F.col("m").alias("v"))
+        return small.unionByName(best.select("u", F.col("m").alias("v"))).distinct()
+
+    e, n, x = _stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                      .filter("u != v").distinct(), "edges")
+    while n:
+        was = n, x
+        e, n, x = _stored(stars(e), "edges")
+        if was == (n, x):
             break
-        was = now
-    nodes = e.select("u", "v")
-    return nodes.unionByName(nodes.select(F.col("v").alias("u"), "v")).distinct().select(
-        F.col("u").alias("node"), F.col("v").alias("root"))
-
-
-def link(candidates: DataFrame, verify: Callable[[DataFrame], DataFrame], turn: int = 4
-         ) -> DataFrame:
-    """(node, root) of all nodes with a confirmed link.  ``candidates``: (key, node);
-    ``verify`` takes pairs (a, b) and returns those that are linked."""
-    hubs = candidates.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    shared = stored(candidates.join(hubs.filter("hub != last").drop("last"), "key").distinct(),
-                    "buckets")
-    first = (shared.filter("node != hub").groupBy("node", "hub").count()
-             .groupBy("node").agg(F.max(F.struct("count", "hub")).alias("x"))
-             .select(F.col("node").alias("a"), F.col("x.hub").alias("b")))
-    tested = stored(first, "tested")
-    edges = stored(verify(tested), "links")
-    labels = stored(components(edges), "labels")
-
-    def open_buckets(rows: DataFrame) -> DataFrame:
-        """The rows with their component, without buckets of a single one."""
+    # every edge now leads to a root
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: only the roots that these touch take part."""
+    def root_of(side):
+        return links.join(labels.select(F.col("node").alias(side), F.col("root").alias(
+            f"root_{side}")), side, "left").withColumn(side, F.coalesce(f"root_{side}", side))
+
+    links = root_of("a").select("a", "b")
+    links = root_of("b").select("a", "b").distinct()
+    new = components(links).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    moved = labels.join(new, labels.root == new.old, "left").select(
+        "node", F.coalesce("new", "root").alias("root"))
+    fresh = new.join(labels.select(F.col("node").alias("old")), "old", "left_anti").select(
+        F.col("old").alias("node"), F.col("new").alias("root"))
+    return _stored(moved.unionByName(fresh), "labels")[0]
+
+
+def link(candidates: DataFrame, measure: Callable[[DataFrame], DataFrame], percent: int,
+         turn: int = 4) -> DataFrame:
+    """(node, root) of all nodes with a confirmed link.  ``candidates``: (key, node, size);
+    ``measure`` takes pairs (a, b) and returns (a, b, distance, linked) of each, with the Jaccard
+    distance of their sets.  Nodes with 100 * smaller size < ``percent`` * larger size are never
+    linked, nor are nodes at a distance above 1 - ``percent`` / 100."""
+    allowed = 1 - percent / 100 + 1e-9
+    lowest = candidates.groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub"),
+                                           F.max("node").alias("last"))
+    shared, n_rows, _ = _stored(
+        candidates.join(lowest.filter("hub.node != last").drop("last"), "key").distinct(),
+        "buckets")
+
+    def may(a: str, b: str):
+        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+    first = (shared.filter(F.col("node") != F.col("hub.node"))
+             .filter(may("size", "hub.size")).groupBy("node", F.col("hub.node").alias("hub"))
+             .count().groupBy("node").agg(F.max(F.struct("count", (-F.col("hub")).alias("hub")))
+                                          .alias("x"))
+             .select(F.col("node").alias("a"), (-F.col("x.hub")).alias("b")))
+    tested, _, _ = _stored(first, "tested")
+    near, _, _ = _stored(measure(tested), "measured")
+    labels, _, _ = _stored(components(near.filter("linked").select("a", "b")), "labels")
+    # each node's hub and distance; a node without a test is its own hub
+    own = near.select(F.col("a").alias("node"), F.col("b").alias("hub"), "distance")
+    rest = shared.select("key", "node", "size").join(own, "node", "left").select(
+        "key", "node", "size", F.coalesce("hub", "node").alias("hub"),
+        F.coalesce("distance", F.lit(0.0)).alias("distance"))
+
+    def open_buckets(rows: DataFrame) -> tuple[DataFrame, int]:
+        """The rows with their component and its place in the bucket (larger components
+        later), without buckets of a single component."""
         known = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node"))
         many = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
             .filter("lo != hi").select("key")
-        return known.drop("root").join(many, "key")
-
-    rest = stored(open_buckets(shared.select("key", "node")).drop("comp").withColumn(
-        "turn", F.row_number().over(Window.partitionBy("key").orderBy("node"))), "open")
-    lo, n = 1, turn
-    last = rest.agg(F.max("turn")).first()[0] or 0
-    while lo < last:
-        now = stored(open_buckets(rest), "open")
-        a = now.filter((F.col("turn") >= lo) & (F.col("turn") < lo + n)).select(
-            "key", F.col("node").alias("b"), F.col("comp").alias("comp_b"),
-            F.col("turn").alias("turn_b"))
-        pairs = (now.join(a, "key").filter("turn > turn_b and comp != comp_b")
-                 .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-                 .distinct().join(tested, ["a", "b"], "left_anti"))
-        pairs = stored(pairs, "tested")
-        got = stored(verify(pairs), "links")
-        tested = tested.unionByName(pairs)
-        if not got.isEmpty():
-            edges = edges.unionByName(got)
-            labels = stored(components(edges), "labels")
-        last = now.agg(F.max("turn")).first()[0] or 0
-        lo, n = lo + n, n * 4
+        known = known.drop("root").join(many, "key")
+        place = known.groupBy("key", "comp").agg(F.count("*").alias("place"))
+        return _stored(known.join(place, ["key", "comp"]), "open")[:2]
+
+    def earlier(x: str, y: str):
+        """Whether y's component comes before x's in their bucket."""
+        return F.struct(f"place_{y}", f"comp_{y}") < F.struct(f"place_{x}", f"comp_{x}")
+
+    def named(rows: DataFrame, side: str, *more: str) -> DataFrame:
+        return rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in
+                                    ("node", "size", "comp", "place", *more)])
+
+    def put_to_test(pairs: DataFrame) -> DataFrame:
+        """Measure the pairs that have not been, and join the components that they link."""
+        nonlocal tested, near, labels
+        a, b = F.greatest("node_x", "node_y"), F.least("node_x", "node_y")
+        todo, count, _ = _stored(pairs.select(a.alias("a"), b.alias("b")).filter("a != b")
+                                 .distinct().join(tested, ["a", "b"], "left_anti"), "tested")
+        if count:
+            tested = tested.unionByName(todo)
+            got, _, _ = _stored(measure(todo), "measured")
+            near = near.unionByName(got)
+            links, count, _ = _stored(got.filter("linked").select("a", "b"), "links")
+            if count:
+                labels = _joined(labels, links)
+
+    rest, n = open_buckets(rest)
+    if not n:
+        return labels
+    # the hubs of later components against the nodes of earlier ones
+    hubs = named(rest, "x", "hub").drop("node_x", "size_x").distinct().withColumnRenamed(
+        "hub_x", "node_x")
+    put_to_test(hubs.join(named(rest, "y"), "key").filter(earlier("x", "y")).select(
+        "node_x", "node_y").distinct())
+    rest, n = open_buckets(rest.drop("comp", "place"))
+    either = near.select("a", "b", "distance").unionByName(
+        near.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
+    to_hub = either.unionByName(rest.select(F.col("hub").alias("a"), F.col("hub").alias("b"),
+                                            F.lit(0.0).alias("distance")))
+    to_hub = to_hub.select(F.col("a").alias("node_y"), F.col("b").alias("hub_x"),
+                           F.col("distance").alias("to_hub")).distinct()
+
+    def across(rows_x: DataFrame, rows_y: DataFrame) -> DataFrame:
+        """Pairs of a bucket across components that sizes and hub distances leave possible."""
+        # y against each hub of its bucket, then against the nodes of that hub
+        hub = rows_x.select("key", F.col("hub").alias("hub_x")).distinct()
+        ys = named(rows_y, "y").join(hub, "key").join(to_hub, ["node_y", "hub_x"], "left")
+        return named(rows_x, "x", "hub", "distance").join(ys, ["key", "hub_x"]).filter(
+            earlier("x", "y") & may("size_x", "size_y") &
+            (F.coalesce("to_hub", F.lit(0.0)) - F.col("distance_x") <= allowed)).select(
+            "node_x", "node_y")
+
+    if not n:
+        return labels
+    # as many pairs as the larger side's rows for each node of the smaller ones, at most
+    pairs = across(rest, rest).agg(F.count("*").alias("n")).first()["n"]
+    if pairs <= AT_ONCE * n_rows:
+        put_to_test(across(rest, rest))
+        return labels
+    rest = _stored(rest.withColumn("turn", F.row_number().over(
+        Window.partitionBy("key").orderBy("node"))), "turns")[0]
+    lo, last = 1, rest.agg(F.max("turn")).first()[0]
+    while n and lo <= last:
+        now = (F.col("turn") >= lo) & (F.col("turn") < lo + turn)
+        put_to_test(across(rest, rest.filter(now)).unionByName(across(rest.filter(now), rest)))
+        lo, turn = lo + turn, turn * 4
+        rest, n = open_buckets(rest.drop("comp", "place"))
     return labels

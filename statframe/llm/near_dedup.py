@@ -129,10 +129,10 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, bands: int =
     nodes = stored(rows_.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"),
         F.first("keys").alias("keys")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    buckets = nodes.select(F.explode("keys").alias("key"), "node")
+    buckets = nodes.select(F.explode("keys").alias("key"), "node", F.col("n").alias("size"))
     # the texts of nodes that share a bucket; other nodes need none
     busy = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"),
-                        "key").select("key", "node")
+                        "key").select("key", "node", "size")
     busy = stored(busy, "busy")
     wanted = nodes.select("node", "first_id", "digest").join(
         busy.select("node").distinct(), "node", "left_semi")
@@ -155,36 +155,32 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, bands: int =
         at, hub = None, None
         for b in text_groups(batches, column="text_a"):
             a, n, t, u = (c.to_pylist() for c in b.columns)
-            keep = []
+            far, linked = [], []
             for i in range(len(a)):
                 if n[i] != at:  # rows of one hub mostly come one after another
                     at, hub = n[i], sets.of(u[i])
                 own = sets.of(t[i])
                 both = len(np.intersect1d(own, hub, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(hub) - both):
-                    keep.append(i)
-            yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        # sizes alone rule out many pairs
-        size = nodes.select("node", "n")
-        lo, hi = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        near = (pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
-                .join(size.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-                .filter(100 * lo >= percent * hi).select("a", "b"))
+                union = len(own) + len(hub) - both
+                far.append(1 - both / union)
+                linked.append(100 * both >= percent * union)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), pa.array(far, pa.float64()), pa.array(linked)],
+                names=["a", "b", "distance", "linked"])
+
+    def measure(pairs: DataFrame) -> DataFrame:
         # a hub with many members is met by its members in groups of 256
-        near = near.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(1 << 20)))
-        parts = near.groupBy("b").agg(F.ceil(F.count("*") / 256).alias("parts"))
-        near = near.join(parts, "b").withColumn("part", F.pmod("part", "parts"))
+        parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / 256).alias("parts"))
+        near = pairs.join(parts, "b").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
         hubs = (parts.join(content.select(F.col("node").alias("b"), F.col("text").alias("text_b")),
                            "b").withColumn("part", F.explode(F.sequence(
                                F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts"))
         members = near.drop("parts").join(
             content.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return members.join(hubs, ["b", "part"]).select("a", "b", "text_a", "text_b").mapInArrow(
-            compare, "a long, b long")
+            compare, "a long, b long, distance double, linked boolean")
 
-    labels = link(busy, verify)
+    labels = link(busy, measure, percent)
     known = nodes.select("digest", "node", "first_id").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     ids = known.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -90,16 +90,44 @@ def test_components_of_paths_stars_and_rings(spark):
     assert {r.node: r.root for r in got.collect()} == want
 
 
-def test_linking_finds_links_beside_the_hub(spark):
-    """In one bucket: the hub is linked with nobody, the others in pairs."""
-    cand = spark.createDataFrame([(1, i) for i in range(30)], "key long, node long")
-    calls = []
-
-    def verify(pairs):
-        calls.append(pairs.count())
-        return pairs.filter("b > 0 and a % 5 = b % 5")
-
-    got = {r.node: r.root for r in linking.link(cand, verify).collect()}
+def jaccard(sets, seen):
+    """A measure over given sets that keeps the pairs it was asked for."""
+    def measure(pairs):
+        rows_ = [(r.a, r.b) for r in pairs.collect()]
+        seen.extend(rows_)
+        out = []
+        for a, b in rows_:
+            both, union = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            out.append((a, b, 1 - both / union, 100 * both >= 75 * union))
+        return pairs.sparkSession.createDataFrame(
+            out, "a long, b long, distance double, linked boolean")
+    return measure
+
+
+@pytest.mark.parametrize("at_once", [0, 1000])
+def test_linking_finds_links_beside_the_hub(spark, monkeypatch, at_once):
+    """In one bucket: the hub is linked with nobody, the others in groups; by turns and at once."""
+    monkeypatch.setattr(linking, "AT_ONCE", at_once)
+    sets = {i: {f"{i}"} | ({f"g{i % 5}-{k}" for k in range(20)} if i else set())
+            for i in range(30)}
+    cand = spark.createDataFrame([(1, i, 21) for i in range(30)],
+                                 "key long, node long, size long")
+    seen = []
+    got = {r.node: r.root for r in linking.link(cand, jaccard(sets, seen), 75).collect()}
     assert got == {i: (i % 5 or 5) for i in range(1, 30)}
-    # members of one component are not tested against each other again
-    assert sum(calls) < 30 * 29 / 2
+    assert len(seen) == len(set(seen))
+
+
+def test_linking_skips_what_sizes_and_hubs_exclude(spark):
+    """A large group of copies with strangers in its bucket: few tests per stranger."""
+    rng = random.Random(1)
+    base = [f"b{k}" for k in range(100)]
+    sets = {i: set(base) - {rng.choice(base)} | {f"x{i}"} for i in range(300)}
+    sets |= {300 + i: set(base[:50]) | {f"y{i}-{k}" for k in range(50)} for i in range(5)}
+    sets[305] = set(base[:60])  # too small to be linked with any copy
+    cand = spark.createDataFrame([(1, i, len(s)) for i, s in sets.items()],
+                                 "key long, node long, size long")
+    seen = []
+    got = {r.node: r.root for r in linking.link(cand, jaccard(sets, seen), 75).collect()}
+    assert got == {i: 0 for i in range(300)}
+    assert len(seen) < 330 and len(seen) == len(set(seen))
