@@ -44,7 +44,7 @@ SEGMENT = 1024
 #: text bytes and documents of a block
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 15
 #: tokens that run through the recursions together
-GROUP_TOKENS = 1 << 19
+GROUP_TOKENS = 1 << 20
 
 
 def suffix_class(word: bytes) -> int:
@@ -123,10 +123,9 @@ def vocabulary(counts: DataFrame, top: int) -> Vocabulary:
 
 
 CODED = ("kind int, block long, idx int, doc_id long, held_out boolean, n_tokens long, "
-         "n_known long, base double, fixed double, seq binary, word binary, docs binary, "
-         "times binary")
+         "n_known long, base double, fixed double, seq binary, word binary, posts binary")
 _CODED_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(),
-                pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+                pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
 _NAMES = [f.split()[0] for f in CODED.split(", ")]
 
 
@@ -139,7 +138,8 @@ def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Kind 0: a document with its class sequence and what is known of its score without rare
-    words.  Kind 1: a rare word of a block, the documents that hold it and how often."""
+    words.  Kind 1: a rare word of a block, and its postings: the number of a
+    document in the block and how often it holds the word."""
     n_top = len(vocab.top)
     log_share = np.log10(vocab.tokens + vocab.types + 1)
     log_all = np.log10(vocab.n_tokens + vocab.n_types + 1)
@@ -172,19 +172,24 @@ def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
             n = len(docs)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, t) for c, t in zip(cols, _CODED_TYPES)),
-                 *(pa.nulls(n, pa.binary()) for _ in range(3))], names=_NAMES)
+                 *(pa.nulls(n, pa.binary()) for _ in range(2))], names=_NAMES)
             if local:
                 pair, times = np.unique(
                     np.concatenate(at).astype(np.int64) << 32 | np.concatenate(who),
                     return_counts=True)
+                # a posting has 16 bits for the count; a larger one becomes several postings
+                parts = -(-times // 0xFFFF)
+                left = np.repeat(times, parts) - 0xFFFF * (
+                    np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+                pair = np.repeat(pair, parts)
+                posts = (pair & 0xFFFF) << 16 | np.minimum(left, 0xFFFF)
                 ends = np.searchsorted(pair >> 32, np.arange(len(local)), side="right")
                 n = len(local)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(n, np.int32)), pa.array(np.full(n, block)),
                      *(pa.nulls(n, t) for t in _CODED_TYPES[2:10]),
-                     pa.array(list(local), pa.binary()),
-                     _packed((pair & 0xFFFFFFFF).astype("<u4"), ends),
-                     _packed(times.astype("<u4"), ends)], names=_NAMES)
+                     pa.array(list(local), pa.binary()), _packed(posts.astype("<u4"), ends)],
+                    names=_NAMES)
             local.clear()
             docs.clear()
             at.clear()
@@ -247,14 +252,11 @@ class _Group:
                                                                 self.order.tolist()))}
         self.segments = np.bincount(self.doc, minlength=self.n_docs)
 
-    def transfers(self, m: Model) -> tuple[dict[int, np.ndarray], np.ndarray]:
-        """Scaled transfer matrix of every segment behind a first one, and its log scale."""
+    def transfers(self, m: Model) -> dict[int, np.ndarray]:
+        """Transfer matrix of every segment behind a first one, scaled to a sum of 1."""
         rows = np.flatnonzero(self.order)
-        if not len(rows):
-            return {}, np.zeros(self.n)
         k = len(m.start)
         t = np.broadcast_to(np.eye(k), (len(rows), k, k)).copy()
-        log = np.zeros(self.n)
         emit = m.emit.T
         for step, n in enumerate(self.running):
             live = np.searchsorted(rows, n)
@@ -262,10 +264,8 @@ class _Group:
                 break
             e = emit[self.obs[self.begin[step] + rows[:live]]]
             x = (t[:live] @ m.move) * e[:, None, :]
-            c = x.sum(axis=(1, 2))
-            t[:live] = x / c[:, None, None]
-            log[rows[:live]] += np.log(c)
-        return dict(zip(rows.tolist(), t)), log
+            t[:live] = x / x.sum(axis=(1, 2), keepdims=True)
+        return dict(zip(rows.tolist(), t))
 
     def forward(self, m: Model, first: np.ndarray, keep: bool = False):
         """(log likelihoods, last vectors, all vectors, all scales) of the segments from the given
@@ -287,34 +287,41 @@ class _Group:
         return log, last, alpha, scale
 
     def entries(self, m: Model):
-        """Vectors before each segment's first emission, backward vectors at each segment's end,
-        and every document's log likelihood."""
+        """Vectors before each segment's first emission and backward vectors at each segment's
+        end.  Only documents of several segments take work: the transfer matrices of their
+        later segments, and a forward pass over their first ones."""
         k = len(m.start)
-        first = np.tile(m.start, (self.n, 1))
-        back = np.ones((self.n, k))
-        t, log_t = self.transfers(m)
-        log, last, _, _ = self.forward(m, first)
-        total = np.zeros(self.n_docs)
-        opening = self.order == 0
-        total[self.doc[opening]] = log[opening]
-        for d in np.flatnonzero(self.segments > 1).tolist():
+        first, back = np.tile(m.start, (self.n, 1)), np.ones((self.n, k))
+        long = np.flatnonzero(self.segments > 1).tolist()
+        if not long:
+            return first, back
+        t = self.transfers(m)
+        opening = [self.number[d, 0] for d in long]
+        # first segments of long documents are full: the rows are the same at every step
+        emit, a = m.emit.T, np.tile(m.start, (len(long), 1))
+        for step in range(SEGMENT):
+            a = (a if step == 0 else a @ m.move) * emit[self.obs[self.begin[step] + opening]]
+            a /= a.sum(axis=1, keepdims=True)
+        for d, a in zip(long, a):
             own = [self.number[d, o] for o in range(self.segments[d])]
-            a = last[own[0]]
             for s in own[1:]:
                 first[s] = a @ m.move
                 a = a @ t[s]
-                c = a.sum()
-                a = a / c
-                total[d] += np.log(c) + log_t[s]
+                a = a / a.sum()
             for s, after in zip(own[-2::-1], own[:0:-1]):
                 b = t[after] @ back[after]
                 back[s] = b / b.sum()
-        return first, back, total
+        return first, back
+
+    def likelihoods(self, m: Model) -> np.ndarray:
+        """Every document's log likelihood: its segments' sums of log scales."""
+        log = self.forward(m, self.entries(m)[0])[0]
+        return np.bincount(self.doc, log, self.n_docs)
 
     def expected(self, m: Model):
         """Expected counts (start, move, emit) and the log likelihood, summed over documents."""
-        first, back, total = self.entries(m)
-        _, last, alpha, scale = self.forward(m, first, keep=True)
+        first, back = self.entries(m)
+        log, last, alpha, scale = self.forward(m, first, keep=True)
         # forward and backward vectors of a place multiply to 1
         back /= (last * back).sum(axis=1, keepdims=True)
         k, emit = len(m.start), m.emit.T
@@ -342,7 +349,7 @@ class _Group:
         start = counts[:self.n][self.order == 0].sum(axis=0)
         by_class = np.stack([np.bincount(self.obs, counts[:, j], m.emit.shape[1])
                              for j in range(k)])
-        return start, move, by_class, total.sum()
+        return start, move, by_class, log.sum()
 
 
 def _groups(batches):
@@ -386,10 +393,10 @@ def _answers(coded: DataFrame, counts: DataFrame) -> DataFrame:
 
     def settle(t: pa.Table) -> pa.Table:
         n = t.column("n").to_numpy()
-        docs, often = t.column("docs").to_pylist(), t.column("times").to_pylist()
-        size = [len(d) // 4 for d in docs]
-        who = np.frombuffer(b"".join(docs), "<u4").astype(np.int64)
-        times = np.frombuffer(b"".join(often), "<u4").astype(np.float64)
+        posts = t.column("posts").to_pylist()
+        size = [len(p) // 4 for p in posts]
+        posts = np.frombuffer(b"".join(posts), "<u4")
+        who, times = (posts >> 16).astype(np.int64), (posts & 0xFFFF).astype(np.float64)
         value, known = np.repeat(np.log10(n + 1.0), size), np.repeat(n > 0, size)
         at = np.unique(who)
         return pa.table({
@@ -398,9 +405,9 @@ def _answers(coded: DataFrame, counts: DataFrame) -> DataFrame:
             "rare_log": pa.array(np.bincount(who, times * value)[at]),
             "rare_known": pa.array(np.bincount(who, times * known)[at].astype(np.int64))})
 
-    words = coded.filter("kind = 1").select("block", "word", "docs", "times")
+    words = coded.filter("kind = 1").select("block", "word", "posts")
     return (words.join(counts.filter("cls >= 0").select("word", "n"), "word", "left")
-            .select("block", F.coalesce("n", F.lit(0)).alias("n"), "docs", "times")
+            .select("block", F.coalesce("n", F.lit(0)).alias("n"), "posts")
             .groupBy("block").applyInArrow(
                 settle, "block long, idx int, rare_log double, rare_known long"))
 
@@ -420,7 +427,7 @@ def score(docs: DataFrame, held_out: str, states: int = 8, iterations: int = 5,
 
     def run(batches):
         for b, g in _groups(batches):
-            total = g.entries(model)[2] / np.log(10)
+            total = g.likelihoods(model) / np.log(10)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(total)], names=[*b.schema.names[:-1], "hmm"])
 

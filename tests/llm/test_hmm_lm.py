@@ -52,7 +52,7 @@ def test_recursions_with_any_segment(monkeypatch, toy, segment):
     m, seqs = toy
     g = L._Group(seqs)
     each = [brute(m, s) for s in seqs]
-    assert np.allclose(g.entries(m)[2], [e[0] for e in each])
+    assert np.allclose(g.likelihoods(m), [e[0] for e in each])
     start, move, emit, total = g.expected(m)
     assert np.allclose(start, sum(e[1] for e in each))
     assert np.allclose(move, sum(e[2] for e in each))
@@ -68,7 +68,7 @@ def test_long_sequences_do_not_underflow(toy):
         a = (a @ m.move) * m.emit[:, seq[t]]
         log, a = log + math.log(a.sum()), a / a.sum()
     log += math.log(a.sum())
-    assert np.isclose(L._Group([seq, seq[:5]]).entries(m)[2][0], log)
+    assert np.isclose(L._Group([seq, seq[:5]]).likelihoods(m)[0], log)
 
 
 def test_scores_against_loops(spark):
@@ -128,3 +128,16 @@ def test_no_training_rows_and_no_rows(spark):
     got = L.score(frame(spark), "true", states=2, iterations=2).collect()
     assert len(got) == len(rows()) and all(r.base == 0 and r.n_known == 0 for r in got)
     assert L.score(empty(spark), HELD).count() == 0
+
+
+def test_a_word_more_often_than_a_posting_counts(spark):
+    """No top words, one word 70,000 times: its postings split and add up."""
+    df = spark.createDataFrame([(1, "zz " * 70_000 + "a b"), (2, "a zz"), (3, "b")],
+                               "doc_id long, text string")
+    got = {r.doc_id: r for r in L.score(df, "false", states=2, iterations=1, top=0).collect()}
+    c = {"zz": 70_001, "a": 2, "b": 2}
+    all_, v = sum(c.values()) + 3, 4
+    want = 70_000 * math.log10(70_002) + 2 * math.log10(3) + math.log10(4) \
+        - 70_003 * math.log10(all_ + v + 1)
+    assert got[1].n_tokens == got[1].n_known == 70_003
+    assert got[1].base == pytest.approx(want)
