@@ -33,7 +33,9 @@ MIN_CHARS = 20
 PERCENT = 80
 
 _ALL = rf"(?s)(?=(.{{{CHARS}}}))"
-_SKETCHED = rf"(?s)(?:^|(?<=[\s\p{{Punct}}aeo05])|(?=[^\x00-ɏ]))(?=(.{{{CHARS}}}))"
+#: the same behind a blank, a punctuation mark or one of aeo05, or where the script has no blanks
+_SKETCHED = (r"(?s)(?:^|(?<=[\t-\r !-/:-@\[-`{-~aeo05])|(?=[^\x00-\u024F]))"
+             rf"(?=(.{{{CHARS}}}))")
 
 
 def _doc_key():
@@ -56,10 +58,10 @@ def _buckets(lines: DataFrame) -> DataFrame:
                                        F.max("h2").alias("hi")).filter("lo = hi")
     runs = distinct.select("h1", F.regexp_extract_all("line", F.lit(_SKETCHED), F.lit(1)).alias("s"))
     rounds = F.ceil(F.lit(float(LEAST_HASHES)) / F.size("s")).cast("int")
-    hashed = (runs.select("h1", F.explode("s").alias("s"), rounds.alias("rounds"))
-              .select("h1", F.xxhash64("s").alias("x"), F.explode(
-                  F.sequence(F.lit(1), "rounds")).alias("r"))
-              .select("h1", "r", F.xxhash64("r", "x").alias("v")))
+    # rounds first: the runs of a line are taken apart once a round, each into one hash
+    hashed = (runs.select("h1", "s", F.explode(F.sequence(F.lit(1), rounds)).alias("r"))
+              .select("h1", "r", F.explode("s").alias("s"))
+              .select("h1", "r", F.xxhash64("r", "s").alias("v")))
     # the round stands above the hash: a bin keeps what it got first
     value = F.shiftleft(F.col("r").cast("long"), 48).bitwiseOR(F.shiftrightunsigned("v", 16))
     bins = hashed.groupBy("h1", F.pmod("v", F.lit(BINS)).alias("bin")).agg(
