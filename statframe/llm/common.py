@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -74,3 +75,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark) -> None:
+    """Let Spark remove the shuffle files of finished steps.  It does so when their plans have been
+    collected as garbage, which on an idle driver can take half an hour."""
+    gc.collect()
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # Spark Connect: the server looks after its own
+        return

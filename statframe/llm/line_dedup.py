@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statframe.llm.common import id_text, stored
+from statframe.llm.common import id_text, release, stored
 from statframe.llm.linking import link
 
 CHARS = 8
@@ -79,12 +79,16 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
         raise ValueError(f"min_chars must be at least {CHARS}")
     lines = _lines(id_text(docs, id_col, text_col), min_chars)
     buckets = stored(_buckets(lines), "bands")
+    release(buckets.sparkSession)
+    # the count is aggregated before it is joined: a key with very many nodes is split by AQE
     busy = stored(buckets.join(
         buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         .filter("lo != hi").select("key"), "key"), "busy")
+    release(busy.sparkSession)
     wanted = busy.select(F.col("node").alias("h1")).distinct()
     content = stored(lines.select("h1", "line").join(wanted, "h1", "left_semi")
                      .groupBy("h1").agg(F.first("line").alias("line")), "lines")
+    release(busy.sparkSession)
 
     def measure(pairs: DataFrame) -> DataFrame:
         # a hub with many members is met by its members in groups of 256
