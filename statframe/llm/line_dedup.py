@@ -1,9 +1,9 @@
 """Fuzzy duplicate lines (operator 10, DataFrame functions only).
 
 Lines of at least ``min_chars`` characters are compared by their runs of CHARS characters.
-A line's sketch has BINS coordinates.  Its runs that start behind a blank, a punctuation mark
-or one of a few frequent characters (everywhere in scripts without blanks) are hashed into bins,
-in as many rounds as a short line needs to fill them, and a bin keeps its smallest hash.
+A line's sketch has BINS coordinates.  Its distinct runs that start behind a blank, a punctuation
+mark or one of a few frequent characters (everywhere in scripts without blanks) are hashed into
+bins, in as many rounds as a line of few runs needs to fill them, and a bin keeps its smallest hash.
 Lines that agree in all coordinates of a band share a bucket; buckets are linked as in
 ``linking``, and each pair is confirmed by the exact Jaccard similarity of all its runs.
 Of each component the line that comes first by (doc_id, text hash, line number) stays.
@@ -56,7 +56,9 @@ def _buckets(lines: DataFrame) -> DataFrame:
     # two lines with one h1 are left to the exact comparison by h1 and h2
     distinct = lines.groupBy("h1").agg(F.first("line").alias("line"), F.min("h2").alias("lo"),
                                        F.max("h2").alias("hi")).filter("lo = hi")
-    runs = distinct.select("h1", F.regexp_extract_all("line", F.lit(_SKETCHED), F.lit(1)).alias("s"))
+    # distinct runs, as hashes: repeated ones add nothing to the bins
+    runs = distinct.select("h1", F.array_distinct(F.transform(F.regexp_extract_all(
+        "line", F.lit(_SKETCHED), F.lit(1)), lambda x: F.xxhash64(x))).alias("s"))
     rounds = F.ceil(F.lit(float(LEAST_HASHES)) / F.size("s")).cast("int")
     # rounds first: the runs of a line are taken apart once a round, each into one hash
     hashed = (runs.select("h1", "s", F.explode(F.sequence(F.lit(1), rounds)).alias("r"))
@@ -66,10 +68,10 @@ def _buckets(lines: DataFrame) -> DataFrame:
     value = F.shiftleft(F.col("r").cast("long"), 48).bitwiseOR(F.shiftrightunsigned("v", 16))
     bins = hashed.groupBy("h1", F.pmod("v", F.lit(BINS)).alias("bin")).agg(
         F.min(value).alias("value"))
+    # a bin that all rounds left empty is a coordinate too: it agrees with an empty one
     bands = bins.groupBy("h1", F.floor(F.col("bin") / ROWS).alias("band")).agg(
-        F.bit_xor(F.xxhash64("bin", "value")).alias("x"), F.count("*").alias("n"))
-    return bands.filter(F.col("n") == ROWS).select(
-        F.xxhash64("band", "x").alias("key"), F.col("h1").alias("node"))
+        F.bit_xor(F.xxhash64("bin", "value")).alias("x"))
+    return bands.select(F.xxhash64("band", "x").alias("key"), F.col("h1").alias("node"))
 
 
 def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCENT,

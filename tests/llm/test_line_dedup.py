@@ -128,3 +128,29 @@ def test_no_python_in_the_plan_and_one_exchange(spark):
     links = line_dedup.line_links(df)
     for name in ("Python", "Arrow", "Pandas"):
         assert name not in links._jdf.queryExecution().toString()
+
+
+def components_of(links):
+    """Lines by (doc_id, line_no), grouped by component."""
+    groups = {}
+    for r in links.collect():
+        groups.setdefault(r.component, set()).add((r.doc_id, r.line_no))
+    return set(map(frozenset, groups.values()))
+
+
+def all_pairs_of(docs):
+    return {frozenset((d, k) for d, _, k in g) for g in brute(docs).values()}
+
+
+def test_repeated_text_against_all_pairs(spark):
+    pairs = [("-" * 60, "-" * 70), ("=" * 80, "=" * 79), ("buy now " * 30, "buy now " * 35),
+             ("| --- " * 12, "| --- " * 14), ("0 0 " * 40, "0 0 " * 44), ("ab" * 15, "ab" * 16),
+             ("Chapter one " + "." * 50 + " 12", "Chapter one " + "." * 53 + " 12")]
+    docs = [(n, x) for n, x in enumerate(x for pair in pairs for x in pair)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = components_of(line_dedup.line_links(df))
+    assert got == all_pairs_of(docs)
+    assert got == {frozenset({(2 * n, 0), (2 * n + 1, 0)}) for n in range(len(pairs))}
+    lines = line_dedup._lines(line_dedup.id_text(df), MIN_CHARS)
+    bands = Counter(r.node for r in line_dedup._buckets(lines).collect())
+    assert len(bands) == len(docs) and set(bands.values()) == {line_dedup.BANDS}
