@@ -5,7 +5,7 @@ kept, and returns the columns of ``documents``; the last returns packed pieces.
 
 1. toxicity        documents whose probability of any severity is at least 0.5 go
 2. line_dedup      of each group of fuzzy copies of a line one stays; documents left without
-                   any line go
+                   any line, or of their lines with blank ones only, go
 3. near_dedup      of each component of near-duplicate documents the one with the smallest
                    doc_id stays
 4. decontaminate   documents that hold a 10-word window of a benchmark item go

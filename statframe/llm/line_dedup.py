@@ -129,7 +129,7 @@ def _runs():
 def drop_lines(docs: DataFrame, links: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                ) -> DataFrame:
     """``docs`` without the lines that ``links`` drops, all columns kept in place.  A document all
-    of whose lines go goes too."""
+    of whose lines go goes too, and so does one that only blank lines are left of, if it had others."""
     gone = links.filter(~F.col("kept")).groupBy("doc_id", "dk").agg(
         F.collect_list("line_no").alias("gone")).select(
         F.col("doc_id").alias("_gone_id"), F.col("dk").alias("_gone_dk"), F.col("gone").alias("_gone"))
@@ -144,5 +144,10 @@ def drop_lines(docs: DataFrame, links: DataFrame, id_col: str = "doc_id", text_c
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col(f"row.`{text_col}`")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
-    return both.filter(F.col("_gone").isNull() | (F.size(stay) > 0)).select(
+    def some(numbers):
+        return F.exists(numbers, lambda i: F.get("lines", i).rlike(r"\S"))
+
+    # without a line left, or with blank ones only where others went
+    whole = (F.size(stay) > 0) & (some(stay) | ~some(F.col("_gone")))
+    return both.filter(F.col("_gone").isNull() | whole).select(
         *[(text if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in names])

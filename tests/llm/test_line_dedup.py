@@ -154,3 +154,15 @@ def test_repeated_text_against_all_pairs(spark):
     lines = line_dedup._lines(line_dedup.id_text(df), MIN_CHARS)
     bands = Counter(r.node for r in line_dedup._buckets(lines).collect())
     assert len(bands) == len(docs) and set(bands.values()) == {line_dedup.BANDS}
+
+
+def test_copies_with_blank_lines_go(spark):
+    one, two = "the first line, long enough to be compared", "a second line of another kind, long too"
+    data = [(1, f"{one}\n{two}"), (2, f"{one}\n\n{two}"), (3, f"{one}\n{two}\n"),
+            (4, f"\n \t\n{one}\n\r\n"), (5, f"{one}\n\na line that only stands in document five"),
+            (6, "\n\n"), (7, ""), (8, None), (None, f"{two}\n")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = line_dedup.drop_lines(df, line_dedup.line_links(df)).collect()
+    assert {(r.doc_id, r.text) for r in got} == {
+        data[0], (5, "\na line that only stands in document five"), *data[5:8]}
+    assert len(got) == 5
