@@ -46,7 +46,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_dedup.drop_lines(docs, line_dedup.line_links(docs))
+    left = line_dedup.drop_lines(docs, line_dedup.every_line_links(docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn("n_chars", F.char_length("text").cast(kind))

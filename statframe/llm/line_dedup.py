@@ -11,7 +11,11 @@ Of each component the line that comes first by (doc_id, text hash, line number)
 The sketch is one shuffle of the distinct lines: the explosion into runs and both aggregates
 behind it find their rows already together.
 
-Null text: no lines.  Lines shorter than ``min_chars`` are neither compared nor dropped.  Null
+``every_line_links`` takes all lines of CHARS characters or more this way, and each shorter line
+that is not blank as its own one run: exact copies of it are one component.  ``line_links`` leaves
+lines shorter than ``min_chars`` out, or with ``short`` compares those that are not blank as wholes.
+
+Null text: no lines.  Blank lines shorter than ``min_chars`` are never dropped.  Null
 doc_id: sorts last.  Rows that repeat doc_id and text count as one document.  Empty input: empty
 result.  Extra columns are ignored by ``line_links`` and kept by ``drop_lines``.
 """
@@ -43,12 +47,15 @@ def _doc_key():
     return F.xxhash64("text", "doc_id").alias("dk")
 
 
-def _lines(texts: DataFrame, min_chars: int) -> DataFrame:
-    """One row per line that is compared; h1 and h2 are independent hashes of it."""
+def _lines(texts: DataFrame, min_chars: int, short: bool = False) -> DataFrame:
+    """One row per line that is compared, ``sketched`` or as a whole; h1 and h2 are independent
+    hashes of it."""
     every = texts.select("doc_id", _doc_key(), F.posexplode(F.split("text", "\n")).alias(
-        "line_no", "line")).filter(F.char_length("line") >= min_chars)
-    return every.select("doc_id", "dk", "line_no", "line", F.xxhash64("line").alias("h1"),
-                        F.xxhash64(F.lit(1), "line").alias("h2"))
+        "line_no", "line")).withColumn("sketched", F.char_length("line") >= min_chars)
+    some = F.col("line").rlike(r"\S") if short else F.lit(False)
+    return every.filter(F.col("sketched") | some).select(
+        "doc_id", "dk", "line_no", "line", "sketched", F.xxhash64("line").alias("h1"),
+        F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
@@ -75,12 +82,14 @@ def _buckets(lines: DataFrame) -> DataFrame:
 
 
 def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCENT,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, dk, line_no, component, kept) of every line that is compared."""
+               id_col: str = "doc_id", text_col: str = "text", short: bool = False) -> DataFrame:
+    """(doc_id, dk, line_no, component, kept) of every line that is compared; with ``short`` of
+    every line that is not blank."""
     if min_chars < CHARS:
         raise ValueError(f"min_chars must be at least {CHARS}")
-    lines = _lines(id_text(docs, id_col, text_col), min_chars)
-    buckets = stored(_buckets(lines), "bands")
+    lines = _lines(id_text(docs, id_col, text_col), min_chars, short)
+    sketched = lines.filter("sketched")
+    buckets = stored(_buckets(sketched), "bands")
     release(buckets.sparkSession)
     # the count is aggregated before it is joined: a key with very many nodes is split by AQE
     busy = stored(buckets.join(
@@ -88,7 +97,7 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
         .filter("lo != hi").select("key"), "key"), "busy")
     release(busy.sparkSession)
     wanted = busy.select(F.col("node").alias("h1")).distinct()
-    content = stored(lines.select("h1", "line").join(wanted, "h1", "left_semi")
+    content = stored(sketched.select("h1", "line").join(wanted, "h1", "left_semi")
                      .groupBy("h1").agg(F.first("line").alias("line")), "lines")
     release(busy.sparkSession)
 
@@ -109,8 +118,9 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
 
     labels = link(busy.withColumn("size", F.lit(1)), measure, percent)
     # the line's key in its own right: h2 tells lines apart that share h1
-    occ = stored(lines.select("doc_id", "dk", "line_no", "h1", "h2").join(
-        labels.select(F.col("node").alias("h1"), "root"), "h1", "left").select(
+    occ = stored(lines.select("doc_id", "dk", "line_no", "sketched", "h1", "h2").join(
+        labels.select(F.col("node").alias("h1"), "root"), "h1", "left").withColumn(
+        "root", F.when(F.col("sketched"), F.col("root"))).select(
         "doc_id", "dk", "line_no", F.coalesce("root", "h1").alias("component"),
         F.when(F.col("root").isNull(), F.col("h2")).alias("h2")), "occurrences")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "dk", "line_no")
@@ -122,6 +132,12 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
         "doc_id", "dk", "line_no", "component", F.col("no2").isNotNull().alias("kept"))
 
 
+def every_line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``line_links`` of every line that is not blank, whatever its length."""
+    return line_links(docs, CHARS, percent, id_col, text_col, short=True)
+
+
 def _runs():
     return F.array_distinct(F.regexp_extract_all("line", F.lit(_ALL), F.lit(1)))
 

@@ -151,6 +151,6 @@ def op2_near_dedup(spark, sf):
 
 @query
 def op10_line_dedup(spark, sf):
-    """Every compared line with its component; one line of each stays."""
-    got = LD.line_links(table(spark, sf, "documents"))
+    """Every line that is not blank with its component; one line of each stays."""
+    got = LD.every_line_links(table(spark, sf, "documents"))
     return got.select("doc_id", "line_no", "component", "kept")

@@ -1,6 +1,7 @@
 """Fuzzy lines against all pairs of lines."""
 
 import random
+import sys
 from collections import Counter
 
 import pytest
@@ -166,3 +167,51 @@ def test_copies_with_blank_lines_go(spark):
     assert {(r.doc_id, r.text) for r in got} == {
         data[0], (5, "\na line that only stands in document five"), *data[5:8]}
     assert len(got) == 5
+
+
+def brute_every(docs, monkeypatch):
+    """``brute`` for every line of CHARS characters and every shorter one that is not blank, which
+    is its own one run."""
+    here = sys.modules[__name__]
+    monkeypatch.setattr(here, "MIN_CHARS", 1)
+    monkeypatch.setattr(here, "runs", lambda x: {x[i:i + CHARS] for i in range(
+        len(x) - CHARS + 1)} or {x})
+    every = brute(docs).values()
+    monkeypatch.undo()
+    return [g for g in every if any(len(x) >= CHARS or x.strip(" \t\r\v\f") for x in
+                                    (t.split("\n")[k] for _, t, k in g))]
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_every_line_against_all_pairs(spark, monkeypatch, seed):
+    docs = [d for d in {(d[0], d[1]) for d in corpus(seed)} if d[0] is not None and d[0] != 5]
+    docs += [(30_000, "ok\nshort line\n}"), (30_001, "}\nok\n\nshort lines"), (30_002, "中文字\n}"),
+             (30_003, "中文字\n \n0123456789"), (30_004, "0123456789a\nok ")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    links = line_dedup.every_line_links(df)
+    got, want = links.collect(), brute_every(docs, monkeypatch)
+    assert components_of(links) == {frozenset((d, k) for d, _, k in g) for g in want}
+    assert {(r.doc_id, r.line_no) for r in got if r.kept} == {
+        min((d, k) for d, _, k in g) for g in want}
+    assert sum(r.kept for r in got) == len(want)
+    assert any(len(g) > 1 and len(t.split("\n")[k]) < CHARS for g in want for _, t, k in g)
+
+
+def test_copies_with_short_lines_go(spark):
+    one = "the first line, long enough to be compared"
+    data = [(1, f"Title\n{one}\nend"), (2, f"Title\n{one}\nend"), (3, f"Title\n\n{one}\nend\n"),
+            (4, f"Other\n{one}"), (5, "end\nTitle\n"), (6, "end")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = line_dedup.drop_lines(df, line_dedup.every_line_links(df)).collect()
+    assert [(r.doc_id, r.text) for r in sorted(got)] == [data[0], (4, "Other")]
+
+
+def test_query_has_every_line(spark, tmp_path):
+    from statframe.llm.queries import op10_line_dedup
+
+    data = [(1, "ok\n\nshort line\n}"), (2, "ok\na line that is long enough to be compared\n}")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = op10_line_dedup(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.line_no): r.kept for r in got} == {
+        (1, 0): True, (1, 2): True, (1, 3): True, (2, 0): False, (2, 1): True, (2, 2): False}
