@@ -1,9 +1,8 @@
 """Fuzzy duplicate lines (operator 10, DataFrame functions only).
 
 Lines of at least ``min_chars`` characters are compared by their runs of CHARS characters.
-A line's sketch has BINS coordinates.  Its distinct runs that start behind a blank, a punctuation
-mark or one of a few frequent characters (everywhere in scripts without blanks) are hashed into
-bins, in as many rounds as a line of few runs needs to fill them, and a bin keeps its smallest hash.
+A line's sketch has BINS coordinates.  All its distinct runs are hashed into bins, in as many rounds
+as a line of few runs needs to fill them, and a bin keeps its smallest hash.
 Lines that agree in all coordinates of a band share a bucket; buckets are linked as in
 ``linking``, and each pair is confirmed by the exact Jaccard similarity of all its runs.
 Of each component the line that comes first by (doc_id, text hash, line number) stays.
@@ -37,9 +36,6 @@ MIN_CHARS = 20
 PERCENT = 80
 
 _ALL = rf"(?s)(?=(.{{{CHARS}}}))"
-#: the same behind a blank, a punctuation mark or one of aeo05, or where the script has no blanks
-_SKETCHED = (r"(?s)(?:^|(?<=[\t-\r !-/:-@\[-`{-~aeo05])|(?=[^\x00-\u024F]))"
-             rf"(?=(.{{{CHARS}}}))")
 
 
 def _doc_key():
@@ -65,7 +61,7 @@ def _buckets(lines: DataFrame) -> DataFrame:
                                        F.max("h2").alias("hi")).filter("lo = hi")
     # distinct runs, as hashes: repeated ones add nothing to the bins
     runs = distinct.select("h1", F.array_distinct(F.transform(F.regexp_extract_all(
-        "line", F.lit(_SKETCHED), F.lit(1)), lambda x: F.xxhash64(x))).alias("s"))
+        "line", F.lit(_ALL), F.lit(1)), lambda x: F.xxhash64(x))).alias("s"))
     rounds = F.ceil(F.lit(float(LEAST_HASHES)) / F.size("s")).cast("int")
     # rounds first: the runs of a line are taken apart once a round, each into one hash
     hashed = (runs.select("h1", "s", F.explode(F.sequence(F.lit(1), rounds)).alias("r"))

@@ -215,3 +215,29 @@ def test_query_has_every_line(spark, tmp_path):
     got = op10_line_dedup(spark, str(tmp_path)).collect()
     assert {(r.doc_id, r.line_no): r.kept for r in got} == {
         (1, 0): True, (1, 2): True, (1, 3): True, (2, 0): False, (2, 1): True, (2, 2): False}
+
+
+@pytest.mark.parametrize("kind, length, edits", [
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234679", 150, 1), ("ACGT", 400, 3),
+    ("bcdfghijklmnpqrstuvwxyz", 150, 1)])
+def test_lines_without_blanks_share_a_bucket(spark, kind, length, edits):
+    rng = random.Random(9)
+    pairs = []
+    while len(pairs) < 100:
+        x = "".join(rng.choice(kind) for _ in range(length))
+        y = list(x)
+        y[rng.randrange(CHARS)] = rng.choice(kind)  # in the first run
+        for _ in range(edits - 1):
+            y[rng.randrange(length)] = rng.choice(kind)
+        y = "".join(y)
+        a, b = runs(x), runs(y)
+        if x != y and 100 * len(a & b) >= 80 * len(a | b):
+            pairs.append((x, y))
+    docs = [(n, x) for n, x in enumerate(x for pair in pairs for x in pair)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    lines = line_dedup._lines(line_dedup.id_text(df), MIN_CHARS)
+    at = {r.line: r.h1 for r in lines.collect()}
+    keys = {}
+    for r in line_dedup._buckets(lines).collect():
+        keys.setdefault(r.node, set()).add(r.key)
+    assert all(keys[at[x]] & keys[at[y]] for x, y in pairs)
