@@ -460,18 +460,23 @@ def q_linreg_model_roundtrip(spark, sf):
 
 def _event_stream(spark, sf):
     """``events`` replayed as a stream of four files, one per micro-batch, so that window state
-    is merged across batches (the files cover the same days: no row is late)."""
+    is merged across batches, and a watermark delay.  The files cover the same days; the delay is
+    longer than the table's time range, so no row is late in whatever order they are read."""
     events = table(spark, sf, "events")
+    ts = F.col("ts").cast("timestamp").cast("long")
+    days = events.agg(F.floor((F.max(ts) - F.min(ts)) / 86400)).first()[0] or 0
     path = scratch_path(spark, "events")
     events.repartition(4).write.parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream, f"{days + 2} days"
 
 
 @query
 def q_stream_summary(spark, sf):
     """Daily summaries of event values from a stream; equals the batch summary."""
     out, ckpt = scratch_path(spark, "stream-summary"), scratch_path(spark, "stream-ckpt")
-    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "400 days", out, ckpt)
+    events, delay = _event_stream(spark, sf)
+    SS.run_to_table(events, ["value"], "ts", "1 day", delay, out, ckpt)
     res = SS.finalize_windows(SS.latest_windows(spark, out), ["value"])
     return rounded(res.withColumn("day", F.to_date("window_start"))
                    .drop("window_start", "window_end"))
@@ -481,7 +486,8 @@ def q_stream_summary(spark, sf):
 def q_stream_summary_by_type(spark, sf):
     """Daily summaries per event type from a stream (grouped windows)."""
     out, ckpt = scratch_path(spark, "stream-type"), scratch_path(spark, "stream-type-ckpt")
-    SS.run_to_table(_event_stream(spark, sf), ["value"], "ts", "1 day", "400 days", out, ckpt,
+    events, delay = _event_stream(spark, sf)
+    SS.run_to_table(events, ["value"], "ts", "1 day", delay, out, ckpt,
                     group_by=["event_type"])
     res = SS.finalize_windows(SS.latest_windows(spark, out, ["event_type"]), ["value"],
                               ["event_type"])
@@ -493,8 +499,9 @@ def q_stream_summary_by_type(spark, sf):
 def q_stream_ab_test_student(spark, sf):
     """Daily Student (pooled variance) t-test of purchase values vs the rest."""
     out, ckpt = scratch_path(spark, "stream-st"), scratch_path(spark, "stream-st-ckpt")
-    moments = AB.windowed_moments(_event_stream(spark, sf), "value",
-                                  F.col("event_type") == "purchase", "ts", "1 day", "400 days")
+    events, delay = _event_stream(spark, sf)
+    moments = AB.windowed_moments(events, "value",
+                                  F.col("event_type") == "purchase", "ts", "1 day", delay)
     SS.run_update_stream(moments, out, ckpt)
     res = AB.t_test(SS.latest_windows(spark, out), AB.STUDENT)
     return rounded(res.withColumn("day", F.to_date("window_start"))
@@ -505,8 +512,9 @@ def q_stream_ab_test_student(spark, sf):
 def q_stream_ab_test(spark, sf):
     """Daily Welch t-test: value of purchase events against all other events."""
     out, ckpt = scratch_path(spark, "stream-ab"), scratch_path(spark, "stream-ab-ckpt")
-    moments = AB.windowed_moments(_event_stream(spark, sf), "value",
-                                  F.col("event_type") == "purchase", "ts", "1 day", "400 days")
+    events, delay = _event_stream(spark, sf)
+    moments = AB.windowed_moments(events, "value",
+                                  F.col("event_type") == "purchase", "ts", "1 day", delay)
     SS.run_update_stream(moments, out, ckpt)
     res = AB.t_test(SS.latest_windows(spark, out))
     return rounded(res.withColumn("day", F.to_date("window_start"))
