@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from statframe.llm import decontaminate as DC
 from statframe.llm import exact_dedup as ED
+from statframe.llm import filter_audit as FA
+from statframe.llm import fingerprints as FP
 from statframe.llm import hmm_lm as LM
 from statframe.llm import id_files as IF
 from statframe.llm import license_scan as LS
@@ -154,3 +156,62 @@ def op10_line_dedup(spark, sf):
     """Every line that is not blank with its component; one line of each stays."""
     got = LD.every_line_links(table(spark, sf, "documents"))
     return got.select("doc_id", "line_no", "component", "kept")
+
+
+@query
+def op11_fingerprints(spark, sf):
+    """Closed-syncmer fingerprints of every document and of its edited text."""
+    got = FP.with_next(table(spark, sf, "documents"))
+    got = got.select("*", *[FP.hashes(F.col(c)).alias(f"{c}_set") for c in (
+        "anchors", "edited_anchors", "next_anchors")])
+    return got.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        FP.encode(F.col("anchors")).alias("fingerprint"),
+        FP.encode(F.col("edited_anchors")).alias("edited_fingerprint"),
+        FP.likeness(F.col("anchors_set"), F.col("edited_anchors_set")).alias("near_edited"),
+        FP.likeness(F.col("anchors_set"), F.col("next_anchors_set")).alias("near_next"))
+
+
+@query
+def op12_filter_audit(spark, sf):
+    """What each of five filters removes, in every order of applying them."""
+    got = FA.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return got.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails",
+                      "good_lost", "toxic_lost", "shapley")
+
+
+ORACLE["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+      FROM labels GROUP BY doc_id),
+x AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (CASE WHEN len(w) < 200 THEN 1 ELSE 0 END)
+             + (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END)
+             + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))
+                          > 3 * length(t) THEN 4 ELSE 0 END)
+             + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+             + (CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS m
+      FROM d LEFT JOIN g ON d.doc_id = g.doc_id),
+c AS (SELECT part, m, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM x GROUP BY ALL),
+f AS (SELECT unnest(range(5)) AS f),
+o AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS fs FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT fs, array_to_string(list_transform(fs, lambda i: substr('ABCDE', i + 1, 1)), '') AS filter_order,
+             step, fs[step] AS f,
+             coalesce(list_sum(list_transform(fs[1:step - 1], lambda i: 1 << i)), 0)::BIGINT AS b
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, f,
+             sum(CASE WHEN m & (b + (1 << f)) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN m & b = 0 AND m & (1 << f) <> 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN m & b <> 0 AND m & (1 << f) <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN m = (1 << f) THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN m & b = 0 AND m & (1 << f) <> 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN m & b = 0 AND m & (1 << f) <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step::BIGINT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM r
+"""
