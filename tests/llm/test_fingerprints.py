@@ -118,7 +118,7 @@ def test_encoding_and_matches(spark):
     a, b = (FP.with_anchors(df.filter(f"doc_id = {d}"), "text", f"a{d}") for d in (1, 2))
     m = a.crossJoin(b.select("a2")).select(FP.matched(F.col("a1"), F.col("a2")).alias("m")).first()["m"]
     # every anchor of the inner text is found again, three tokens further on
-    assert len(m) == len(anchors(text)) and {y - x for x, y in m} == {4}
+    assert len(m) == len(anchors(text)) and {y - x for x, y in m} == {3}
 
 
 def test_every_window_has_an_anchor():
