@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statframe.llm import collocations as CO
 from statframe.llm import decontaminate as DC
 from statframe.llm import exact_dedup as ED
 from statframe.llm import filter_audit as FA
@@ -215,3 +216,41 @@ SELECT part, filter_order, step::BIGINT AS step, kept::BIGINT AS kept, removed::
        (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM r
 """
+
+
+@query
+def op13_collocations(spark, sf):
+    """The 2,000 strongest collocations of each language."""
+    return CO.collocations(table(spark, sf, "documents"), min_count=100, longest=5, top=2000)
+
+
+ORACLE["op13_collocations"] = r"""
+WITH p AS (SELECT lang, row_number() OVER () AS p, w
+      FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text,
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)) WHERE len(w) > 0),
+t AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS s
+      FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i
+            FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, s, count(*)::HUGEINT AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, s, f, string_split(s, ' ') AS w FROM f WHERE k > 1),
+inner_ AS (SELECT lang, s, max(f) AS around
+      FROM (SELECT lang, f, array_to_string(w[i:i + j - 1], ' ') AS s
+            FROM (SELECT lang, f, w, j, unnest(range(1, k - j + 2)) AS i
+                  FROM (SELECT lang, f, w, k, unnest(range(2, k)) AS j FROM c))) GROUP BY ALL),
+left_ AS (SELECT c.* FROM c LEFT JOIN inner_ x ON x.lang = c.lang AND x.s = c.s
+      WHERE x.around IS NULL OR 100 * x.around < 100 * c.f),
+cut AS (SELECT c.lang, c.s, c.f AS a, x.f AS l, y.f AS r, t.n, j,
+               (1000 * c.f * t.n) // (x.f * y.f) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM left_) c
+      JOIN t ON t.lang = c.lang
+      JOIN f x ON x.lang = c.lang AND x.s = array_to_string(c.w[1:j], ' ')
+      JOIN f y ON y.lang = c.lang AND y.s = array_to_string(c.w[j + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM best)
+SELECT lang, rank::BIGINT AS rank, s AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
