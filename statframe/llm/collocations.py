@@ -8,11 +8,15 @@ the phrase without its first and the one without its last word are.
 * One scan writes the words as numbers, in blocks of one language with a dictionary each.  Word
   counts are the sum of the dictionaries; a join of the dictionaries with the frequent words gives each
   block the frequent words' numbers (no vocabulary goes to the driver or whole to a task).
-* Pairs: pairs of frequent words next to each other, counted per task, then summed.  Here listing the
-  candidates is counting them.
+* Before each level, one pass counts the places of possible phrases by a hash, in BITS byte counters a
+  task, whose sums tell which buckets hold ``min_count`` places; what is in another bucket cannot be
+  frequent.  (With more places than ``min_count`` times BITS all buckets are full and nothing is saved.)
+* Pairs: pairs of frequent words next to each other, in full buckets, counted per task, then summed.
+  Here listing the candidates is counting them.
 * Longer phrases: a bitmap of BITS bits (a fixed size) marks the frequent phrases of the level before.
-  Tasks list the distinct places where two of them overlap, and joins with the level before leave the
-  candidates.  (Joining that level with itself instead lists sum in(w) * out(w) over words w.)
+  Tasks list the distinct places where two of them overlap, in full buckets, and joins with the level
+  before leave the candidates.  (Joining that level with itself instead lists sum in(w) * out(w) over
+  words w.)
   Candidates go block by block, TRIE_PHRASES at most in the mean, into a double-array trie that is
   broadcast; numpy advances the states of all positions of a text block together, one level of the
   trie after the other, counts accepting states with bincount, and Spark sums the tasks' counts.
@@ -40,8 +44,8 @@ from statframe.llm.common import LOWER, UPPER, stored, text_groups
 from statframe.ship import ship
 
 LONGEST = 5
-#: words of a block, phrases of a trie, bits that mark the phrases of a level
-BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 18, 1 << 17, 1 << 23
+#: words of a block, phrases of a trie, and the size of bitmaps (at least _CHUNK bits)
+BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 18, 1 << 17, 1 << 22
 #: rows that a task gathers before it sends them on
 GATHER = 1 << 21
 
@@ -174,17 +178,6 @@ def _in_text(ids: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
     return table[ids]
 
 
-def _pairs(batches):
-    def found():
-        for ids, at, gid in _blocks_of(batches):
-            w = _in_text(ids, at, np.arange(1, len(gid) + 1))
-            both = (w[:-1] > 0) & (w[1:] > 0)
-            code, n = np.unique(w[:-1][both] * (len(gid) + 1) + w[1:][both], return_counts=True)
-            yield gid[np.stack(np.divmod(code, len(gid) + 1), axis=1) - 1], n
-
-    yield from _gathered(found(), counted=True)
-
-
 _U = np.uint64
 
 
@@ -214,23 +207,103 @@ def _bitmap(level: DataFrame, k: int, bits: int) -> np.ndarray:
     return out
 
 
-def _listing(bits: np.ndarray, k: int):
-    """A pass that lists the k-word places where two marked phrases of k - 1 words overlap."""
+def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return bits[h >> 5] >> (h & 31).astype(np.uint32) & np.uint32(1) > 0
+
+
+def _places(g: np.ndarray, k: int, marks: np.ndarray | None) -> np.ndarray:
+    """Where k frequent words stand together; from 3 words on, where the first and the last k - 1
+    of them are marked."""
+    n = len(g) - max(k - 1, 2) + 1
+    if n < 2:
+        return np.empty(0, np.int64)
+    full = g[:n] > 0
+    for j in range(1, max(k - 1, 2)):
+        full &= g[j:j + n] > 0
+    i = np.flatnonzero(full)
+    if k == 2:
+        return i
+    marked = np.zeros(n, bool)
+    marked[i] = _has(marks, _hash([g[i + j] for j in range(k - 1)], 32 * len(marks)))
+    return np.flatnonzero(marked[:-1] & marked[1:])
+
+
+_CHUNK = 1 << 12
+
+
+def _bucketing(k: int, marks: np.ndarray | None, buckets: int, min_count: int, cap: int):
+    """A pass that counts the candidates' places by a hash into ``buckets``, one byte each: counts are
+    scaled to ``cap`` for ``min_count``, rounded up, and stop there."""
+    def run(batches):
+        total, open_, size = np.zeros(buckets, np.int64), [], 0
+
+        def add():
+            total[:] += np.bincount(np.concatenate(open_), minlength=buckets)
+            open_.clear()
+
+        for ids, at, gid in _blocks_of(batches):
+            g = _in_text(ids, at, gid)
+            i = _places(g, k, marks)
+            open_.append(_hash([g[i + j] for j in range(k)], buckets))
+            size += len(i)
+            if size >= buckets:
+                add()
+                size = 0
+        if open_:
+            add()
+        rows = np.minimum(-(-total * cap // min_count), cap).astype(np.uint8).reshape(-1, _CHUNK)
+        some = np.flatnonzero(rows.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array([rows[x].tobytes() for x in some], pa.binary())],
+            names=["chunk", "n"])
+    return run
+
+
+def _full_buckets(coded: DataFrame, k: int, marks: np.ndarray | None, buckets: int, min_count: int
+                  ) -> np.ndarray:
+    """The bits of the buckets whose places add up to ``min_count``: a candidate in another one
+    cannot be frequent.  ``buckets`` bits, whatever the number of candidates."""
+    cap = min(min_count, 255)
+
+    def add(key, table):
+        rows = table.column("n").to_pylist()
+        total = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), _CHUNK).sum(axis=0, dtype=np.int64)
+        full = np.packbits(total >= cap, bitorder="little").tobytes()
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([full], pa.binary())})
+
+    # a group has one row of _CHUNK bytes per task
+    got = coded.mapInArrow(_bucketing(k, marks, buckets, min_count, cap), "chunk int, n binary").groupBy(
+        "chunk").applyInArrow(add, "chunk int, bits binary").collect()
+    out = np.zeros((buckets // _CHUNK, _CHUNK // 32), np.uint32)
+    for r in got:
+        out[r["chunk"]] = np.frombuffer(r["bits"], np.uint32)
+    return out.reshape(-1)
+
+
+def _pairs(full: np.ndarray):
+    """A pass that counts the pairs of frequent words in full buckets."""
+    def run(batches):
+        def found():
+            for ids, at, gid in _blocks_of(batches):
+                w = _in_text(ids, at, np.arange(1, len(gid) + 1))
+                i = _places(w, 2, None)
+                a, b = w[i], w[i + 1]
+                some = _has(full, _hash([gid[a - 1], gid[b - 1]], 32 * len(full)))
+                code, n = np.unique(a[some] * (len(gid) + 1) + b[some], return_counts=True)
+                yield gid[np.stack(np.divmod(code, len(gid) + 1), axis=1) - 1], n
+
+        yield from _gathered(found(), counted=True)
+    return run
+
+
+def _listing(marks: np.ndarray, full: np.ndarray, k: int):
+    """A pass that lists the k-word candidates in full buckets."""
     def run(batches):
         def found():
             for ids, at, gid in _blocks_of(batches):
                 g = _in_text(ids, at, gid)
-                n = len(g) - k + 2  # places of k - 1 words
-                if n < 2:
-                    continue
-                full = np.ones(n, bool)
-                for j in range(k - 1):
-                    full &= g[j:j + n] > 0
-                i = np.flatnonzero(full)
-                h = _hash([g[i + j] for j in range(k - 1)], 32 * len(bits))
-                marked = np.zeros(n, bool)
-                marked[i] = bits[h >> 5] >> (h & 31).astype(np.uint32) & np.uint32(1) > 0
-                i = np.flatnonzero(marked[:-1] & marked[1:])
+                i = _places(g, k, marks)
+                i = i[_has(full, _hash([g[i + j] for j in range(k)], 32 * len(full)))]
                 if len(i):
                     yield _merged(np.stack([g[i + j] for j in range(k)], axis=1), None)
 
@@ -240,7 +313,9 @@ def _listing(bits: np.ndarray, k: int):
 
 class DoubleArrayTrie:
     """A trie of phrases of one length.  A state is a slot; its child by symbol s is slot
-    base[state] + s, if check there names the state."""
+    base[state] + s, if check there names the state.  About a quarter of the slots is used."""
+
+    ROOM = 4
 
     def __init__(self, phrases: np.ndarray):
         n, self.length = phrases.shape
@@ -248,75 +323,58 @@ class DoubleArrayTrie:
         phrases = phrases[np.lexsort(phrases.T[::-1])]
         self.phrases = phrases
         sym = np.searchsorted(self.words, phrases) + 1
-        top = len(self.words)
-        self._base = np.zeros(top + 1, np.int32)
-        self._check = np.full(top + 1, -1, np.int32)
-        # slots 1..top are the root's children; free slots are looked for from _low on
-        self._low = self._used = top + 1
-        # first: where a new prefix of each length begins, among the sorted phrases
-        slot = np.zeros(n, np.int64)  # the state of each phrase's prefix
-        new = np.zeros(n, bool)
-        new[:1] = True
-        for d in range(self.length):
-            begins = np.flatnonzero(new)  # nodes of depth d
-            new = new.copy()
-            new[1:] |= sym[1:, d] != sym[:-1, d]
-            child = np.flatnonzero(new)
-            of = np.searchsorted(begins, child, side="right") - 1
-            self._place(slot[begins], of, sym[child, d], root=d == 0)
-            own = self._base[slot[child]] + sym[child, d]
-            slot = own[np.cumsum(new) - 1]
-        size = len(self._check) + top + 1
+        # new[:, d]: whether a prefix of d + 1 words begins at a phrase, in sorted order
+        new = np.ones(sym.shape, bool)
+        new[1:] = np.logical_or.accumulate(sym[1:] != sym[:-1], axis=1)
+        self._top = len(self.words)
+        size = 2 * (self._top + 1) + self.ROOM * int(new.sum())
         self.base, self.check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
-        self.base[:len(self._base)], self.check[:len(self._check)] = self._base, self._check
-        self.accept = np.full(size, -1, np.int32)
+        self._random = np.random.default_rng(0)
+        slot = np.zeros(n, np.int64)  # the state of each phrase's prefix so far
+        parents = np.zeros(1, np.int64)
+        for d in range(self.length):
+            child = np.flatnonzero(new[:, d])
+            of = np.searchsorted(parents, child, side="right") - 1
+            if d == 0:
+                self.check[sym[child, 0]] = 0  # the root's base is 0
+            else:
+                self._place(slot[parents], of, sym[child, d])
+            own = self.base[slot[child]] + sym[child, d]
+            slot = own[np.cumsum(new[:, d]) - 1].astype(np.int64)
+            parents = child
+        self.accept = np.full(len(self.check), -1, np.int32)
         self.accept[slot] = np.arange(n)
-        del self._base, self._check
-
-    def _grow(self, size: int):
-        more = size - len(self._check)
-        if more > 0:
-            more = max(more, len(self._check))
-            self._base = np.concatenate([self._base, np.zeros(more, np.int32)])
-            self._check = np.concatenate([self._check, np.full(more, -1, np.int32)])
-
-    def _take(self, states, slots):
-        self._check[slots] = states
-        self._used = max(self._used, int(slots.max(initial=0)) + 1)
+        del self._random
 
-    def _place(self, states, of, syms, root):
+    def _place(self, states, of, syms):
         """Find each state's base, so that its children (``syms`` where ``of`` is its index) fall
         on free slots: states with many children first, those with one on any free slot."""
-        if root:
-            self._check[syms] = 0
-            return
         first = np.searchsorted(of, np.arange(len(states) + 1))
         count = np.diff(first)
         for s in np.argsort(-count, kind="stable")[:int((count > 1).sum())]:
             c = syms[first[s]:first[s + 1]]
             b = self._fit(c)
-            self._base[states[s]] = b
-            self._take(states[s], b + c)
+            self.base[states[s]] = b
+            self.check[b + c] = states[s]
         single = np.flatnonzero(count == 1)
         c = syms[first[single]]
-        self._grow(self._used + len(single))
-        free = np.flatnonzero(self._check[self._low:] < 0)[:len(single)] + self._low
-        self._base[states[single]] = free - c
-        self._take(states[single], free)
+        # behind the root's children: a base is never below 1
+        free = np.flatnonzero(self.check[self._top + 1:] < 0) + self._top + 1
+        free = free[:-self._top - 1][:len(single)]
+        self.base[states[single]] = free - c
+        self.check[free] = states[single]
 
     def _fit(self, c: np.ndarray) -> int:
-        """The first base that works among some hundred free slots, else one behind the end."""
-        span = int(c[-1] - c[0])
-        while (self._check[self._low:self._low + 4096] >= 0).sum() > 3584:
-            self._low += 4096  # nearly full: what is left there stays empty
-            self._grow(self._low + 4096)
-        self._grow(max(self._used, self._low + 4096) + span + 1)
-        free = np.flatnonzero(self._check[self._low:self._low + 4096] < 0)[:512] + self._low
-        for part in np.array_split(free, max(1, len(free) * len(c) >> 16)):
-            ok = np.flatnonzero((self._check[part[:, None] + (c - c[0])] < 0).all(axis=1))
+        """A base whose slots are free: one of a few thousand drawn, else behind the end."""
+        for _ in range(16):
+            b = self._random.integers(1, len(self.check) - 2 * self._top, 256)
+            ok = np.flatnonzero((self.check[b[:, None] + c] < 0).all(axis=1))
             if len(ok):
-                return int(part[ok[0]] - c[0])
-        return self._used - int(c[0])
+                return int(b[ok[0]])
+        b = len(self.check) - self._top
+        self.base = np.concatenate([self.base, np.zeros(self._top + 1, np.int32)])
+        self.check = np.concatenate([self.check, np.full(self._top + 1, -1, np.int32)])
+        return b
 
     def symbols(self, gid: np.ndarray) -> np.ndarray:
         """The symbols of words; 0 for words of no phrase."""
@@ -361,7 +419,9 @@ def _longer(coded: DataFrame, level: DataFrame, k: int, min_count: int, trie_phr
             bits: int) -> DataFrame | None:
     """(phrase, f) of the frequent phrases of k words, given those of k - 1."""
     spark = coded.sparkSession
-    listed = coded.mapInArrow(_listing(_bitmap(level, k - 1, bits), k), PHRASE).distinct()
+    marks = _bitmap(level, k - 1, bits)
+    full = _full_buckets(coded, k, marks, bits, min_count)
+    listed = coded.mapInArrow(_listing(marks, full, k), PHRASE).distinct()
     for start in (1, 2):
         part = level.select(F.col("phrase").alias("part"))
         listed = listed.withColumn("part", F.slice("phrase", start, k - 1)).join(
@@ -407,7 +467,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGE
         words.select("lang", "word", "gid"), ["lang", "word"])
     at = places.groupBy("block").agg(F.collect_list(F.struct("i", "gid")).alias("at"))
     coded = stored(blocks.select("block", "ids").join(at, "block").select("ids", "at"), "coded")
-    level = stored(coded.mapInArrow(_pairs, PHRASE + ", n long").groupBy("phrase").agg(
+    full = _full_buckets(coded, 2, None, bits, min_count)
+    level = stored(coded.mapInArrow(_pairs(full), PHRASE + ", n long").groupBy("phrase").agg(
         F.sum("n").alias("f")).filter(F.col("f") >= min_count), "pairs")
     phrases = level
     for k in range(3, longest + 1):

@@ -61,7 +61,7 @@ def sample(n=400, seed=3):
     return out
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block_words": 300, "trie_phrases": 60, "bits": 1 << 10}])
+@pytest.mark.parametrize("sizes", [{"bits": 1 << 16}, {"block_words": 300, "trie_phrases": 60, "bits": 1 << 12}])
 def test_all_levels(spark, sizes):
     """One block a task, and many, with the candidates in several tries."""
     data = sample()
@@ -74,9 +74,9 @@ def test_all_levels(spark, sizes):
 
 def test_odd_rows(spark):
     data = [(r[1], r[2]) for r in rows()]
-    assert found(CO.collocations(frame(spark), min_count=3)) == brute(data, 3)
-    assert found(CO.collocations(frame(spark), min_count=10 ** 9)) == []
-    assert found(CO.collocations(empty(spark), min_count=1)) == []
+    assert found(CO.collocations(frame(spark), min_count=3, bits=1 << 14)) == brute(data, 3)
+    assert found(CO.collocations(frame(spark), min_count=10 ** 9, bits=1 << 14)) == []
+    assert found(CO.collocations(empty(spark), min_count=1, bits=1 << 14)) == []
 
 
 def test_exact_beyond_64_bits(spark):
