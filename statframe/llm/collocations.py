@@ -14,8 +14,8 @@ the phrase without its first and the one without its last word are.
 * Pairs: pairs of frequent words next to each other, in full buckets, counted per task, then summed.
   Here listing the candidates is counting them.
 * Longer phrases: a bitmap of BITS bits (a fixed size) marks the frequent phrases of the level before.
-  Tasks list the distinct places where two of them overlap, in full buckets, and joins with the level
-  before leave the candidates.  (Joining that level with itself instead lists sum in(w) * out(w) over
+  Tasks list the distinct places where two of them overlap, in full buckets and often enough for one of
+  so many tasks, and joins with the level before leave the candidates.  (Joining that level with itself instead lists sum in(w) * out(w) over
   words w.)
   Candidates go block by block, TRIE_PHRASES at most in the mean, into a double-array trie that is
   broadcast; numpy advances the states of all positions of a text block together, one level of the
@@ -118,15 +118,13 @@ def _encoding(block_words: int):
     return run
 
 
-def _merged(rows: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+def _merged(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of a two-dimensional array, their counts added up."""
     order = np.lexsort(rows.T[::-1])
     rows = rows[order]
     first = np.ones(len(rows), bool)
     first[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-    if counts is not None:
-        counts = np.add.reduceat(counts[order], np.flatnonzero(first)) if len(rows) else counts
-    return rows[first], counts
+    return rows[first], np.add.reduceat(counts[order], np.flatnonzero(first)) if len(rows) else counts
 
 
 def _phrase_batch(rows: np.ndarray, counts: np.ndarray | None) -> pa.RecordBatch:
@@ -137,12 +135,13 @@ def _phrase_batch(rows: np.ndarray, counts: np.ndarray | None) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _gathered(found, counted: bool):
-    """Batches of distinct phrases (with counts) of a task: ``found`` yields (rows, counts)."""
+def _gathered(found, least: int = 1, counted: bool = True):
+    """Batches of a task's distinct phrases (with counts): ``found`` yields (rows, counts).  Phrases
+    of fewer than ``least`` places are left out, unless the task has to send on before its end."""
     rows, counts, size = [], [], 0
 
     def merge():
-        got = _merged(np.concatenate(rows), np.concatenate(counts) if counted else None)
+        got = _merged(np.concatenate(rows), np.concatenate(counts))
         rows[:], counts[:] = [got[0]], [got[1]]
         return len(got[0])
 
@@ -155,11 +154,12 @@ def _gathered(found, counted: bool):
         if size >= GATHER:
             size = merge()
             if size >= GATHER // 2:
-                yield _phrase_batch(rows[0], counts[0])
-                rows, counts, size = [], [], 0
+                yield _phrase_batch(rows[0], counts[0] if counted else None)
+                rows, counts, size, least = [], [], 0, 1
     if rows:
         merge()
-        yield _phrase_batch(rows[0], counts[0])
+        enough = counts[0] >= least
+        yield _phrase_batch(rows[0][enough], counts[0][enough] if counted else None)
 
 
 def _blocks_of(batches):
@@ -246,7 +246,7 @@ def _bucketing(k: int, marks: np.ndarray | None, buckets: int, min_count: int, c
             i = _places(g, k, marks)
             open_.append(_hash([g[i + j] for j in range(k)], buckets))
             size += len(i)
-            if size >= buckets:
+            if size >= 1 << 20:
                 add()
                 size = 0
         if open_:
@@ -292,12 +292,12 @@ def _pairs(full: np.ndarray):
                 code, n = np.unique(a[some] * (len(gid) + 1) + b[some], return_counts=True)
                 yield gid[np.stack(np.divmod(code, len(gid) + 1), axis=1) - 1], n
 
-        yield from _gathered(found(), counted=True)
+        yield from _gathered(found())
     return run
 
 
-def _listing(marks: np.ndarray, full: np.ndarray, k: int):
-    """A pass that lists the k-word candidates in full buckets."""
+def _listing(marks: np.ndarray, full: np.ndarray, k: int, least: int):
+    """A pass that lists the k-word candidates in full buckets that have ``least`` places in a task."""
     def run(batches):
         def found():
             for ids, at, gid in _blocks_of(batches):
@@ -305,9 +305,10 @@ def _listing(marks: np.ndarray, full: np.ndarray, k: int):
                 i = _places(g, k, marks)
                 i = i[_has(full, _hash([g[i + j] for j in range(k)], 32 * len(full)))]
                 if len(i):
-                    yield _merged(np.stack([g[i + j] for j in range(k)], axis=1), None)
+                    yield _merged(np.stack([g[i + j] for j in range(k)], axis=1),
+                                  np.ones(len(i), np.int64))
 
-        yield from _gathered(found(), counted=False)
+        yield from _gathered(found(), least, counted=False)
     return run
 
 
@@ -421,7 +422,10 @@ def _longer(coded: DataFrame, level: DataFrame, k: int, min_count: int, trie_phr
     spark = coded.sparkSession
     marks = _bitmap(level, k - 1, bits)
     full = _full_buckets(coded, k, marks, bits, min_count)
-    listed = coded.mapInArrow(_listing(marks, full, k), PHRASE).distinct()
+    # of min_count places, so many lie in one of the tasks that read the table
+    tasks = coded.select(F.spark_partition_id().alias("task")).distinct().count()
+    least = -(-min_count // max(1, tasks))
+    listed = coded.mapInArrow(_listing(marks, full, k, least), PHRASE).distinct()
     for start in (1, 2):
         part = level.select(F.col("phrase").alias("part"))
         listed = listed.withColumn("part", F.slice("phrase", start, k - 1)).join(
