@@ -17,6 +17,35 @@ from pyspark.sql import functions as F
 NULL_POLICIES = ("error", "drop")
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def named(df: DataFrame, name: str) -> Column:
+    """A column by name; one that ``df`` does not have may be a path into a struct."""
+    return quoted(name) if name in df.columns else F.col(name)
+
+
+def refuse_names(df: DataFrame, new: Sequence[str]) -> None:
+    """Output columns may not repeat the names of columns that are kept."""
+    taken = sorted(set(new) & set(df.columns))
+    if taken:
+        raise ValueError(f"the result would have two columns named {', '.join(taken)}")
+
+
+def width(df: DataFrame, col: str, dim: int | None = None) -> int:
+    """The width of an array column: ``dim`` or, as in the reference, that of the first row."""
+    if dim is None:
+        first = df.select(F.size(named(df, col)).alias("d")).limit(1).collect()
+        if not first:
+            raise ValueError("cannot take the width of an empty dataset")
+        dim = int(first[0]["d"])
+    if dim <= 0:
+        raise ValueError("vectors must have dimension larger than zero")
+    return dim
+
+
 def features(df: DataFrame, cols: Sequence[str] | str, dim: int | None = None
              ) -> list[tuple[str, Column]]:
     """Resolve ``cols`` to named double Columns.
@@ -27,18 +56,12 @@ def features(df: DataFrame, cols: Sequence[str] | str, dim: int | None = None
     if isinstance(cols, str):
         field = df.schema[cols]
         if field.dataType.typeName() != "array":
-            return [(cols, F.col(cols).cast("double"))]
-        if dim is None:
-            first = df.select(F.size(cols).alias("d")).limit(1).collect()
-            if not first:
-                raise ValueError("cannot take the width of an empty dataset")
-            dim = int(first[0]["d"])
-        if dim <= 0:
-            raise ValueError("vectors must have dimension larger than zero")
-        width_ok = F.size(cols) == F.lit(dim)
+            return [(cols, quoted(cols).cast("double"))]
+        dim = width(df, cols, dim)
+        width_ok = F.size(quoted(cols)) == F.lit(dim)
         out = []
         for i in range(dim):
-            value = F.col(cols)[i].cast("double")
+            value = quoted(cols)[i].cast("double")
             if i == 0:
                 value = F.when(width_ok, value).otherwise(F.raise_error(F.lit(
                     f"dimensions mismatch: expecting {dim} values in {cols}")))
@@ -47,7 +70,7 @@ def features(df: DataFrame, cols: Sequence[str] | str, dim: int | None = None
     cols = list(cols)
     if not cols:
         raise ValueError("at least one feature column is required")
-    return [(c, F.col(c).cast("double")) for c in cols]
+    return [(c, named(df, c).cast("double")) for c in cols]
 
 
 def apply_null_policy(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
@@ -56,7 +79,10 @@ def apply_null_policy(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFra
     if nulls not in NULL_POLICIES:
         raise ValueError(f"nulls must be one of {NULL_POLICIES}, got {nulls!r}")
     if nulls == "drop":
-        return df.dropna(subset=list(cols))
+        for c in cols:
+            x = named(df, c)
+            kind = df.select(x.alias("x")).schema["x"].dataType.typeName()
+            df = df.filter(x.isNotNull() & ~F.isnan(x) if kind in ("double", "float") else x.isNotNull())
     return df
 
 
@@ -77,10 +103,10 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     group).  Spark plans ``<=>`` keys as an ordinary hash / sort-merge join."""
     keys = list(keys)
     tmp = [f"_jk{i}" for i in range(len(keys))]
-    r = right.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)],
-                     *[c for c in right.columns if c not in keys])
+    r = right.select(*[quoted(k).alias(t) for k, t in zip(keys, tmp)],
+                     *[quoted(c) for c in right.columns if c not in keys])
     cond = None
     for k, t in zip(keys, tmp):
-        c = F.col(k).eqNullSafe(F.col(t))
+        c = quoted(k).eqNullSafe(F.col(t))
         cond = c if cond is None else cond & c
     return left.join(r, on=cond, how=how).drop(*tmp)

@@ -16,26 +16,53 @@ from pyspark.sql import types as T
 DIGITS = 10
 
 
-def sig(c: Column, digits: int = DIGITS) -> Column:
-    a = F.abs(c)
+def sig(c: Column, digits: int = DIGITS, scale: Column | None = None) -> Column:
+    """``c`` to ``digits`` significant digits, of its own magnitude or of ``scale``'s: a value that is
+    the difference of far larger sums has no digits of its own below theirs."""
+    a = F.abs(c if scale is None else scale)
     k = F.lit(digits - 1) - F.floor(F.log10(a))
     up = F.round(c * F.pow(F.lit(10.0), k), 0) / F.pow(F.lit(10.0), k)
     down = F.round(c / F.pow(F.lit(10.0), -k), 0) * F.pow(F.lit(10.0), -k)
     return (F.when(c.isNull(), F.lit(None).cast("double"))
-            .when(c == 0, F.lit(0.0))
-            .when(F.isnan(c) | (a == F.lit(float("inf"))), c)
+            .when((c == 0) | (a == 0), F.lit(0.0))
+            .when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c)
             .when(k >= 0, up)
             .otherwise(down))
 
 
-def sql_sig(x: str, digits: int = DIGITS) -> str:
-    k = f"({digits - 1} - floor(log10(abs({x}))))"
-    return (f"(CASE WHEN ({x}) IS NULL THEN NULL WHEN ({x}) = 0 THEN 0.0 "
+def sql_sig(x: str, digits: int = DIGITS, scale: str | None = None) -> str:
+    size = f"abs({scale or x})"
+    k = f"({digits - 1} - floor(log10({size})))"
+    return (f"(CASE WHEN ({x}) IS NULL THEN NULL WHEN ({x}) = 0 OR {size} = 0 THEN 0.0 "
             f"WHEN isnan({x}) OR isinf({x}) THEN ({x}) "
             f"WHEN {k} >= 0 THEN round(({x}) * pow(10.0, {k}), 0) / pow(10.0, {k}) "
             f"ELSE round(({x}) / pow(10.0, -{k}), 0) * pow(10.0, -{k}) END)")
 
 
+#: digits of a covariance or correlation matrix, counted from sigma_i * sigma_j
+MATRIX_DIGITS = 9
+
+
+def rounded_matrix(df: DataFrame, value: str, digits: int = MATRIX_DIGITS) -> DataFrame:
+    """Round a long (i, j, value) matrix relative to sqrt(value_ii * value_jj): an entry off the
+    diagonal is only determined to the rounding errors of sums of that size."""
+    side = df.filter(F.col("i") == F.col("j")).select("i", F.sqrt(F.abs(value)).alias("_s"))
+    scale = F.col("_si") * F.col("_sj")
+    both = df.join(side.select("i", F.col("_s").alias("_si")), "i").join(
+        side.select(F.col("i").alias("j"), F.col("_s").alias("_sj")), "j")
+    out = F.when(sig(F.col(value), digits, scale) == 0, F.lit(0.0)).otherwise(
+        sig(F.col(value), digits, scale))
+    return both.select(*[out.alias(c) if c == value else F.col(c) for c in df.columns])
+
+
+def sql_rounded_matrix(inner: str, value: str, digits: int = MATRIX_DIGITS) -> str:
+    """The same for a DuckDB query of (i, j, value) with 32-bit i and j."""
+    x = sql_sig(f"m.{value}", digits, "(a.s * b.s)")
+    return (f"WITH m AS ({inner}), side AS (SELECT i, sqrt(abs({value})) AS s FROM m WHERE i = j) "
+            f"SELECT m.i, m.j, CASE WHEN {x} = 0 THEN 0.0 ELSE {x} END AS {value} FROM m "
+            f"JOIN side AS a ON a.i = m.i JOIN side AS b ON b.i = m.j")
+
+
 P_DECIMALS = 9
 ABSOLUTE = ("p_value", "probability")  # probabilities: round to decimals
 

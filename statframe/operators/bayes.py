@@ -35,7 +35,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statframe.functions.columns import apply_null_policy, check, features, not_null
@@ -240,27 +240,33 @@ def fit_sparse(cells: DataFrame, row_labels: DataFrame, row: str = "row_id",
 
 # ------------------------------------------------------------------ scoring
 
-def _score_terms(model: NaiveBayesModel) -> tuple[list[list[float]], list[float]]:
-    """Per class: coefficients on x and the constant (pi, plus the Bernoulli sum)."""
+def _score_terms(model: NaiveBayesModel
+                 ) -> tuple[list[list[float]], list[float], list[list[bool]]]:
+    """Per class: coefficients on x, the constant (pi, plus the Bernoulli sum), and the features
+    without which the class is impossible."""
     rows = model.cond.collect()  # C x D cells: the model, which every task carries
     idx = {lab: i for i, lab in enumerate(model.labels)}
     theta = [[0.0] * model.num_features for _ in model.labels]
     for r in rows:
         theta[idx[r["label"]]][int(r["feature"])] = r["theta"]
     consts = list(model.pi_values())
+    always = [[False] * model.num_features for _ in model.labels]
     if model.model_type == BERNOULLI:
         coef = []
         for i, th in enumerate(theta):
-            neg = [math.log(1 - math.exp(t)) if t < 0 else NEG_INF for t in th]
+            # a feature on in every row of a class: its absence rules the class out
+            always[i] = [not t < 0 for t in th]
+            neg = [math.log(1 - math.exp(t)) if t < 0 else 0.0 for t in th]
             consts[i] += sum(neg)
             coef.append([t - n for t, n in zip(th, neg)])
-        return coef, consts
-    return theta, consts
+        return coef, consts, always
+    return theta, consts, always
 
 
-def _score_udf(coef: list[list[float]], consts: list[float]):
+def _score_udf(coef: list[list[float]], consts: list[float], always: list[list[bool]]):
     """All class scores of a feature array, by one matrix product per batch."""
     theta, const = np.array(coef, dtype=np.float64), np.array(consts, dtype=np.float64)
+    must = np.array(always, dtype=np.float64)
     never = np.isinf(theta)
     finite = np.where(never, 0.0, theta)
 
@@ -275,6 +281,8 @@ def _score_udf(coef: list[list[float]], consts: list[float]):
         if never.any():  # a value on a place of probability 0; a value of 0 adds nothing
             out = np.where((a > 0) @ never.T, NEG_INF, out)
             out = np.where((a < 0) @ never.T, -NEG_INF, out)
+        if must.any():  # a value of 0 on a place that is always on
+            out = np.where((a == 0) @ must.T > 0, NEG_INF, out)
         return pd.Series(list(out))
 
     return scores
@@ -292,7 +300,7 @@ def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | s
     array = isinstance(cols, str)
     if not array and len(list(cols)) != model.num_features:
         raise ValueError(f"expected {model.num_features} feature columns, got {len(list(cols))}")
-    coef, consts = _score_terms(model)
+    coef, consts, always = _score_terms(model)
 
     def checked_value(x: Column, name: str) -> Column:
         return _value_check(x, name, BERNOULLI) if model.model_type == BERNOULLI \
@@ -304,7 +312,7 @@ def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | s
             x = F.transform(F.col(cols).cast("array<double>"), lambda v: checked_value(v, cols))
         else:
             x = F.array(*[checked_value(F.col(c).cast("double"), c) for c in cols])
-        scored = df.select("*", _score_udf(coef, consts)(x).alias("_nbs"))
+        scored = df.select("*", _score_udf(coef, consts, always)(x).alias("_nbs"))
         return scored, [F.col("_nbs")[i] for i in range(model.num_classes)]
     cols = list(cols)
     checked = df.select("*", *[checked_value(F.col(c).cast("double"), c)
@@ -315,7 +323,9 @@ def _dense_scores(model: NaiveBayesModel, df: DataFrame, cols: Sequence[str] | s
         s = F.lit(consts[i])
         for j, x in enumerate(xs):
             t = coef[i][j]
-            if math.isfinite(t):
+            if always[i][j]:
+                s = s + F.when(x != 0, x * F.lit(t)).otherwise(F.lit(NEG_INF))
+            elif math.isfinite(t):
                 s = s + x * F.lit(t)
             else:
                 s = s + F.when(x != 0, x * F.lit(t)).otherwise(F.lit(0.0))
@@ -359,37 +369,58 @@ def predict_proba(model: NaiveBayesModel, df: DataFrame,
     return post.select(*keep, F.inline(F.array(*structs)))
 
 
+def _coefficients(model: NaiveBayesModel) -> tuple[list[float], list[int], DataFrame]:
+    """Per class the constant and the number of features that it must have; and the table (label,
+    _f, _coef, _must) of what each cell adds."""
+    theta = F.col("theta")
+    consts, musts = list(model.pi_values()), [0] * model.num_classes
+    coef, must = theta, F.lit(0)
+    if model.model_type == BERNOULLI:
+        neg = F.when(theta < 0, F.log1p(-F.exp(theta))).otherwise(F.lit(0.0))
+        # a feature on in every row of a class: its absence rules the class out
+        coef, must = theta - neg, F.when(theta < 0, F.lit(0)).otherwise(F.lit(1))
+        per = {r["label"]: r for r in model.cond.groupBy("label").agg(
+            F.sum(neg).alias("ns"), F.sum(must).alias("m")).collect()}  # C rows
+        consts = [c + per[lab]["ns"] for c, lab in zip(consts, model.labels)]
+        musts = [per[lab]["m"] for lab in model.labels]
+    return consts, musts, model.cond.select("label", F.col("feature").alias("_f"),
+                                            coef.alias("_coef"), must.alias("_must"))
+
+
 def _sparse_scores(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame, row: str,
                    feature: str, value: str) -> DataFrame:
     """Wide per-row scores ``(row, _s0 .. _s{C-1})`` for sparse input."""
-    theta = F.col("theta")
-    consts = list(model.pi_values())
-    if model.model_type == BERNOULLI:
-        neg = F.when(theta < 0, F.log1p(-F.exp(theta))).otherwise(F.lit(NEG_INF))
-        negsum = {r["label"]: r["ns"] for r in
-                  model.cond.groupBy("label").agg(F.sum(neg).alias("ns")).collect()}  # C rows
-        consts = [c + negsum[lab] for c, lab in zip(consts, model.labels)]
-        coef = theta - neg
-    else:
-        coef = theta
+    consts, musts, table = _coefficients(model)
     # one row per feature with its coefficient of every class
     places = range(model.num_classes)
-    cond = model.cond.select("label", F.col("feature").alias("_f"), coef.alias("_coef")).groupBy(
-        "_f").agg(*[F.max(F.when(F.col("label").eqNullSafe(F.lit(lab)), F.col("_coef"))).alias(
-            f"_c{i}") for i, lab in enumerate(model.labels)])
+    strict = [i for i in places if musts[i]]
+
+    def of(i, name):
+        return F.max(F.when(F.col("label").eqNullSafe(F.lit(model.labels[i])), F.col(name)))
+
+    cond = table.groupBy("_f").agg(*[of(i, "_coef").alias(f"_c{i}") for i in places],
+                                   *[of(i, "_must").alias(f"_m{i}") for i in strict])
     x = F.col(value).cast("double")
     x = _value_check(x, value, BERNOULLI) if model.model_type == BERNOULLI else not_null(x, value)
     cc = cells.select(F.col(row).alias("_row"), F.col(feature).alias("_f"), x.alias("_x")) \
         .filter(F.col("_x") != 0)
     contrib = cc.join(cond, "_f").select("_row", *[
-        (F.col("_x") * F.col(f"_c{i}")).alias(f"_s{i}") for i in places])
-    base = rows.select(F.col(row).alias("_row"), *[F.lit(0.0).alias(f"_s{i}") for i in places])
+        (F.col("_x") * F.col(f"_c{i}")).alias(f"_s{i}") for i in places],
+        *[F.col(f"_m{i}") for i in strict])
+    base = rows.select(F.col(row).alias("_row"), *[F.lit(0.0).alias(f"_s{i}") for i in places],
+                       *[F.lit(0).alias(f"_m{i}") for i in strict])
     # rows asked for, each once: cells of other rows score nothing
     sums = contrib.withColumn("_asked", F.lit(False)).unionByName(
         base.withColumn("_asked", F.lit(True))).groupBy("_row").agg(
-        F.max("_asked").alias("_asked"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in places])
+        F.max("_asked").alias("_asked"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in places],
+        *[F.sum(f"_m{i}").alias(f"_m{i}") for i in strict])
+
+    def score(i):
+        s = F.lit(consts[i]) + F.col(f"_s{i}")
+        return F.when(F.col(f"_m{i}") < musts[i], F.lit(NEG_INF)).otherwise(s) if i in strict else s
+
     return sums.filter("_asked").select(F.col("_row").alias(row), *[
-        (F.lit(consts[i]) + F.col(f"_s{i}")).alias(f"_s{i}") for i in places])
+        score(i).alias(f"_s{i}") for i in places])
 
 
 def predict_sparse(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
@@ -419,3 +450,167 @@ def predict_proba_sparse(model: NaiveBayesModel, cells: DataFrame, rows: DataFra
     structs = [F.struct(F.lit(lab).alias("label"), p.alias("probability"))
                for lab, p in zip(model.labels, post)]
     return wide.select(row, F.inline(F.array(*structs)))
+
+
+# --------------------------------------------------- scoring with models of any size
+
+FEATURES_PER_BLOCK, CLASSES_PER_BLOCK, CELLS_PER_BLOCK = 1 << 12, 64, 1 << 16
+
+
+def dense_cells(df: DataFrame, key: str, cols: Sequence[str] | str, dim: int | None = None
+                ) -> DataFrame:
+    """The nonzero cells (key, feature, value) of dense rows, for the functions below."""
+    feats = features(df, cols, dim)
+    if isinstance(cols, str):
+        array = check(F.size(cols) == len(feats), not_null(F.col(cols).cast("array<double>"), cols),
+                      f"expected {len(feats)} values in {cols}")
+        cells = df.select(F.col(key), F.posexplode(array).alias("feature", "value"))
+    else:
+        cells = df.select(F.col(key), F.inline(F.array(*[F.struct(
+            F.lit(j).alias("feature"), e.alias("value")) for j, (_, e) in enumerate(feats)])))
+    return cells.select(key, "feature", not_null(F.col("value"), "a feature").alias("value")).filter(
+        "value != 0")
+
+
+def scores_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
+                   row: str = "row_id", feature: str = "feature", value: str = "value",
+                   features_per_block: int = FEATURES_PER_BLOCK,
+                   classes_per_block: int = CLASSES_PER_BLOCK,
+                   cells_per_block: int = CELLS_PER_BLOCK) -> DataFrame:
+    """(row, label, place, score) of every row and class by a blocked matrix product.
+
+    The model is cut into blocks of features x classes, the cells into blocks of rows x features; blocks
+    meet on their features, each pair is multiplied in a task, and the partial products are summed
+    per row and class.  No task and no driver holds more of the model than a block; a feature that
+    most rows store is spread over the row blocks.
+    """
+    spark = cells.sparkSession
+    ship(spark)
+    consts, musts, table = _coefficients(model)
+    kind = model.prior.schema["label"].dataType.simpleString()
+    # C rows
+    places = spark.createDataFrame([(lab, i, float(c), int(m)) for i, (lab, c, m) in enumerate(
+        zip(model.labels, consts, musts))], f"label {kind}, place int, const double, musts int")
+    x = not_null(F.col(value).cast("double"), value)
+    x = _value_check(x, value, BERNOULLI) if model.model_type == BERNOULLI else x
+    cc = cells.select(F.col(row).alias("_row"), F.col(feature).alias("_f"), x.alias("_x")).filter(
+        F.col("_x") != 0)
+    nf = max(1, -(-model.num_features // features_per_block))
+    nr = max(1, -(-cc.count() // cells_per_block))
+    fb, rb = F.pmod(F.xxhash64("_f"), F.lit(nf)), F.pmod(F.xxhash64("_row"), F.lit(nr))
+    known = table.select("_f").distinct()
+    mine = cc.join(known, "_f", "left_semi").groupBy(rb.alias("rb"), fb.alias("fb")).agg(
+        F.collect_list(F.struct("_row", "_f", "_x")).alias("cells"))
+    parts = table.join(places, table.label.eqNullSafe(places.label)).select(
+        "_f", (F.col("place") / classes_per_block).cast("int").alias("cb"), "place", "_coef", "_must"
+    ).groupBy(fb.alias("fb"), "cb").agg(F.collect_list(F.struct("_f", "place", "_coef", "_must")).alias("model"))
+    row_kind = cc.schema["_row"].dataType.simpleString()
+
+    def multiply(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for i in range(b.num_rows):
+                c, m = b.column("cells")[i].values, b.column("model")[i].values
+                cb = b.column("cb")[i].as_py()
+                f = pa.concat_arrays([m.field("_f"), c.field("_f").cast(m.field("_f").type)]).dictionary_encode()
+                at = f.indices.to_numpy()
+                mf, cf = at[:len(m)], at[len(m):]
+                width = classes_per_block
+                coef = np.zeros((len(f.dictionary), width))
+                must = np.zeros((len(f.dictionary), width))
+                pos = m.field("place").to_numpy() - cb * width
+                coef[mf, pos] = m.field("_coef").to_numpy()
+                must[mf, pos] = m.field("_must").to_numpy()
+                r = c.field("_row").dictionary_encode()
+                at, v = r.indices.to_numpy(), c.field("_x").to_numpy()[:, None]
+                order = np.argsort(at, kind="stable")
+                starts = np.searchsorted(at[order], np.arange(len(r.dictionary)))
+                score = np.add.reduceat((v * coef[cf])[order], starts, axis=0)
+                had = np.add.reduceat(must[cf][order], starts, axis=0)
+                used = np.unique(pos)
+                n, k = len(r.dictionary), len(used)
+                yield pa.RecordBatch.from_arrays(
+                    [r.dictionary.take(pa.array(np.repeat(np.arange(n), k))),
+                     pa.array(np.tile(used + cb * width, n).astype(np.int32)),
+                     pa.array(score[:, used].reshape(-1)), pa.array(had[:, used].reshape(-1))],
+                    names=["_row", "place", "s", "m"])
+
+    products = mine.join(parts, "fb").select("cells", "model", "cb").mapInArrow(
+        multiply, f"_row {row_kind}, place int, s double, m double")
+    sums = products.groupBy("_row", "place").agg(F.sum("s").alias("s"), F.sum("m").alias("m"))
+    every = rows.select(F.col(row).alias("_row")).select("_row", F.explode(F.sequence(
+        F.lit(0), F.lit(model.num_classes - 1))).alias("place"))
+    had = F.coalesce(F.col("m"), F.lit(0.0))
+    score = F.when(had < F.col("musts"), F.lit(NEG_INF)).otherwise(
+        F.col("const") + F.coalesce(F.col("s"), F.lit(0.0)))
+    return every.join(sums, ["_row", "place"], "left").join(places, "place").select(
+        F.col("_row").alias(row), "label", "place", score.alias("score"))
+
+
+def predict_proba_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
+                          row: str = "row_id", **options) -> DataFrame:
+    """Posteriors (row, label, probability) of models of any size: softmax over a row's classes."""
+    s = scores_blocked(model, cells, rows, row, **options)
+    mine = Window.partitionBy(row)
+    shifted = s.withColumn("_e", F.exp(F.col("score") - F.max("score").over(mine)))
+    return shifted.select(row, "label", (F.col("_e") / F.sum("_e").over(mine)).alias("probability"))
+
+
+def predict_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
+                    row: str = "row_id", output: str = "prediction", **options) -> DataFrame:
+    """(row, prediction) with models of any size: the first label of the largest score."""
+    s = scores_blocked(model, cells, rows, row, **options)
+    return s.groupBy(row).agg(F.max_by("label", F.struct("score", -F.col("place"))).alias(output))
+
+
+# ------------------------------------------------------------------ additive counts
+
+def count_table(df: DataFrame, label: str, cols: Sequence[str] | str, model_type: str = MULTINOMIAL,
+                by: Sequence[str] = (), nulls: str = "error", dim: int | None = None) -> DataFrame:
+    """What training needs of dense rows, per slice ``by``: (by..., label, feature, s, n).  A row with
+    feature null counts the label's rows, the others sum its features; tables add up
+    (``add_counts``) and slices can be taken out again (``remove_counts``)."""
+    _check_params(model_type, 1.0)
+    raw = [cols] if isinstance(cols, str) else list(cols)
+    df = apply_null_policy(df, [label, *raw], nulls)
+    feats = features(df, cols, dim)
+    cells = [F.struct(F.lit(None).cast("int").alias("feature"), F.lit(0.0).alias("x"))]
+    cells += [F.struct(F.lit(j).alias("feature"), _value_check(e, n, model_type).alias("x"))
+              for j, (n, e) in enumerate(feats)]
+    long = df.select(*[F.col(b) for b in by], not_null(F.col(label), label).alias("label"),
+                     F.inline(F.array(*cells)))
+    return long.groupBy(*by, "label", "feature").agg(F.sum("x").alias("s"),
+                                                     F.count(F.lit(1)).alias("n"))
+
+
+def add_counts(table: DataFrame, *more: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The counts of several tables, or of all slices of one, rolled up to ``by``."""
+    for t in more:
+        table = table.unionByName(t, allowMissingColumns=True)
+    return table.groupBy(*by, "label", "feature").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+
+
+def remove_counts(table: DataFrame, *gone: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``table`` without the rows counted in ``gone``; more than there are is an error."""
+    for t in gone:
+        table = table.unionByName(t.withColumn("s", -F.col("s")).withColumn("n", -F.col("n")),
+                                  allowMissingColumns=True)
+    left = add_counts(table, by=by)
+    n = check(F.col("n") >= 0, F.col("n"), "more rows are taken out than were counted")
+    return left.withColumn("n", n).filter("n > 0")
+
+
+def fit_counts(table: DataFrame, model_type: str = MULTINOMIAL, smoothing: float = 1.0,
+               feature_names: Sequence[str] | None = None, max_classes: int = MAX_CLASSES
+               ) -> NaiveBayesModel:
+    """The model of a count table, the same as ``fit`` on the rows that it counts."""
+    _check_params(model_type, smoothing)
+    table = freeze(add_counts(table))
+    rows = table.filter("feature IS NULL AND n > 0").select("label", "n").limit(max_classes + 1).collect()
+    labels_counts = _classes(sorted(((r["label"], r["n"]) for r in rows),
+                                    key=lambda r: label_order(r[0])), max_classes)
+    sums = table.filter("feature IS NOT NULL AND n > 0").select("label", "feature", "s")
+    d = sums.select(F.count_distinct("feature")).first()[0]  # one number
+    return _build(labels_counts, sums, d, model_type, smoothing,
+                  list(feature_names) if feature_names else None)

@@ -14,11 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statframe.functions.columns import apply_null_policy, check, features, not_null
+from statframe.functions.columns import apply_null_policy, check, features, not_null, width
 from statframe.operators import rank as rank_mod
 from statframe.operators.rank import attach_ranks, column_sizes, ranked_counts, ranks_from_counts
 from statframe.session import freeze
 from statframe.plans.gram import comoments
+from statframe.plans.tiles import SLICES, TILE, tiled_comoments
 
 log = logging.getLogger("statframe")
 
@@ -47,6 +48,27 @@ def cov_matrix(df: DataFrame, cols, nulls: str = "error", dim: int | None = None
         "i", "j", "col_i", "col_j", "cov")
 
 
+def cov_matrix_tiled(df: DataFrame, cols, nulls: str = "error", dim: int | None = None,
+                     tile: int = TILE, slices: int = SLICES) -> DataFrame:
+    """``cov_matrix`` of very wide rows, tile by tile (plans/tiles.py).  ``cols``: one array column, or
+    columns."""
+    raw = [cols] if isinstance(cols, str) else list(cols)
+    df = apply_null_policy(df, raw, nulls)
+    if isinstance(cols, str):
+        d = width(df, cols, dim)
+        names = [f"{cols}[{i}]" for i in range(d)]
+        x = df.select(not_null(F.col(cols).cast("array<double>"), cols).alias("x"))
+    else:
+        feats = features(df, cols, dim)
+        d, names = len(feats), [n for n, _ in feats]
+        x = df.select(F.array(*[not_null(e, n) for n, e in feats]).alias("x"))
+    n, _, long = tiled_comoments(x, d, tile, slices)
+    if n < 2:
+        raise ValueError("covariance needs more than one row")
+    return _label(long.select("i", "j", (F.col("value") / F.lit(float(n - 1))).alias("cov")),
+                  names).select("i", "j", "col_i", "col_j", "cov")
+
+
 def corr_from_cov(cov: DataFrame, value: str = "cov") -> DataFrame:
     """Correlation from a long covariance table.
 

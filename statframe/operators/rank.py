@@ -24,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statframe.functions.columns import apply_null_policy, check, features, not_null
+from statframe.functions.columns import (apply_null_policy, check, features, not_null, quoted,
+                                         refuse_names)
 from statframe.session import freeze
 
 
@@ -97,20 +98,22 @@ def attach_ranks(df: DataFrame, cols, ranks: DataFrame, suffix: str = "_rank",
     join shuffles, and AQE splits a value that owns a large share of rows.
     """
     feats = features(df, cols, dim)
+    new = [f"{name}{suffix}" for name, _ in feats]
+    refuse_names(df, new)
     if sizes is None:
         sizes = {r["column"]: r["cnt"] for r in
                  ranks.groupBy("column").agg(F.count(F.lit(1)).alias("cnt")).collect()}
-    out = df
-    for i, (name, expr) in enumerate(feats):
-        key = f"_rk{i}"
-        out = out.withColumn(key, expr)
+    # the row travels as one struct: its columns may have any names
+    out = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("row"),
+                    *[expr.alias(f"key{i}") for i, (_, expr) in enumerate(feats)])
+    for i, (name, _) in enumerate(feats):
         r = ranks.filter(F.col("column") == name).select(
-            F.col("value").alias(key), F.col("avg_rank").alias(f"{name}{suffix}"))
+            F.col("value").alias(f"key{i}"), F.col("avg_rank").alias(f"rank{i}"))
         size = sizes.get(name, 0)
         if (size[0] if isinstance(size, tuple) else size) <= BROADCAST_ROWS:
             r = F.broadcast(r)
-        out = out.join(r, on=key, how="inner").drop(key)
-    return out
+        out = out.join(r, on=f"key{i}", how="inner").drop(f"key{i}")
+    return out.select("row.*", *[F.col(f"rank{i}").alias(n) for i, n in enumerate(new)])
 
 
 def avg_rank(df: DataFrame, cols, nulls: str = "error", dim: int | None = None) -> DataFrame:

@@ -25,8 +25,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from statframe.functions.columns import apply_null_policy, check, features, join_keys, not_null
+from statframe.functions.columns import apply_null_policy, check, features, join_keys, named, not_null, quoted
 from statframe.session import freeze
 from statframe.ship import ship
 
@@ -38,6 +39,11 @@ SUMMARY_FIELDS = ("column", "count", "mean", "variance", "num_nonzeros", "max",
                   "min", "norm_l1", "norm_l2")
 
 
+def _q(keys: Sequence[str]) -> list[Column]:
+    """Group columns by their exact names."""
+    return [quoted(k) for k in keys]
+
+
 def _prepare(df: DataFrame, cols, weight: str | None, group_by: Sequence[str],
              nulls: str, dim: int | None):
     """Project keys, checked features ``_x{i}`` and weight ``_w``."""
@@ -45,10 +51,13 @@ def _prepare(df: DataFrame, cols, weight: str | None, group_by: Sequence[str],
     feats = features(df, cols, dim)
     raw = [c for c in ([cols] if isinstance(cols, str) else list(cols))]
     df = apply_null_policy(df, raw + ([weight] if weight else []), nulls)
-    proj = [F.col(k) for k in group_by]
+    clash = sorted(set(group_by) & {"column", *SUMMARY_FIELDS, *STATE_FIELDS})
+    if clash:
+        raise ValueError(f"rename the group column {clash[0]!r}: the result has a column of this name")
+    proj = [named(df, k).alias(k) for k in group_by]
     proj += [not_null(expr, name).alias(f"_x{i}") for i, (name, expr) in enumerate(feats)]
     if weight is not None:
-        w = not_null(F.col(weight).cast("double"), weight)
+        w = not_null(named(df, weight).cast("double"), weight)
         proj.append(check((w >= 0) & ~F.isnan(w), w, f"sample weight in {weight} has to be >= 0").alias("_w"))
     out = df.select(*proj)
     if weight is not None:
@@ -81,7 +90,7 @@ def _unpivot(wide: DataFrame, keys: list[str], names: list[str],
             src = shared.get(f, f"{f}_{i}")
             fields.append(F.col(src).alias(f))
         structs.append(F.struct(*fields))
-    return wide.select(*keys, F.inline(F.array(*structs)))
+    return wide.select(*_q(keys), F.inline(F.array(*structs)))
 
 
 WIDE_MIN = 24  # from this many columns on, states are built per task with numpy
@@ -99,17 +108,7 @@ def summary_state(df: DataFrame, cols, weight: str | None = None,
         # merge: materialise them once in the shared checkpoint folder
         return merge_states(freeze(_task_states(data, names, weighted)), keys)
     if d >= WIDE_MIN:
-        # grouped and wide: one cell per (row, column), aggregated per
-        # (group, column) with the same codegen'd aggregates as one column
-        refs = _references(data, d) if weighted else [0.0] * d
-        cells = data.select(*keys, *(["_w"] if weighted else []), F.inline(F.array(*[
-            F.struct(F.lit(n).alias("column"), F.col(f"_x{i}").alias("_x0"),
-                     F.lit(refs[i]).alias("_ref")) for i, n in enumerate(names)])))
-        wide = _wide_state(cells, 1, [*keys, "column"], weighted, [F.col("_ref")])
-        return wide.select(*keys, "column", *[
-            F.col(src).alias(f) for f, src in
-            zip(STATE_FIELDS, ["n", "w_sum", "w2_sum", "mean_0", "m2_0", "nnz_0", "n_zero_0",
-                               "max_nz_0", "min_nz_0", "norm_l1_0", "l2_sq_0"])])
+        return merge_states(freeze(_group_states(data, names, keys, weighted)), keys)
     wide = _wide_state(data, d, keys, weighted)
     return _unpivot(wide, keys, names, {"n": "n", "w_sum": "w_sum", "w2_sum": "w2_sum"})
 
@@ -125,7 +124,7 @@ def _wide_state(data: DataFrame, d: int, keys: list[str], weighted: bool,
             aggs += [F.avg(x).alias(f"mean_{i}"),
                      (F.var_pop(x) * F.count(x)).alias(f"m2_{i}")]
             aggs += _common_aggs(i, None)
-        wide = data.groupBy(*keys).agg(*aggs)
+        wide = data.groupBy(*_q(keys)).agg(*aggs)
         return wide.withColumn("w_sum", F.col("n").cast("double")).withColumn(
             "w2_sum", F.col("n").cast("double"))
 
@@ -140,7 +139,7 @@ def _wide_state(data: DataFrame, d: int, keys: list[str], weighted: bool,
         aggs += [F.sum(w * z).alias(f"wz_{i}"), F.sum(w * z * z).alias(f"wzz_{i}"),
                  F.min(around[i]).alias(f"ref_{i}")]
         aggs += _common_aggs(i, w)
-    sums = data.groupBy(*keys).agg(*aggs)
+    sums = data.groupBy(*_q(keys)).agg(*aggs)
     shift = [F.try_divide(F.col(f"wz_{i}"), F.col("w_sum")) for i in range(d)]
     return sums.select(
         "*", *[(F.col(f"ref_{i}") + shift[i]).alias(f"mean_{i}") for i in range(d)],
@@ -223,6 +222,143 @@ def _task_states(data: DataFrame, names: list[str], weighted: bool) -> DataFrame
     return data.mapInPandas(fold, schema).unionByName(empty)
 
 
+MAX_CELLS = 1 << 20  # cells (groups x columns) that a task holds before it sends them on
+
+_MOMENTS = ("n", "w", "w2")            # one number per group
+_COLUMNS = ("mean", "m2", "nnz", "zero", "seen", "mx", "mn", "l1", "l2")  # one per group and column
+
+
+class _GroupStates:
+    """States of the groups that a task has met: arrays with one row per group."""
+
+    def __init__(self, d: int):
+        self.d, self.place, self.keys = d, {}, []
+        self.part: dict = {}
+
+    def add(self, keys: list[tuple], part: dict):
+        """Merge one state per group into those held (Chan's rule)."""
+        import numpy as np
+
+        new = [k for k in keys if k not in self.place]
+        for k in new:
+            self.place[k] = len(self.keys)
+            self.keys.append(k)
+        at = np.array([self.place[k] for k in keys])
+        if new:
+            for f in (*_MOMENTS, *_COLUMNS):
+                blank = np.zeros((len(new), *part[f].shape[1:]), part[f].dtype)
+                if f in ("mx", "mn"):
+                    blank += -np.inf if f == "mx" else np.inf
+                self.part[f] = np.concatenate([self.part[f], blank]) if f in self.part else blank
+        p = self.part
+        w, wb = p["w"][at][:, None], part["w"][:, None]
+        total = w + wb
+        first = p["n"][at] == 0
+        with np.errstate(invalid="ignore"):
+            delta = np.where(first[:, None], 0.0, part["mean"] - p["mean"][at])
+            p["m2"][at] = p["m2"][at] + part["m2"] + delta * delta * w * wb / total
+            p["mean"][at] = np.where(first[:, None], part["mean"], p["mean"][at] + delta * wb / total)
+        for f in ("n", "w", "w2", "nnz", "zero", "l1", "l2"):
+            p[f][at] = p[f][at] + part[f]
+        p["seen"][at] |= part["seen"]
+        p["mx"][at] = np.maximum(p["mx"][at], part["mx"])
+        p["mn"][at] = np.minimum(p["mn"][at], part["mn"])
+
+
+def _plain(keys):
+    """A key column that has a dictionary: nested ones as text."""
+    import pyarrow as pa
+
+    return pa.array([repr(v) for v in keys.to_pylist()]) if pa.types.is_nested(keys.type) else keys
+
+
+def _batch_states(x, w, group, count):
+    """The states of a batch's groups; ``group`` numbers them 0 .. count - 1."""
+    import numpy as np
+
+    order = np.argsort(group, kind="stable")
+    x, w, starts = x[order], w[order][:, None], np.searchsorted(group[order], np.arange(count))
+
+    def total(v):
+        return np.add.reduceat(v, starts, axis=0)
+
+    nz = (x != 0) & ~np.isnan(x)
+    with np.errstate(invalid="ignore"):  # infinities make NaN moments, as in the sums
+        wg = total(w)
+        mean = total(w * x) / wg
+        m2 = total(w * (x - np.repeat(mean, np.diff([*starts, len(x)]), axis=0)) ** 2)
+        return dict(n=np.diff([*starts, len(x)]), w=wg[:, 0], w2=total(w * w)[:, 0], mean=mean, m2=m2,
+                    nnz=total(w * (x != 0)), zero=total((x == 0).astype(np.int64)),
+                    seen=np.maximum.reduceat(nz, starts, axis=0),
+                    mx=np.maximum.reduceat(np.where(nz, x, -np.inf), starts, axis=0),
+                    mn=np.minimum.reduceat(np.where(nz, x, np.inf), starts, axis=0),
+                    l1=total(w * np.abs(x)), l2=total(w * x * x))
+
+
+def _group_states(data: DataFrame, names: list[str], keys: list[str], weighted: bool) -> DataFrame:
+    """Per-task states by group for wide inputs: every task folds its Arrow batches into one
+    state per group and column, and sends them on at its end, or when it holds MAX_CELLS.  At most
+    tasks x groups x columns rows are shuffled, however many rows there are."""
+    import numpy as np
+    import pyarrow as pa
+
+    d = len(names)
+    packed = data.select(F.struct(*_q(keys)).alias("key"), F.array(*[
+        F.col(f"_x{i}") for i in range(d)]).alias("x"), (F.col("_w") if weighted else F.lit(1.0)).alias("w"))
+    counts = ("n", "n_zero")
+    schema = T.StructType([
+        T.StructField("key", packed.schema["key"].dataType), T.StructField("column", T.StringType()),
+        *[T.StructField(f, T.LongType() if f in counts else T.DoubleType()) for f in STATE_FIELDS]])
+
+    def rows(held: _GroupStates, key_type):
+        p, g = held.part, len(held.keys)
+        at = np.repeat(np.arange(g), d)
+
+        def flat(f):
+            return pa.array(p[f].reshape(-1))
+
+        def extreme(f):  # no nonzero value seen: null (an infinity is a value)
+            return pa.array(p[f].reshape(-1), mask=~p["seen"].reshape(-1))
+
+        key = pa.concat_arrays([k.cast(key_type) for k in held.values]).take(pa.array(at))
+        return pa.RecordBatch.from_arrays(
+            [key, pa.array(names * g, pa.string()), pa.array(p["n"][at], pa.int64()),
+             pa.array(p["w"][at]), pa.array(p["w2"][at]), flat("mean"), flat("m2"), flat("nnz"),
+             pa.array(p["zero"].reshape(-1), pa.int64()), extreme("mx"), extreme("mn"), flat("l1"),
+             flat("l2")],
+            names=["key", "column", *STATE_FIELDS])
+
+    def fold(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = b.column("key")
+            # groups of the batch: the keys' places in each column's dictionary, null as one
+            codes = [_plain(c).dictionary_encode("encode").indices.to_numpy() for c in key.flatten()]
+            _, first, group = np.unique(np.stack(codes, axis=1), axis=0, return_index=True,
+                                        return_inverse=True)
+            values = key.take(pa.array(first))
+            part = _batch_states(b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, d),
+                                 b.column("w").to_numpy(), group.reshape(-1), len(first))
+            if held is None:
+                held = _GroupStates(d)
+                held.values = []
+            ids = [repr(v) for v in values.to_pylist()]  # repr tells null, NaN and text apart
+            fresh = [i for i, k in enumerate(ids) if k not in held.place]
+            held.values.append(values.take(pa.array(fresh, pa.int64())))
+            held.add(ids, part)
+            if len(held.keys) * d >= MAX_CELLS:
+                yield rows(held, key.type)
+                held = None
+        if held is not None:
+            yield rows(held, held.values[0].type)
+
+    ship(data.sparkSession)
+    states = packed.mapInArrow(fold, schema)
+    return states.select("key.*", "column", *STATE_FIELDS)
+
+
 def merge_states(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     """Roll states up to ``group_by`` (a subset of the state's keys).
 
@@ -233,18 +369,18 @@ def merge_states(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     over all tasks until the final merge of one row per task.
     """
     keys = list(group_by) + ["column"]
-    base = state.groupBy(*keys).agg(
+    base = state.groupBy(*_q(keys)).agg(
         F.sum("n").alias("n"), F.sum("w_sum").alias("w_sum"),
         F.sum("w2_sum").alias("w2_sum"),
         F.try_divide(F.sum(F.col("w_sum") * F.col("mean")), F.sum("w_sum")).alias("mean"),
         F.sum("nnz").alias("nnz"), F.sum("n_zero").alias("n_zero"),
         F.max("max_nz").alias("max_nz"), F.min("min_nz").alias("min_nz"),
         F.sum("norm_l1").alias("norm_l1"), F.sum("l2_sq").alias("l2_sq"))
-    moment = (join_keys(state, base.select(*keys, F.col("mean").alias("_m")), keys)
-              .groupBy(*keys)
+    moment = (join_keys(state, base.select(*_q(keys), F.col("mean").alias("_m")), keys)
+              .groupBy(*_q(keys))
               .agg(F.sum(F.col("m2") + F.col("w_sum") * (F.col("mean") - F.col("_m"))
                          * (F.col("mean") - F.col("_m"))).alias("m2")))
-    return join_keys(base, moment, keys).select(*keys, *STATE_FIELDS)
+    return join_keys(base, moment, keys).select(*_q(keys), *STATE_FIELDS)
 
 
 def finalize(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
@@ -262,7 +398,7 @@ def finalize(state: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
         return check(has_data, c, "nothing has been added to this summary (empty input)")
 
     return state.select(
-        *keys,
+        *_q(keys),
         F.col("column"),
         F.col("n").cast("long").alias("count"),
         guarded(F.col("mean")).alias("mean"),
@@ -301,9 +437,9 @@ def sparse_summary(long: DataFrame, row_id: str = "row_id", idx: str = "idx",
     """
     keys = list(group_by)
     x = not_null(F.col(value).cast("double"), value)
-    cells = long.select(*keys, F.col(row_id), F.col(idx).cast("int").alias("_idx"), x.alias("_x"))
+    cells = long.select(*_q(keys), F.col(row_id), F.col(idx).cast("int").alias("_idx"), x.alias("_x"))
     if num_rows is None:
-        rows = cells.groupBy(*keys).agg(F.count_distinct(row_id).alias("_rows"))
+        rows = cells.groupBy(*_q(keys)).agg(F.count_distinct(row_id).alias("_rows"))
     elif isinstance(num_rows, int):
         rows = None
     else:
@@ -314,14 +450,14 @@ def sparse_summary(long: DataFrame, row_id: str = "row_id", idx: str = "idx",
                                                f"an index lies outside 0..{width - 1}"))
         # an index that no row stores: one cell that counts as not stored
         every = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("_idx")
-        grid = (cells.select(*keys).distinct().select(*keys, every) if keys else
+        grid = (cells.select(*_q(keys)).distinct().select(*_q(keys), every) if keys else
                 cells.sparkSession.range(1).select(every))
         cells = cells.withColumn("_is", F.lit(1)).unionByName(
             grid.withColumn("_is", F.lit(0)), allowMissingColumns=True)
     else:
         cells = cells.withColumn("_is", F.lit(1))
     nz = (F.col("_x") != 0) & ~F.isnan(F.col("_x"))
-    stats = cells.groupBy(*keys, "_idx").agg(
+    stats = cells.groupBy(*_q(keys), "_idx").agg(
         F.sum("_is").alias("_stored"),
         F.coalesce(F.sum("_x"), F.lit(0.0)).alias("_s1"),
         F.count_if(F.col("_x") != 0).cast("double").alias("nnz"),
@@ -347,7 +483,7 @@ def sparse_summary(long: DataFrame, row_id: str = "row_id", idx: str = "idx",
     m2 = (F.col("_m2_stored") + k * (F.col("_mean_stored") - mean) * (F.col("_mean_stored") - mean)
           + (r - k) * mean * mean)
     state = stats.select(
-        *keys,
+        *_q(keys),
         F.concat(F.lit("x["), F.col("_idx").cast("string"), F.lit("]")).alias("column"),
         F.col("_rows").cast("long").alias("n"), r.alias("w_sum"), r.alias("w2_sum"),
         mean.alias("mean"), m2.alias("m2"), F.col("nnz"),

@@ -8,7 +8,7 @@ window functions and CTEs over the same tables.
 
 from __future__ import annotations
 
-from statframe.functions.rounding import sql_pround, sql_sig
+from statframe.functions.rounding import sql_pround, sql_rounded_matrix, sql_sig
 
 ORACLE: dict[str, str] = {}
 
@@ -102,6 +102,13 @@ ORACLE["col_summary_embeddings"] = _sig_select(
     + _summary_one("cells", "x", ["i"]).replace("'x' AS \"column\", ", ""),
     [("column", False)] + SUMMARY_COLS[1:]).replace(
     'SELECT "column",', "SELECT 'embedding[' || CAST(i - 1 AS VARCHAR) || ']' AS \"column\",", 1)
+ORACLE["col_summary_embeddings_grouped"] = _sig_select(
+    "WITH cells AS (SELECT label, generate_subscripts(embedding, 1) AS i, "
+    "  CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) "
+    + _summary_one("cells", "x", ["label", "i"]).replace("'x' AS \"column\", ", ""),
+    [("label", False), ("column", False)] + SUMMARY_COLS[1:]).replace(
+    'SELECT "label", "column",',
+    "SELECT label, 'embedding[' || CAST(i - 1 AS VARCHAR) || ']' AS \"column\",", 1)
 ORACLE["summary_rollup"] = summary_sql("lineitem", LINEITEM_NUM, ["l_returnflag"])
 ORACLE["sparse_summary"] = _sig_select(
     "WITH o AS (SELECT o_orderkey FROM orders), "
@@ -411,6 +418,10 @@ ORACLE["nb_posterior"] = _sig_select(
     "FROM post JOIN rows r USING (rid)",
     [("l_orderkey", False), ("l_linenumber", False), ("label", False), ("probability", "p")])
 
+ORACLE["nb_posterior_blocked"] = ORACLE["nb_posterior"]
+ORACLE["nb_rollup"] = ORACLE["nb_multinomial_fit"].replace(
+    "FROM lineitem", "FROM lineitem WHERE year(l_shipdate) <> 1995")
+
 ORACLE["nb_doc_quality"] = _sig_select(
     "WITH toks AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) "
     "  AS term FROM documents), "
@@ -541,15 +552,70 @@ _EMB_COV = (
     "mid AS (SELECT vec_id, i, x - m AS z FROM cell JOIN avgs USING (i)), "
     "cov AS (SELECT p.i AS i, q.i AS j, sum(p.z * q.z) / (count(*) - 1) AS cov "
     "  FROM mid AS p JOIN mid AS q USING (vec_id) GROUP BY p.i, q.i) ")
-ORACLE["cov_matrix_wide"] = _sig_select(
-    f"WITH {_EMB_COV} SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, cov FROM cov",
-    [("i", False), ("j", False), ("cov", True)])
-ORACLE["corr_pearson_wide"] = _sig_select(
+ORACLE["cov_matrix_wide"] = sql_rounded_matrix(
+    f"WITH {_EMB_COV} SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, cov FROM cov", "cov")
+ORACLE["cov_matrix_tiled"] = ORACLE["cov_matrix_wide"]
+ORACLE["corr_pearson_wide"] = sql_rounded_matrix(
     f"WITH {_EMB_COV}, sd AS (SELECT i, sqrt(cov) AS s FROM cov WHERE i = j) "
     "SELECT CAST(cov.i AS INTEGER) AS i, CAST(cov.j AS INTEGER) AS j, "
     "CASE WHEN cov.i = cov.j THEN 1.0 ELSE cov / (a.s * b.s) END AS corr "
-    "FROM cov JOIN sd AS a ON a.i = cov.i JOIN sd AS b ON b.i = cov.j",
-    [("i", False), ("j", False), ("corr", True)])
+    "FROM cov JOIN sd AS a ON a.i = cov.i JOIN sd AS b ON b.i = cov.j", "corr")
+
+# ------------------------------------------------------------- sparse vectors
+
+def _sparse_cov(cells: str, rows: str) -> str:
+    """CTEs ending in ``cov`` (feature_i, feature_j, cov) of cells (r, f, x) over ``rows`` rows."""
+    return (f"cells AS ({cells}), n AS ({rows}), "
+            "s AS (SELECT f, sum(x) AS s FROM cells GROUP BY f), "
+            "c AS (SELECT a.f AS i, b.f AS j, sum(a.x * b.x) AS v FROM cells AS a "
+            "  JOIN cells AS b ON a.r = b.r AND a.f <= b.f GROUP BY a.f, b.f), "
+            "cov AS (SELECT i AS feature_i, j AS feature_j, (v - si.s * sj.s / n) / (n - 1) AS cov "
+            "  FROM c, n JOIN s AS si ON si.f = i JOIN s AS sj ON sj.f = j)")
+
+
+_PAIR = [("feature_i", False), ("feature_j", False)]
+_BOUGHT = _sparse_cov(
+    "SELECT l_orderkey AS r, l_suppkey AS f, sum(l_quantity) AS x FROM lineitem GROUP BY ALL",
+    "SELECT count(*) AS n FROM orders")
+ORACLE["cov_sparse"] = _sig_select(f"WITH {_BOUGHT} SELECT * FROM cov", [*_PAIR, ("cov", True)])
+ORACLE["corr_sparse"] = _sig_select(
+    f"WITH {_BOUGHT}, sd AS (SELECT feature_i AS f, CASE WHEN abs(cov) <= 1e-12 THEN 0.0 "
+    "ELSE sqrt(cov) END AS s FROM cov WHERE feature_i = feature_j) "
+    "SELECT feature_i, feature_j, CASE WHEN feature_i = feature_j THEN 1.0 "
+    "WHEN a.s = 0 OR b.s = 0 THEN 'nan'::DOUBLE ELSE cov / (a.s * b.s) END AS corr "
+    "FROM cov JOIN sd AS a ON a.f = feature_i JOIN sd AS b ON b.f = feature_j",
+    [*_PAIR, ("corr", True)])
+_TERMS = ("SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT doc_id, "
+          "unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents) "
+          "GROUP BY doc_id, term")
+_TERM_COV = _sparse_cov(
+    f"SELECT doc_id AS r, term AS f, tf AS x FROM ({_TERMS}) QUALIFY 10 * count(*) OVER "
+    "(PARTITION BY term) >= (SELECT count(*) FROM documents)",
+    "SELECT count(*) AS n FROM documents")
+ORACLE["cov_sparse_terms"] = _sig_select(f"WITH {_TERM_COV} SELECT * FROM cov",
+                                         [*_PAIR, ("cov", True)])
+ORACLE["chisq_features_sparse"] = _sig_select(
+    f"WITH tok AS ({_TERMS}), lab AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'toxic' "
+    "  WHEN quality = 1 THEN 'good' ELSE 'poor' END AS c FROM labels), "
+    "x AS (SELECT term, c, count(*) AS n FROM tok JOIN lab USING (doc_id) GROUP BY ALL), "
+    "t AS (SELECT c, count(*) AS t FROM lab GROUP BY c), "
+    "f AS (SELECT term, c, t, coalesce(n, 0) AS n1, t - coalesce(n, 0) AS n0 FROM "
+    "  (SELECT DISTINCT term FROM x) CROSS JOIN t LEFT JOIN x USING (term, c)), "
+    "m AS (SELECT *, sum(n1) OVER w AS r1, sum(n0) OVER w AS r0, sum(t) OVER w AS tt FROM f "
+    "  WINDOW w AS (PARTITION BY term)), "
+    "q AS (SELECT term AS feature, CASE WHEN max(r0) > 0 THEN sum(pow(n1 - r1 * t / tt, 2) / "
+    "  (r1 * t / tt) + pow(n0 - r0 * t / tt, 2) / (r0 * t / tt)) ELSE 0.0 END AS statistic, "
+    "  CASE WHEN max(r0) > 0 THEN 2 ELSE 0 END AS dof FROM m GROUP BY term) "
+    "SELECT feature, CASE WHEN dof = 0 THEN 1.0 ELSE exp(-statistic / 2) END AS p_value, "
+    "CAST(dof AS INTEGER) AS degrees_of_freedom, statistic, 'pearson' AS method, "
+    f"'{INDEP}' AS null_hypothesis FROM q", [("feature", False), *TEST_COLS])
+_c, _s = sgd_sql(
+    "SELECT o_orderkey, any_value(o_totalprice) / 100000 AS y, " + ", ".join(
+        f"coalesce(sum(CASE WHEN l_linenumber = {j + 1} THEN l_discount END), 0) * 10 AS x{j}"
+        for j in range(7)) + " FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey "
+    "GROUP BY o_orderkey", [f"x{j + 1}" for j in range(7)], 6, 0.5, intercept=True)
+ORACLE["linreg_sgd_sparse"] = _sig_select(_c + _s, COEF_COLS)
+
 # the sample covariance is inverted by the sweep operator, one pivot per step
 ORACLE["mvn_outliers"] = _sig_select(
     f"WITH RECURSIVE {_EMB_COV}, "
@@ -716,3 +782,23 @@ ORACLE["stream_ab_test_student"] = _sig_select(
     "'Both groups have same mean' AS null_hypothesis FROM s",
     [("day", False), ("p_value", "p"), ("degrees_of_freedom", True), ("statistic", True),
      ("method", False), ("null_hypothesis", False)])
+
+
+ORACLE["stream_running_summary"] = summary_sql("events", ["value"], ["event_type"])
+ORACLE["stream_cumulative_test"] = _sig_select(
+    "WITH e AS (SELECT CAST(user_id % 2 AS INTEGER) AS experiment, value, "
+    "  event_type = 'purchase' AS t FROM events "
+    "  WHERE ts >= (SELECT min(ts) FROM events) + INTERVAL 7 DAY), "
+    "m AS (SELECT experiment, count(*) FILTER (WHERE NOT t) AS na, count(*) FILTER (WHERE t) AS nb, "
+    "  avg(value) FILTER (WHERE NOT t) AS ma, avg(value) FILTER (WHERE t) AS mb, "
+    "  var_samp(value) FILTER (WHERE NOT t) AS va, var_samp(value) FILTER (WHERE t) AS vb "
+    "  FROM e GROUP BY experiment), "
+    "s AS (SELECT experiment, na, nb, (ma - mb) / sqrt(va / na + vb / nb) AS stat, "
+    "  pow(va / na + vb / nb, 2) / (pow(va / na, 2) / (na - 1) + pow(vb / nb, 2) / (nb - 1)) AS dof "
+    "  FROM m) "
+    f"SELECT experiment, na AS n_a, nb AS n_b, {_ibeta_sql('dof / (dof + stat * stat)', 'dof / 2', '0.5')}"
+    " AS p_value, dof AS degrees_of_freedom, stat AS statistic, "
+    "'Welch''s 2-sample t-test' AS method, 'Both groups have same mean' AS null_hypothesis FROM s",
+    [("experiment", False), ("n_a", False), ("n_b", False), ("p_value", "p"),
+     ("degrees_of_freedom", True), ("statistic", True), ("method", False), ("null_hypothesis", False)])
+ORACLE["corr_zipped"] = ORACLE["corr_pearson_pair"]

@@ -7,12 +7,13 @@ aggregate (built-in ``covar_pop`` / ``sum``).  Wider inputs would break
 codegen's method size limit, so each task folds its Arrow batches into one
 d x d numpy block (``mapInPandas``), emitted as (i, j, value) rows, and the
 blocks are merged by a grouped sum — one shuffle of d^2 rows per task,
-independent of the row count.  Centred blocks are merged with Chan's rule
+independent of the row count (plans/tiles.py is the form for very wide rows).  Centred blocks are merged with Chan's rule
 C = sum C_p + sum n_p (m_p - m)(m_p - m)^T.
 """
 
 from __future__ import annotations
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,20 @@ def _long_from_wide(wide: DataFrame, d: int, prefix: str, symmetric: bool = True
                        F.inline(F.array(*structs)))
 
 
+def _in_order(x: Column) -> Column:
+    """The sum of the tasks' values, added in the order of the tasks with the rounding errors carried
+    along (Neumaier), so that it does not depend on which task comes first."""
+    def add(a, v):
+        total = a.s + v.x
+        lost = F.when(F.abs(a.s) >= F.abs(v.x), (a.s - total) + v.x).otherwise((v.x - total) + a.s)
+        return F.struct(total.alias("s"), (a.c + lost).alias("c"))
+
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("c"))
+    # one value per task
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("task"), x.alias("x"))))
+    return F.aggregate(ordered, start, add, lambda a: a.s + a.c)
+
+
 def comoments(data: DataFrame, exprs: list[Column]) -> DataFrame:
     """Long (n, mean_0..mean_{d-1}, i, j, value) with value = C[i][j]."""
     d = len(exprs)
@@ -72,7 +87,8 @@ def _blocked_comoments(x: DataFrame, d: int) -> DataFrame:
         if n == 0:
             return
         ii, jj = np.meshgrid(np.arange(d), np.arange(d), indexing="ij")
-        yield pd.DataFrame({"n": np.full(d * d, n, dtype=np.int64),
+        yield pd.DataFrame({"task": np.full(d * d, TaskContext.get().partitionId(), np.int32),
+                            "n": np.full(d * d, n, dtype=np.int64),
                             "i": ii.ravel().astype(np.int32), "j": jj.ravel().astype(np.int32),
                             "mi": mean[ii.ravel()], "mj": mean[jj.ravel()],
                             "value": c.ravel()})
@@ -80,17 +96,17 @@ def _blocked_comoments(x: DataFrame, d: int) -> DataFrame:
     ship(x.sparkSession)
     # read by the means and by the merge: kept, so that the data is scanned once
     parts = freeze(x.mapInPandas(
-        block, "n long, i int, j int, mi double, mj double, value double"))
+        block, "task int, n long, i int, j int, mi double, mj double, value double"))
     # merged means per column, from the diagonal rows of each block
     diag = parts.filter(F.col("i") == F.col("j"))
     means = diag.groupBy("i").agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mi")) / F.sum("n")).alias("m"))
+        F.sum("n").alias("n"), (_in_order(F.col("n") * F.col("mi")) / F.sum("n")).alias("m"))
     mi = means.select(F.col("i"), F.col("m").alias("gi"), "n")
     mj = means.select(F.col("i").alias("j"), F.col("m").alias("gj"))
     merged = (parts.join(F.broadcast(mi.drop("n")), "i").join(F.broadcast(mj), "j")
               .groupBy("i", "j")
-              .agg(F.sum(F.col("value") + F.col("n") * (F.col("mi") - F.col("gi"))
-                         * (F.col("mj") - F.col("gj"))).alias("value")))
+              .agg(_in_order(F.col("value") + F.col("n") * (F.col("mi") - F.col("gi"))
+                             * (F.col("mj") - F.col("gj"))).alias("value")))
     # d means and n, one row: bounded by the width
     mrows = means.orderBy("i").collect()
     if not mrows:

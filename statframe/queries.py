@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statframe.functions.rounding import rounded
+from statframe.functions.rounding import rounded, rounded_matrix
 from statframe.functions import text as TX
 from statframe.operators import bayes as NB
 from statframe.operators import correlation as C
@@ -18,10 +18,14 @@ from statframe.operators import gaussian as G
 from statframe.operators import hypothesis as H
 from statframe.operators import linear as LR
 from statframe.operators import rank as R
+from statframe.operators import sparse as SP
+from statframe.operators import sparse_linear as SL
 from statframe.operators import summary as S
+from statframe.operators import zipped as ZP
 from statframe.session import freeze, scratch_path, table
 from statframe.sources import models as MD
 from statframe.streaming import abtest as AB
+from statframe.streaming import online as ON
 from statframe.streaming import summary as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +120,16 @@ def q_corr_from_cov(spark, sf):
     return rounded(C.corr_from_cov(cov))
 
 
+@query
+def q_corr_zipped(spark, sf):
+    """Quantities and prices, written apart in one order and in different numbers of files."""
+    li = table(spark, sf, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+    x = li.repartitionByRange(3, *order).sortWithinPartitions(*order).select("l_quantity")
+    y = li.repartitionByRange(8, *order).sortWithinPartitions(*order).select("l_extendedprice")
+    return rounded(ZP.corr_zipped(x, y, "l_quantity", "l_extendedprice"))
+
+
 @query
 def q_corr_spearman_matrix(spark, sf):
     return rounded(C.corr(table(spark, sf, "lineitem"), LINEITEM_NUM, "spearman"))
@@ -238,7 +252,7 @@ def _nb_rows(spark, sf, bernoulli: bool):
         feats = [F.col("l_quantity").alias("f_qty"),
                  F.round(F.col("l_discount") * 100).alias("f_disc"),
                  F.round(F.col("l_tax") * 100).alias("f_tax")]
-    return li.select("l_orderkey", "l_linenumber", "l_returnflag", *feats)
+    return li.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", *feats)
 
 
 def _nb_model(spark, sf, model_type):
@@ -420,13 +434,22 @@ def q_mvn_outliers(spark, sf):
 @query
 def q_cov_matrix_wide(spark, sf):
     """Covariance of all 64 embedding coordinates."""
-    return rounded(C.cov_matrix(_embeddings(spark, sf), "embedding").select("i", "j", "cov"))
+    return rounded_matrix(C.cov_matrix(_embeddings(spark, sf), "embedding").select("i", "j", "cov"),
+                          "cov")
 
 
 @query
 def q_corr_pearson_wide(spark, sf):
     """Pearson correlation of all 64 embedding coordinates."""
-    return rounded(C.pearson(_embeddings(spark, sf), "embedding").select("i", "j", "corr"))
+    return rounded_matrix(C.pearson(_embeddings(spark, sf), "embedding").select("i", "j", "corr"),
+                          "corr")
+
+
+@query
+def q_cov_matrix_tiled(spark, sf):
+    """The same covariance in tiles of 16 columns a side."""
+    return rounded_matrix(C.cov_matrix_tiled(_embeddings(spark, sf), "embedding", tile=16).select(
+        "i", "j", "cov"), "cov")
 
 
 @query
@@ -437,6 +460,62 @@ def q_linreg_predict_wide(spark, sf):
     return rounded(model.predict(_embeddings(spark, sf), "embedding").select("vec_id", "prediction"))
 
 
+# ------------------------------------------------------------- sparse vectors
+
+def _supplier_cells(spark, sf):
+    """Orders as sparse vectors: the quantity bought from each supplier."""
+    cells = table(spark, sf, "lineitem").groupBy(
+        F.col("l_orderkey").alias("row_id"), F.col("l_suppkey").alias("feature")).agg(
+        F.sum("l_quantity").alias("value"))
+    return cells, table(spark, sf, "orders").count()
+
+
+@query
+def q_cov_sparse(spark, sf):
+    """Covariance of the quantities that orders buy from pairs of suppliers."""
+    cells, n = _supplier_cells(spark, sf)
+    return rounded(SP.cov_sparse(cells, num_rows=n))
+
+
+@query
+def q_corr_sparse(spark, sf):
+    cells, n = _supplier_cells(spark, sf)
+    return rounded(SP.corr_sparse(cells, num_rows=n))
+
+
+@query
+def q_cov_sparse_terms(spark, sf):
+    """Covariance of the term counts of documents, for terms of at least a tenth of them."""
+    docs = table(spark, sf, "documents")
+    n = docs.count()
+    cells = freeze(TX.term_counts(docs, "doc_id", "text"))
+    return rounded(SP.cov_sparse(cells, "doc_id", "term", "tf", num_rows=n, min_rows=-(-n // 10)))
+
+
+@query
+def q_chisq_features_sparse(spark, sf):
+    """Presence of every term in labelled documents against good, poor and toxic ones."""
+    cells = TX.term_presence(TX.term_counts(table(spark, sf, "documents"), "doc_id", "text"))
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("poor")
+    rows = table(spark, sf, "labels").select("doc_id", kind.alias("kind"))
+    return rounded(SP.chisq_features_sparse(cells, rows, "doc_id", "term", "tf", "kind"))
+
+
+@query
+def q_linreg_sgd_sparse(spark, sf):
+    """Order totals from sparse line discounts, weights kept as a table."""
+    cells = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        (F.sum("l_discount") * 10).alias("x"))
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                             (F.col("o_totalprice") / 100000).alias("y"))
+    m = SL.train_sgd_sparse(cells, rows, "l_orderkey", "l_linenumber", "x", "y", num_iterations=6,
+                            step_size=0.5, intercept=True)
+    terms = m.weights.select(F.concat(F.lit("x"), F.col("feature").cast("string")).alias("term"),
+                             F.col("weight").alias("coefficient"))
+    return rounded(terms.unionByName(spark.createDataFrame(
+        [("intercept", m.intercept)], "term string, coefficient double")))
+
+
 # ------------------------------------------------------- model save and load
 
 @query
@@ -519,3 +598,61 @@ def q_stream_ab_test(spark, sf):
     res = AB.t_test(SS.latest_windows(spark, out))
     return rounded(res.withColumn("day", F.to_date("window_start"))
                    .drop("window_start", "window_end"))
+
+
+# ------------------------------------------------- naive Bayes at any size, in slices
+
+@query
+def q_nb_posterior_blocked(spark, sf):
+    """The posteriors of ``nb_posterior`` by a blocked matrix product."""
+    rows, model = _nb_model(spark, sf, NB.MULTINOMIAL)
+    # a line number occurs twice in some orders: rows are told apart by numbers of their own
+    rows = ZP.with_row_index(rows.select("l_orderkey", "l_linenumber", *NB_COUNT_FEATURES), "key")
+    cells = NB.dense_cells(rows, "key", NB_COUNT_FEATURES)
+    got = NB.predict_proba_blocked(model, cells, rows, "key", features_per_block=2,
+                                   classes_per_block=2)
+    return rounded(got.join(rows.select("key", "l_orderkey", "l_linenumber"), "key").select(
+        "l_orderkey", "l_linenumber", "label", "probability"))
+
+
+@query
+def q_nb_rollup(spark, sf):
+    """A model of all ship years but 1995, from a table of counts per year: all years added up,
+    one taken out again."""
+    rows = _nb_rows(spark, sf, False).withColumn("year", F.year("l_shipdate"))
+    counts = freeze(NB.count_table(rows, "l_returnflag", NB_COUNT_FEATURES, by=["year"]))
+    left = NB.remove_counts(NB.add_counts(counts), counts.filter("year = 1995").drop("year"))
+    return rounded(_nb_table(NB.fit_counts(left)))
+
+
+# -------------------------------------------------------- streams without windows
+
+@query
+def q_stream_running_summary(spark, sf):
+    """Summaries per event type of all events so far, after the last micro-batch."""
+    out, ckpt = scratch_path(spark, "stream-running"), scratch_path(spark, "stream-running-ckpt")
+    events, _ = _event_stream(spark, sf)
+    ON.run_running(ON.running_state(events, ["value"], ["event_type"]), out, ckpt)
+    return rounded(ON.running_summary(spark, out, ["event_type"]))
+
+
+@query
+def q_stream_cumulative_test(spark, sf):
+    """Welch test of purchases against other events so far, per parity of the user as the
+    experiment, without its first week."""
+    out, ckpt = scratch_path(spark, "stream-cumulative"), scratch_path(spark, "stream-cumulative-ckpt")
+    events, _ = _event_stream(spark, sf)
+    events = events.withColumn("experiment", F.pmod("user_id", F.lit(2)).cast("int"))
+    start = table(spark, sf, "events").agg(F.min("ts").alias("start"))
+    starts = start.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("experiment"), "start")
+    late = ON.after_start_up(events, starts, "experiment", "ts", "7 days")
+    ON.run_running(ON.cumulative_moments(late, "value", F.col("event_type") == "purchase",
+                                         "experiment"), out, ckpt)
+    return rounded(ON.cumulative_test(spark, out, "experiment"))
+
+
+@query
+def q_col_summary_embeddings_grouped(spark, sf):
+    """All 64 embedding coordinates per label, states by group in every task."""
+    return rounded(S.col_summary(table(spark, sf, "embeddings"), "embedding", group_by=["label"],
+                                 dim=64))

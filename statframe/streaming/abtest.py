@@ -44,11 +44,9 @@ def windowed_moments(stream: DataFrame, value: str, is_treatment: Column, time_c
         F.count(b).alias("n_b"), F.avg(b).alias("mean_b"), F.var_samp(b).alias("var_b"))
 
 
-def t_test(moments: DataFrame, method: str = WELCH) -> DataFrame:
-    """Test rows ``(window_start, window_end, p_value, degrees_of_freedom double,
-    statistic, method, null_hypothesis)`` from window moments."""
-    if method not in METHOD_NAMES:
-        raise ValueError(f"unknown test method {method!r}; use one of {list(METHOD_NAMES)}")
+def test_columns(method: str) -> list[Column]:
+    """p_value, degrees_of_freedom, statistic, method and null_hypothesis from (n, mean, var) of
+    control (a) and treatment (b); null where an arm has fewer than two rows or nothing varies."""
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     va, vb = F.col("var_a"), F.col("var_b")
     diff = F.col("mean_a") - F.col("mean_b")
@@ -60,11 +58,20 @@ def t_test(moments: DataFrame, method: str = WELCH) -> DataFrame:
         dof = na + nb - 2
         pooled = ((na - 1) * va + (nb - 1) * vb) / dof
         se2 = pooled * (F.lit(1.0) / na + F.lit(1.0) / nb)
-    ok = (F.col("n_a") > 1) & (F.col("n_b") > 1) & (se2 > 0)
+    enough = (F.col("n_a") > 1) & (F.col("n_b") > 1)
+    ok = F.when(enough, se2 > 0).otherwise(F.lit(False))
     stat = F.when(ok, diff / F.sqrt(se2))
     dof = F.when(ok, dof)
-    return moments.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        special.t_pvalue_udf(stat, dof).alias("p_value"), dof.alias("degrees_of_freedom"),
-        stat.alias("statistic"), F.lit(METHOD_NAMES[method]).alias("method"),
-        F.lit(NULL_HYPOTHESIS).alias("null_hypothesis"))
+    return [special.t_pvalue_udf(stat, dof).alias("p_value"), dof.alias("degrees_of_freedom"),
+            stat.alias("statistic"), F.lit(METHOD_NAMES[method]).alias("method"),
+            F.lit(NULL_HYPOTHESIS).alias("null_hypothesis")]
+
+
+def t_test(moments: DataFrame, method: str = WELCH) -> DataFrame:
+    """Test rows ``(window_start, window_end, p_value, degrees_of_freedom double,
+    statistic, method, null_hypothesis)`` from window moments."""
+    if method not in METHOD_NAMES:
+        raise ValueError(f"unknown test method {method!r}; use one of {list(METHOD_NAMES)}")
+    ship(moments.sparkSession)
+    return moments.select(F.col("window.start").alias("window_start"),
+                          F.col("window.end").alias("window_end"), *test_columns(method))

@@ -1,0 +1,57 @@
+"""Every public function that sends Python code to tasks works in a fresh process elsewhere, where the
+package cannot be found by the workers unless it is shipped."""
+
+import subprocess
+import sys
+import textwrap
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+
+START = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+import statframe as sf
+from pyspark.sql import functions as F
+from statframe.operators import bayes, correlation, gaussian, hypothesis, linear, sparse, summary
+from statframe.session import local_session
+from statframe.streaming import abtest
+spark = local_session(2, 2)
+sys.path.remove({str(ROOT)!r})
+li = spark.createDataFrame([(float(i % 7), float(i % 5), "ab"[i % 2]) for i in range(70)], "x double, y double, l string")
+"""
+
+CALLS = {
+    "chisq": """
+sf.chi_sq_test(li, label="l", features=["x", "y"]).collect()
+hypothesis.chisq_independence(li.groupBy(F.col("l").alias("row"), F.col("x").alias("col")).count()).collect()
+hypothesis.chisq_gof(li.groupBy(F.col("l").alias("category")).agg(F.count("*").alias("observed"))).collect()
+""",
+    "ks_and_t": """
+sf.kolmogorov_smirnov_test(li, "x", "norm", 3.0, 2.0).collect()
+m = spark.sql("select named_struct('start', 1, 'end', 2) as window, 5L n_a, 1D mean_a, 2D var_a, 6L n_b, 2D mean_b, 1D var_b")
+abtest.t_test(m).collect()
+""",
+    "wide": """
+w = li.select(F.array(*[F.col("x") + i for i in range(30)]).alias("v"), "l", "y")
+summary.col_summary(w, "v").collect()
+summary.col_summary(w, "v", group_by=["l"]).collect()
+correlation.cov_matrix(w, "v").collect()
+correlation.cov_matrix_tiled(w, "v", tile=8).collect()
+linear.train_sgd(w, "y", "v", num_iterations=2, step_size=1e-4).predict(w, "v").collect()
+nb = bayes.fit(w, "l", "v")
+bayes.predict(nb, w, "v").collect()
+""",
+}
+
+
+@pytest.mark.parametrize("name", sorted(CALLS))
+def test_in_another_folder(tmp_path, name):
+    code = textwrap.dedent(START + CALLS[name] + "print('done')\n")
+    script = tmp_path / "run.py"
+    script.write_text(code)
+    got = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=300, env={**__import__("os").environ, "PYTHONPATH": ""})
+    assert got.stdout.strip().endswith("done"), got.stderr[-3000:]

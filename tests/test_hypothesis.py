@@ -147,3 +147,109 @@ def test_vectorised_normal_cdf_matches_erfc():
     got = special.std_norm_cdf_np(z)
     want = np.array([special.norm_cdf(v) for v in z])
     assert np.abs(got - want).max() < 2e-15
+
+
+@pytest.mark.parametrize("observed,expected", [([0, 0, 0], None), ([0, 0], [1, 1]), ([0, 0], [2, 5])])
+def test_nothing_observed_is_no_evidence(spark, observed, expected):
+    """Against positive expectations a total of 0 gives NaN, as the unscaled expectation decides."""
+    r = one(H.chisq_gof(cats(spark, observed), None if expected is None else
+                        cats(spark, expected, "expected")))
+    assert math.isnan(r["statistic"]) and math.isnan(r["p_value"])
+    assert "No presumption" in one(H.explain(H.chisq_gof(cats(spark, observed))))["presumption"]
+
+
+def test_nothing_expected(spark):
+    r = one(H.chisq_gof(cats(spark, [1, 2]), cats(spark, [0, 0], "expected")))
+    assert r["statistic"] == float("inf") and r["p_value"] == 0.0
+    with pytest.raises(ValueError, match="both observed and expected"):
+        H.chisq_gof(cats(spark, [0, 2]), cats(spark, [0, 0], "expected"))
+
+
+def test_infinite_and_nan_counts(spark):
+    inf, nan = float("inf"), float("nan")
+    r = one(H.chisq_gof(cats(spark, [inf, 2])))
+    assert math.isnan(r["statistic"]) and math.isnan(r["p_value"])
+    for bad in (inf, nan):
+        table = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", bad), ("b", "y", 4.0)],
+                                      "row string, col string, count double")
+        r = one(H.chisq_independence(table))
+        assert math.isnan(r["statistic"]) and math.isnan(r["p_value"])
+
+
+def test_features_come_in_order(spark):
+    df = spark.range(60).select((F.col("id") % 2).alias("y"), F.array(*[
+        F.pmod(F.xxhash64("id", F.lit(j)), F.lit(3)).cast("double") for j in range(12)]).alias("v"))
+    got = [(r["feature_index"], r["feature"]) for r in H.chisq_features(df, "y", "v").collect()]
+    assert got == [(j, f"v[{j}]") for j in range(12)]
+
+
+def test_too_many_categories_end_before_the_shuffle(tmp_path):
+    """A feature of 10^7 values fails in a session of its own, whose event log shows what was shuffled."""
+    import json
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+SparkSession.builder.master("local[4]").config("spark.eventLog.enabled", "true").config(
+    "spark.eventLog.dir", "file://{tmp_path}").config("spark.eventLog.compress", "false").config(
+    "spark.ui.enabled", "false").config("spark.driver.memory", "2g").getOrCreate()
+from statframe.operators import hypothesis as H
+from statframe.session import local_session
+spark = local_session(4, 8)
+df = spark.range(10**7).selectExpr("id % 2 as y", "id % 3 as few", "id as many")
+try:
+    H.chisq_features(df, "y", ["few", "many"])
+except ValueError as e:
+    print(e)
+spark.stop()
+"""
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert got.stdout.strip() == "feature 'many' has more than 10000 distinct values", got.stderr[-2000:]
+    log = [f for f in tmp_path.rglob("*") if f.is_file() and f.name.startswith(("local-", "events_"))]
+    rows = 0
+    for f in log:
+        for line in f.read_text().splitlines():
+            e = json.loads(line)
+            if e["Event"] == "SparkListenerTaskEnd":
+                rows += e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Records Written"]
+    assert log and rows < 100
+
+
+def test_a_category_too_many_in_no_single_task(spark):
+    """Every task stays below the cap; the merged sets do not."""
+    df = spark.range(0, 400, 1, 8).selectExpr("id % 2 as y", "id as v")
+    with pytest.raises(ValueError, match="feature 'v' has more than 100"):
+        H.chisq_features(df, "y", ["v"], max_categories=100)
+    assert H.chisq_features(df, "y", ["v"], max_categories=400).count() == 1
+
+
+def test_ks_is_one_range_exchange(spark):
+    """One range exchange, one row out of each of its partitions, no other data shuffle."""
+    df = spark.range(5000).select((F.col("id") % 997).cast("double").alias("x"))
+    plan = H.ks_test(df, "x", lambda c: c / 1000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_ks_partial_extremes(spark, parts):
+    """Against the sorted rows, with ties over a third of them, at several partition counts."""
+    import numpy as np
+
+    rng = np.random.default_rng(parts)
+    x = np.concatenate([rng.exponential(50, 400), np.full(200, 20.0), rng.integers(0, 9, 100)])
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(x)], "x double").repartition(parts)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        r = one(H.ks_test(df, "x", lambda c: 1 - F.exp(-c / 50.0)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    s, n = np.sort(x), len(x)
+    f = 1 - np.exp(-s / 50.0)
+    want = max((f - np.arange(n) / n).max(), ((np.arange(n) + 1) / n - f).max())
+    assert r["statistic"] == pytest.approx(want, abs=1e-14)

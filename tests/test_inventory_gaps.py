@@ -85,7 +85,7 @@ def test_ks_numpy_cdf_equals_column_cdf(spark):
 
 def test_t5_category_cap(spark):
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    with pytest.raises(ValueError, match="feature 'l_tax' has 9 distinct values"):
+    with pytest.raises(ValueError, match="feature 'l_tax' has more than 5 distinct values"):
         H.chisq_features(li, "l_linestatus", ["l_returnflag", "l_tax"], max_categories=5)
     with pytest.raises(ValueError, match="label 'l_quantity'"):
         H.chisq_features(li, "l_quantity", ["l_returnflag"], max_categories=5)

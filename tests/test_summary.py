@@ -195,3 +195,65 @@ def test_grouped_sparse_equals_dense(spark):
     for g in ("g1", "g2"):
         for sname, dname in (("x[0]", "a"), ("x[1]", "b")):
             assert close([sp[(g, sname)][f] for f in FIELDS], [dn[(g, dname)][f] for f in FIELDS])
+
+
+def grouped_wide(spark, d=64, n=300):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    x = rng.normal(10, 3, (n, d)) * (rng.random((n, d)) < 0.7)
+    x[5, 3], x[6, 4] = float("nan"), float("inf")
+    keys = rng.choice(["a", "a", "a", "b", "c", None], n)
+    rows = [(k, float(rng.choice([1.0, 2.0, float("nan")])), float(rng.random()), r.tolist())
+            for k, r in zip(keys, x)]
+    return spark.createDataFrame(rows, "g string, h double, w double, v array<double>").repartition(6)
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+@pytest.mark.parametrize("keys", [["g"], ["g", "h"]])
+def test_grouped_wide_states_equal_the_narrow_path(spark, monkeypatch, weight, keys):
+    df = grouped_wide(spark)
+    wide = S.col_summary(df, "v", weight=weight, group_by=keys, dim=64)
+    got = {tuple(str(r[k]) for k in (*keys, "column")): r for r in wide.collect()}
+    monkeypatch.setattr(S, "WIDE_MIN", 10 ** 6)
+    parts = [S.col_summary(df.select(*keys, "w", *[F.col("v")[i].alias(f"v[{i}]") for i in js]),
+                           [f"v[{i}]" for i in js], weight=weight, group_by=keys)
+             for js in (range(0, 8), range(60, 64))]
+    for r in (r for p in parts for r in p.collect()):
+        mine = got[tuple(str(r[k]) for k in (*keys, "column"))]
+        for f in FIELDS:
+            assert (math.isnan(r[f]) and math.isnan(mine[f])) or r[f] == mine[f] or math.isclose(
+                r[f], mine[f], rel_tol=1e-9, abs_tol=1e-9), (f, r, mine)
+
+
+def test_grouped_wide_states_are_few_rows(spark):
+    """At most tasks x groups x columns rows leave the tasks."""
+    df = spark.range(0, 20_000, 1, 4).select((F.col("id") % 3).alias("g"), F.array(*[
+        (F.col("id") + i).cast("double") for i in range(30)]).alias("v"))
+    data, names, keys = S._prepare(df, "v", None, ["g"], "error", 30)
+    assert S._group_states(data, names, keys, False).count() <= 4 * 3 * 30
+
+
+@pytest.mark.parametrize("cols", [["x"], "v"])
+def test_any_names(spark, cols):
+    """Dots in names; a group column that the result could not tell apart is refused."""
+    df = spark.createDataFrame([(1.0, "k", [1.0] * 30), (3.0, "k", [2.0] * 30)], "x double, g string, v array<double>")
+    odd = df.withColumnRenamed("x", "a.b").withColumnRenamed("v", "c.d").withColumnRenamed("g", "e.f")
+    mine = ["a.b"] if cols == ["x"] else "c.d"
+    got = S.col_summary(odd, mine, group_by=["e.f"]).collect()
+    want = S.col_summary(df, cols, group_by=["g"]).collect()
+    assert sorted(r["mean"] for r in got) == sorted(r["mean"] for r in want)
+    assert {r["e.f"] for r in got} == {"k"} and got[0]["column"].startswith(mine[0] if cols == ["x"] else mine)
+    with pytest.raises(ValueError, match="rename the group column 'column'"):
+        S.col_summary(df.withColumnRenamed("g", "column"), cols, group_by=["column"])
+
+
+def test_rank_names(spark):
+    from statframe.operators import rank as R
+
+    df = spark.createDataFrame([(3.0, "p", 1), (1.0, "q", 2)], "x double, _rk0 string, `a.b` int")
+    got = R.avg_rank(df, ["x", "a.b"])
+    assert got.columns == ["x", "_rk0", "a.b", "x_rank", "a.b_rank"]
+    assert sorted(got.collect()) == [(1.0, "q", 2, 0.0, 1.0), (3.0, "p", 1, 1.0, 0.0)]
+    with pytest.raises(ValueError, match="two columns named x_rank"):
+        R.avg_rank(df.withColumnRenamed("_rk0", "x_rank"), ["x"])
