@@ -13,7 +13,8 @@ The expected severity is the sum of these probabilities.
 
 The model is fitted on a bounded sample of labelled rows: ``sample_toxic`` toxic and
 ``sample_clean`` clean documents at most, the first by a hash of their doc_id, weighted back
-to the labelled shares.  Scoring covers every document.
+to the labelled shares.  Rows that repeat a labelled doc_id are one row of the sample, the text
+with the smallest hash.  Scoring covers every document.
 
 Labels: null doc_id or null label rows are ignored; a doc_id with several labels is toxic
 if one says so.  Without labelled rows of both kinds there is nothing to learn and every
@@ -58,8 +59,10 @@ def _sample(rows: DataFrame, labels: DataFrame, n_toxic: int, n_clean: int) -> t
     order = F.xxhash64("label_id"), F.col("label_id")
     picked = known.filter("toxic = 1").orderBy(*order).limit(n_toxic).unionByName(
         known.filter("toxic = 0").orderBy(*order).limit(n_clean))
-    # at most n_toxic + n_clean ids
-    docs = rows.join(F.broadcast(picked), rows.doc_id == picked.label_id).select("text", "toxic")
+    # at most n_toxic + n_clean ids, and of an id that many rows carry one text
+    docs = rows.join(F.broadcast(picked), rows.doc_id == picked.label_id).groupBy("label_id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"),
+        F.first("toxic").alias("toxic")).select("text", "toxic")
     return stored(docs, "sample"), sizes.get(0, 0), sizes.get(1, 0)
 
 

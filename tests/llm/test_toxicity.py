@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from odd import SCHEMA, empty, frame, rows
+from odd import empty, frame, rows
 from pyspark.sql import functions as F
 
 from statframe.llm import toxicity
@@ -96,4 +96,18 @@ def test_sample_bound_is_kept(spark):
     sample, n_clean, n_toxic = toxicity._sample(
         frame(spark, docs).select("doc_id", "text"), labels, 7, 11)
     assert sample.count() == 18 and n_clean + n_toxic == 200
-    assert len(SCHEMA) > 0
+
+
+def test_a_labelled_id_that_many_rows_carry(spark):
+    """The sample is bounded in rows: a third of the table under one labelled doc_id is one of them."""
+    docs, truth = corpus(200)
+    hot = next(i for i, t in truth.items() if t > 0)
+    many = spark.range(3000).select(F.lit(hot).cast("long").alias("doc_id"),
+                                    F.concat(F.lit("row "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(i, int(t > 0)) for i, t in truth.items()],
+                                   "label_id long, toxic int")
+    rows_ = frame(spark, docs).select("doc_id", "text").unionByName(many)
+    sample, n_clean, n_toxic = toxicity._sample(rows_, labels, 500, 500)
+    assert sample.count() == 200 == n_clean + n_toxic
+    again, _, _ = toxicity._sample(rows_.repartition(7), labels, 500, 500)
+    assert sorted(sample.collect()) == sorted(again.collect())
