@@ -74,7 +74,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return placed(spark.read.schema(df.schema).parquet(path), path)
+
+
+def placed(table: DataFrame, path: str) -> DataFrame:
+    """``table``, which remembers that it was written to ``path``."""
+    table.stored_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "stored_at", None)
+        if path is None:
+            continue
+        try:
+            jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        except Exception:  # Spark Connect: the folder is cleared with the session's
+            return
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
 
 
 def release(spark) -> None:

@@ -5,17 +5,19 @@ A line's sketch has BINS coordinates.  All its distinct runs are hashed into bin
 as a line of few runs needs to fill them, and a bin keeps its smallest hash.
 Lines that agree in all coordinates of a band share a bucket; buckets are linked as in
 ``linking``, and each pair is confirmed by the exact Jaccard similarity of all its runs.
-Of each component the line that comes first by (doc_id, text hash, line number) stays.
+Of each component the line that comes first by (doc_id, text hash, row, line number) stays.
 
 The sketch is one shuffle of the distinct lines: the explosion into runs and both aggregates
-behind it find their rows already together.
+behind it find their rows already together.  (Folding a line's runs into its bins inside the row, by
+higher-order functions, took five times the CPU: those run interpreted.)
 
 ``every_line_links`` takes all lines of CHARS characters or more this way, and each shorter line
-that is not blank as its own one run: exact copies of it are one component.  ``line_links`` leaves
-lines shorter than ``min_chars`` out, or with ``short`` compares those that are not blank as wholes.
+as its own one run: exact copies of it are one component.  ``line_links`` leaves
+lines shorter than ``min_chars`` out, or with ``short`` compares them as wholes.
 
-Null text: no lines.  Blank lines shorter than ``min_chars`` are never dropped.  Null
-doc_id: sorts last.  Rows that repeat doc_id and text count as one document.  Empty input: empty
+Null text: no lines.  Blank lines have no row and are never dropped.  Null
+doc_id: sorts last.  Rows that repeat doc_id and text: one of them keeps the line; ``drop_lines``, which
+can't tell such rows apart, keeps it in all of them.  Empty input: empty
 result.  Extra columns are ignored by ``line_links`` and kept by ``drop_lines``.
 """
 
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statframe.llm.common import id_text, release, stored
+from statframe.llm.common import forget, id_text, release, stored
 from statframe.llm.linking import link
 
 CHARS = 8
@@ -46,22 +48,31 @@ def _doc_key():
 def _lines(texts: DataFrame, min_chars: int, short: bool = False) -> DataFrame:
     """One row per line that is compared, ``sketched`` or as a whole; h1 and h2 are independent
     hashes of it."""
-    every = texts.select("doc_id", _doc_key(), F.posexplode(F.split("text", "\n")).alias(
-        "line_no", "line")).withColumn("sketched", F.char_length("line") >= min_chars)
-    some = F.col("line").rlike(r"\S") if short else F.lit(False)
-    return every.filter(F.col("sketched") | some).select(
-        "doc_id", "dk", "line_no", "line", "sketched", F.xxhash64("line").alias("h1"),
+    every = texts.select("doc_id", _doc_key(), F.monotonically_increasing_id().alias("rid"),
+                         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    every = every.filter(F.col("line").rlike(r"\S")).withColumn(
+        "sketched", F.char_length("line") >= min_chars)
+    return every.filter(F.col("sketched") | F.lit(short)).select(
+        "doc_id", "dk", "rid", "line_no", "line", "sketched", F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
+def _run_hashes(wide):
+    """The distinct runs of a line in UTF-32, as hashes: repeated ones add nothing to the bins."""
+    last = F.floor(F.octet_length(wide) / 4).cast("int") - CHARS
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(
+        F.substring(wide, i * 4 + 1, F.lit(4 * CHARS)))))
+
+
 def _buckets(lines: DataFrame) -> DataFrame:
     """(key, node): the bands of each distinct line."""
     # two lines with one h1 are left to the exact comparison by h1 and h2
     distinct = lines.groupBy("h1").agg(F.first("line").alias("line"), F.min("h2").alias("lo"),
                                        F.max("h2").alias("hi")).filter("lo = hi")
-    # distinct runs, as hashes: repeated ones add nothing to the bins
-    runs = distinct.select("h1", F.array_distinct(F.transform(F.regexp_extract_all(
-        "line", F.lit(_ALL), F.lit(1)), lambda x: F.xxhash64(x))).alias("s"))
+    # four bytes a character: any run can be cut out directly.  As a lambda's variable, for a row
+    # hands out a column's bytes as a copy each time
+    runs = distinct.select("h1", F.get(F.transform(F.array(F.encode("line", "UTF-32")), _run_hashes),
+                                       F.lit(0)).alias("s"))
     rounds = F.ceil(F.lit(float(LEAST_HASHES)) / F.size("s")).cast("int")
     # rounds first: the runs of a line are taken apart once a round, each into one hash
     hashed = (runs.select("h1", "s", F.explode(F.sequence(F.lit(1), rounds)).alias("r"))
@@ -87,14 +98,16 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
     sketched = lines.filter("sketched")
     buckets = stored(_buckets(sketched), "bands")
     release(buckets.sparkSession)
-    # the count is aggregated before it is joined: a key with very many nodes is split by AQE
+    # the smallest and largest node are found before anything is joined: a key with very many
+    # nodes is a few rows a task, and its own rows are split by AQE
     busy = stored(buckets.join(
         buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         .filter("lo != hi").select("key"), "key"), "busy")
+    forget(buckets)
     release(busy.sparkSession)
     wanted = busy.select(F.col("node").alias("h1")).distinct()
     content = stored(sketched.select("h1", "line").join(wanted, "h1", "left_semi")
-                     .groupBy("h1").agg(F.first("line").alias("line")), "lines")
+                     .groupBy("h1").agg(F.first("line").alias("line")), "texts")
     release(busy.sparkSession)
 
     def measure(pairs: DataFrame) -> DataFrame:
@@ -113,19 +126,19 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
                            (100 * F.col("n") >= percent * union).alias("linked"))
 
     labels = link(busy.withColumn("size", F.lit(1)), measure, percent)
-    # the line's key in its own right: h2 tells lines apart that share h1
-    occ = stored(lines.select("doc_id", "dk", "line_no", "sketched", "h1", "h2").join(
+    # the line's key in its own right: h2 tells lines apart that share h1.  Written: the row numbers
+    # must not change
+    occ = stored(lines.drop("line").join(
         labels.select(F.col("node").alias("h1"), "root"), "h1", "left").withColumn(
         "root", F.when(F.col("sketched"), F.col("root"))).select(
-        "doc_id", "dk", "line_no", F.coalesce("root", "h1").alias("component"),
+        "doc_id", "dk", "rid", "line_no", F.coalesce("root", "h1").alias("component"),
         F.when(F.col("root").isNull(), F.col("h2")).alias("h2")), "occurrences")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "dk", "line_no")
+    forget(busy, content)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "dk", "rid", "line_no")
     first = occ.groupBy("component", "h2").agg(F.min(place).alias("p")).select(
-        F.col("p.doc_id").alias("id2"), F.col("p.dk").alias("dk2"),
-        F.col("p.line_no").alias("no2"))
-    return occ.join(first, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("dk") == F.col("dk2"))
-                    & (F.col("line_no") == F.col("no2")), "left").select(
-        "doc_id", "dk", "line_no", "component", F.col("no2").isNotNull().alias("kept"))
+        "p.rid", "p.line_no", F.lit(True).alias("kept"))
+    return occ.join(first, ["rid", "line_no"], "left").select(
+        "doc_id", "dk", "line_no", "component", F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
 def every_line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
@@ -142,17 +155,20 @@ def drop_lines(docs: DataFrame, links: DataFrame, id_col: str = "doc_id", text_c
                ) -> DataFrame:
     """``docs`` without the lines that ``links`` drops, all columns kept in place.  A document all
     of whose lines go goes too, and so does one that only blank lines are left of, if it had others."""
-    gone = links.filter(~F.col("kept")).groupBy("doc_id", "dk").agg(
-        F.collect_list("line_no").alias("gone")).select(
+    # of rows that repeat one, a line goes where none of them keeps it
+    gone = links.groupBy("doc_id", "dk", "line_no").agg(F.max("kept").alias("kept")).filter(
+        "not kept").groupBy("doc_id", "dk").agg(F.collect_list("line_no").alias("gone")).select(
         F.col("doc_id").alias("_gone_id"), F.col("dk").alias("_gone_dk"), F.col("gone").alias("_gone"))
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
     keyed = docs.select(row).select(
         "row", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    keyed = keyed.select("row", "doc_id", _doc_key(), F.split("text", "\n").alias("lines"))
+    # the text goes through the join once, and is split behind it
+    keyed = keyed.select("row", "doc_id", _doc_key())
     both = keyed.join(gone, keyed.doc_id.eqNullSafe(F.col("_gone_id")) &
-                      (F.col("dk") == F.col("_gone_dk")), "left")
+                      (F.col("dk") == F.col("_gone_dk")), "left").withColumn("lines", F.split(
+                          F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")), "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col(f"row.`{text_col}`")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))

@@ -23,6 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from statframe.llm.common import forget, placed
 from statframe.session import scratch_path
 
 #: pairs across components that are tested at once, per candidate row
@@ -37,7 +38,7 @@ def _stored(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
     df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(
         F.xxhash64(*df.columns)).alias("x")).write.parquet(path)
     got = seen.get
-    return spark.read.schema(df.schema).parquet(path), got["n"], got["x"]
+    return placed(spark.read.schema(df.schema).parquet(path), path), got["n"], got["x"]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -60,8 +61,9 @@ def components(edges: DataFrame) -> DataFrame:
     e, n, x = _stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .filter("u != v").distinct(), "edges")
     while n:
-        was = n, x
+        was, old = (n, x), e
         e, n, x = _stored(stars(e), "edges")
+        forget(old)
         if was == (n, x):
             break
     # every edge now leads to a root

@@ -15,10 +15,14 @@ def runs(line):
     return {line[i:i + CHARS] for i in range(len(line) - CHARS + 1)}
 
 
+def not_blank(line):
+    return line.strip(" \t\n\r\v\f") != ""
+
+
 def brute(docs, percent=80):
-    """Documents' lines that stay, by index, among distinct (id, text) rows."""
+    """Groups of linked lines that are not blank, among distinct (id, text) rows."""
     every = [(d is None, d or 0, t, k, x) for d, t in {(r[0], r[1]) for r in docs}
-             for k, x in enumerate((t or "").split("\n")) if len(x) >= MIN_CHARS]
+             for k, x in enumerate((t or "").split("\n")) if len(x) >= MIN_CHARS and not_blank(x)]
     distinct = sorted({e[4] for e in every})
     sets = [runs(x) for x in distinct]
     root = list(range(len(distinct)))
@@ -103,13 +107,13 @@ def test_drop_lines_keeps_everything_else(spark):
     assert (None, None) in have and (2, "") in have
 
 
-def test_repeated_rows_are_one_document(spark):
+def test_repeated_rows_keep_a_line_once(spark):
     line = "a line that is long enough to be compared"
     data = [(1, line), (1, line), (2, line), (None, line)]
     df = spark.createDataFrame(data, "doc_id long, text string")
     got = line_dedup.line_links(df).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.kept) for r in got) == [
-        (False, 1, True), (False, 1, True), (False, 2, False), (True, 0, False)]
+        (False, 1, False), (False, 1, True), (False, 2, False), (True, 0, False)]
     left = line_dedup.drop_lines(df, line_dedup.line_links(df))
     assert [r.doc_id for r in left.collect()] == [1, 1]
 
@@ -121,6 +125,24 @@ def test_no_rows_and_bounds(spark):
         line_dedup.line_links(empty(spark), min_chars=CHARS - 1)
 
 
+def test_blank_lines_are_treated_alike(spark):
+    """Blank lines of any length have no row and are never copies."""
+    data = [(1, " " * 7), (2, " " * 7), (3, " " * 8), (4, " " * 8), (5, "\t" * 40 + "\n" + "\t" * 40)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert line_dedup.every_line_links(df).count() == 0
+    left = line_dedup.drop_lines(df, line_dedup.every_line_links(df)).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == data
+
+
+def test_characters_beyond_the_basic_plane(spark):
+    """Runs are of characters, whatever number of bytes they take."""
+    x = "".join(chr(0x1F300 + i) for i in range(60))
+    docs = [(1, x), (2, x[:59] + "a"), (3, x[:30] + "é" + x[31:40])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert components_of(line_dedup.line_links(df)) == all_pairs_of(docs)
+    assert len(all_pairs_of(docs)) == 2
+
+
 def test_no_python_in_the_plan_and_one_exchange(spark):
     df = frame(spark, corpus(5))
     buckets = line_dedup._buckets(line_dedup._lines(line_dedup.id_text(df), MIN_CHARS))
@@ -178,8 +200,7 @@ def brute_every(docs, monkeypatch):
         len(x) - CHARS + 1)} or {x})
     every = brute(docs).values()
     monkeypatch.undo()
-    return [g for g in every if any(len(x) >= CHARS or x.strip(" \t\r\v\f") for x in
-                                    (t.split("\n")[k] for _, t, k in g))]
+    return list(every)
 
 
 @pytest.mark.parametrize("seed", [6, 7])
