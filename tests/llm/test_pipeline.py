@@ -4,12 +4,12 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_line_dedup import brute as brute_lines
 from test_near_dedup import shingles
 from test_text_scans import brute_items
 
 import corpus_pipeline
-from statframe.llm.common import alnum_words
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -129,7 +129,15 @@ def test_run_packs_what_is_left(spark, data):
     assert len(fill) <= -(-sum(fill.values()) // 1024) + 8
 
 
-def test_names_and_words():
-    assert [n for n, _ in corpus_pipeline.STAGES] == [
-        "toxicity", "line_dedup", "near_dedup", "decontaminate", "pack"]
-    assert alnum_words("A-b") == [b"a", b"b"]
+def test_empty_tables_and_odd_names(spark, data, tmp_path):
+    """No rows at all, and columns whose names hold dots or clash with the stages' own."""
+    folder, docs, _, _ = data
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    odd = spark.read.parquet(f"{folder}/documents.parquet").withColumns({
+        "a.b": F.lit(1), "key": F.lit("k"), "row": F.lit(2), "_gone": F.lit(3)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, odd, folder)
+        assert left.columns == odd.columns, name
+        assert left.count() > 0
