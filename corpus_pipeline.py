@@ -11,7 +11,10 @@ kept, and returns the columns of ``documents``; the last returns packed pieces.
 4. decontaminate   documents that hold a 10-word window of a benchmark item go
 5. pack            the rest is tokenized and packed into sequences of 1024 ids
 
-Rows with a null doc_id, and rows that repeat one, are decided on by their own text.
+Rows with a null doc_id, and rows that repeat one, are decided on by their own text.  Null text: empty;
+without words no stage finds anything in it, and it is packed as its one separator id.  A text of
+any length is taken whole.  Further columns, whatever their names, go along unchanged up to the packing.
+Empty documents: empty result; empty labels or benchmark: nothing is toxic or contaminated.
 """
 
 from __future__ import annotations
@@ -29,9 +32,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """(row, key, text): ``row`` holds all columns; ``key`` stands in for doc_id and differs
     between rows, whatever doc_ids they carry.  Stored, so that keys can't change."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return stored(docs.select(row).select(
-        "row", F.monotonically_increasing_id().alias("key"), F.col("row.text").alias("text")),
-        "keyed")
+    kept = stored(docs.select(row, F.monotonically_increasing_id().alias("key")), "keyed")
+    return kept.select("row", "key", F.col("row.text").alias("text"))
 
 
 def _rows_of(keyed: DataFrame, keys: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn("n_chars", F.char_length("text").cast(kind))
-    return left.select(*docs.columns)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
