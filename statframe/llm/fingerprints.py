@@ -24,6 +24,9 @@ empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,12 +38,6 @@ TOKEN = rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"
 RANGE_ROWS, MOST_RANGES = 256, 1 << 16
 
 
-def _pairs(a: Column, b: Column, by: int, merge) -> Column:
-    """merge(a[i], b[i + by]) wherever both exist."""
-    n = F.greatest(F.size(b) - by, F.lit(0))
-    return F.zip_with(F.slice(a, 1, n), F.slice(b, by + 1, n), merge)
-
-
 def tokens(text: Column) -> Column:
     """The hashes of a text's tokens."""
     return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
@@ -49,35 +46,40 @@ def tokens(text: Column) -> Column:
 def with_anchors(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """``df`` with the anchors of a text column: (pos, hash) structs in text order, pos counting
     tokens from 0."""
-    assert K - S + 1 == 10 and S == 3, "the merges below are written for windows of ten"
+    h, g = F.col(f"{out}_h"), F.col(f"{out}_g")
+    last, zero = K - S, F.lit(0)  # the last substring of a k-mer
+
+    def once(array, f):
+        """f of an array that a lambda's variable holds: a column is unpacked at each use."""
+        return F.get(F.transform(F.array(array), f), zero)
+
+    def substring_hashes(hs):
+        def one(i):
+            x = F.get(hs, i)
+            for j in range(1, S):
+                x = F.xxhash64(x, F.get(hs, i + j))
+            return x
+        return F.transform(F.sequence(zero, F.size(hs) - S), one)
 
-    def least(a, b):
-        return F.least(a, b)
+    def syncmers(gs):
+        def smallest(i, edge, others):
+            """Whether an edge is as small as all others; the comparisons end at the first that is not."""
+            return reduce(and_, [F.get(gs, i + edge) <= F.get(gs, i + j) for j in others])
 
-    def mixed(a, b):
-        return F.xxhash64(a, b)
+        return F.filter(F.sequence(zero, F.size(gs) - last - 1), lambda i: smallest(
+            i, 0, range(1, last + 1)) | smallest(i, last, range(last - 1, -1, -1)))
 
-    h, g, x = (F.col(f"{out}_{c}") for c in "hgx")
     own = df.withColumn(f"{out}_h", tokens(F.col(text_col)))
     short = F.size(h) < K
-    two = _pairs(h, h, 1, mixed)
     own = own.withColumn(f"{out}_g", F.when(short, F.array().cast("array<bigint>")).otherwise(
-        _pairs(two, h, 2, mixed)))
-    # minima over windows of 2, 4, 8 and 10 substrings
-    own = own.withColumn(f"{out}_x", _pairs(g, g, 1, least))
-    own = own.withColumn(f"{out}_x", _pairs(x, x, 2, least))
-    own = own.withColumn(f"{out}_x", F.when(short, g).otherwise(
-        _pairs(_pairs(x, x, 4, least), _pairs(g, g, 1, least), 8, least)))
-    edges = F.zip_with(x, F.slice(g, 1, F.size(x)), lambda m, left: m == left)
-    either = F.zip_with(edges, F.zip_with(x, F.slice(g, K - S + 1, F.size(x)),
-                                          lambda m, right: m == right), lambda a, b: a | b)
-    at = F.filter(F.transform(either, lambda hit, i: F.when(hit, i)), lambda i: i.isNotNull())
+        once(h, substring_hashes)))
+    at = once(g, syncmers)
     whole = F.transform(at, lambda i: F.struct(
         i.cast("long").alias("pos"), F.xxhash64(F.slice(h, i + 1, F.lit(K))).alias("hash")))
-    one = F.array(F.struct(F.lit(0).cast("long").alias("pos"), F.xxhash64(h).alias("hash")))
+    one = F.array(F.struct(zero.cast("long").alias("pos"), F.xxhash64(h).alias("hash")))
     none = F.slice(one, 1, 0)
     return own.withColumn(out, F.when(F.size(h) == 0, none).when(short, one).otherwise(whole)).drop(
-        *[f"{out}_{c}" for c in "hgx"])
+        f"{out}_h", f"{out}_g")
 
 
 def encode(anchors: Column) -> Column:
