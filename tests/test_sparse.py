@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,38 @@ def test_a_row_with_most_cells_is_cut(spark):
     assert got == pytest.approx(np.triu(np.cov(x.T)).sum(), rel=1e-9)
 
 
+def batch_of(left, right):
+    kind = pa.list_(pa.struct([("_f", pa.string()), ("_x", pa.float64())]))
+    return pa.RecordBatch.from_arrays([pa.array([[{"_f": f, "_x": x} for f, x in r.items()] if r is not None
+                                                 else None for r in side], kind) for side in (left, right)],
+                                      names=["_c", "_d"])
+
+
+@pytest.mark.parametrize("sizes", [{}, {"DENSE_WIDTH": 0}, {"CHUNK_CELLS": 7}, {"DENSE_WIDTH": 0, "CHUNK_PAIRS": 5}])
+def test_rows_are_multiplied_together(monkeypatch, sizes):
+    """The sums of a chunk of rows leave a task, not their products: by matrix, listed, in small chunks."""
+    for name, n in sizes.items():
+        monkeypatch.setattr(SP, name, n)
+    rng = random.Random(5)
+    left = [{f"t{j}": float(rng.randrange(1, 9)) for j in range(9) if rng.random() < 0.4} for _ in range(200)]
+    right = [None if i % 3 else {f"u{j}": 2.0 for j in range(4) if rng.random() < 0.5} for i in range(200)]
+    left[7], right[7] = {"t1": float("nan"), "t2": 2.0}, None
+    want, products = {}, 0
+    for c, d in zip(left, right):
+        for a, x in c.items():
+            for b, y in (c if d is None else d).items():
+                if d is not None or a <= b:
+                    want[a, b] = want.get((a, b), 0.0) + x * y
+                    products += 1
+    got, rows = {}, 0
+    for b in SP._multiply([batch_of(left, right)]):
+        for r in b.to_pylist():
+            pair = tuple(sorted((r["a"], r["b"])))
+            got[pair], rows = got.get(pair, 0.0) + r["value"], rows + 1
+    assert got == pytest.approx(want, nan_ok=True) and len(got) == len(want)
+    assert rows == len(want) or sizes and rows < products
+
+
 def test_constant_feature_and_errors(spark):
     one = spark.createDataFrame([(i, 0, 2.0) for i in range(4)] + [(0, 1, 1.0)],
                                 "row_id int, feature int, value double")
