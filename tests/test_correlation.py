@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,19 @@ def test_spearman_long_form_equals_per_column(spark, monkeypatch):
     for k, v in per_column.items():
         assert math.isclose(generated[k], v, rel_tol=1e-12)
         assert math.isclose(keyed[k], v, rel_tol=1e-12)
+
+
+def test_spearman_long_form_deals_ties_out(spark, monkeypatch):
+    """Values that own many rows are not brought together in the join with the ranks."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([(float(rng.choice([0, 0, 0, 1, i])), float(i % 2), float(rng.randrange(90)))
+                                for i in range(300)], "x double, y double, z double")
+    plans, comoments = [], C.comoments
+    monkeypatch.setattr(C, "comoments", lambda d, e: plans.append(
+        d._jdf.queryExecution().optimizedPlan().toString()) or comoments(d, e))
+    for ties in (20, 1 << 16):  # ties above and below; none above
+        monkeypatch.setattr(C, "TIED_ROWS", ties)
+        got, want = ({(r["i"], r["j"]): r["corr"] for r in C.spearman(
+            df, ["x", "y", "z"], long_form=f).collect()} for f in (True, False))
+        assert got == pytest.approx(want, abs=1e-12)
+    assert "LeftAnti" in plans[0] and "strategy=broadcast" in plans[0]
