@@ -35,6 +35,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -455,6 +456,7 @@ def predict_proba_sparse(model: NaiveBayesModel, cells: DataFrame, rows: DataFra
 # --------------------------------------------------- scoring with models of any size
 
 FEATURES_PER_BLOCK, CLASSES_PER_BLOCK, CELLS_PER_BLOCK = 1 << 12, 64, 1 << 16
+PRODUCTS_HELD = 1 << 22  # partial products that a task adds up before they leave it
 
 
 def dense_cells(df: DataFrame, key: str, cols: Sequence[str] | str, dim: int | None = None
@@ -472,96 +474,192 @@ def dense_cells(df: DataFrame, key: str, cols: Sequence[str] | str, dim: int | N
         "value != 0")
 
 
-def scores_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
-                   row: str = "row_id", feature: str = "feature", value: str = "value",
-                   features_per_block: int = FEATURES_PER_BLOCK,
-                   classes_per_block: int = CLASSES_PER_BLOCK,
-                   cells_per_block: int = CELLS_PER_BLOCK) -> DataFrame:
-    """(row, label, place, score) of every row and class by a blocked matrix product.
-
-    The model is cut into blocks of features x classes, the cells into blocks of rows x features; blocks
-    meet on their features, each pair is multiplied in a task, and the partial products are summed
-    per row and class.  No task and no driver holds more of the model than a block; a feature that
-    most rows store is spread over the row blocks.
+def _scored_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame, row: str = "row_id",
+                    feature: str = "feature", value: str = "value",
+                    features_per_block: int = FEATURES_PER_BLOCK,
+                    classes_per_block: int = CLASSES_PER_BLOCK,
+                    cells_per_block: int = CELLS_PER_BLOCK, keep: Sequence[str] = ()) -> DataFrame:
+    """``rows`` as (_row, _kept, _copies, _labels, _scores): ``keep`` as a struct, how often the row
+    is listed, and its scores in the order of the labels.
+
+    The model is cut into blocks of features x classes, each task's cells into blocks of a bounded
+    number and by the features of the model's blocks; blocks meet on their features, each pair is
+    multiplied in a task, and the partial products are summed per row.  No task and no driver holds
+    more of the model than a block, a model no larger than that is sent to the cells; a feature that
+    most rows store is spread over the cells' blocks.  Rows, and what is left of their cells' products,
+    are shuffled once, by row.
     """
     spark = cells.sparkSession
     ship(spark)
     consts, musts, table = _coefficients(model)
     kind = model.prior.schema["label"].dataType.simpleString()
     # C rows
-    places = spark.createDataFrame([(lab, i, float(c), int(m)) for i, (lab, c, m) in enumerate(
-        zip(model.labels, consts, musts))], f"label {kind}, place int, const double, musts int")
+    places = spark.createDataFrame([(lab, i) for i, lab in enumerate(model.labels)],
+                                   f"label {kind}, place int")
     x = not_null(F.col(value).cast("double"), value)
     x = _value_check(x, value, BERNOULLI) if model.model_type == BERNOULLI else x
-    cc = cells.select(F.col(row).alias("_row"), F.col(feature).alias("_f"), x.alias("_x")).filter(
-        F.col("_x") != 0)
     nf = max(1, -(-model.num_features // features_per_block))
-    nr = max(1, -(-cc.count() // cells_per_block))
-    fb, rb = F.pmod(F.xxhash64("_f"), F.lit(nf)), F.pmod(F.xxhash64("_row"), F.lit(nr))
-    known = table.select("_f").distinct()
-    mine = cc.join(known, "_f", "left_semi").groupBy(rb.alias("rb"), fb.alias("fb")).agg(
-        F.collect_list(F.struct("_row", "_f", "_x")).alias("cells"))
+    fb = F.pmod(F.xxhash64("_f"), F.lit(nf)).alias("fb")
+    cc = cells.select(F.col(row).alias("_row"), F.col(feature).alias("_f"), x.alias("_x")).filter(
+        F.col("_x") != 0).select("_row", "_f", "_x", fb)
     parts = table.join(places, table.label.eqNullSafe(places.label)).select(
         "_f", (F.col("place") / classes_per_block).cast("int").alias("cb"), "place", "_coef", "_must"
-    ).groupBy(fb.alias("fb"), "cb").agg(F.collect_list(F.struct("_f", "place", "_coef", "_must")).alias("model"))
-    row_kind = cc.schema["_row"].dataType.simpleString()
+    ).groupBy(fb, "cb").agg(F.collect_list(F.struct("_f", "place", "_coef", "_must")).alias("model"))
+    if model.num_features * model.num_classes <= FEATURES_PER_BLOCK * CLASSES_PER_BLOCK:
+        parts = F.broadcast(parts)
+    row_kind, f_kind = (cc.schema[c].dataType.simpleString() for c in ("_row", "_f"))
+    demanding = any(musts)
+
+    def cut(batches):
+        import pyarrow as pa
+
+        def blocks(held, seen):
+            t = pa.Table.from_batches(held).combine_chunks()
+            for lo in range(0, len(t), cells_per_block):
+                part = t.slice(lo, cells_per_block)
+                of = part.column("fb").to_numpy()
+                part = part.take(pa.array(np.argsort(of, kind="stable"))).combine_chunks()
+                ids, n = np.unique(of, return_counts=True)
+                flat = pa.StructArray.from_arrays(
+                    [part.column(c).combine_chunks() if part.column(c).num_chunks != 1 else
+                     part.column(c).chunk(0) for c in ("_row", "_f", "_x")], names=["_row", "_f", "_x"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), seen), pa.int64()), pa.array(ids, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), flat)],
+                    names=["block", "fb", "cells"])
+                seen += 1
+
+        seen, held, n = TaskContext.get().partitionId() << 32, [], 0
+        for b in batches:
+            if b.num_rows:
+                held, n = [*held, b], n + b.num_rows
+            if n >= cells_per_block:
+                yield from blocks(held, seen)
+                seen, held, n = seen + -(-n // cells_per_block), [], 0
+        if held:
+            yield from blocks(held, seen)
 
     def multiply(batches):
         import pyarrow as pa
 
+        def product(c, m):
+            """The rows of cells ``c``, the classes of the block ``m``, and their scores."""
+            mf = m.field("_f")
+            f = pa.concat_arrays([mf, c.field("_f").cast(mf.type)]).dictionary_encode()
+            at = f.indices.to_numpy()
+            mf, cf = at[:len(m)], at[len(m):]
+            known = cf <= mf.max()
+            c, cf = c.filter(pa.array(known)), cf[known]
+            if not len(c):
+                return None
+            used, pos = np.unique(m.field("place").to_numpy(), return_inverse=True)
+            coef, must = np.zeros((2, mf.max() + 1, len(used)))
+            coef[mf, pos] = m.field("_coef").to_numpy()
+            must[mf, pos] = m.field("_must").to_numpy()
+            r = c.field("_row").dictionary_encode()
+            at, v = r.indices.to_numpy(), c.field("_x").to_numpy()[:, None]
+            order = np.argsort(at, kind="stable")
+            starts = np.searchsorted(at[order], np.arange(len(r.dictionary)))
+            return (r.dictionary, used, np.add.reduceat((v * coef[cf])[order], starts, axis=0),
+                    np.add.reduceat(must[cf][order], starts, axis=0) if demanding else None)
+
+        def summed(held):
+            """One record per row and run of classes."""
+            r = pa.concat_arrays([h[0] for h in held]).dictionary_encode()
+            codes = np.split(r.indices.to_numpy(), np.cumsum([len(h[0]) for h in held])[:-1])
+            used = np.unique(np.concatenate([h[1] for h in held]))
+            score, had = np.zeros((2, len(r.dictionary), len(used)))
+            for (_, own, s, m), code in zip(held, codes):
+                at = np.ix_(code, np.searchsorted(used, own))
+                score[at] += s
+                if demanding:
+                    had[at] += m
+            n = len(r.dictionary)
+            for run in np.split(np.arange(len(used)), np.flatnonzero(np.diff(used) != 1) + 1):
+                ends = pa.array(np.arange(n + 1) * len(run), pa.int32())
+                s, m = (pa.ListArray.from_arrays(ends, pa.array(x[:, run].reshape(-1)))
+                        for x in (score, had))
+                yield pa.RecordBatch.from_arrays(
+                    [r.dictionary, pa.array(np.full(n, used[run[0]]), pa.int32()), s,
+                     m if demanding else pa.nulls(n, m.type)], names=["_row", "place", "s", "m"])
+
+        key, held, size = None, [], 0
         for b in batches:
             for i in range(b.num_rows):
-                c, m = b.column("cells")[i].values, b.column("model")[i].values
-                cb = b.column("cb")[i].as_py()
-                f = pa.concat_arrays([m.field("_f"), c.field("_f").cast(m.field("_f").type)]).dictionary_encode()
-                at = f.indices.to_numpy()
-                mf, cf = at[:len(m)], at[len(m):]
-                width = classes_per_block
-                coef = np.zeros((len(f.dictionary), width))
-                must = np.zeros((len(f.dictionary), width))
-                pos = m.field("place").to_numpy() - cb * width
-                coef[mf, pos] = m.field("_coef").to_numpy()
-                must[mf, pos] = m.field("_must").to_numpy()
-                r = c.field("_row").dictionary_encode()
-                at, v = r.indices.to_numpy(), c.field("_x").to_numpy()[:, None]
-                order = np.argsort(at, kind="stable")
-                starts = np.searchsorted(at[order], np.arange(len(r.dictionary)))
-                score = np.add.reduceat((v * coef[cf])[order], starts, axis=0)
-                had = np.add.reduceat(must[cf][order], starts, axis=0)
-                used = np.unique(pos)
-                n, k = len(r.dictionary), len(used)
-                yield pa.RecordBatch.from_arrays(
-                    [r.dictionary.take(pa.array(np.repeat(np.arange(n), k))),
-                     pa.array(np.tile(used + cb * width, n).astype(np.int32)),
-                     pa.array(score[:, used].reshape(-1)), pa.array(had[:, used].reshape(-1))],
-                    names=["_row", "place", "s", "m"])
-
-    products = mine.join(parts, "fb").select("cells", "model", "cb").mapInArrow(
-        multiply, f"_row {row_kind}, place int, s double, m double")
-    sums = products.groupBy("_row", "place").agg(F.sum("s").alias("s"), F.sum("m").alias("m"))
-    every = rows.select(F.col(row).alias("_row")).select("_row", F.explode(F.sequence(
-        F.lit(0), F.lit(model.num_classes - 1))).alias("place"))
-    had = F.coalesce(F.col("m"), F.lit(0.0))
-    score = F.when(had < F.col("musts"), F.lit(NEG_INF)).otherwise(
-        F.col("const") + F.coalesce(F.col("s"), F.lit(0.0)))
-    return every.join(sums, ["_row", "place"], "left").join(places, "place").select(
-        F.col("_row").alias(row), "label", "place", score.alias("score"))
+                block = b.column("block")[i].as_py()
+                if held and (block != key or size > PRODUCTS_HELD):
+                    yield from summed(held)
+                    held, size = [], 0
+                key = block
+                got = product(b.column("cells")[i].values, b.column("model")[i].values)
+                if got:
+                    held.append(got)
+                    size += got[2].size
+        if held:
+            yield from summed(held)
+
+    cut_cells = cc.mapInArrow(cut, f"block long, fb long, cells array<struct<_row: {row_kind}, "
+                                   f"_f: {f_kind}, _x: double>>")
+    products = cut_cells.join(parts, "fb").select("block", "cells", "model").mapInArrow(
+        multiply, f"_row {row_kind}, place int, s array<double>, m array<double>")
+    # dealt by row before they are collected: the cells of a row are mostly in one task by then
+    sums = products.filter("_row IS NOT NULL").repartition("_row").groupBy("_row").agg(
+        F.collect_list(F.struct("place", "s", "m")).alias("_parts"))
+    asked = rows.select(F.col(row).alias("_row"), F.struct(F.lit(0).alias("_"), *[F.col(c) for c in keep])
+                        .alias("_kept"))
+    classes = spark.createDataFrame(
+        [(list(model.labels), [float(c) for c in consts], [float(m) for m in musts])],
+        f"_labels array<{kind}>, _consts array<double>, _musts array<double>")
+
+    def total(part: str) -> Column:
+        zeros = F.array_repeat(F.lit(0.0), model.num_classes)
+        return F.coalesce(F.aggregate("_parts", zeros, lambda acc, p: F.transform(
+            acc, lambda v, i: v + F.coalesce(F.when(i >= p.place, F.get(p[part], i - p.place)),
+                                             F.lit(0.0)))), zeros)
+
+    scores = F.transform(total("s"), lambda v, i: F.get("_consts", i) + v)
+    if demanding:
+        scores = F.zip_with(scores, F.zip_with(total("m"), "_musts", lambda h, m: h < m),
+                            lambda v, out: F.when(out, F.lit(NEG_INF)).otherwise(v))
+    copies = F.count(F.lit(1)).over(Window.partitionBy("_row"))
+    return asked.join(sums, "_row", "left").withColumn("_copies", copies).crossJoin(
+        F.broadcast(classes)).select("_row", "_kept", "_copies", "_labels", scores.alias("_scores"))
+
+
+def scores_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
+                   row: str = "row_id", feature: str = "feature", value: str = "value",
+                   features_per_block: int = FEATURES_PER_BLOCK,
+                   classes_per_block: int = CLASSES_PER_BLOCK,
+                   cells_per_block: int = CELLS_PER_BLOCK) -> DataFrame:
+    """(row, label, place, score) of every row and class by a blocked matrix product."""
+    s = _scored_blocked(model, cells, rows, row, feature, value, features_per_block,
+                        classes_per_block, cells_per_block)
+    return s.select(F.col("_row").alias(row), F.posexplode(F.arrays_zip(
+        F.col("_labels").alias("label"), F.col("_scores").alias("score"))).alias("place", "_x")).select(
+        row, "_x.label", "place", "_x.score")
 
 
 def predict_proba_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
-                          row: str = "row_id", **options) -> DataFrame:
-    """Posteriors (row, label, probability) of models of any size: softmax over a row's classes."""
-    s = scores_blocked(model, cells, rows, row, **options)
-    mine = Window.partitionBy(row)
-    shifted = s.withColumn("_e", F.exp(F.col("score") - F.max("score").over(mine)))
-    return shifted.select(row, "label", (F.col("_e") / F.sum("_e").over(mine)).alias("probability"))
+                          row: str = "row_id", keep: Sequence[str] = (), **options) -> DataFrame:
+    """Posteriors (row, keep..., label, probability) of models of any size: softmax over a row's
+    classes.  ``keep``: columns of ``rows`` to hand on."""
+    s = _scored_blocked(model, cells, rows, row, keep=keep, **options)
+    s = s.withColumn("_max", F.array_max("_scores")).withColumn(
+        "_e", F.transform("_scores", lambda v: F.exp(v - F.col("_max"))))
+    whole = F.aggregate("_e", F.lit(0.0), lambda a, v: a + v) * F.col("_copies")
+    s = s.withColumn("_sum", whole)
+    return s.select(F.col("_row").alias(row), *[F.col("_kept")[c].alias(c) for c in keep], F.inline(
+        F.arrays_zip(F.col("_labels").alias("label"), F.transform(
+            "_e", lambda v: v / F.col("_sum")).alias("probability"))))
 
 
 def predict_blocked(model: NaiveBayesModel, cells: DataFrame, rows: DataFrame,
                     row: str = "row_id", output: str = "prediction", **options) -> DataFrame:
     """(row, prediction) with models of any size: the first label of the largest score."""
-    s = scores_blocked(model, cells, rows, row, **options)
-    return s.groupBy(row).agg(F.max_by("label", F.struct("score", -F.col("place"))).alias(output))
+    s = _scored_blocked(model, cells, rows, row, **options)
+    best = F.array_max(F.transform("_scores", lambda v, i: F.struct(v.alias("v"), (-i).alias("i"))))
+    return s.select("_row", F.get("_labels", -best["i"]).alias("_best")).groupBy(
+        F.col("_row").alias(row)).agg(F.first("_best").alias(output))
 
 
 # ------------------------------------------------------------------ additive counts

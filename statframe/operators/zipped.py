@@ -35,7 +35,8 @@ def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
         offsets.append((file, seen))
         seen += n
     table = spark.createDataFrame(offsets, "file string, before long")
-    return kept.join(table, "file").select("row.*", (F.col("before") + F.col("at")).alias(name))
+    # one row per file goes to the rows, which stay where they are
+    return kept.join(F.broadcast(table), "file").select("row.*", (F.col("before") + F.col("at")).alias(name))
 
 
 def zip_rows(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -50,6 +50,30 @@ def test_blocked_sparse_strings(spark):
     assert all(got[k] == pytest.approx(p, abs=1e-12) for k, p in want.items())
 
 
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_rows_and_their_products_are_shuffled_once(spark, monkeypatch, shuffled):
+    """A model of one block's size is sent to the cells; the products of a row leave a task added up,
+    meet its row and columns in one shuffle, and need no further one."""
+    df, cols = data(spark, n=300)
+    model = NB.fit(df, "y", cols)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        if shuffled:  # a model that is too large to be sent
+            monkeypatch.setattr(NB, "FEATURES_PER_BLOCK", 1)
+            monkeypatch.setattr(NB, "CLASSES_PER_BLOCK", 1)
+        got = NB.predict_proba_blocked(model, NB.dense_cells(df, "id", cols), df, "id", keep=["y", "x0"],
+                                       features_per_block=3, classes_per_block=2, cells_per_block=64)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        of_rows = plan.count("Exchange hashpartitioning(_row") + plan.count("Exchange hashpartitioning(id")
+        assert of_rows == 2, plan  # the rows, the products
+        want = {(r["id"], r["y"], r["x0"], r["label"]): r["probability"] for r in
+                NB.predict_proba(model, df, keep=["id", "y", "x0"]).collect()}
+        assert {(r["id"], r["y"], r["x0"], r["label"]): r["probability"] for r in got.collect()} == \
+            pytest.approx(want, abs=1e-12)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_the_model_is_not_collected(spark, monkeypatch):
     """Blocked scoring takes one row per class from the model, never ``cond``."""
     df, cols = data(spark)
