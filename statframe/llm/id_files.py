@@ -102,14 +102,16 @@ class EliasFano:
 
 
 def encode_documents(docs: DataFrame, vocab: str, end_id: int, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): every text's ids and ``end_id``, little-endian unsigned 32-bit."""
+                     text_col: str = "text", id_bytes: int = 4) -> DataFrame:
+    """(doc_id, ids): every text's ids and ``end_id``, little-endian unsigned, ``id_bytes`` each."""
     end = struct.pack("<I", end_id)
 
     def run(batches):
         cache = id_cache(vocab)
         for b in text_groups(batches, 1 << 18):
             ids = [x + end for x in cache.whole(b.column("text").to_pylist())]
+            if id_bytes != 4:
+                ids = [np.frombuffer(x, "<u4").astype(f"<u{id_bytes}").tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())],
                                              names=["doc_id", "ids"])
 
@@ -122,18 +124,9 @@ def write_id_files(docs: DataFrame, path: str, vocab: str, end_id: int, id_col:
     """Write the id files of ``docs`` to the shared folder ``path``; ``shards`` (default: the
     session's shuffle partitions) is the number of doc_id ranges."""
     width = 2 if max(library_tokenizer(vocab).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    store = "<u2" if width == 2 else "<u4"
-
-    def narrow(batches):
-        for b in batches:
-            ids = [np.frombuffer(x, "<u4").astype(store).tobytes()
-                   for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())],
-                                             names=["doc_id", "ids"])
-
-    # encoded once: the range bounds are sampled from the stored rows, not from a second encoding
-    coded = stored(encode_documents(docs, vocab, end_id, id_col, text_col)
-                   .mapInArrow(narrow, "doc_id long, ids binary"), "coded")
+    # encoded once: the range bounds are sampled from the stored rows, not from a second encoding; to
+    # their width in the same worker, as a second one a task would need memory of its own
+    coded = stored(encode_documents(docs, vocab, end_id, id_col, text_col, width), "coded")
     n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def block(shard, k, before, doc_ids, parts):

@@ -83,6 +83,15 @@ def test_id_files_round_trip(spark, tok):
     assert Counter((r.doc_id, tuple(x)) for r, x in zip(got, ids)) == want
 
 
+def test_documents_are_encoded_by_one_worker_a_task(spark, monkeypatch):
+    """Ids get their width where they are made: a second Python step would be a second worker."""
+    plans, store = [], id_files.stored
+    monkeypatch.setattr(id_files, "stored", lambda df, name: plans.append(
+        df._jdf.queryExecution().optimizedPlan().toString()) or store(df, name))
+    id_files.write_id_files(frame(spark), scratch_path(spark, "ids"), VOCAB, end_id=2)
+    assert [p.count("MapInArrow") for p in plans] == [1]
+
+
 def test_id_files_of_nothing(spark):
     path = scratch_path(spark, "ids")
     id_files.write_id_files(empty(spark), path, VOCAB, end_id=2)
