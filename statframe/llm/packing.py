@@ -16,14 +16,13 @@ other row.  Empty input: empty result.  Extra columns are ignored.
 from __future__ import annotations
 
 import heapq
-import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from statframe.llm.common import id_text, text_groups
-from statframe.llm.token_cache import id_cache
+from statframe.llm.token_cache import TEXT_BYTES, id_cache
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
@@ -31,34 +30,56 @@ PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
 
 def difference(sizes: list[int], k: int) -> np.ndarray:
     """Window (0..k-1) of every size, by multiway differencing."""
-    # a node is a partial partition: its k window sums in ascending order
+    # a node is a partial partition: the sums of its filled windows in ascending order, the last of
+    # its k; before them it has only empty ones
     heap, nodes = [], []
     for i, s in enumerate(sizes):
-        sums = np.zeros(k, np.int64)
-        sums[-1] = s
         nodes.append(None)
-        heap.append((-s if k > 1 else 0, i, sums))
+        heap.append((-s if k > 1 else 0, i, np.array([s], np.int64)))
     heapq.heapify(heap)
     while len(heap) > 1:
-        _, a, x = heapq.heappop(heap)
+        key, a, x = heapq.heappop(heap)
+        # a node with an empty window and the largest sum of all takes in one size after the other, as
+        # long as each is no larger than its sums: these merges are one step
+        taken, least = [], int(x[0])
+        while heap and heap[0][1] < len(sizes) and len(taken) + len(x) < k:
+            s = sizes[heap[0][1]]
+            if s > least or s == -key:
+                break
+            taken.append(heapq.heappop(heap)[1])
+            least = s
+        if taken:
+            sums = np.concatenate([np.array([sizes[i] for i in taken[::-1]], np.int64), x])
+            nodes.append((a, taken))
+            heapq.heappush(heap, ((least if len(sums) == k else 0) + key, len(nodes) - 1, sums))
+            continue
         _, b, y = heapq.heappop(heap)
-        sums = x + y[::-1]
+        sums = np.zeros(min(k, len(x) + len(y)), np.int64)
+        sums[:len(y)] = y[::-1]
+        sums[len(sums) - len(x):] += x
         order = np.argsort(sums, kind="stable").astype(np.int32)
         sums = sums[order]
-        nodes.append((a, b, order))
-        heapq.heappush(heap, (int(sums[0] - sums[-1]), len(nodes) - 1, sums))
-    # from the last merge down: which window each place of a node has become
+        nodes.append((a, len(x), b, len(y), order))
+        least = int(sums[0]) if len(sums) == k else 0
+        heapq.heappush(heap, (least - int(sums[-1]), len(nodes) - 1, sums))
+    # from the last merge down: which window each filled place of a node has become
     window = np.zeros(len(sizes), np.int64)
-    todo = [(len(nodes) - 1, np.arange(k))]
+    top = len(heap[0][2]) if heap else 0
+    todo = [(len(nodes) - 1, np.arange(k - top, k))] if heap else []
     while todo:
         node, place = todo.pop()
         if nodes[node] is None:
             window[node] = place[-1]
             continue
-        a, b, order = nodes[node]
-        of_a = np.empty(k, np.int64)
-        of_a[order] = place
-        todo += [(a, of_a), (b, of_a[::-1])]
+        if len(nodes[node]) == 2:
+            a, taken = nodes[node]
+            window[taken] = place[:len(taken)][::-1]
+            todo.append((a, place[len(taken):]))
+            continue
+        a, of_x, b, of_y, order = nodes[node]
+        back = np.empty(len(place), np.int64)
+        back[order] = place
+        todo += [(a, back[len(back) - of_x:]), (b, back[:of_y][::-1])]
     return window
 
 
@@ -78,8 +99,6 @@ def pack(docs: DataFrame, vocab: str, separator_id: int, capacity: int = 1024, p
     little-endian unsigned 32-bit, the separator is each document's last id."""
     if not 0 < piece <= capacity:
         raise ValueError("piece must lie between 1 and capacity")
-    end = struct.pack("<I", separator_id)
-
     def run(batches):
         from pyspark import TaskContext
 
@@ -111,10 +130,12 @@ def pack(docs: DataFrame, vocab: str, separator_id: int, capacity: int = 1024, p
             docs_waiting = 0
 
         cache = id_cache(vocab)
-        for b in text_groups(batches, 1 << 18):
-            for doc, ids in zip(b.column("doc_id").to_pylist(),
-                                cache.whole(b.column("text").to_pylist())):
-                ids += end
+        for b in text_groups(batches, TEXT_BYTES):
+            every, ends = cache.batch(b.column("text"), separator_id)
+            data = every.tobytes()
+            at = [0, *(ends * 4).tolist()]
+            for doc, lo, hi in zip(b.column("doc_id").to_pylist(), at, at[1:]):
+                ids = data[lo:hi]
                 n = len(ids) // 4
                 full = n - n % capacity
                 for s in range(0, full, capacity):

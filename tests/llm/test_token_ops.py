@@ -5,11 +5,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from odd import empty, frame, rows
 from pyspark.sql import functions as F
 
 from statframe.llm import id_files, packing, token_counts
+from statframe.llm.token_cache import IdCache
 from statframe.session import scratch_path
 
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -136,3 +138,78 @@ def test_differencing_rises_when_full():
     sizes = rng.integers(1, 257, 3000).tolist()
     fill = np.bincount(packing.near_equal(sizes, 1024), sizes)
     assert fill.max() <= 1024 and fill.min() > 1000 and fill.sum() == sum(sizes)
+
+
+def test_ids_of_columns_match_library(tok):
+    """Words and white space in any order, a small memory, and each new word encoded once only."""
+    rng = np.random.default_rng(7)
+    parts = ["a", "Be", "é", "\n", " ", "\t", "\x0b", "\x85", "\xa0", "\x1c", ".", "'s", "1", "中",
+             "<|endoftext|>", "\r", "　", "​", "́", "ll", "!", "\U0001F600"]
+    texts = [r[1] or "" for r in rows()] + [
+        "".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(2000)]
+    for most, step in ((500_000, len(texts)), (300, 40)):
+        cache = IdCache(tok, most)
+        for i in range(0, len(texts), step):
+            some = texts[i:i + step]
+            ids, ends = cache.batch(pa.array(some), 2)
+            assert [x.tolist() for x in np.split(ids, ends[:-1])] == [ids_of(tok, t) + [2] for t in some]
+    ids, ends = cache.batch(pa.array([], pa.string()))
+    assert len(ids) == len(ends) == 0
+
+
+def test_new_words_are_encoded_together(tok):
+    seen = []
+
+    class Counting:
+        encode = tok.encode
+
+        def encode_batch_fast(self, texts, **how):
+            seen.extend(texts)
+            return tok.encode_batch_fast(texts, **how)
+
+    cache = IdCache(Counting())
+    text = pa.array(["one " + " ".join(f"word{i}x" for i in range(1000))] * 3)
+    ids, ends = cache.batch(text)
+    assert np.diff(ends, prepend=0).tolist() == [len(ids_of(tok, text[0].as_py()))] * 3
+    assert len(seen) <= 12
+    cache.batch(text)
+    assert len(seen) <= 12
+
+
+def test_differencing_matches_plain_merging():
+    """The same windows as with all k sums in every node, one merge after the other."""
+    import heapq
+
+    def plain(sizes, k):
+        heap = []
+        for i, s in enumerate(sizes):
+            sums = np.zeros(k, np.int64)
+            sums[-1] = s
+            heap.append((-s if k > 1 else 0, i, sums, [[] for _ in range(k - 1)] + [[i]]))
+        heapq.heapify(heap)
+        at = len(sizes)
+        while len(heap) > 1:
+            _, _, x, of_x = heapq.heappop(heap)
+            _, _, y, of_y = heapq.heappop(heap)
+            sums, own = x + y[::-1], [p + q for p, q in zip(of_x, of_y[::-1])]
+            order = np.argsort(sums, kind="stable")
+            sums = sums[order]
+            heapq.heappush(heap, (int(sums[0] - sums[-1]), at, sums, [own[j] for j in order]))
+            at += 1
+        window = np.zeros(len(sizes), np.int64)
+        for w, members in enumerate(heap[0][3]):
+            window[members] = w
+        return window
+
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        k, top = int(rng.integers(1, 20)), int(rng.integers(2, 257))
+        sizes = rng.integers(1, top, int(rng.integers(1, 60))).tolist()
+        assert (packing.difference(sizes, k) == plain(sizes, k)).all()
+
+
+def test_differencing_takes_chains_in_one_step(monkeypatch):
+    merges, push = [], packing.heapq.heappush
+    monkeypatch.setattr(packing.heapq, "heappush", lambda h, x: (merges.append(1), push(h, x)))
+    packing.difference(list(range(1, 901)), 100)
+    assert len(merges) < 100
