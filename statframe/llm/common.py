@@ -69,11 +69,11 @@ def text_groups(batches: Iterable[pa.RecordBatch], most: int = 1 << 20,
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder as Parquet and read it again: the lineage is
+    """Write ``df`` to the shared checkpoint folder as Parquet (zstd) and read it again: the lineage is
     cut, later reads keep column pruning, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return placed(spark.read.schema(df.schema).parquet(path), path)
 
 

@@ -1,11 +1,13 @@
 """Token counts, id files and packing against the tokenizers library."""
 
+import glob
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from odd import empty, frame, rows
 from pyspark.sql import functions as F
@@ -176,6 +178,27 @@ def test_new_words_are_encoded_together(tok):
     assert len(seen) <= 12
 
 
+def test_ids_lie_on_disk_as_zstd(spark, monkeypatch):
+    """Stored ids and id files; the stored ones go when the files are written."""
+    coded, store = [], id_files.stored
+    codec = []
+
+    def codecs(path):
+        return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression
+                for f in glob.glob(f"{path.removeprefix('file:')}/*.parquet")}
+
+    def seen(df, name):
+        coded.append(store(df, name))
+        codec.append(codecs(coded[-1].stored_at))
+        return coded[-1]
+
+    monkeypatch.setattr(id_files, "stored", seen)
+    path = scratch_path(spark, "ids")
+    id_files.write_id_files(frame(spark), path, VOCAB, end_id=2)
+    assert codec == [{"ZSTD"}] and codecs(path) == {"ZSTD"}
+    assert not glob.glob(f"{coded[0].stored_at.removeprefix('file:')}/*")
+
+
 def test_differencing_matches_plain_merging():
     """The same windows as with all k sums in every node, one merge after the other."""
     import heapq
