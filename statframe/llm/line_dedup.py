@@ -7,7 +7,7 @@ Lines that agree in all coordinates of a band share a bucket; buckets are linked
 ``linking``, and each pair is confirmed by the exact Jaccard similarity of all its runs.
 Of each component the line that comes first by (doc_id, text hash, row, line number) stays.
 
-The sketch is one shuffle of the distinct lines: the explosion into runs and both aggregates
+The sketch is one shuffle of the distinct lines: the explosion into runs and the aggregate
 behind it find their rows already together.  (Folding a line's runs into its bins inside the row, by
 higher-order functions, took five times the CPU: those run interpreted.)
 
@@ -23,7 +23,7 @@ result.  Extra columns are ignored by ``line_links`` and kept by ``drop_lines``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statframe.llm.common import forget, id_text, release, stored
@@ -32,8 +32,9 @@ from statframe.llm.linking import link
 CHARS = 8
 ROWS, BANDS = 4, 12
 BINS = ROWS * BANDS
-#: hashes a line gets at least: bins * ln(bins), twice
-LEAST_HASHES = 372
+#: hashes a line gets at least, three a bin.  Bins left empty cost no pair: two lines agree in a bin that
+#: both leave empty, and else with the probability of their similarity
+LEAST_HASHES = 3 * BINS
 MIN_CHARS = 20
 PERCENT = 80
 
@@ -48,8 +49,10 @@ def _doc_key():
 def _lines(texts: DataFrame, min_chars: int, short: bool = False) -> DataFrame:
     """One row per line that is compared, ``sketched`` or as a whole; h1 and h2 are independent
     hashes of it."""
+    # the text is hashed and split once a row and left behind, not carried along with each of its lines
     every = texts.select("doc_id", _doc_key(), F.monotonically_increasing_id().alias("rid"),
-                         F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+                         F.split("text", "\n").alias("all")).select(
+        "doc_id", "dk", "rid", F.posexplode("all").alias("line_no", "line"))
     every = every.filter(F.col("line").rlike(r"\S")).withColumn(
         "sketched", F.char_length("line") >= min_chars)
     return every.filter(F.col("sketched") | F.lit(short)).select(
@@ -78,14 +81,16 @@ def _buckets(lines: DataFrame) -> DataFrame:
     hashed = (runs.select("h1", "s", F.explode(F.sequence(F.lit(1), rounds)).alias("r"))
               .select("h1", "r", F.explode("s").alias("s"))
               .select("h1", "r", F.xxhash64("r", "s").alias("v")))
-    # the round stands above the hash: a bin keeps what it got first
+    # the round stands above the hash: a bin keeps what it got first.  A band's bins are one group
     value = F.shiftleft(F.col("r").cast("long"), 48).bitwiseOR(F.shiftrightunsigned("v", 16))
-    bins = hashed.groupBy("h1", F.pmod("v", F.lit(BINS)).alias("bin")).agg(
-        F.min(value).alias("value"))
+    place = F.pmod("v", F.lit(BINS))
+    placed = hashed.select("h1", F.floor(place / ROWS).alias("band"), (place % ROWS).alias("at"),
+                           value.alias("value"))
+    bands = placed.groupBy("h1", "band").agg(*[
+        F.min(F.when(F.col("at") == i, F.col("value"))).alias(f"v{i}") for i in range(ROWS)])
     # a bin that all rounds left empty is a coordinate too: it agrees with an empty one
-    bands = bins.groupBy("h1", F.floor(F.col("bin") / ROWS).alias("band")).agg(
-        F.bit_xor(F.xxhash64("bin", "value")).alias("x"))
-    return bands.select(F.xxhash64("band", "x").alias("key"), F.col("h1").alias("node"))
+    return bands.select(F.xxhash64("band", *[F.coalesce(f"v{i}", F.lit(-1)) for i in range(ROWS)])
+                        .alias("key"), F.col("h1").alias("node"))
 
 
 def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCENT,
@@ -96,14 +101,11 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
         raise ValueError(f"min_chars must be at least {CHARS}")
     lines = _lines(id_text(docs, id_col, text_col), min_chars, short)
     sketched = lines.filter("sketched")
-    buckets = stored(_buckets(sketched), "bands")
-    release(buckets.sparkSession)
-    # the smallest and largest node are found before anything is joined: a key with very many
-    # nodes is a few rows a task, and its own rows are split by AQE
-    busy = stored(buckets.join(
-        buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-        .filter("lo != hi").select("key"), "key"), "busy")
-    forget(buckets)
+    # the bands go through one shuffle, and only those that nodes share are written
+    of_key = Window.partitionBy("key")
+    busy = stored(_buckets(sketched).select(
+        "key", "node", F.min("node").over(of_key).alias("lo"), F.max("node").over(of_key).alias("hi"))
+        .filter("lo != hi").select("key", "node"), "busy")
     release(busy.sparkSession)
     wanted = busy.select(F.col("node").alias("h1")).distinct()
     content = stored(sketched.select("h1", "line").join(wanted, "h1", "left_semi")
@@ -115,13 +117,16 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
         parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / 256).alias("parts"))
         members = pairs.join(parts, "b").select(
             "a", "b", F.pmod(F.xxhash64("a"), "parts").alias("part"))
-        own = content.select(F.col("h1").alias("a"), _runs().alias("x"))
-        hubs = (parts.join(content.select(F.col("h1").alias("b"), _runs().alias("y")), "b")
-                .select("b", "y", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                       F.col("parts") - 1)).alias("part")))
-        both = members.join(own, "a").join(hubs, ["b", "part"]).withColumn(
-            "n", F.size(F.array_intersect("x", "y")))
-        union = F.size("x") + F.size("y") - F.col("n")
+        # lines go through the joins, their runs, many times as long, are cut behind them
+        own = content.select(F.col("h1").alias("a"), F.col("line").alias("line_a"))
+        hubs = (parts.join(content.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
+                .select("b", "line_b", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                            F.col("parts") - 1)).alias("part")))
+        both = members.join(own, "a").join(hubs, ["b", "part"]).select(
+            "a", "b", _runs("line_a").alias("x"), _runs("line_b").alias("y")).select(
+            "a", "b", F.size("x").alias("x"), F.size("y").alias("y"),
+            F.size(F.array_intersect("x", "y")).alias("n"))
+        union = F.col("x") + F.col("y") - F.col("n")
         return both.select("a", "b", (1 - F.col("n") / union).alias("distance"),
                            (100 * F.col("n") >= percent * union).alias("linked"))
 
@@ -147,8 +152,8 @@ def every_line_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc
     return line_links(docs, CHARS, percent, id_col, text_col, short=True)
 
 
-def _runs():
-    return F.array_distinct(F.regexp_extract_all("line", F.lit(_ALL), F.lit(1)))
+def _runs(line: str):
+    return F.array_distinct(F.regexp_extract_all(line, F.lit(_ALL), F.lit(1)))
 
 
 def drop_lines(docs: DataFrame, links: DataFrame, id_col: str = "doc_id", text_col: str = "text"

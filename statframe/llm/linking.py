@@ -36,7 +36,7 @@ def _stored(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
     spark, seen = df.sparkSession, Observation()
     path = scratch_path(spark, name)
     df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(
-        F.xxhash64(*df.columns)).alias("x")).write.parquet(path)
+        F.xxhash64(*df.columns)).alias("x")).write.option("compression", "zstd").parquet(path)
     got = seen.get
     return placed(spark.read.schema(df.schema).parquet(path), path), got["n"], got["x"]
 

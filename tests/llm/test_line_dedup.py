@@ -262,3 +262,42 @@ def test_lines_without_blanks_share_a_bucket(spark, kind, length, edits):
     for r in line_dedup._buckets(lines).collect():
         keys.setdefault(r.node, set()).add(r.key)
     assert all(keys[at[x]] & keys[at[y]] for x, y in pairs)
+
+
+def test_few_hashes_and_one_shuffle_of_bands(spark, monkeypatch):
+    """Lines without repeated runs are hashed once if they fill the bins; bands are shuffled once,
+    those of a line alone are not written, and pairs carry lines, not their runs."""
+    rng = random.Random(11)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300))
+    docs = [(1, long), (2, long[:299] + "0"), (3, long[::-1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    plans, store, tables = {}, line_dedup.stored, {}
+
+    def seen(table, name):
+        plans[name] = table._jdf.queryExecution().executedPlan().toString()
+        tables[name] = store(table, name)
+        if name == "busy":
+            tables["rows"] = {r.node for r in tables[name].collect()}
+        return tables[name]
+
+    pairs, link = [], line_dedup.link
+
+    def linked(candidates, measure, percent):
+        def watched(some):
+            got = measure(some)
+            pairs.append(got._jdf.queryExecution().executedPlan().toString())
+            return got
+        return link(candidates, watched, percent)
+
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    monkeypatch.setattr(line_dedup, "link", linked)
+    links = line_dedup.every_line_links(df)
+    assert components_of(links) == {frozenset({(1, 0), (2, 0)}), frozenset({(3, 0)})}
+    assert "bands" not in plans
+    assert plans["busy"].count("Exchange hashpartitioning") == 2  # of lines, of bands
+    at = {r.line: r.h1 for r in line_dedup._lines(line_dedup.id_text(df), MIN_CHARS).collect()}
+    assert tables["rows"] == {at[x] for _, x in docs[:2]}
+    assert line_dedup.LEAST_HASHES <= 186
+    for plan in pairs:  # the runs are cut above the joins
+        assert 0 < plan.index("regexp_extract_all") < plan.index("Join")
+        assert "regexp_extract_all" not in plan[plan.index("Join"):]
