@@ -27,8 +27,9 @@ set: every word unknown, base 0 in log10.  Empty input: empty result.  Extra col
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -69,7 +70,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for t in texts:
                 got.update(space_words(t))
             got[END] += len(texts)
-            if len(got) > 200_000:
+            if len(got) > 400_000:
                 yield out()
                 got.clear()
         yield out()
@@ -150,13 +151,14 @@ def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
         from pyspark import TaskContext
 
         block = TaskContext.get().partitionId() << 31
-        local: dict[bytes, int] = {}
+        local: dict[bytes, int] = defaultdict()
+        local.default_factory = local.__len__
         docs, at, who, held_bytes = [], [], [], 0
 
         def out():
             nonlocal held_bytes, block
-            cls = np.array([suffix_class(w) for w in local], np.int64) \
-                if local else np.zeros(0, np.int64)
+            crc32 = zlib.crc32
+            cls = np.array([crc32(w[-3:]) for w in local], np.int64) % SUFFIX_CLASSES
             cols = [[] for _ in range(10)]
             for k, (doc, held, seq, rare) in enumerate(docs):
                 own = cls[rare]
@@ -201,9 +203,11 @@ def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
         for b in text_groups(batches):
             for doc, held, text in zip(*(c.to_pylist() for c in b.columns)):
                 words = space_words(text)
-                seq = np.array([get(w, n_top) for w in words] + [vocab.end], np.int64)
-                rare = np.array([local.setdefault(w, len(local)) for w in words if w not in
-                                 vocab.top], np.int64)
+                seq = np.fromiter(chain(map(get, words, repeat(n_top)), (vocab.end,)), np.int64,
+                                  len(words) + 1)
+                is_rare = seq[:-1] == n_top
+                rare = np.fromiter(map(local.__getitem__, compress(words, is_rare.tolist())), np.int64,
+                                   int(is_rare.sum()))
                 at.append(rare)
                 who.append(np.full(len(rare), len(docs), np.int64))
                 docs.append((doc, held, seq, rare))
@@ -221,6 +225,8 @@ class Model:
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
+        #: a class's emissions side by side, as the recursions read them
+        self.by_class = np.ascontiguousarray(emit.T)
 
     @classmethod
     def initial(cls, unigram: np.ndarray, states: int, seed: int) -> Model:
@@ -257,7 +263,7 @@ class _Group:
         rows = np.flatnonzero(self.order)
         k = len(m.start)
         t = np.broadcast_to(np.eye(k), (len(rows), k, k)).copy()
-        emit = m.emit.T
+        emit = m.by_class
         for step, n in enumerate(self.running):
             live = np.searchsorted(rows, n)
             if not live:
@@ -270,15 +276,15 @@ class _Group:
     def forward(self, m: Model, first: np.ndarray, keep: bool = False):
         """(log likelihoods, last vectors, all vectors, all scales) of the segments from the given
         vectors before the first emission."""
-        emit = m.emit.T
+        emit, ones = m.by_class, np.ones(first.shape[1])
         log, last = np.zeros(self.n), np.empty_like(first)
         alpha = np.empty((len(self.obs), first.shape[1])) if keep else None
         scale = np.empty(len(self.obs)) if keep else None
         a = first
         for step, n in enumerate(self.running):
             lo = self.begin[step]
-            a = (a[:n] if step == 0 else a[:n] @ m.move) * emit[self.obs[lo:lo + n]]
-            c = a.sum(axis=1)
+            a = (a[:n] if step == 0 else a[:n] @ m.move) * emit.take(self.obs[lo:lo + n], axis=0)
+            c = a @ ones
             a /= c[:, None]
             log[:n] += np.log(c)
             last[:n] = a
@@ -298,7 +304,7 @@ class _Group:
         t = self.transfers(m)
         opening = [self.number[d, 0] for d in long]
         # first segments of long documents are full: the rows are the same at every step
-        emit, a = m.emit.T, np.tile(m.start, (len(long), 1))
+        emit, a = m.by_class, np.tile(m.start, (len(long), 1))
         for step in range(SEGMENT):
             a = (a if step == 0 else a @ m.move) * emit[self.obs[self.begin[step] + opening]]
             a /= a.sum(axis=1, keepdims=True)
@@ -324,7 +330,7 @@ class _Group:
         log, last, alpha, scale = self.forward(m, first, keep=True)
         # forward and backward vectors of a place multiply to 1
         back /= (last * back).sum(axis=1, keepdims=True)
-        k, emit = len(m.start), m.emit.T
+        k, emit = len(m.start), m.by_class
         move, counts, b = np.zeros((k, k)), np.empty_like(alpha), None
         for step in range(len(self.running) - 1, -1, -1):
             n, lo = self.running[step], self.begin[step]
@@ -332,11 +338,13 @@ class _Group:
                 b = back[:n]
             else:
                 nxt, at = self.running[step + 1], self.begin[step + 1]
-                v = emit[self.obs[at:at + nxt]] * b / scale[at:at + nxt, None]
+                v = emit.take(self.obs[at:at + nxt], axis=0)
+                v *= b
+                v /= scale[at:at + nxt, None]
                 move += alpha[lo:lo + nxt].T @ v
                 b = np.concatenate([v @ m.move.T, back[nxt:n]])
-            g = alpha[lo:lo + n] * b
-            counts[lo:lo + n] = g / g.sum(axis=1, keepdims=True)
+            # their products sum to 1 at every place, as they do at the segments' ends
+            np.multiply(alpha[lo:lo + n], b, out=counts[lo:lo + n])
         move *= m.move
         # moves over the seams between segments
         seams = [(self.number[d, o], self.number[d, o + 1])

@@ -141,3 +141,35 @@ def test_a_word_more_often_than_a_posting_counts(spark):
         - 70_003 * math.log10(all_ + v + 1)
     assert got[1].n_tokens == got[1].n_known == 70_003
     assert got[1].base == pytest.approx(want)
+
+
+def test_recursions_read_emissions_side_by_side():
+    """Each step gathers whole rows: a class's emissions are one piece of memory, never a column."""
+    rng = np.random.default_rng(3)
+    model = L.Model.initial(rng.random(500) / 250, 8, 1)
+    assert model.by_class.flags.c_contiguous and (model.by_class == model.emit.T).all()
+
+    class Watched(L.Model):
+        @property
+        def emit(self):
+            return self._emit
+
+        @emit.setter
+        def emit(self, value):
+            self._emit = value.view(NoColumns)
+
+    class NoColumns(np.ndarray):
+        @property
+        def T(self):  # noqa: N802
+            raise AssertionError("emissions read by column")
+
+    seqs = [rng.integers(0, 500, n) for n in (1, 30, 1024, 2500)]
+    group = L._Group(seqs)
+    want = group.expected(model)
+    watched = Watched.__new__(Watched)
+    watched.start, watched.move, watched.by_class = model.start, model.move, model.by_class
+    watched.emit = model.emit
+    got = group.expected(watched)
+    for x, y in zip(got, want):
+        assert np.allclose(x, y, rtol=1e-12)
+    assert np.allclose(group.likelihoods(watched), group.likelihoods(model), rtol=1e-12)
