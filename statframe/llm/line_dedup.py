@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statframe.llm.common import forget, id_text, release, stored
-from statframe.llm.linking import link
+from statframe.llm.linking import PARITIES, link, marked
 
 CHARS = 8
 ROWS, BANDS = 4, 12
@@ -67,15 +67,30 @@ def _run_hashes(wide):
         F.substring(wide, i * 4 + 1, F.lit(4 * CHARS)))))
 
 
+def _hashed_runs(lines: DataFrame) -> DataFrame:
+    """(h1, s): the hashes of each line's runs."""
+    # four bytes a character: any run can be cut out directly.  As a lambda's variable, for a row
+    # hands out a column's bytes as a copy each time
+    return lines.select("h1", F.get(F.transform(F.array(F.encode("line", "UTF-32")), _run_hashes),
+                                    F.lit(0)).alias("s"))
+
+
+def _marks(content: DataFrame) -> DataFrame:
+    """(node, size, p0, ...): number and parities of each line's runs."""
+    runs = _hashed_runs(content).select("h1", F.size("s").alias("size"), F.explode("s").alias("s"))
+    at, bit = F.col("s").bitwiseAND(PARITIES - 1), F.shiftrightunsigned("s", 32).bitwiseAND(63)
+    turned = F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))
+    return runs.groupBy(F.col("h1").alias("node"), "size").agg(*[
+        F.bit_xor(F.when(at == i, turned).otherwise(F.lit(0).cast("long"))).alias(f"p{i}")
+        for i in range(PARITIES)])
+
+
 def _buckets(lines: DataFrame) -> DataFrame:
     """(key, node): the bands of each distinct line."""
     # two lines with one h1 are left to the exact comparison by h1 and h2
     distinct = lines.groupBy("h1").agg(F.first("line").alias("line"), F.min("h2").alias("lo"),
                                        F.max("h2").alias("hi")).filter("lo = hi")
-    # four bytes a character: any run can be cut out directly.  As a lambda's variable, for a row
-    # hands out a column's bytes as a copy each time
-    runs = distinct.select("h1", F.get(F.transform(F.array(F.encode("line", "UTF-32")), _run_hashes),
-                                       F.lit(0)).alias("s"))
+    runs = _hashed_runs(distinct)
     rounds = F.ceil(F.lit(float(LEAST_HASHES)) / F.size("s")).cast("int")
     # rounds first: the runs of a line are taken apart once a round, each into one hash
     hashed = (runs.select("h1", "s", F.explode(F.sequence(F.lit(1), rounds)).alias("r"))
@@ -130,7 +145,8 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
         return both.select("a", "b", (1 - F.col("n") / union).alias("distance"),
                            (100 * F.col("n") >= percent * union).alias("linked"))
 
-    labels = link(busy.withColumn("size", F.lit(1)), measure, percent)
+    marks = stored(_marks(content), "marks")
+    labels = link(marked(busy.withColumn("size", F.lit(1)), marks), measure, percent)
     # the line's key in its own right: h2 tells lines apart that share h1.  Written: the row numbers
     # must not change
     occ = stored(lines.drop("line").join(
@@ -138,7 +154,7 @@ def line_links(docs: DataFrame, min_chars: int = MIN_CHARS, percent: int = PERCE
         "root", F.when(F.col("sketched"), F.col("root"))).select(
         "doc_id", "dk", "rid", "line_no", F.coalesce("root", "h1").alias("component"),
         F.when(F.col("root").isNull(), F.col("h2")).alias("h2")), "occurrences")
-    forget(busy, content)
+    forget(busy, content, marks)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "dk", "rid", "line_no")
     first = occ.groupBy("component", "h2").agg(F.min(place).alias("p")).select(
         "p.rid", "p.line_no", F.lit(True).alias("kept"))

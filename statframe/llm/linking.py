@@ -12,6 +12,12 @@ function that measures pairs on their full content.  It does not test all pairs
   exclude is tested: all at once where it is no more than a few pairs per candidate row, else by
   turns of 1, 4, 16, ... nodes per bucket, joining components after each turn.
 
+With ``marked`` candidates no pair is tested, nor a row made for it, that the parities of its sets
+exclude: an element that only one set has turns one bit, so where more bits differ than linked sets
+of these sizes have elements apart, the pair isn't linked.  This loses no link.  It takes the place of
+the hubs' distances; the pairs of a bucket across components are still compared, bit by bit, by several tasks
+where the bucket is large.
+
 So a group of copies of any size costs one test per member and a few per stranger in its
 buckets, and no link between different components is lost.
 """
@@ -30,6 +36,19 @@ from statframe.session import scratch_path
 AT_ONCE = 4
 
 
+#: nodes of a bucket that one task compares with the rest of it
+PART = 1024
+#: longs of a set's parities: 1024 bits tell sets of up to about 1,700 elements apart
+PARITIES = 16
+
+
+def marked(candidates: DataFrame, marks: DataFrame) -> DataFrame:
+    """``candidates``, which remembers the ``marks`` of its nodes: (node, size, p0, p1, ...), where bit b
+    of p0, p1, ... is the parity of the number of elements of the node's set with hash b."""
+    candidates.marks = marks
+    return candidates
+
+
 def _stored(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
     """Write ``df`` to the shared folder; the table read back, its rows and an order-independent
     digest of them, both taken while writing."""
@@ -94,25 +113,45 @@ def link(candidates: DataFrame, measure: Callable[[DataFrame], DataFrame], perce
     distance of their sets.  Nodes with 100 * smaller size < ``percent`` * larger size are never
     linked, nor are nodes at a distance above 1 - ``percent`` / 100."""
     allowed = 1 - percent / 100 + 1e-9
+    marks = getattr(candidates, "marks", None)
+    parities = [c for c in marks.columns if c not in ("node", "size")] if marks is not None else []
     lowest = candidates.groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub"),
                                            F.max("node").alias("last"))
     shared, n_rows, _ = _stored(
         candidates.join(lowest.filter("hub.node != last").drop("last"), "key").distinct(),
         "buckets")
 
-    def may(a: str, b: str):
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    def may(x: str, y: str):
+        """Whether sizes and parities leave a link of x and y possible."""
+        small, large = F.least(f"size_{x}", f"size_{y}"), F.greatest(f"size_{x}", f"size_{y}")
+        ok = 100 * small >= percent * large
+        if parities:
+            apart = sum(F.bit_count(F.col(f"{p}_{x}").bitwiseXOR(F.col(f"{p}_{y}"))) for p in parities)
+            ok &= (100 + percent) * apart <= (100 - percent) * (small + large)
+        return ok
+
+    def marks_of(side: str) -> DataFrame:
+        return marks.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", *parities)])
 
-    first = (shared.filter(F.col("node") != F.col("hub.node"))
-             .filter(may("size", "hub.size")).groupBy("node", F.col("hub.node").alias("hub"))
-             .count().groupBy("node").agg(F.max(F.struct("count", (-F.col("hub")).alias("hub")))
-                                          .alias("x"))
-             .select(F.col("node").alias("a"), (-F.col("x.hub")).alias("b")))
-    tested, _, _ = _stored(first, "tested")
+    hub_of, _, _ = _stored(
+        shared.filter(F.col("node") != F.col("hub.node"))
+        .select("node", F.col("size").alias("size_x"), F.col("hub.node").alias("hub"),
+                F.col("hub.size").alias("size_y"))
+        .filter(100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y"))
+        .groupBy("node", "hub").count().groupBy("node").agg(
+            F.max(F.struct("count", (-F.col("hub")).alias("hub"))).alias("x"))
+        .select(F.col("node").alias("a"), (-F.col("x.hub")).alias("b")), "hubs")
+    tested = hub_of
+    if parities:
+        tested, _, _ = _stored(
+            hub_of.join(marks_of("x").withColumnRenamed("node_x", "a"), "a")
+            .join(marks_of("y").withColumnRenamed("node_y", "b"), "b")
+            .filter(may("x", "y")).select("a", "b"), "tested")
     near, _, _ = _stored(measure(tested), "measured")
     labels, _, _ = _stored(components(near.filter("linked").select("a", "b")), "labels")
-    # each node's hub and distance; a node without a test is its own hub
-    own = near.select(F.col("a").alias("node"), F.col("b").alias("hub"), "distance")
+    # each node's hub and the most that it is away from it; a node without a hub is its own
+    own = hub_of.join(near, ["a", "b"], "left").select(
+        F.col("a").alias("node"), F.col("b").alias("hub"), F.coalesce("distance", F.lit(1.0)).alias("distance"))
     rest = shared.select("key", "node", "size").join(own, "node", "left").select(
         "key", "node", "size", F.coalesce("hub", "node").alias("hub"),
         F.coalesce("distance", F.lit(0.0)).alias("distance"))
@@ -121,19 +160,21 @@ def link(candidates: DataFrame, measure: Callable[[DataFrame], DataFrame], perce
         """The rows with their component and its place in the bucket (larger components
         later), without buckets of a single component."""
         known = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-        many = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-            .filter("lo != hi").select("key")
+        many = known.groupBy("key").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+            F.ceil(F.count("*") / PART).alias("parts")).filter("lo != hi").select("key", "parts")
         known = known.drop("root").join(many, "key")
         place = known.groupBy("key", "comp").agg(F.count("*").alias("place"))
         return _stored(known.join(place, ["key", "comp"]), "open")[:2]
 
     def earlier(x: str, y: str):
         """Whether y's component comes before x's in their bucket."""
-        return F.struct(f"place_{y}", f"comp_{y}") < F.struct(f"place_{x}", f"comp_{x}")
+        return (F.col(f"place_{y}") < F.col(f"place_{x}")) | (
+            (F.col(f"place_{y}") == F.col(f"place_{x}")) & (F.col(f"comp_{y}") < F.col(f"comp_{x}")))
 
     def named(rows: DataFrame, side: str, *more: str) -> DataFrame:
         return rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in
-                                    ("node", "size", "comp", "place", *more)])
+                                    ("node", "size", "comp", "place", *parities, *more)])
 
     def put_to_test(pairs: DataFrame) -> DataFrame:
         """Measure the pairs that have not been, and join the components that they link."""
@@ -152,42 +193,68 @@ def link(candidates: DataFrame, measure: Callable[[DataFrame], DataFrame], perce
     rest, n = open_buckets(rest)
     if not n:
         return labels
-    # the hubs of later components against the nodes of earlier ones
-    hubs = named(rest, "x", "hub").drop("node_x", "size_x").distinct().withColumnRenamed(
-        "hub_x", "node_x")
-    put_to_test(hubs.join(named(rest, "y"), "key").filter(earlier("x", "y")).select(
-        "node_x", "node_y").distinct())
-    rest, n = open_buckets(rest.drop("comp", "place"))
-    either = near.select("a", "b", "distance").unionByName(
-        near.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
-    to_hub = either.unionByName(rest.select(F.col("hub").alias("a"), F.col("hub").alias("b"),
-                                            F.lit(0.0).alias("distance")))
-    to_hub = to_hub.select(F.col("a").alias("node_y"), F.col("b").alias("hub_x"),
-                           F.col("distance").alias("to_hub")).distinct()
-
-    def across(rows_x: DataFrame, rows_y: DataFrame) -> DataFrame:
-        """Pairs of a bucket across components that sizes and hub distances leave possible."""
-        # y against each hub of its bucket, then against the nodes of that hub
-        hub = rows_x.select("key", F.col("hub").alias("hub_x")).distinct()
-        ys = named(rows_y, "y").join(hub, "key").join(to_hub, ["node_y", "hub_x"], "left")
-        return named(rows_x, "x", "hub", "distance").join(ys, ["key", "hub_x"]).filter(
-            earlier("x", "y") & may("size_x", "size_y") &
-            (F.coalesce("to_hub", F.lit(0.0)) - F.col("distance_x") <= allowed)).select(
-            "node_x", "node_y")
+    if parities:
+        # the parities tell all pairs of a bucket apart; hubs would exclude little more
+        rest = _stored(rest.drop("size", "hub", "distance").join(marks, "node"), "open")[0]
 
-    if not n:
-        return labels
-    # as many pairs as the larger side's rows for each node of the smaller ones, at most
-    pairs = across(rest, rest).agg(F.count("*").alias("n")).first()["n"]
-    if pairs <= AT_ONCE * n_rows:
-        put_to_test(across(rest, rest))
-        return labels
-    rest = _stored(rest.withColumn("turn", F.row_number().over(
-        Window.partitionBy("key").orderBy("node"))), "turns")[0]
+        def across(rows_x: DataFrame, rows_y: DataFrame) -> DataFrame:
+            """Pairs of a bucket across components that sizes and parities leave possible."""
+            # a large bucket goes to several tasks, its x dealt out, its y to each
+            xs = named(rows_x, "x", "parts").withColumn("part", F.pmod(F.xxhash64("node_x"), "parts_x"))
+            ys = named(rows_y, "y", "parts").withColumn("part", F.explode(F.sequence(
+                F.lit(0).cast("long"), F.col("parts_y") - 1)))
+            return xs.join(ys, ["key", "part"]).filter(earlier("x", "y") & may("x", "y")).select(
+                "node_x", "node_y")
+    else:
+        # the hubs of later components against the nodes of earlier ones: one row per hub of a bucket,
+        # with the last component that has it
+        hubs = rest.groupBy("key", F.col("hub").alias("node_x")).agg(
+            F.max(F.struct("place", "comp")).alias("last"))
+        before = F.struct(F.col("place_y").alias("place"), F.col("comp_y").alias("comp")) < F.col("last")
+        put_to_test(hubs.join(named(rest, "y"), "key").filter(before).select("node_x", "node_y"))
+        rest, n = open_buckets(rest.drop("comp", "place", "parts"))
+        if not n:
+            return labels
+        either = near.select("a", "b", "distance").unionByName(
+            near.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
+        to_hub = either.unionByName(rest.select(F.col("hub").alias("a"), F.col("hub").alias("b"),
+                                                F.lit(0.0).alias("distance")))
+        to_hub = to_hub.select(F.col("a").alias("node_y"), F.col("b").alias("hub_x"),
+                               F.col("distance").alias("to_hub")).distinct()
+
+        def across(rows_x: DataFrame, rows_y: DataFrame) -> DataFrame:
+            """Pairs of a bucket across components that sizes and hub distances leave possible."""
+            # y against each hub of its bucket, then against the nodes of that hub
+            hub = rows_x.select("key", F.col("hub").alias("hub_x")).distinct()
+            ys = named(rows_y, "y").join(hub, "key").join(to_hub, ["node_y", "hub_x"], "left")
+            return named(rows_x, "x", "hub", "distance").join(ys, ["key", "hub_x"]).filter(
+                earlier("x", "y") & may("x", "y") &
+                (F.coalesce("to_hub", F.lit(0.0)) - F.col("distance_x") <= allowed)).select(
+                "node_x", "node_y")
+
+    if parities:
+        # few turns: the first joins most of what is linked, in buckets of a few nodes all of it
+        turn, grow = 8, 2048
+    else:
+        # as many pairs as the larger side's rows for each node of the smaller ones, at most
+        grow = 4
+        pairs = across(rest, rest).agg(F.count("*").alias("n")).first()["n"]
+        if pairs <= AT_ONCE * n_rows:
+            put_to_test(across(rest, rest))
+            return labels
+    old, (rest, n, _) = rest, _stored(rest.withColumn("turn", F.row_number().over(
+        Window.partitionBy("key").orderBy("node"))), "turns")
+    if parities:  # else the hubs' distances are read from it
+        forget(old)
     lo, last = 1, rest.agg(F.max("turn")).first()[0]
     while n and lo <= last:
-        now = (F.col("turn") >= lo) & (F.col("turn") < lo + turn)
-        put_to_test(across(rest, rest.filter(now)).unionByName(across(rest.filter(now), rest)))
-        lo, turn = lo + turn, turn * 4
-        rest, n = open_buckets(rest.drop("comp", "place"))
+        # nodes of earlier turns have met all others
+        left, now = rest.filter(F.col("turn") >= lo), F.col("turn") < lo + turn
+        put_to_test(across(left, left) if lo + turn > last else
+                    across(left, left.filter(now)).unionByName(across(left.filter(now), left)))
+        lo, turn = lo + turn, turn * grow
+        if lo <= last:
+            old, (rest, n) = rest, open_buckets(rest.drop("comp", "place", "parts"))
+            if parities:
+                forget(old)
     return labels

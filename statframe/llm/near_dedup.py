@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statframe.llm.common import id_text, space_words, stored, text_groups
-from statframe.llm.linking import link
+from statframe.llm.linking import PARITIES, link, marked
 
 BANDS, ROWS = 40, 4
 
@@ -102,6 +102,12 @@ def band_keys(sketch: np.ndarray, bands: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Bit b of 64 * PARITIES: whether an odd number of a set's elements has hash b."""
+    odd = np.bincount((s % _U(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
@@ -141,14 +147,21 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, bands: int =
         sets = ShingleSets(words)
         for b in text_groups(batches):
             d = b.to_pydict()
-            keep = [i for i, (t, h) in enumerate(zip(d["text"], d["digest"]))
-                    if _digest(sets.of(t)) == h]
-            yield b.select(["node", "text"]).take(pa.array(keep, pa.int64()))
+            every = [sets.of(t) for t in d["text"]]
+            keep = [i for i, (s, h) in enumerate(zip(every, d["digest"])) if _digest(s) == h]
+            kept = b.select(["node", "text"]).take(pa.array(keep, pa.int64()))
+            marks = [parities(every[i]) for i in keep]
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.array([len(every[i]) for i in keep], pa.int64()),
+                 pa.array(marks, pa.list_(pa.int64()))], names=["node", "text", "size", "marks"])
 
     # several rows may carry a wanted doc_id; those of another set are left out
     content = stored(texts.join(wanted, texts.doc_id.eqNullSafe(wanted.first_id))
                      .select("node", "digest", "text").mapInArrow(
-                         sets_of, "node long, text string").dropDuplicates(["node"]), "texts")
+                         sets_of, "node long, text string, size long, marks array<long>")
+                     .dropDuplicates(["node"]), "texts")
+    marks = content.select("node", "size", *[F.get("marks", F.lit(i)).alias(f"p{i}")
+                                             for i in range(PARITIES)])
 
     def compare(batches):
         sets = ShingleSets(words)
@@ -180,7 +193,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, bands: int =
         return members.join(hubs, ["b", "part"]).select("a", "b", "text_a", "text_b").mapInArrow(
             compare, "a long, b long, distance double, linked boolean")
 
-    labels = link(busy, measure, percent)
+    labels = link(marked(busy, marks), measure, percent)
     known = nodes.select("digest", "node", "first_id").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     ids = known.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -301,3 +301,33 @@ def test_few_hashes_and_one_shuffle_of_bands(spark, monkeypatch):
     for plan in pairs:  # the runs are cut above the joins
         assert 0 < plan.index("regexp_extract_all") < plan.index("Join")
         assert "regexp_extract_all" not in plan[plan.index("Join"):]
+
+
+def test_near_misses_are_not_tested(spark, monkeypatch):
+    """Lines that share buckets, but are too far apart for a link, make no pairs."""
+    rng = random.Random(5)
+    base = [rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300)]
+    lines = []
+    for _ in range(40):
+        x = list(base)
+        for i in rng.sample(range(300), 5):
+            x[i] = rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+        lines.append("".join(x))
+    docs = [*enumerate(lines), (99, lines[7] + "0")]
+    tested, link = [], line_dedup.link
+
+    def linked(candidates, measure, percent):
+        def watched(pairs):
+            tested.extend((r.a, r.b) for r in pairs.collect())
+            return measure(pairs)
+        return link(candidates, watched, percent)
+
+    monkeypatch.setattr(line_dedup, "link", linked)
+    links = line_dedup.every_line_links(spark.createDataFrame(docs, "doc_id long, text string"))
+    sets = [runs(x) for _, x in docs]
+    pairs = [(i, j) for i in range(41) for j in range(i)
+             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert pairs == [(40, 7)]
+    assert components_of(links) == {frozenset({(n, 0)}) for n in range(40) if n != 7} | {
+        frozenset({(7, 0), (99, 0)})}
+    assert 1 <= len(tested) <= 60  # of 820

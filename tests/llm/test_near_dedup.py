@@ -131,3 +131,28 @@ def test_linking_skips_what_sizes_and_hubs_exclude(spark):
     got = {r.node: r.root for r in linking.link(cand, jaccard(sets, seen), 75).collect()}
     assert got == {i: 0 for i in range(300)}
     assert len(seen) < 330 and len(seen) == len(set(seen))
+
+
+def test_near_misses_are_not_tested(spark, monkeypatch):
+    """Texts that share buckets, but are too far apart for a link, make no pairs."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(300)]
+    texts = []
+    for n in range(40):
+        t = list(base)
+        for i in rng.sample(range(300), 8):
+            t[i] = f"x{n}y{i}"
+        texts.append(" ".join(t))
+    docs = [(n, t) for n, t in enumerate(texts)] + [(99, texts[7] + " end")]
+    tested, link = [], near_dedup.link
+
+    def linked(candidates, measure, percent):
+        def watched(pairs):
+            tested.extend((r.a, r.b) for r in pairs.collect())
+            return measure(pairs)
+        return link(candidates, watched, percent)
+
+    monkeypatch.setattr(near_dedup, "link", linked)
+    got = near_dedup.near_dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {**{n: n for n in range(40)}, 99: 7}
+    assert 1 <= len(tested) <= 60  # of 820
