@@ -11,6 +11,8 @@ the phrase without its first and the one without its last word are.
 * Before each level, one pass counts the places of possible phrases by a hash, in BITS byte counters a
   task, whose sums tell which buckets hold ``min_count`` places; what is in another bucket cannot be
   frequent.  (With more places than ``min_count`` times BITS all buckets are full and nothing is saved.)
+* Blocks are dealt to tasks of TASK_WORDS words by language: what tasks send for each level, their
+  counters and a count per phrase, grows with the number of tasks that see a language.
 * Pairs: pairs of frequent words next to each other, in full buckets, counted per task, then summed.
   Here listing the candidates is counting them.
 * Longer phrases: a bitmap of BITS bits (a fixed size) marks the frequent phrases of the level before.
@@ -44,8 +46,11 @@ from statframe.llm.common import LOWER, UPPER, stored, text_groups
 from statframe.ship import ship
 
 LONGEST = 5
-#: words of a block, phrases of a trie, and the size of bitmaps (at least _CHUNK bits)
-BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 18, 1 << 17, 1 << 22
+#: words of a block, phrases of a trie, and the size of bitmaps (at least _CHUNK bits).  A dictionary entry
+#: is shuffled per block and word: large blocks have fewer
+BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 20, 1 << 17, 1 << 22
+#: words that one task counts, of one language where it has as many
+TASK_WORDS = 1 << 24
 #: rows that a task gathers before it sends them on
 GATHER = 1 << 21
 
@@ -111,7 +116,7 @@ def _encoding(block_words: int):
                 open_[lang].add(text)
                 if open_[lang].size >= block_words:
                     yield batch(open_, [lang])
-            if sum(x.size for x in open_.values()) >= 16 * block_words:
+            if sum(x.size for x in open_.values()) >= 4 * block_words:
                 yield batch(open_, list(open_))
         for lang in list(open_):
             yield batch(open_, [lang])
@@ -450,7 +455,7 @@ def _longer(coded: DataFrame, level: DataFrame, k: int, min_count: int, trie_phr
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGEST,
                      text_col: str = "text", lang_col: str = "lang",
                       block_words: int = BLOCK_WORDS, trie_phrases: int = TRIE_PHRASES,
-                      bits: int = BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                      bits: int = BITS, task_words: int = TASK_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The frequent words (lang, word, gid, f), the frequent phrases of 2 to ``longest`` words
     (phrase: gids, f), and the words of each language (lang, n)."""
     ship(docs.sparkSession)
@@ -470,7 +475,10 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGE
     places = blocks.select("block", "lang", F.posexplode("words").alias("i", "word")).join(
         words.select("lang", "word", "gid"), ["lang", "word"])
     at = places.groupBy("block").agg(F.collect_list(F.struct("i", "gid")).alias("at"))
-    coded = stored(blocks.select("block", "ids").join(at, "block").select("ids", "at"), "coded")
+    # every task sends its counts of each phrase: a task has many words, of few languages
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
+    coded = stored(blocks.select("block", "lang", "ids").join(at, "block").repartitionByRange(
+        max(1, -(-n_words // task_words)), "lang", "block").select("ids", "at"), "coded")
     full = _full_buckets(coded, 2, None, bits, min_count)
     level = stored(coded.mapInArrow(_pairs(full), PHRASE + ", n long").groupBy("phrase").agg(
         F.sum("n").alias("f")).filter(F.col("f") >= min_count), "pairs")

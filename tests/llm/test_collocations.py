@@ -110,3 +110,22 @@ def test_a_phrase_in_a_third_of_the_rows(spark):
         (f"w{i % 7} in the w{i % 5}", "en") for i in range(1200)]
     docs = spark.createDataFrame(data, "text string, lang string").repartition(9)
     assert found(CO.collocations(docs)) == brute(data, 100)
+
+
+def test_tasks_hold_few_languages(spark, monkeypatch):
+    """Blocks are dealt to tasks by language, so that few tasks count a phrase."""
+    data = [(lang, f"{lang}one {lang}two {lang}three") for lang in "abcd" for _ in range(300)]
+    df = spark.createDataFrame(data, "lang string, text string").repartition(6)
+    tables, store = {}, CO.stored
+
+    def seen(table, name):
+        tables[name] = store(table, name)
+        return tables[name]
+
+    monkeypatch.setattr(CO, "stored", seen)
+    words, phrases, totals = CO.frequent_phrases(df, 100, block_words=100, task_words=900)
+    assert {r.n for r in totals.collect()} == {900} and phrases.filter("f = 300").count() == 12
+    lang = {r.gid: r.lang for r in words.collect()}
+    rows = tables["coded"].selectExpr("input_file_name() AS file", "at.gid AS gid").collect()
+    files = {(r.file, lang[g]) for r in rows for g in r.gid}
+    assert len({f for f, _ in files}) <= 4 and len(files) <= 7
