@@ -108,11 +108,11 @@ def encode_documents(docs: DataFrame, vocab: str, end_id: int, id_col: str = "do
         cache = id_cache(vocab)
         for b in text_groups(batches, TEXT_BYTES):
             ids, ends = cache.batch(b.column("text"), end_id)
-            data = ids.astype(f"<u{id_bytes}", copy=False).tobytes()
-            at = [0, *(ends * id_bytes).tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([data[i:j] for i, j in zip(at, at[1:])], pa.binary())],
-                names=["doc_id", "ids"])
+            data = pa.py_buffer(ids.astype(f"<u{id_bytes}", copy=False))
+            at = pa.py_buffer(np.append(0, ends * id_bytes))
+            coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, at, data])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), coded.cast(pa.binary())],
+                                             names=["doc_id", "ids"])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
 
@@ -185,7 +185,8 @@ def read_id_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([None] * r["n_null"] + known.tolist(), pa.int64()),
                      pa.array(lo + begin[r["shard"]] + r["before"], pa.int64()), pa.array(ends - lo, pa.int64()),
-                     pa.array([ids[i:j].tobytes() for i, j in zip(lo, ends)], pa.binary())],
+                     pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [
+                         None, pa.py_buffer(4 * np.append(0, ends)), pa.py_buffer(ids)]).cast(pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"])
 
     return files.mapInArrow(

@@ -105,7 +105,9 @@ def library_tokenizer(path: str):
 
 
 #: bytes of text that are worked on together
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 23
+#: what ``str.isspace`` and ``str.split`` take as white space
+_SPACE = re.compile(r"\s")
 #: words that are encoded as one text, a line each
 _LINES = 100
 
@@ -142,10 +144,12 @@ class IdCache(PieceCache):
         for lines, e in zip(cuts, self.tok.encode_batch_fast(
                 ["\n".join(c) for c in cuts], add_special_tokens=False)):
             got = np.array(e.ids + self.line, "<u4")
-            ends = np.flatnonzero(got == self.line[0])
+            kept = got != self.line[0]
+            ends = np.flatnonzero(~kept)
             if len(ends) == len(lines):
-                ids.append(np.delete(got, ends))
-                sizes.append(np.diff(ends, prepend=-1) - 1)
+                ids.append(got[kept])
+                ends[1:] -= ends[:-1] + 1
+                sizes.append(ends)
             else:  # a line end became part of another token
                 flat, size = self._flat(self.solve(lines))
                 ids.append(flat)
@@ -155,11 +159,14 @@ class IdCache(PieceCache):
     def _learn_words(self, words: list[str]) -> None:
         """Remember the ids of new words with their blank, except of those that can't stand alone."""
         plain, first, other = [], [], []
+        space = _SPACE.search
         for w in words:
-            if w and not w[-1].isspace():
-                kind = plain if w.split() == [w] else first if (
-                    w[0] == "\n" and w[1:].split() == [w[1:]]) else other
-                kind.append(w)
+            at = space(w)
+            if at is None:
+                if w:
+                    plain.append(w)
+            elif not w[-1].isspace():
+                (first if w[0] == "\n" and space(w, 1) is None else other).append(w)
         by_line, size = self._lines([w[1:] for w in first])
         ends = np.repeat(np.cumsum(size) - size, len(self.line))
         cut = [PIECES.findall(w if w[0] == "\n" else " " + w) for w in other]
@@ -216,11 +223,12 @@ class IdCache(PieceCache):
         # a text that goes by pieces has all its ids at its first word
         for i in np.flatnonzero(bad).tolist():
             length[first[i] + 1:last[i]] = 0
-        ids = np.concatenate([self.ids, flat])[_spans(start[code], length)]
-        ends = np.cumsum(length)[last - 1]
         if end_id is None:
-            return ids, ends
-        return np.insert(ids, ends, np.uint32(end_id)), ends + np.arange(1, n + 1)
+            return np.concatenate([self.ids, flat])[_spans(start[code], length)], np.cumsum(length)[last - 1]
+        # a text's end is a span of one id behind its last word
+        known = np.concatenate([self.ids, flat, np.array([end_id], "<u4")])
+        ids = known[_spans(np.insert(start[code], last, len(known) - 1), np.insert(length, last, 1))]
+        return ids, np.cumsum(length)[last - 1] + np.arange(1, n + 1)
 
 
 def _places(words: pa.Array, among: pa.Array) -> np.ndarray:
