@@ -22,13 +22,15 @@ from __future__ import annotations
 import json
 import re
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statframe.llm.common import id_text, text_groups
-from statframe.llm.token_cache import _LOADED, PieceCache
+from statframe.llm.token_cache import _LOADED, TEXT_BYTES, IdCache, PieceCache
 
 #: a document's chunks are joined in two rounds of this many maps: FAN**2 chunks of
 #: CHUNK_CHARS characters are more than a row can hold
@@ -36,6 +38,8 @@ FAN = 256
 CHUNK_CHARS = 1 << 16
 #: the tokenizer is in its start state between a letter and the white space after it
 FORGETS = re.compile(r"(?<=[A-Za-z])(?=[ \n])")
+#: words that go through the transducer together, and how few of them go on one by one
+TOGETHER, ALONE = 1 << 16, 16
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -73,6 +77,7 @@ class Transducer:
         self.parts = parts
         self.grows = {t[:n] for t in self.tokens for n in range(1, len(t) + 1)}
         self.seam: dict[tuple[int, int], bool] = {}
+        self.edges: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.most_states = most_states
         self._reset()
 
@@ -83,11 +88,13 @@ class Transducer:
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """Pieces at a token's left (0) or right (1) end as merging goes on, each with the rank
         of the merge that takes it up."""
-        out, taken = [(token, float("inf"))], None
-        while token in self.parts:
-            taken = self.parts[token][2]
-            token = self.parts[token][side]
-            out.append((token, taken))
+        out = self.edges.get((token, side))
+        if out is None:
+            out = self.edges[token, side] = [(token, float("inf"))]
+            while token in self.parts:
+                taken = self.parts[token][2]
+                token = self.parts[token][side]
+                out.append((token, taken))
         return out
 
     def holds(self, a: int, b: int) -> bool:
@@ -133,8 +140,10 @@ class Transducer:
         """Tokens of one pre-token: the sum of the counts along its path."""
         if len(self.states) > self.most_states:
             self._reset()
-        state = total = 0
-        step = self.step
+        return self._rest(0, word)
+
+    def _rest(self, state: int, word: bytes) -> int:
+        total, step = 0, self.step
         for byte in word:
             got = step.get(state << 8 | byte)
             if got is None:
@@ -143,32 +152,99 @@ class Transducer:
             total += (got & 0xFFFF) - 32768
         return total
 
+    def counts(self, words: list[bytes]) -> np.ndarray:
+        """``count`` of many words, which go along their paths together: a transition that several of
+        them take is looked up once."""
+        out = np.zeros(len(words), np.int64)
+        for lo in range(0, len(words), TOGETHER):
+            if len(self.states) > self.most_states:
+                self._reset()
+            part = words[lo:lo + TOGETHER]
+            size = np.fromiter(map(len, part), np.int64, len(part))
+            order = np.argsort(-size, kind="stable")
+            start = (np.cumsum(size) - size)[order]
+            data = np.frombuffer(b"".join(part), np.uint8)
+            running = np.searchsorted(-size[order], -np.arange(size.max()), side="left").tolist()
+            state, total = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+            step, build = self.step, self._build
+            for j, n in enumerate(running):
+                if n < ALONE:
+                    for k in range(n):
+                        total[k] += self._rest(int(state[k]), part[order[k]][j:])
+                    break
+                key, back = np.unique(state[:n] << 8 | data[start[:n] + j], return_inverse=True)
+                got = np.array([step.get(k) or build(k >> 8, k & 255) for k in key.tolist()],
+                               np.int64)[back]
+                state[:n] = got >> 16
+                total[:n] += (got & 0xFFFF) - 32768
+            out[lo + order] = total
+        return out
+
+
+class CountCache(IdCache):
+    """Token counts of whole columns of texts: as ``IdCache``, where one number, the count of its tokens,
+    stands for the ids of a word or piece."""
+
+    def __init__(self, fst: Transducer, pattern, most: int = 500_000):
+        PieceCache.__init__(self, self._solve, b"".join, most // 8)
+        self.fst, self.pattern, self.most = fst, pattern, most
+        self.line = fst.counts([b"\n"]).tolist()
+        self._keep(pa.array([], pa.string()), np.empty(0, "<u4"), np.empty(0, np.int64))
+
+    def _summed(self, pieces: list[str], ends: np.ndarray) -> np.ndarray:
+        """Counts of consecutive pre-tokens, added up before each end."""
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        own = self.fst.counts([w.encode() for w in coded.dictionary.to_pylist()])
+        total = np.append(0, np.cumsum(own[coded.indices.to_numpy()] if len(pieces) else own))[ends]
+        return np.diff(total, prepend=0)
+
+    def _solve(self, pieces: list[str]) -> list[bytes]:
+        found = [self.pattern.findall(p.encode("utf-8", "replace").decode()) for p in pieces]
+        ends = np.cumsum([len(f) for f in found], dtype=np.int64)
+        return [n.tobytes() for n in self._summed([w for f in found for w in f], ends).astype("<u4")]
+
+    def _lines(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One count for each of ``words`` without white space, which may have a blank before them."""
+        if not words:
+            return self._flat([])
+        found = self.pattern.findall("\n".join(words) + "\n")
+        ends = np.flatnonzero(pc.equal(pa.array(found, pa.string()), "\n").to_numpy(zero_copy_only=False))
+        if len(ends) != len(words):  # a line end became part of another pre-token
+            return self._flat(self._solve(words))
+        n = self._summed(found, ends)
+        n[1:] -= self.line[0]  # the line end before it
+        return n.astype("<u4"), np.ones(len(words), np.int64)
+
 
 class Counter:
     """Counts of whole texts: pre-tokens by the vocabulary's pattern, each through the
-    transducer, remembered by piece."""
+    transducer, remembered by word and by piece."""
 
     def __init__(self, path: str):
         import public_tokenizers
         import regex
 
         self.fst = Transducer(path)
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.cache = PieceCache(self._solve, sum, 100_000)
+        self.cache = CountCache(self.fst, regex.compile(public_tokenizers.PATTERN))
         self.special = re.compile("|".join(map(re.escape, self.fst.special))) \
             if self.fst.special else None
 
-    def _solve(self, pieces: list[str]) -> list[int]:
-        count, find = self.fst.count, self.pattern.findall
-        return [sum(count(w.encode("utf-8", "replace")) for w in find(p)) for p in pieces]
-
     def whole(self, texts: list[str]) -> list[int]:
-        if self.special is None:
-            return self.cache.whole(texts)
-        parts = [self.special.split(t) for t in texts]
+        parts = [self.special.split(t) if self.special else [t] for t in texts]
         got = iter(self.cache.whole([x for p in parts for x in p]))
         # between two parts stands one special token
-        return [sum(next(got) for _ in p) + len(p) - 1 for p in parts]
+        return [sum(int(np.frombuffer(next(got), "<u4").sum()) for _ in p) + len(p) - 1 for p in parts]
+
+    def column(self, texts: pa.Array) -> np.ndarray:
+        """``whole`` of a column of texts; those that hold a special string are split at it."""
+        special = np.zeros(len(texts), bool)
+        for s in self.fst.special:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        n, ends = self.cache.batch(pc.if_else(pa.array(special), "", texts) if special.any() else texts)
+        out = np.diff(np.append(0, np.cumsum(n, dtype=np.int64))[ends], prepend=0)
+        at = np.flatnonzero(special)
+        out[at] = self.whole(texts.take(pa.array(at)).to_pylist())
+        return out
 
     def state_map(self, chunk: str) -> tuple[str, int, str | None]:
         """(head, count, tail); tail None when the chunk never forgets its entry state."""
@@ -213,10 +289,9 @@ def token_counts(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col:
 
     def direct(batches):
         c = counter(vocab)
-        for b in text_groups(batches):
-            n = c.whole(b.column("text").to_pylist())
+        for b in text_groups(batches, TEXT_BYTES):
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("n_bytes"), pa.array(n, pa.int64())],
+                [b.column("doc_id"), b.column("n_bytes"), pa.array(c.column(b.column("text")), pa.int64())],
                 names=["doc_id", "n_bytes", "n_tokens"])
 
     short = rows.filter(~is_long).mapInArrow(

@@ -47,6 +47,36 @@ def test_transducer_shares_states(tok):
         len(ids_of(tok, w)) for w in (" the", "straight", "oneself")]
 
 
+def test_counts_of_columns_match_library(tok):
+    """Words, white space and special strings in any order, with a small memory too; a transition that many
+    new words take is looked up once."""
+    rng = np.random.default_rng(11)
+    parts = ["a", "Be", "é", "\n", " ", "\t", "\x0b", "\x85", "\xa0", "\x1c", ".", "'s", "1", "中",
+             "<|endoftext|>", "\r", "\u3000", "\u200b", "\u0301", "ll", "!", "\U0001F600"]
+    texts = [r[1] or "" for r in rows()] + [
+        "".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(2000)]
+    want = [len(ids_of(tok, t)) for t in texts]
+    c = token_counts.Counter(VOCAB)
+    assert c.column(pa.array(texts)).tolist() == c.whole(texts) == want
+    assert c.column(pa.array([], pa.string())).tolist() == []
+    c.cache.most, c.fst.most_states = 300, 50
+    got = [c.column(pa.array(texts[i:i + 40])).tolist() for i in range(0, len(texts), 40)]
+    assert sum(got, []) == want
+
+    class Looked(dict):
+        n = 0
+
+        def get(self, key):
+            Looked.n += 1
+            return super().get(key)
+
+    c = token_counts.Counter(VOCAB)
+    c.fst.step = Looked(c.fst.step)
+    text = " ".join(f"word{i}x" for i in range(1000))
+    assert c.column(pa.array([text])).tolist() == [len(ids_of(tok, text))]
+    assert Looked.n < 2000
+
+
 def test_maps_compose_associatively():
     c = token_counts.counter(VOCAB)
     text = " ".join(r[1] or "" for r in rows())
