@@ -11,7 +11,8 @@ the phrase without its first and the one without its last word are.
 * Before each level, one pass counts the places of possible phrases by a hash, in BITS byte counters a
   task, whose sums tell which buckets hold ``min_count`` places; what is in another bucket cannot be
   frequent.  (With more places than ``min_count`` times BITS all buckets are full and nothing is saved.)
-* Blocks are dealt to tasks of TASK_WORDS words by language: what tasks send for each level, their
+* Blocks are cut into rows of ROW_WORDS words, each with the frequent words that it holds, and dealt to
+  tasks of TASK_WORDS words by language: what tasks send for each level, their
   counters and a count per phrase, grows with the number of tasks that see a language.
 * Pairs: pairs of frequent words next to each other, in full buckets, counted per task, then summed.
   Here listing the candidates is counting them.
@@ -49,8 +50,9 @@ LONGEST = 5
 #: words of a block, phrases of a trie, and the size of bitmaps (at least _CHUNK bits).  A dictionary entry
 #: is shuffled per block and word: large blocks have fewer
 BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 20, 1 << 17, 1 << 22
-#: words that one task counts, of one language where it has as many
-TASK_WORDS = 1 << 24
+#: words that one task counts, of one language where it has as many, and words of the rows that it reads: a
+#: worker gets all rows of a task in one batch, so its memory follows both
+TASK_WORDS, ROW_WORDS = 1 << 22, 1 << 18
 #: rows that a task gathers before it sends them on
 GATHER = 1 << 21
 
@@ -176,6 +178,32 @@ def _blocks_of(batches):
                    at.field("gid").to_numpy())
 
 
+def _cutting(row_words: int):
+    """A pass that cuts blocks into rows of about ``row_words`` words, behind a piece's end: each has the numbers
+    of its own frequent words only, the other words are 0 like the pieces' ends."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                (ids, at, gid), = _blocks_of([b.slice(i, 1)])
+                place, ends, lo = _in_text(ids, at, np.arange(1, len(gid) + 1)), np.flatnonzero(ids == 0), 0
+                while lo < len(ids):
+                    k = np.searchsorted(ends, lo + row_words - 1)
+                    hi = int(ends[k]) + 1 if k < len(ends) else len(ids)
+                    here = place[lo:hi]
+                    own = np.flatnonzero(np.bincount(here, minlength=len(gid) + 1)[1:])
+                    number = np.zeros(len(gid) + 1, np.int32)
+                    number[own + 1] = np.arange(1, len(own) + 1)
+                    words = pa.StructArray.from_arrays(
+                        [pa.array(np.arange(len(own), dtype=np.int32)), pa.array(gid[own])], names=["i", "gid"])
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("lang").slice(i, 1), b.column("block").slice(i, 1),
+                         pa.array([_pack(number[here])], pa.binary()),
+                         pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), words)],
+                        names=["lang", "block", "ids", "at"])
+                    lo = hi
+    return run
+
+
 def _in_text(ids: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
     """The value of each position's word; 0 for other words and between pieces."""
     table = np.zeros(int(ids.max(initial=0)) + 1, value.dtype)
@@ -256,10 +284,10 @@ def _bucketing(k: int, marks: np.ndarray | None, buckets: int, min_count: int, c
                 size = 0
         if open_:
             add()
-        rows = np.minimum(-(-total * cap // min_count), cap).astype(np.uint8).reshape(-1, _CHUNK)
-        some = np.flatnonzero(rows.any(axis=1))
+        some = np.flatnonzero(total.reshape(-1, _CHUNK).any(axis=1))
+        rows = (np.minimum(-(-total[x * _CHUNK:(x + 1) * _CHUNK] * cap // min_count), cap) for x in some)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), pa.array([rows[x].tobytes() for x in some], pa.binary())],
+            [pa.array(some.astype(np.int32)), pa.array([x.astype(np.uint8).tobytes() for x in rows], pa.binary())],
             names=["chunk", "n"])
     return run
 
@@ -455,7 +483,8 @@ def _longer(coded: DataFrame, level: DataFrame, k: int, min_count: int, trie_phr
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGEST,
                      text_col: str = "text", lang_col: str = "lang",
                       block_words: int = BLOCK_WORDS, trie_phrases: int = TRIE_PHRASES,
-                      bits: int = BITS, task_words: int = TASK_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                      bits: int = BITS, task_words: int = TASK_WORDS, row_words: int = ROW_WORDS
+                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The frequent words (lang, word, gid, f), the frequent phrases of 2 to ``longest`` words
     (phrase: gids, f), and the words of each language (lang, n)."""
     ship(docs.sparkSession)
@@ -477,8 +506,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGE
     at = places.groupBy("block").agg(F.collect_list(F.struct("i", "gid")).alias("at"))
     # every task sends its counts of each phrase: a task has many words, of few languages
     n_words = totals.agg(F.sum("n")).first()[0] or 0
-    coded = stored(blocks.select("block", "lang", "ids").join(at, "block").repartitionByRange(
-        max(1, -(-n_words // task_words)), "lang", "block").select("ids", "at"), "coded")
+    coded = stored(blocks.select("lang", "block", "ids").join(at, "block").mapInArrow(
+        _cutting(row_words), "lang string, block long, ids binary, at array<struct<i:int,gid:long>>")
+        .repartitionByRange(max(1, -(-n_words // task_words)), "lang", "block").select("ids", "at"), "coded")
     full = _full_buckets(coded, 2, None, bits, min_count)
     level = stored(coded.mapInArrow(_pairs(full), PHRASE + ", n long").groupBy("phrase").agg(
         F.sum("n").alias("f")).filter(F.col("f") >= min_count), "pairs")

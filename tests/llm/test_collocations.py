@@ -112,6 +112,26 @@ def test_a_phrase_in_a_third_of_the_rows(spark):
     assert found(CO.collocations(docs)) == brute(data, 100)
 
 
+@pytest.mark.parametrize("row_words", [1, 7, 200])
+def test_blocks_are_cut_into_small_rows(spark, monkeypatch, row_words):
+    """A task's rows are small, whatever its blocks, and no phrase is lost between two of them."""
+    rng = random.Random(9)
+    data = [(" ".join(rng.choice("abcdefg") + rng.choice(["", "", ","]) for _ in range(60)), "en") for _ in range(90)]
+    docs = spark.createDataFrame(data, "text string, lang string").repartition(2)
+    tables, store = {}, CO.stored
+
+    def seen(table, name):
+        tables[name] = store(table, name)
+        return tables[name]
+
+    monkeypatch.setattr(CO, "stored", seen)
+    got = found(CO.collocations(docs, min_count=10, bits=1 << 14, row_words=row_words))
+    assert got == brute(data, 10)
+    # a row ends with the piece that reaches row_words, four bytes a word
+    most = tables["coded"].selectExpr("max(length(ids)) AS n").first().n
+    assert most <= 4 * (row_words + 60) and tables["blocks"].selectExpr("max(length(ids)) AS n").first().n > 8000
+
+
 def test_tasks_hold_few_languages(spark, monkeypatch):
     """Blocks are dealt to tasks by language, so that few tasks count a phrase."""
     data = [(lang, f"{lang}one {lang}two {lang}three") for lang in "abcd" for _ in range(300)]
