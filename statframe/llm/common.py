@@ -34,7 +34,7 @@ def alnum_words(text: str) -> list[bytes]:
 
 def space_words(text: str) -> list[bytes]:
     """Lower-cased words ``[^\\x20\\x09-\\x0D]+`` of a text, as UTF-8."""
-    return [w for w in text.encode("utf-8", "replace").translate(SPACE_TABLE).split(b" ") if w]
+    return text.encode("utf-8", "replace").translate(SPACE_TABLE).split()
 
 
 def lower_az(col: Column) -> Column:

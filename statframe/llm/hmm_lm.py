@@ -27,16 +27,17 @@ set: every word unknown, base 0 in log10.  Empty input: empty result.  Extra col
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from dataclasses import dataclass
-from itertools import chain, compress, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statframe.llm.common import id_text, space_words, stored, text_groups
+from statframe.llm.common import id_text, stored, text_groups
 
 #: the end token's key; no word contains a space
 END = b" "
@@ -44,6 +45,10 @@ SUFFIX_CLASSES = 256
 SEGMENT = 1024
 #: text bytes and documents of a block
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 15
+#: text bytes whose words are counted together
+COUNT_BYTES = 16 << 20
+#: steps after which transfer matrices are scaled: as small as emissions are, so many don't underflow
+SCALED = 8
 #: tokens that run through the recursions together
 GROUP_TOKENS = 1 << 20
 
@@ -52,28 +57,42 @@ def suffix_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % SUFFIX_CLASSES
 
 
+def _numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words, code, ends): the distinct lower-cased words of a column of texts, the number of each word of
+    all texts, one after another, and where each text's words end."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    coded, ends = split.flatten().dictionary_encode(), split.offsets.to_numpy()[1:].astype(np.int64)
+    at = np.frombuffer(coded.dictionary.buffers()[1], np.int32, len(coded.dictionary) + 1).tolist() \
+        if len(coded) else [0]
+    data = coded.dictionary.buffers()[2].to_pybytes() if at[-1] else b""
+    words, code = [data[i:j] for i, j in zip(at, at[1:])], coded.indices.to_numpy().astype(np.int64)
+    if b"" in words:  # beside white space at a text's ends
+        some = code != words.index(b"")
+        code, ends = code[some], np.append(0, np.cumsum(some))[ends]
+    return words, code, ends
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, cls, n): the documents' tokens, the end token among them."""
 
     def run(batches):
-        got: Counter = Counter()
-
-        def out():
-            words = list(got)
+        def out(held):
+            words, code, _ = _numbered(pa.concat_arrays(held))
+            n = np.append(np.bincount(code, minlength=len(words)), sum(map(len, held)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()),
-                 pa.array([-1 if w == END else suffix_class(w) for w in words], pa.int32()),
-                 pa.array(got.values(), pa.int64())], names=["word", "cls", "n"])
-
-        for b in text_groups(batches):
-            texts = b.column("text").to_pylist()
-            for t in texts:
-                got.update(space_words(t))
-            got[END] += len(texts)
-            if len(got) > 400_000:
-                yield out()
-                got.clear()
-        yield out()
+                [pa.array([*words, END], pa.binary()),
+                 pa.array([*map(suffix_class, words), -1], pa.int32()), pa.array(n, pa.int64())],
+                names=["word", "cls", "n"])
+
+        held, size = [], 0
+        for b in text_groups(batches, COUNT_BYTES):
+            held.append(b.column("text"))
+            size += held[-1].nbytes
+            if size >= COUNT_BYTES:
+                yield out(held)
+                held, size = [], 0
+        if held:
+            yield out(held)
 
     return docs.select("text").mapInArrow(run, "word binary, cls int, n long").groupBy(
         "word", "cls").agg(F.sum("n").alias("n")).filter("n > 0")
@@ -200,20 +219,31 @@ def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
             block += 1
 
         get = vocab.top.get
-        for b in text_groups(batches):
-            for doc, held, text in zip(*(c.to_pylist() for c in b.columns)):
-                words = space_words(text)
-                seq = np.fromiter(chain(map(get, words, repeat(n_top)), (vocab.end,)), np.int64,
-                                  len(words) + 1)
-                is_rare = seq[:-1] == n_top
-                rare = np.fromiter(map(local.__getitem__, compress(words, is_rare.tolist())), np.int64,
-                                   int(is_rare.sum()))
+        parts = (b.slice(i, BLOCK_DOCS) for b in text_groups(batches, BLOCK_BYTES // 2)
+                 for i in range(0, b.num_rows, BLOCK_DOCS))
+        for b in parts:
+            # a posting has 16 bits for the document
+            if docs and len(docs) + b.num_rows > BLOCK_DOCS:
+                yield from out()
+            words, code, ends = _numbered(b.column("text"))
+            known = np.fromiter(map(get, words, repeat(n_top)), np.int64, len(words))
+            met = np.zeros(len(words), bool)
+            met[code] = True
+            own = np.flatnonzero((known == n_top) & met)
+            number = np.zeros(len(words), np.int64)
+            number[own] = [local[words[i]] for i in own.tolist()]
+            every, number, lo = known[code], number[code], 0
+            for doc, held, hi in zip(b.column("doc_id").to_pylist(), b.column("held_out").to_pylist(),
+                                     ends.tolist()):
+                seq = np.append(every[lo:hi], vocab.end)
+                rare = number[lo:hi][seq[:-1] == n_top]
                 at.append(rare)
                 who.append(np.full(len(rare), len(docs), np.int64))
                 docs.append((doc, held, seq, rare))
-                held_bytes += len(text)
-                if held_bytes >= BLOCK_BYTES or len(docs) >= BLOCK_DOCS:
-                    yield from out()
+                lo = hi
+            held_bytes += b.column("text").nbytes
+            if held_bytes >= BLOCK_BYTES or len(docs) >= BLOCK_DOCS:
+                yield from out()
         if docs:
             yield from out()
 
@@ -262,16 +292,19 @@ class _Group:
         """Transfer matrix of every segment behind a first one, scaled to a sum of 1."""
         rows = np.flatnonzero(self.order)
         k = len(m.start)
-        t = np.broadcast_to(np.eye(k), (len(rows), k, k)).copy()
-        emit = m.by_class
-        for step, n in enumerate(self.running):
-            live = np.searchsorted(rows, n)
+        # a row of all matrices lies together: each step is a few operations on long arrays
+        t = np.repeat(np.eye(k)[:, None], len(rows), axis=1)
+        emit, moved = m.by_class, np.empty_like(t)
+        for step, (n, live) in enumerate(zip(self.running, np.searchsorted(rows, self.running).tolist())):
             if not live:
                 break
-            e = emit[self.obs[self.begin[step] + rows[:live]]]
-            x = (t[:live] @ m.move) * e[:, None, :]
-            t[:live] = x / x.sum(axis=(1, 2), keepdims=True)
-        return dict(zip(rows.tolist(), t))
+            e = emit.take(self.obs[self.begin[step] + rows[:live]], axis=0)
+            np.matmul(t[:, :live], m.move, out=moved[:, :live])
+            np.multiply(moved[:, :live], e, out=t[:, :live])
+            if step % SCALED == SCALED - 1:
+                t[:, :live] /= t[:, :live].sum(axis=(0, 2))[:, None]
+        t /= t.sum(axis=(0, 2))[:, None]
+        return dict(zip(rows.tolist(), np.ascontiguousarray(t.transpose(1, 0, 2))))
 
     def forward(self, m: Model, first: np.ndarray, keep: bool = False):
         """(log likelihoods, last vectors, all vectors, all scales) of the segments from the given
@@ -355,8 +388,9 @@ class _Group:
             x = last[s][:, :, None] * m.move * (emit[self.obs[after]] * b[after])[:, None, :]
             move += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         start = counts[:self.n][self.order == 0].sum(axis=0)
-        by_class = np.stack([np.bincount(self.obs, counts[:, j], m.emit.shape[1])
-                             for j in range(k)])
+        at = (self.obs[:, None] * k + np.arange(k)).ravel()
+        by_class = np.ascontiguousarray(np.bincount(
+            at, counts.ravel(), m.emit.shape[1] * k).reshape(-1, k).T)
         return start, move, by_class, log.sum()
 
 

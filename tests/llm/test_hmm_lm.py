@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import empty, frame, rows
 from pyspark.sql import functions as F
@@ -173,3 +174,33 @@ def test_recursions_read_emissions_side_by_side():
     for x, y in zip(got, want):
         assert np.allclose(x, y, rtol=1e-12)
     assert np.allclose(group.likelihoods(watched), group.likelihoods(model), rtol=1e-12)
+
+
+def test_words_are_numbered_by_columns():
+    """Distinct words are looked up once a column, whatever white space stands around them."""
+    rng = np.random.default_rng(5)
+    parts = ["a", "B", "É", "\n", " ", "\t", "\x0b", "\x0c", "\r", "\x85", "\xa0", "\x1c", "中", "İ", "Z.", "\x00"]
+    texts = [r[1] or "" for r in rows()] + ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(2000)]
+    for some in (texts, [""], [" "], []):
+        words, code, ends = L._numbered(pa.array(some, pa.string()))
+        got = [[words[i] for i in c] for c in np.split(code, ends[:-1])] if some else []
+        assert got == [space_words(t) for t in some]
+        assert len(set(words)) == len(words)
+
+
+def test_transfers_of_rare_classes_keep_their_size():
+    """Matrices go some steps without scaling; with the smallest emissions of a large corpus too."""
+    rng = np.random.default_rng(2)
+    unigram = np.full(300, 1e-12)
+    unigram[0] = 1 - unigram[1:].sum()
+    m = L.Model.initial(unigram, 8, 1)
+    seqs = [rng.integers(1, 300, n) for n in (1, 1023, 1024, 1025, 1029, 3000)]
+    g = L._Group(seqs)
+    for s, t in g.transfers(m).items():
+        x = np.eye(8)
+        at = int(g.order[s]) * L.SEGMENT
+        for c in seqs[g.doc[s]][at:at + L.SEGMENT]:
+            x = (x @ m.move) * m.emit[:, c]
+            x /= x.sum()
+        assert np.allclose(t, x, rtol=1e-9, atol=0)
+    assert len(g.transfers(m)) == 4
