@@ -8,21 +8,17 @@ the phrase without its first and the one without its last word are.
 * One scan writes the words as numbers, in blocks of one language with a dictionary each.  Word
   counts are the sum of the dictionaries; a join of the dictionaries with the frequent words gives each
   block the frequent words' numbers (no vocabulary goes to the driver or whole to a task).
-* Before each level, one pass counts the places of possible phrases by a hash, in BITS byte counters a
-  task, whose sums tell which buckets hold ``min_count`` places; what is in another bucket cannot be
-  frequent.  (With more places than ``min_count`` times BITS all buckets are full and nothing is saved.)
 * Blocks are cut into rows of ROW_WORDS words, each with the frequent words that it holds, and dealt to
-  tasks of TASK_WORDS words by language: what tasks send for each level, their
-  counters and a count per phrase, grows with the number of tasks that see a language.
-* Pairs: pairs of frequent words next to each other, in full buckets, counted per task, then summed.
-  Here listing the candidates is counting them.
-* Longer phrases: a bitmap of BITS bits (a fixed size) marks the frequent phrases of the level before.
-  Tasks list the distinct places where two of them overlap, in full buckets and often enough for one of
-  so many tasks, and joins with the level before leave the candidates.  (Joining that level with itself instead lists sum in(w) * out(w) over
-  words w.)
-  Candidates go block by block, TRIE_PHRASES at most in the mean, into a double-array trie that is
-  broadcast; numpy advances the states of all positions of a text block together, one level of the
-  trie after the other, counts accepting states with bincount, and Spark sums the tasks' counts.
+  tasks of TASK_WORDS words by language, so that few tasks count the same phrase.
+* Each level is one pass over the coded text, however many phrases there are.  A task lists its places, adds
+  up equal phrases, and sends them packed, in one row for each of a number of groups that a hash of the phrase
+  gives (by the words of the corpus, GROUP_PLACES places at most in the mean).  A group adds up what all tasks
+  sent and keeps the frequent phrases.  What is sent is bounded by the places, and sorted and added up by
+  numpy; nothing depends on how many candidates a level has.
+* Pairs: the places are those of two frequent words next to each other.
+* Longer phrases: a bitmap of BITS bits (a fixed size) marks the frequent phrases of the level before; the places
+  are those where two of them overlap.  A bit set by another phrase costs a place, not a wrong count.
+  (Joining that level with itself instead lists sum in(w) * out(w) over words w.)
 
 A cut of a phrase after its first k words scores floor(1000 * f * n / (f(first) * f(rest))), in
 decimals of 38 digits; the lowest cut counts, of equal ones the smallest k.  A phrase whose words stand
@@ -40,6 +36,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,13 +44,15 @@ from statframe.llm.common import LOWER, UPPER, stored, text_groups
 from statframe.ship import ship
 
 LONGEST = 5
-#: words of a block, phrases of a trie, and the size of bitmaps (at least _CHUNK bits).  A dictionary entry
-#: is shuffled per block and word: large blocks have fewer
-BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 20, 1 << 17, 1 << 22
+#: words of a block, frequent phrases of a group, and the size of bitmaps (a power of two).  A dictionary
+#: entry is shuffled per block and word: large blocks have fewer
+BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 21, 1 << 17, 1 << 25
+#: places that a group adds up for each of its phrases
+GROUP_PLACES = 16
 #: words that one task counts, of one language where it has as many, and words of the rows that it reads: a
 #: worker gets all rows of a task in one batch, so its memory follows both
 TASK_WORDS, ROW_WORDS = 1 << 22, 1 << 18
-#: rows that a task gathers before it sends them on
+#: places that a task gathers before it sends them on
 GATHER = 1 << 21
 
 _END = b"\n"
@@ -69,25 +68,37 @@ def piece_words(text: str) -> list[bytes]:
 
 
 class Block:
-    """Texts of one language as word numbers; number 0 ends a piece."""
+    """Texts of one language as word numbers; number 0 ends a piece.  The words are those of ``piece_words``,
+    found by columns: their letters one after another, their lengths, and which of them begin a piece."""
 
     def __init__(self):
-        self.number = defaultdict()
-        self.number.default_factory = self.number.__len__
-        self.number[_END]  # noqa: B018  the first number
-        self.parts, self.size = [], 0
-
-    def add(self, text: str):
-        words = piece_words(text)
-        words.append(_END)
-        self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-        self.size += len(words)
+        self.letters, self.lengths, self.begins, self.size = [], [], [], 0
+
+    def add(self, texts: pa.Array):
+        """A column of texts without nulls."""
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), "\n")
+        data = np.frombuffer(joined[0].as_buffer().to_pybytes().translate(_TABLE), np.uint8)
+        ends = data == _END[0]
+        gap = np.ones(len(data) + 2, bool)
+        gap[1:-1] = ends | (data == 0x20)
+        edges = np.flatnonzero(gap[1:] != gap[:-1])
+        start, stop = edges[::2], edges[1::2]
+        begins = np.zeros(len(start) + 1, bool)
+        begins[0] = True
+        begins[np.searchsorted(start, np.flatnonzero(ends))] = True
+        self.letters.append(data[~gap[1:-1]])
+        self.lengths.append(stop - start)
+        self.begins.append(begins[:-1])
+        self.size += len(start)
 
     def row(self, lang: str) -> dict:
-        ids = np.concatenate(self.parts)
-        counts = np.bincount(ids, minlength=len(self.number))[1:]
-        words = list(self.number)[1:]
-        return {"lang": lang, "ids": _pack(ids), "words": words, "counts": counts}
+        letters, lengths = np.concatenate(self.letters), np.concatenate(self.lengths)
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [
+            None, pa.py_buffer(np.append(0, np.cumsum(lengths))), pa.py_buffer(letters)]).dictionary_encode()
+        number = coded.indices.to_numpy().astype(np.int32)
+        counts = np.bincount(number, minlength=len(coded.dictionary))
+        at = np.append(np.flatnonzero(np.concatenate(self.begins))[1:], len(number))
+        return {"lang": lang, "ids": _pack(np.insert(number + 1, at, 0)), "words": coded.dictionary, "counts": counts}
 
 
 def _pack(ids: np.ndarray) -> bytes:
@@ -100,6 +111,10 @@ def _unpack(data: bytes) -> np.ndarray:
     return low | high << 16
 
 
+def _lists(values: list[pa.Array]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), pa.concat_arrays(values))
+
+
 def _encoding(block_words: int):
     """A pass that writes texts as blocks of about ``block_words`` words."""
     def batch(open_, langs):
@@ -107,15 +122,19 @@ def _encoding(block_words: int):
         return pa.RecordBatch.from_arrays(
             [pa.array([r["lang"] for r in got], pa.string()),
              pa.array([r["ids"] for r in got], pa.binary()),
-             pa.array([r["words"] for r in got], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-             pa.array([r["counts"] for r in got], pa.list_(pa.int64()))],
+             _lists([r["words"].cast(pa.large_string()).cast(pa.string()) for r in got]),
+             _lists([pa.array(r["counts"], pa.int64()) for r in got])],
             names=["lang", "ids", "words", "counts"])
 
     def run(batches):
         open_: dict[str, Block] = defaultdict(Block)
         for b in text_groups(batches):
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                open_[lang].add(text)
+            langs = b.column("lang").dictionary_encode()
+            of = langs.indices.to_numpy()
+            texts = b.column("text").take(pa.array(np.argsort(of, kind="stable")))
+            ends = np.cumsum(np.bincount(of))
+            for lang, lo, hi in zip(langs.dictionary.to_pylist(), [0, *ends], ends):
+                open_[lang].add(texts.slice(lo, hi - lo))
                 if open_[lang].size >= block_words:
                     yield batch(open_, [lang])
             if sum(x.size for x in open_.values()) >= 4 * block_words:
@@ -125,48 +144,68 @@ def _encoding(block_words: int):
     return run
 
 
-def _merged(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows of a two-dimensional array, their counts added up."""
-    order = np.lexsort(rows.T[::-1])
-    rows = rows[order]
-    first = np.ones(len(rows), bool)
-    first[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-    return rows[first], np.add.reduceat(counts[order], np.flatnonzero(first)) if len(rows) else counts
-
-
-def _phrase_batch(rows: np.ndarray, counts: np.ndarray | None) -> pa.RecordBatch:
-    k = rows.shape[1]
-    ends = pa.array(np.arange(0, len(rows) * k + 1, k, dtype=np.int32))
-    phrase = pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(rows).reshape(-1)))
-    columns = {"phrase": phrase} | ({} if counts is None else {"n": pa.array(counts, pa.int64())})
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-
-def _gathered(found, least: int = 1, counted: bool = True):
-    """Batches of a task's distinct phrases (with counts): ``found`` yields (rows, counts).  Phrases
-    of fewer than ``least`` places are left out, unless the task has to send on before its end."""
-    rows, counts, size = [], [], 0
-
-    def merge():
-        got = _merged(np.concatenate(rows), np.concatenate(counts))
-        rows[:], counts[:] = [got[0]], [got[1]]
-        return len(got[0])
-
-    for r, c in found:
-        if not len(r):
-            continue
-        rows.append(r)
-        counts.append(c)
-        size += len(r)
-        if size >= GATHER:
-            size = merge()
-            if size >= GATHER // 2:
-                yield _phrase_batch(rows[0], counts[0] if counted else None)
-                rows, counts, size, least = [], [], 0, 1
-    if rows:
-        merge()
-        enough = counts[0] >= least
-        yield _phrase_batch(rows[0][enough], counts[0][enough] if counted else None)
+def _merged(words: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes, in order, words and counts of distinct phrases; ``words`` has a row for the phrases' first
+    words, one for their second, ..., and each phrase counts 1 or its entry in ``counts``."""
+    h = _mix(words)
+    order = np.argsort(h)
+    for last in (False, True):
+        sorted_, got = h[order], words[:, order]
+        new = np.ones(len(order), bool)
+        new[1:] = (got[:, 1:] != got[:, :-1]).any(axis=0)
+        if last or not (new[1:] & (sorted_[1:] == sorted_[:-1])).any():
+            break
+        order = np.lexsort((*words, h))  # different phrases of one hash: equal ones may stand apart
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(new))) if counts is None else (
+        np.add.reduceat(counts[order], first) if len(first) else counts)
+    return sorted_[first], got[:, first], n
+
+
+def _sending(k: int, marks, groups: int):
+    """A pass that sends a task's k-word phrases, with counts, to ``groups`` groups: packed, one row each."""
+    def rows(open_):
+        h, words, n = _merged(np.concatenate(open_, axis=1))
+        of = (h >> _U(32)) * _U(groups) >> _U(32)
+        some = np.flatnonzero(np.diff(of, prepend=_U(groups)))
+        cut = list(zip(some.tolist(), [*some[1:].tolist(), len(of)]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(of[some].astype(np.int32)),
+             pa.array([_pack(words[:, a:b].reshape(-1)) for a, b in cut], pa.binary()),
+             pa.array([_pack(n[a:b]) for a, b in cut], pa.binary())], names=["part", "phrases", "n"])
+
+    def run(batches):
+        open_, size = [], 0
+        for g in _texts_of(batches):
+            i = _places(g, k, marks and marks.value)
+            # a row has far fewer places than GATHER
+            open_.append(np.stack([g[i + j] for j in range(k)]))
+            size += len(i)
+            if size >= GATHER:
+                yield rows(open_)
+                open_, size = [], 0
+        if size:
+            yield rows(open_)
+    return run
+
+
+def _frequent(coded: DataFrame, k: int, marks: np.ndarray | None, min_count: int, groups: int) -> DataFrame:
+    """(phrase, f) of the frequent phrases of k words."""
+    def add(key, table):
+        words = np.concatenate([_unpack(x.as_py()).view(np.uint32).reshape(k, -1)
+                                for x in table.column("phrases")], axis=1)
+        _, words, f = _merged(words, np.concatenate([_unpack(x.as_py()).astype(np.int64) for x in table.column("n")]))
+        enough = f >= min_count
+        flat = np.ascontiguousarray(words[:, enough].T).reshape(-1).astype(np.int64)
+        phrase = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k), pa.int32()), pa.array(flat))
+        return pa.table({"phrase": phrase, "f": pa.array(f[enough], pa.int64())})
+
+    shared = None if marks is None else coded.sparkSession.sparkContext.broadcast(marks)
+    sent = coded.mapInArrow(_sending(k, shared, groups), "part int, phrases binary, n binary")
+    got = stored(sent.groupBy("part").applyInArrow(add, "phrase array<long>, f long"), f"phrases{k}")
+    if shared is not None:
+        shared.unpersist()
+    return got
 
 
 def _blocks_of(batches):
@@ -178,6 +217,17 @@ def _blocks_of(batches):
                    at.field("gid").to_numpy())
 
 
+def _texts_of(batches):
+    """The frequent words' numbers at every position of each row; 0 for other words and between pieces."""
+    for b in batches:
+        gids, ids = b.column("at").field("gid"), b.column("ids")
+        for i in range(b.num_rows):
+            gid = gids[i].values.to_numpy()
+            if len(gid) and gid.max() >> 32:
+                raise OverflowError("phrases are of 32-bit word numbers")
+            yield np.append(0, gid).astype(np.uint32)[_unpack(ids[i].as_py())]
+
+
 def _cutting(row_words: int):
     """A pass that cuts blocks into rows of about ``row_words`` words, behind a piece's end: each has the numbers
     of its own frequent words only, the other words are 0 like the pieces' ends."""
@@ -193,12 +243,11 @@ def _cutting(row_words: int):
                     own = np.flatnonzero(np.bincount(here, minlength=len(gid) + 1)[1:])
                     number = np.zeros(len(gid) + 1, np.int32)
                     number[own + 1] = np.arange(1, len(own) + 1)
-                    words = pa.StructArray.from_arrays(
-                        [pa.array(np.arange(len(own), dtype=np.int32)), pa.array(gid[own])], names=["i", "gid"])
+                    words = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.array(gid[own]))
                     yield pa.RecordBatch.from_arrays(
                         [b.column("lang").slice(i, 1), b.column("block").slice(i, 1),
                          pa.array([_pack(number[here])], pa.binary()),
-                         pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), words)],
+                         pa.StructArray.from_arrays([words], names=["gid"])],
                         names=["lang", "block", "ids", "at"])
                     lo = hi
     return run
@@ -214,30 +263,49 @@ def _in_text(ids: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
 _U = np.uint64
 
 
-def _hash(words: list[np.ndarray], bits: int) -> np.ndarray:
-    """A place in the bitmap for each phrase, given its first, second, ... words."""
+def _mix(words) -> np.ndarray:
+    """A 64-bit hash of each phrase, given its first, second, ... words."""
     x = np.zeros(len(words[0]), _U)
     for w in words:
         x = (x ^ w.astype(_U)) * _U(0x9E3779B97F4A7C15)
         x = (x ^ (x >> _U(31))) * _U(0xBF58476D1CE4E5B9)
         x ^= x >> _U(29)
-    return (x % _U(bits)).astype(np.int64)
+    return x
+
+
+def _hash(words, bits: int) -> np.ndarray:
+    """A place in the bitmap for each phrase."""
+    return (_mix(words) % _U(bits)).astype(np.int64)
+
+
+#: bits of a row in which a bitmap goes to the driver, of smaller bitmaps all
+_CHUNK = 1 << 17
 
 
 def _bitmap(level: DataFrame, k: int, bits: int) -> np.ndarray:
     """The bits of the k-word phrases in ``level``, as many however many phrases there are."""
+    chunk = min(bits, _CHUNK)
+
     def places(batches):
+        marked = np.zeros(bits, bool)
         for b in batches:
-            flat = b.column("phrase").flatten().to_numpy().reshape(-1, k)
-            at = np.unique(_hash(list(flat.T), bits))
-            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
+            marked[_hash(list(b.column("phrase").flatten().to_numpy().reshape(-1, k).T), bits)] = True
+        rows = np.packbits(marked, bitorder="little").reshape(-1, chunk // 8)
+        some = np.flatnonzero(rows.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(
+            [rows[i].tobytes() for i in some], pa.binary())], names=["chunk", "bits"])
 
-    words = (level.select("phrase").mapInArrow(places, "at long")
-             .groupBy(F.shiftright("at", 5).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 as int))")).alias("bits")).collect())
-    out = np.zeros(bits >> 5, np.uint32)
-    out[[r["word"] for r in words]] = [r["bits"] for r in words]
-    return out
+    def add(key, table):
+        one = np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in table.column("bits")], axis=0)
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([one.tobytes()], pa.binary())})
+
+    # a group has one row per task
+    got = level.select("phrase").mapInArrow(places, "chunk int, bits binary").groupBy("chunk").applyInArrow(
+        add, "chunk int, bits binary").collect()
+    out = np.zeros((bits // chunk, chunk // 32), np.uint32)
+    for r in got:
+        out[r["chunk"]] = np.frombuffer(r["bits"], np.uint32)
+    return out.reshape(-1)
 
 
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -261,90 +329,6 @@ def _places(g: np.ndarray, k: int, marks: np.ndarray | None) -> np.ndarray:
     return np.flatnonzero(marked[:-1] & marked[1:])
 
 
-_CHUNK = 1 << 12
-
-
-def _bucketing(k: int, marks: np.ndarray | None, buckets: int, min_count: int, cap: int):
-    """A pass that counts the candidates' places by a hash into ``buckets``, one byte each: counts are
-    scaled to ``cap`` for ``min_count``, rounded up, and stop there."""
-    def run(batches):
-        total, open_, size = np.zeros(buckets, np.int64), [], 0
-
-        def add():
-            total[:] += np.bincount(np.concatenate(open_), minlength=buckets)
-            open_.clear()
-
-        for ids, at, gid in _blocks_of(batches):
-            g = _in_text(ids, at, gid)
-            i = _places(g, k, marks)
-            open_.append(_hash([g[i + j] for j in range(k)], buckets))
-            size += len(i)
-            if size >= 1 << 20:
-                add()
-                size = 0
-        if open_:
-            add()
-        some = np.flatnonzero(total.reshape(-1, _CHUNK).any(axis=1))
-        rows = (np.minimum(-(-total[x * _CHUNK:(x + 1) * _CHUNK] * cap // min_count), cap) for x in some)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), pa.array([x.astype(np.uint8).tobytes() for x in rows], pa.binary())],
-            names=["chunk", "n"])
-    return run
-
-
-def _full_buckets(coded: DataFrame, k: int, marks: np.ndarray | None, buckets: int, min_count: int
-                  ) -> np.ndarray:
-    """The bits of the buckets whose places add up to ``min_count``: a candidate in another one
-    cannot be frequent.  ``buckets`` bits, whatever the number of candidates."""
-    cap = min(min_count, 255)
-
-    def add(key, table):
-        rows = table.column("n").to_pylist()
-        total = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), _CHUNK).sum(axis=0, dtype=np.int64)
-        full = np.packbits(total >= cap, bitorder="little").tobytes()
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([full], pa.binary())})
-
-    # a group has one row of _CHUNK bytes per task
-    got = coded.mapInArrow(_bucketing(k, marks, buckets, min_count, cap), "chunk int, n binary").groupBy(
-        "chunk").applyInArrow(add, "chunk int, bits binary").collect()
-    out = np.zeros((buckets // _CHUNK, _CHUNK // 32), np.uint32)
-    for r in got:
-        out[r["chunk"]] = np.frombuffer(r["bits"], np.uint32)
-    return out.reshape(-1)
-
-
-def _pairs(full: np.ndarray):
-    """A pass that counts the pairs of frequent words in full buckets."""
-    def run(batches):
-        def found():
-            for ids, at, gid in _blocks_of(batches):
-                w = _in_text(ids, at, np.arange(1, len(gid) + 1))
-                i = _places(w, 2, None)
-                a, b = w[i], w[i + 1]
-                some = _has(full, _hash([gid[a - 1], gid[b - 1]], 32 * len(full)))
-                code, n = np.unique(a[some] * (len(gid) + 1) + b[some], return_counts=True)
-                yield gid[np.stack(np.divmod(code, len(gid) + 1), axis=1) - 1], n
-
-        yield from _gathered(found())
-    return run
-
-
-def _listing(marks: np.ndarray, full: np.ndarray, k: int, least: int):
-    """A pass that lists the k-word candidates in full buckets that have ``least`` places in a task."""
-    def run(batches):
-        def found():
-            for ids, at, gid in _blocks_of(batches):
-                g = _in_text(ids, at, gid)
-                i = _places(g, k, marks)
-                i = i[_has(full, _hash([g[i + j] for j in range(k)], 32 * len(full)))]
-                if len(i):
-                    yield _merged(np.stack([g[i + j] for j in range(k)], axis=1),
-                                  np.ones(len(i), np.int64))
-
-        yield from _gathered(found(), least, counted=False)
-    return run
-
-
 class DoubleArrayTrie:
     """A trie of phrases of one length.  A state is a slot; its child by symbol s is slot
     base[state] + s, if check there names the state.  About a quarter of the slots is used."""
@@ -429,55 +413,20 @@ class DoubleArrayTrie:
         return np.bincount(self.accept[state], minlength=len(self.phrases))
 
 
-def _counting(trie):
-    """A pass that counts a broadcast trie's phrases, with one row per phrase and task."""
-    def run(batches):
-        total = None
-        for ids, at, gid in _blocks_of(batches):
-            t = trie.value
-            n = t.count(_in_text(ids, at, t.symbols(gid)))
-            total = n if total is None else total + n
-        if total is not None and total.any():
-            some = np.flatnonzero(total)
-            yield _phrase_batch(trie.value.phrases[some], total[some])
-    return run
-
-
-PHRASE = "phrase array<long>"
 #: products may pass 64 bits: decimals of 38 digits, divided exactly
 SCORE = ("(1000 * cast(f as decimal(19,0)) * cast(n as decimal(19,0)))"
          " div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
 
 
-def _longer(coded: DataFrame, level: DataFrame, k: int, min_count: int, trie_phrases: int,
-            bits: int) -> DataFrame | None:
-    """(phrase, f) of the frequent phrases of k words, given those of k - 1."""
-    spark = coded.sparkSession
-    marks = _bitmap(level, k - 1, bits)
-    full = _full_buckets(coded, k, marks, bits, min_count)
-    # of min_count places, so many lie in one of the tasks that read the table
-    tasks = coded.select(F.spark_partition_id().alias("task")).distinct().count()
-    least = -(-min_count // max(1, tasks))
-    listed = coded.mapInArrow(_listing(marks, full, k, least), PHRASE).distinct()
-    for start in (1, 2):
-        part = level.select(F.col("phrase").alias("part"))
-        listed = listed.withColumn("part", F.slice("phrase", start, k - 1)).join(
-            part, "part", "left_semi").drop("part")
-    listed = stored(listed, "candidates")
-    blocks = -(-listed.count() // trie_phrases)
-    found = None
-    for b in range(blocks):
-        mine = listed.filter(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == b)
-        # a bounded block of candidates
-        flat = mine.toArrow().column("phrase").combine_chunks().flatten().to_numpy()
-        if not len(flat):
-            continue
-        trie = spark.sparkContext.broadcast(DoubleArrayTrie(flat.reshape(-1, k)))
-        got = stored(coded.mapInArrow(_counting(trie), PHRASE + ", n long").groupBy("phrase").agg(
-            F.sum("n").alias("f")).filter(F.col("f") >= min_count), "counted")
-        trie.unpersist()
-        found = got if found is None else found.unionByName(got)
-    return found
+def _numbered(words: DataFrame) -> DataFrame:
+    """``words`` with their ids, a partition's number above 33 bits, made 1, 2, 3, ..."""
+    part = F.shiftright("gid", 33).cast("int")
+    first, total = [0], 0
+    for r in words.groupBy(part.alias("part")).count().orderBy("part").collect():
+        first += [0] * (r["part"] + 1 - len(first))
+        first[r["part"]], total = total, total + r["count"]
+    return words.withColumn("gid", F.get(F.lit(first).cast("array<long>"), part)
+                            + F.col("gid").bitwiseAND((1 << 33) - 1) + 1)
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGEST,
@@ -498,25 +447,24 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGE
         "counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
     counts = blocks.select("lang", F.inline(F.arrays_zip(
         F.col("words").alias("word"), F.col("counts").alias("n"))))
-    words = stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-                   .filter(F.col("f") >= min_count)
-                   .withColumn("gid", F.monotonically_increasing_id() + 1), "words")
+    words = _numbered(stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("f"))
+                             .filter(F.col("f") >= min_count)
+                             .withColumn("gid", F.monotonically_increasing_id()), "words"))
     places = blocks.select("block", "lang", F.posexplode("words").alias("i", "word")).join(
         words.select("lang", "word", "gid"), ["lang", "word"])
     at = places.groupBy("block").agg(F.collect_list(F.struct("i", "gid")).alias("at"))
     # every task sends its counts of each phrase: a task has many words, of few languages
     n_words = totals.agg(F.sum("n")).first()[0] or 0
     coded = stored(blocks.select("lang", "block", "ids").join(at, "block").mapInArrow(
-        _cutting(row_words), "lang string, block long, ids binary, at array<struct<i:int,gid:long>>")
+        _cutting(row_words), "lang string, block long, ids binary, at struct<gid:array<long>>")
         .repartitionByRange(max(1, -(-n_words // task_words)), "lang", "block").select("ids", "at"), "coded")
-    full = _full_buckets(coded, 2, None, bits, min_count)
-    level = stored(coded.mapInArrow(_pairs(full), PHRASE + ", n long").groupBy("phrase").agg(
-        F.sum("n").alias("f")).filter(F.col("f") >= min_count), "pairs")
-    phrases = level
+    groups = max(1, -(-n_words // (GROUP_PLACES * trie_phrases)))
+    phrases = level = _frequent(coded, 2, None, min_count, groups)
     for k in range(3, longest + 1):
-        level = _longer(coded, level, k, min_count, trie_phrases, bits)
-        if level is None:
+        marks = _bitmap(level, k - 1, bits)
+        if not marks.any():
             break
+        level = _frequent(coded, k, marks, min_count, groups)
         phrases = phrases.unionByName(level)
     return words, phrases, totals
 

@@ -149,3 +149,75 @@ def test_tasks_hold_few_languages(spark, monkeypatch):
     rows = tables["coded"].selectExpr("input_file_name() AS file", "at.gid AS gid").collect()
     files = {(r.file, lang[g]) for r in rows for g in r.gid}
     assert len({f for f, _ in files}) <= 4 and len(files) <= 7
+
+
+def test_a_level_is_one_pass_however_many_candidates(spark, monkeypatch):
+    """No pass over the text for each block of candidates, and no row for each phrase of a task."""
+    data = sample()
+    docs = spark.createDataFrame(data, "text string, lang string").repartition(5)
+    names, sent, store, sending = [], [], CO.stored, CO._sending
+
+    def seen(table, name):
+        names.append(name)
+        return store(table, name)
+
+    def packed(k, marks, groups):
+        sent.append((k, groups))
+        return sending(k, marks, groups)
+
+    monkeypatch.setattr(CO, "stored", seen)
+    monkeypatch.setattr(CO, "_sending", packed)
+    for phrases in (10, 1 << 17):
+        names.clear()
+        assert found(CO.collocations(docs, min_count=20, trie_phrases=phrases, bits=1 << 16)) == brute(data, 20)
+        assert len(names) <= 3 + 4 and len(set(names)) == len(names)
+    assert [k for k, _ in sent] == 2 * [2, 3, 4, 5] and sent[0][1] > 50 and sent[4][1] == 1
+
+
+def test_tasks_send_packed_groups():
+    """A task's rows are as many as groups, whatever the number of its phrases."""
+    import pyarrow as pa
+
+    gid = pa.array([list(range(1, 301))])
+    ids = np.random.default_rng(1).integers(1, 301, 30000)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([CO._pack(ids)], pa.binary()), pa.StructArray.from_arrays([gid], names=["gid"])], names=["ids", "at"])
+    got = [r for b in CO._sending(2, None, 7)([batch]) for r in b.to_pylist()]
+    assert sorted(r["part"] for r in got) == list(range(7))
+    have = Counter()
+    for r in got:
+        first, second = CO._unpack(r["phrases"]).reshape(2, -1)
+        have.update(dict(zip(zip(first.tolist(), second.tolist()), CO._unpack(r["n"]).tolist())))
+    assert have == Counter(zip(ids[:-1].tolist(), ids[1:].tolist()))
+
+
+def test_phrases_of_one_hash_stay_apart(monkeypatch):
+    mix = CO._mix
+    monkeypatch.setattr(CO, "_mix", lambda words: mix(words) % np.uint64(5))
+    rng = np.random.default_rng(2)
+    words, n = rng.integers(0, 6, (3, 4000)).astype(np.uint32), rng.integers(1, 9, 4000)
+    want = Counter()
+    for p, c in zip(words.T.tolist(), n.tolist()):
+        want[tuple(p)] += c
+    for counts, total in ((n, want), (None, Counter(map(tuple, words.T.tolist())))):
+        h, got, f = CO._merged(words, counts)
+        assert (np.diff(h.astype(int)) >= 0).all() and len(f) == len(total)
+        assert dict(zip(map(tuple, got.T.tolist()), f.tolist())) == total
+
+
+def test_words_are_found_by_columns():
+    """The same words and pieces as text by text."""
+    import pyarrow as pa
+
+    texts = ["", "  ", "\n", "One  TWO,three", "É à\tb;c\x0b d\x1fe", ".,x.", "x", "one two" * 3, "\r\n a b "]
+    block = CO.Block()
+    for part in (texts[:3], texts[3:7], texts[7:]):
+        block.add(pa.array(part))
+    row = block.row("en")
+    words = row["words"].to_pylist()
+    pieces = lambda ws: [p.split(b" ") for p in b" ".join(ws).replace(b" \n ", b"\n").split(b"\n") if p.strip()]
+    have = pieces([b"\n" if i == 0 else words[i - 1] for i in CO._unpack(row["ids"])])
+    want = [p for t in texts for p in pieces([w for w in CO.piece_words(t + "\n")])]
+    have, want = ([[w for w in p if w] for p in x] for x in (have, want))
+    assert have == want
+    assert Counter(w for p in want for w in p) == dict(zip(words, row["counts"].tolist()))
