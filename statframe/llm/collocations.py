@@ -5,9 +5,10 @@ contiguous occurrences of 1 to LONGEST words within pieces, per language.  Phras
 ``min_count`` are found level by level, each level Apriori-safe: a phrase can only be frequent if
 the phrase without its first and the one without its last word are.
 
-* One scan writes the words as numbers, in blocks of one language with a dictionary each.  Word
-  counts are the sum of the dictionaries; a join of the dictionaries with the frequent words gives each
-  block the frequent words' numbers (no vocabulary goes to the driver or whole to a task).
+* One scan writes the words as numbers, in blocks of one language with a dictionary each.  The
+  dictionaries' words go, packed, to groups by a hash of the word (GROUP_WORDS entries in the mean), which add up
+  the counts, number the frequent words, and send each block the numbers of its own (no vocabulary goes to the
+  driver or whole to a task).
 * Blocks are cut into rows of ROW_WORDS words, each with the frequent words that it holds, and dealt to
   tasks of TASK_WORDS words by language, so that few tasks count the same phrase.
 * Each level is one pass over the coded text, however many phrases there are.  A task lists its places, adds
@@ -47,8 +48,8 @@ LONGEST = 5
 #: words of a block, frequent phrases of a group, and the size of bitmaps (a power of two).  A dictionary
 #: entry is shuffled per block and word: large blocks have fewer
 BLOCK_WORDS, TRIE_PHRASES, BITS = 1 << 21, 1 << 17, 1 << 25
-#: places that a group adds up for each of its phrases
-GROUP_PLACES = 16
+#: places that a group adds up for each of its phrases, and entries of dictionaries that a group adds up
+GROUP_PLACES, GROUP_WORDS = 16, 1 << 19
 #: words that one task counts, of one language where it has as many, and words of the rows that it reads: a
 #: worker gets all rows of a task in one batch, so its memory follows both
 TASK_WORDS, ROW_WORDS = 1 << 22, 1 << 18
@@ -67,6 +68,20 @@ def piece_words(text: str) -> list[bytes]:
     return [w for w in cut.split(b" ") if w]
 
 
+def _strings(letters: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [
+        None, pa.py_buffer(np.append(0, np.cumsum(lengths))), pa.py_buffer(letters)])
+
+
+def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_strings`` makes words of; they have no nulls and are no slice."""
+    if not len(words):
+        return np.empty(0, np.uint8), np.empty(0, np.int64)
+    _, ends, data = words.buffers()
+    at = np.frombuffer(ends, np.int64)[:len(words) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]], np.diff(at)
+
+
 class Block:
     """Texts of one language as word numbers; number 0 ends a piece.  The words are those of ``piece_words``,
     found by columns: their letters one after another, their lengths, and which of them begin a piece."""
@@ -93,8 +108,7 @@ class Block:
 
     def row(self, lang: str) -> dict:
         letters, lengths = np.concatenate(self.letters), np.concatenate(self.lengths)
-        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [
-            None, pa.py_buffer(np.append(0, np.cumsum(lengths))), pa.py_buffer(letters)]).dictionary_encode()
+        coded = _strings(letters, lengths).dictionary_encode()
         number = coded.indices.to_numpy().astype(np.int32)
         counts = np.bincount(number, minlength=len(coded.dictionary))
         at = np.append(np.flatnonzero(np.concatenate(self.begins))[1:], len(number))
@@ -111,20 +125,21 @@ def _unpack(data: bytes) -> np.ndarray:
     return low | high << 16
 
 
-def _lists(values: list[pa.Array]) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), pa.concat_arrays(values))
+BLOCK = ("lang string, ids binary, words binary, lengths binary, counts binary, entries long, n long")
 
 
 def _encoding(block_words: int):
     """A pass that writes texts as blocks of about ``block_words`` words."""
     def batch(open_, langs):
-        got = [open_.pop(lang).row(lang) for lang in langs]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r["lang"] for r in got], pa.string()),
-             pa.array([r["ids"] for r in got], pa.binary()),
-             _lists([r["words"].cast(pa.large_string()).cast(pa.string()) for r in got]),
-             _lists([pa.array(r["counts"], pa.int64()) for r in got])],
-            names=["lang", "ids", "words", "counts"])
+        rows = []
+        for lang in langs:
+            r = open_.pop(lang).row(lang)
+            letters, lengths = _letters(r["words"])
+            rows.append((lang, r["ids"], letters.tobytes(), _pack(lengths), _pack(r["counts"]), len(lengths),
+                         int(r["counts"].sum())))
+        kinds = [pa.string(), *4 * [pa.binary()], pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[
+            "lang", "ids", "words", "lengths", "counts", "entries", "n"])
 
     def run(batches):
         open_: dict[str, Block] = defaultdict(Block)
@@ -144,35 +159,47 @@ def _encoding(block_words: int):
     return run
 
 
-def _merged(words: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes, in order, words and counts of distinct phrases; ``words`` has a row for the phrases' first
-    words, one for their second, ..., and each phrase counts 1 or its entry in ``counts``."""
+def _merged(words: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Words and counts of distinct phrases; ``words`` has a row for the phrases' first words, one for their
+    second, ..., and each phrase counts 1 or its entry in ``counts``."""
+    if counts is None and len(words) == 2:  # a pair is a number of 64 bits
+        pair = np.sort(words[0].astype(_U) << _U(32) | words[1])
+        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[:len(pair)])
+        n, pair = np.diff(np.append(first, len(pair))), pair[first]
+        return np.stack([pair >> _U(32), pair & _U(0xFFFFFFFF)]).astype(np.uint32), n
     h = _mix(words)
     order = np.argsort(h)
     for last in (False, True):
-        sorted_, got = h[order], words[:, order]
+        h_, got = h[order], words[:, order]
         new = np.ones(len(order), bool)
         new[1:] = (got[:, 1:] != got[:, :-1]).any(axis=0)
-        if last or not (new[1:] & (sorted_[1:] == sorted_[:-1])).any():
+        if last or not (new[1:] & (h_[1:] == h_[:-1])).any():
             break
         order = np.lexsort((*words, h))  # different phrases of one hash: equal ones may stand apart
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(new))) if counts is None else (
         np.add.reduceat(counts[order], first) if len(first) else counts)
-    return sorted_[first], got[:, first], n
+    return got[:, first], n
+
+
+def _dealt(hashes: np.ndarray, groups: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by groups, and (group, from, to) in that order."""
+    of = ((hashes >> _U(32)) * _U(groups) >> _U(32)).astype(np.uint16 if groups < 1 << 16 else np.uint32)
+    order = np.argsort(of, kind="stable")
+    ends = np.flatnonzero(np.diff(of[order])) + 1
+    return order, [(int(of[order[x]]), x, y) for x, y in zip([0, *ends.tolist()], [*ends.tolist(), len(of)])]
 
 
 def _sending(k: int, marks, groups: int):
     """A pass that sends a task's k-word phrases, with counts, to ``groups`` groups: packed, one row each."""
     def rows(open_):
-        h, words, n = _merged(np.concatenate(open_, axis=1))
-        of = (h >> _U(32)) * _U(groups) >> _U(32)
-        some = np.flatnonzero(np.diff(of, prepend=_U(groups)))
-        cut = list(zip(some.tolist(), [*some[1:].tolist(), len(of)]))
+        words, n = _merged(np.concatenate(open_, axis=1))
+        order, cut = _dealt(_mix(words), groups)
+        words, n = words[:, order], n[order]
         return pa.RecordBatch.from_arrays(
-            [pa.array(of[some].astype(np.int32)),
-             pa.array([_pack(words[:, a:b].reshape(-1)) for a, b in cut], pa.binary()),
-             pa.array([_pack(n[a:b]) for a, b in cut], pa.binary())], names=["part", "phrases", "n"])
+            [pa.array([g for g, _, _ in cut], pa.int32()),
+             pa.array([_pack(words[:, a:b].reshape(-1)) for _, a, b in cut], pa.binary()),
+             pa.array([_pack(n[a:b]) for _, a, b in cut], pa.binary())], names=["part", "phrases", "n"])
 
     def run(batches):
         open_, size = [], 0
@@ -194,7 +221,7 @@ def _frequent(coded: DataFrame, k: int, marks: np.ndarray | None, min_count: int
     def add(key, table):
         words = np.concatenate([_unpack(x.as_py()).view(np.uint32).reshape(k, -1)
                                 for x in table.column("phrases")], axis=1)
-        _, words, f = _merged(words, np.concatenate([_unpack(x.as_py()).astype(np.int64) for x in table.column("n")]))
+        words, f = _merged(words, np.concatenate([_unpack(x.as_py()).astype(np.int64) for x in table.column("n")]))
         enough = f >= min_count
         flat = np.ascontiguousarray(words[:, enough].T).reshape(-1).astype(np.int64)
         phrase = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k), pa.int32()), pa.array(flat))
@@ -208,13 +235,85 @@ def _frequent(coded: DataFrame, k: int, marks: np.ndarray | None, min_count: int
     return got
 
 
-def _blocks_of(batches):
-    """(ids, place of each frequent word, its number) of every block."""
-    for b in batches:
-        for i in range(b.num_rows):
-            at = b.column("at")[i].values
-            yield (_unpack(b.column("ids")[i].as_py()), at.field("i").to_numpy() + 1,
-                   at.field("gid").to_numpy())
+_POWERS = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def _dealing(groups: int):
+    """A pass that deals the entries of blocks' dictionaries to ``groups`` groups, by a hash of the word: one
+    row for each, with the entries' numbers."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                lang, block = (b.column(c).slice(i, 1) for c in ("lang", "block"))
+                letters = np.frombuffer(b.column("words")[i].as_py(), np.uint8)
+                lengths, counts = (_unpack(b.column(c)[i].as_py()) for c in ("lengths", "counts"))
+                if not len(lengths):
+                    continue
+                start = np.cumsum(lengths, dtype=np.int64) - lengths
+                letter = np.arange(len(letters)) - np.repeat(start, lengths)
+                h = np.add.reduceat(_POWERS[letter & 255] * (letters.astype(_U) + _U(1)), start)
+                order, cut = _dealt(_mix([h]), groups)
+                words, sizes = _letters(_strings(letters, lengths).take(pa.array(order)))
+                ends = np.append(0, np.cumsum(sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays(len(cut) * [lang]), pa.concat_arrays(len(cut) * [block]),
+                     pa.array([g for g, _, _ in cut], pa.int32()),
+                     pa.array([words[ends[x]:ends[y]].tobytes() for _, x, y in cut], pa.binary()),
+                     pa.array([_pack(sizes[x:y]) for _, x, y in cut], pa.binary()),
+                     pa.array([_pack(counts[order[x:y]]) for _, x, y in cut], pa.binary()),
+                     pa.array([_pack(order[x:y] + 1) for _, x, y in cut], pa.binary())],
+                    names=["lang", "block", "part", "words", "lengths", "counts", "i"])
+    return run
+
+
+DEALT = "lang string, block long, part int, words binary, lengths binary, counts binary, i binary"
+VOCABULARY = ("lang string, part int, words array<string>, f array<long>, "
+              "at array<struct<block:long,i:binary,gid:binary>>")
+
+
+def _numbering(min_count: int):
+    """Adds up a group of dictionaries' entries: its frequent words in one row, and for each block which of its
+    entries they are; the numbers 1, 2, ... are the group's own."""
+    def add(key, table):
+        sizes = [_unpack(x.as_py()) for x in table.column("lengths")]
+        coded = _strings(np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("words")]),
+                         np.concatenate(sizes)).dictionary_encode()
+        of, f = coded.indices.to_numpy(), np.zeros(len(coded.dictionary), np.int64)
+        np.add.at(f, of, np.concatenate([_unpack(x.as_py()) for x in table.column("counts")]))
+        enough = f >= min_count
+        gid = np.where(enough, np.cumsum(enough), 0)[of]
+        at, lo = [], 0
+        for block, i, size in zip(table.column("block").to_pylist(), table.column("i"), sizes):
+            mine = gid[lo:lo + len(size)]
+            if mine.any():
+                at.append({"block": block, "i": _pack(_unpack(i.as_py())[mine > 0]), "gid": _pack(mine[mine > 0])})
+            lo += len(size)
+        words = coded.dictionary.filter(pa.array(enough)).cast(pa.large_string()).cast(pa.string())
+        ends = pa.array([0, len(words)], pa.int32())
+        return pa.table({
+            "lang": pa.array([key[0].as_py()], pa.string()), "part": pa.array([key[1].as_py()], pa.int32()),
+            "words": pa.ListArray.from_arrays(ends, words),
+            "f": pa.ListArray.from_arrays(ends, pa.array(f[enough])),
+            "at": pa.array([at], pa.list_(pa.struct([("block", pa.int64()), ("i", pa.binary()), ("gid", pa.binary())])))})
+    return add
+
+
+def _vocabulary(blocks: DataFrame, min_count: int, group_words: int) -> tuple[DataFrame, DataFrame]:
+    """The frequent words (lang, word, f, gid), numbered 1, 2, ..., and for each block ``at``: parts with the
+    numbers of entries, those of words, and what to add to these."""
+    entries = blocks.agg(F.sum("entries")).first()[0] or 0
+    got = stored(blocks.select("block", "lang", "words", "lengths", "counts").mapInArrow(
+        _dealing(max(1, -(-entries // group_words))), DEALT).groupBy("lang", "part").applyInArrow(
+        _numbering(min_count), VOCABULARY), "vocabulary")
+    sizes = got.select("lang", "part", F.size("words").cast("long").alias("base")).toArrow()
+    bases = sizes.set_column(2, "base", pa.array(np.append(0, np.cumsum(sizes["base"]))[:-1], pa.int64()))
+    got = got.join(F.broadcast(blocks.sparkSession.createDataFrame(bases)), ["lang", "part"])
+    words = stored(got.select("lang", "base", F.posexplode(F.arrays_zip("words", "f")).alias("i", "e")).select(
+        "lang", F.col("e.words").alias("word"), F.col("e.f").alias("f"),
+        (F.col("base") + F.col("i") + 1).alias("gid")), "words")
+    at = got.select("base", F.inline("at")).groupBy("block").agg(
+        F.collect_list(F.struct("i", "gid", "base")).alias("at"))
+    return words, at
 
 
 def _texts_of(batches):
@@ -234,7 +333,9 @@ def _cutting(row_words: int):
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
-                (ids, at, gid), = _blocks_of([b.slice(i, 1)])
+                ids, parts = _unpack(b.column("ids")[i].as_py()), b.column("at")[i].as_py()
+                at = np.concatenate([_unpack(p["i"]) for p in parts])
+                gid = np.concatenate([_unpack(p["gid"]).astype(np.int64) + p["base"] for p in parts])
                 place, ends, lo = _in_text(ids, at, np.arange(1, len(gid) + 1)), np.flatnonzero(ids == 0), 0
                 while lo < len(ids):
                     k = np.searchsorted(ends, lo + row_words - 1)
@@ -418,17 +519,6 @@ SCORE = ("(1000 * cast(f as decimal(19,0)) * cast(n as decimal(19,0)))"
          " div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
 
 
-def _numbered(words: DataFrame) -> DataFrame:
-    """``words`` with their ids, a partition's number above 33 bits, made 1, 2, 3, ..."""
-    part = F.shiftright("gid", 33).cast("int")
-    first, total = [0], 0
-    for r in words.groupBy(part.alias("part")).count().orderBy("part").collect():
-        first += [0] * (r["part"] + 1 - len(first))
-        first[r["part"]], total = total, total + r["count"]
-    return words.withColumn("gid", F.get(F.lit(first).cast("array<long>"), part)
-                            + F.col("gid").bitwiseAND((1 << 33) - 1) + 1)
-
-
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGEST,
                      text_col: str = "text", lang_col: str = "lang",
                       block_words: int = BLOCK_WORDS, trie_phrases: int = TRIE_PHRASES,
@@ -441,23 +531,15 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = LONGE
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     blocks = stored(texts.mapInArrow(
-        _encoding(block_words), "lang string, ids binary, words array<string>, counts array<long>").withColumn(
-        "block", F.monotonically_increasing_id()), "blocks")
-    totals = blocks.groupBy("lang").agg(F.sum(F.aggregate(
-        "counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
-    counts = blocks.select("lang", F.inline(F.arrays_zip(
-        F.col("words").alias("word"), F.col("counts").alias("n"))))
-    words = _numbered(stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-                             .filter(F.col("f") >= min_count)
-                             .withColumn("gid", F.monotonically_increasing_id()), "words"))
-    places = blocks.select("block", "lang", F.posexplode("words").alias("i", "word")).join(
-        words.select("lang", "word", "gid"), ["lang", "word"])
-    at = places.groupBy("block").agg(F.collect_list(F.struct("i", "gid")).alias("at"))
+        _encoding(block_words), BLOCK).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
+    words, at = _vocabulary(blocks, min_count, GROUP_WORDS)
     # every task sends its counts of each phrase: a task has many words, of few languages
     n_words = totals.agg(F.sum("n")).first()[0] or 0
-    coded = stored(blocks.select("lang", "block", "ids").join(at, "block").mapInArrow(
-        _cutting(row_words), "lang string, block long, ids binary, at struct<gid:array<long>>")
-        .repartitionByRange(max(1, -(-n_words // task_words)), "lang", "block").select("ids", "at"), "coded")
+    coded = stored(blocks.select("lang", "block", "ids").join(at, "block").repartitionByRange(
+        max(1, -(-n_words // task_words)), "lang", "block").mapInArrow(
+        _cutting(row_words), "lang string, block long, ids binary, at struct<gid:array<long>>").select(
+        "ids", "at"), "coded")
     groups = max(1, -(-n_words // (GROUP_PLACES * trie_phrases)))
     phrases = level = _frequent(coded, 2, None, min_count, groups)
     for k in range(3, longest + 1):
