@@ -125,7 +125,7 @@ def _unpack(data: bytes) -> np.ndarray:
     return low | high << 16
 
 
-BLOCK = ("lang string, ids binary, words binary, lengths binary, counts binary, entries long, n long")
+BLOCK = "lang string, ids binary, words binary, lengths binary, counts binary, entries long, n long"
 
 
 def _encoding(block_words: int):
@@ -294,7 +294,8 @@ def _numbering(min_count: int):
             "lang": pa.array([key[0].as_py()], pa.string()), "part": pa.array([key[1].as_py()], pa.int32()),
             "words": pa.ListArray.from_arrays(ends, words),
             "f": pa.ListArray.from_arrays(ends, pa.array(f[enough])),
-            "at": pa.array([at], pa.list_(pa.struct([("block", pa.int64()), ("i", pa.binary()), ("gid", pa.binary())])))})
+            "at": pa.array([at], pa.list_(pa.struct(
+                [("block", pa.int64()), ("i", pa.binary()), ("gid", pa.binary())])))})
     return add
 
 
@@ -398,7 +399,8 @@ def _bitmap(level: DataFrame, k: int, bits: int) -> np.ndarray:
 
     def add(key, table):
         one = np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in table.column("bits")], axis=0)
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([one.tobytes()], pa.binary())})
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()),
+                         "bits": pa.array([one.tobytes()], pa.binary())})
 
     # a group has one row per task
     got = level.select("phrase").mapInArrow(places, "chunk int, bits binary").groupBy("chunk").applyInArrow(
@@ -431,7 +433,8 @@ def _places(g: np.ndarray, k: int, marks: np.ndarray | None) -> np.ndarray:
 
 
 class DoubleArrayTrie:
-    """A trie of phrases of one length.  A state is a slot; its child by symbol s is slot
+    """A trie of phrases of one length; the levels are counted without it, in packed groups (``_frequent``),
+    which take one pass for any number of phrases.  A state is a slot; its child by symbol s is slot
     base[state] + s, if check there names the state.  About a quarter of the slots is used."""
 
     ROOM = 4
